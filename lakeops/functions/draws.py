@@ -11,19 +11,29 @@ from functools import reduce
 from pyspark.sql import Column, functions as F
 
 
-def uniform(key: Column, name: str, seed: int = 0, part: int = 0) -> Column:
-    """A number in [0, 1) with 32 random bits; ``part`` 0..3 takes four draws from one digest."""
-    digest = F.md5(F.concat_ws("|", key.cast("string"), F.lit(name), F.lit(str(seed))).cast("binary"))
-    return F.conv(F.substring(digest, 1 + 8 * part, 8), 16, 10).cast("double") / F.lit(4294967296.0)
+def bits(key: Column, name: str | Column, seed: int = 0) -> Column:
+    """60 random bits as a number, for the draw called ``name``."""
+    name = F.lit(name) if isinstance(name, str) else name
+    text = F.md5(F.concat_ws("|", key.cast("string"), name, F.lit(str(seed))).cast("binary"))
+    return F.conv(F.substring(text, 1, 15), 16, 10).cast("bigint")
 
 
-def normal(key: Column, name: str, seed: int = 0) -> Column:
-    """Nearly standard normal: the sum of the four draws of one digest, centred and scaled."""
-    total = reduce(lambda a, b: a + b, [uniform(key, name, seed, p) for p in range(4)])
-    return (total - F.lit(2.0)) * F.lit(3.0 ** 0.5)
+def as_uniform(drawn: Column) -> Column:
+    """The bits as a number in [0, 1)."""
+    return drawn.cast("double") / F.lit(float(2 ** 60))
+
+
+def as_normal(drawn: Column) -> Column:
+    """The bits as a nearly standard normal number: four 15-bit parts summed, centred and scaled."""
+    parts = [F.shiftright(drawn, 15 * part).bitwiseAND(F.lit(2 ** 15 - 1)) for part in range(4)]
+    return (reduce(lambda a, b: a + b, parts) / F.lit(float(2 ** 15)) - F.lit(2.0)) * F.lit(3.0 ** 0.5)
+
+
+def uniform(key: Column, name: str | Column, seed: int = 0) -> Column:
+    return as_uniform(bits(key, name, seed))
 
 
 def percent_bucket(key: Column) -> Column:
     """0..99 from the first eight hex digits of the key's MD5."""
-    digest = F.md5(key.cast("string").cast("binary"))
-    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") % F.lit(100)
+    hexes = F.md5(key.cast("string").cast("binary"))
+    return F.conv(F.substring(hexes, 1, 8), 16, 10).cast("bigint") % F.lit(100)

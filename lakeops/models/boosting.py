@@ -14,7 +14,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import FloatType, IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, DoubleType, FloatType, IntegerType, StringType, StructField, StructType
 
 from lakeops.models.metrics import DIGITS, area_under_curve, weighted_scores
 from lakeops.models.prepare import blank_nan, exact_medians, fit_categories
@@ -224,7 +224,7 @@ def _binned(df: DataFrame, group: str, label: str, test: str, numeric: list[str]
 def _with_margin(binned: DataFrame, group: str, values: dict[object, np.ndarray], features: int) -> DataFrame:
     """Add the sum of the leaf values; rows of groups without ``values`` are left out."""
     spark = binned.sparkSession
-    schema = StructType([binned.schema[group]]).add("values", "array<array<double>>")
+    schema = StructType([binned.schema[group], StructField("values", ArrayType(ArrayType(DoubleType())))])
     table = spark.createDataFrame([(g, v.tolist()) for g, v in values.items()], schema)
     if sum(v.nbytes for v in values.values()) <= BROADCAST_BYTES:
         table = F.broadcast(table)
@@ -245,8 +245,9 @@ def fit_large_groups(df: DataFrame, group: str, label: str, test: str, numeric:
     binned, features = _binned(df, group, label, test, numeric, categorical, fill_category, options.bins)
     progress = {r[0]: Progress(features, options) for r in binned.select(group).distinct().collect()}
     key_type = binned.schema[group]
-    split_schema = StructType([key_type]).add("feature", "int").add("last", "int").add("left", "double").add(
-        "right", "double")
+    split_schema = StructType([
+        key_type, StructField("feature", IntegerType()), StructField("last", IntegerType()),
+        StructField("left", DoubleType()), StructField("right", DoubleType())])
 
     def split(cells: pd.DataFrame) -> pd.DataFrame:
         grad, hess = np.zeros((features, options.bins)), np.zeros((features, options.bins))

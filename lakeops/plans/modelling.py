@@ -7,7 +7,8 @@ from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from lakeops.models import boosting, metrics, prepare, scoring, synth
 from lakeops.plans.tables import ACCOUNTS_SQL, accounts, table
-from lakeops.session import scratch_path
+from lakeops.session import materialize, scratch_path
+from lakeops.sources.files import spread_rows
 
 FEATURES = synth.feature_names()
 
@@ -88,6 +89,8 @@ def draw_category(spark, folder):
 def _training_rows(spark, folder):
     """Synthetic features with holes for every order, grouped by priority."""
     keys = table(spark, folder, "orders").select("o_orderkey", F.col("o_orderpriority").alias("group_name"))
+    # Drawing is heavy on the processor and the keys are narrow, so they are spread before it.
+    keys = spread_rows(keys, int(spark.conf.get("spark.sql.shuffle.partitions")))
     rows = synth.synth_rows(keys, "o_orderkey")
     rows = synth.inject_missing(rows, "o_orderkey", FEATURES)
     return rows.select("o_orderkey", "group_name", "label",
@@ -96,6 +99,11 @@ def _training_rows(spark, folder):
                        prepare.in_test(F.col("o_orderkey")).alias("in_test"))
 
 
+def _stored_training_rows(spark, folder):
+    """The same, written once, because fitting reads its input many times."""
+    return materialize(_training_rows(spark, folder))
+
+
 def group_train(spark, folder):
     rows = _training_rows(spark, folder)
     return boosting.train_groups(rows, "group_name", "label", "in_test", prepare.columns_with(rows, "numeric"),
@@ -109,14 +117,14 @@ def _fitted(rows, max_rounds=10):
 
 def gbt_train(spark, folder):
     """Scores on train and test rows of one model over all orders."""
-    rows = _training_rows(spark, folder)
+    rows = _stored_training_rows(spark, folder)
     predicted = _fitted(rows).transform(rows).withColumn("predicted", F.col("prediction").cast("int"))
     return metrics.weighted_scores(predicted, "label", "predicted", ["in_test"])
 
 
 def batch_score(spark, folder):
     """Fit, save, load, check the columns and score every order."""
-    rows = _training_rows(spark, folder)
+    rows = _stored_training_rows(spark, folder)
     path = scoring.save_model(_fitted(rows, max_rounds=3), scratch_path(spark, "model"))
     contract = StructType([StructField("categorical_feature_01", StringType()),
                            *[StructField(c, DoubleType()) for c in FEATURES]])
@@ -128,15 +136,19 @@ QUERIES = {f.__name__: f for f in (
     metrics_long, synth_group_data, inject_missing, draw_category, group_train, gbt_train, batch_score)}
 
 
-def _uniform_sql(key: str, name: str, part: int = 0, seed: int = 0) -> str:
-    digest = f"md5({key} || '|{name}|{seed}')"
-    return f"(CAST('0x' || substr({digest}, {1 + 8 * part}, 8) AS BIGINT)::DOUBLE / 4294967296.0::DOUBLE)"
+def _bits_sql(key: str, name: str, seed: int = 0) -> str:
+    return f"CAST('0x' || substr(md5({key} || '|{name}|{seed}'), 1, 15) AS BIGINT)"
+
+
+def _uniform_sql(key: str, name: str) -> str:
+    return f"({_bits_sql(key, name)}::DOUBLE / 1152921504606846976.0::DOUBLE)"
 
 
 def _feature_sql(name: str, number: int) -> str:
-    total = " + ".join(_uniform_sql("c_custkey", name, p) for p in range(4))
+    drawn = _bits_sql("c_custkey", name)
+    total = " + ".join(f"(({drawn} >> {15 * part}) & 32767)" for part in range(4))
     side = 0.5 if number % 2 == 0 else -0.5
-    return (f"CAST(round((({total}) - 2.0::DOUBLE) * sqrt(3.0::DOUBLE)"
+    return (f"CAST(round((({total}) / 32768.0::DOUBLE - 2.0::DOUBLE) * sqrt(3.0::DOUBLE)"
             f" + CASE WHEN class = 1 THEN {side} ELSE {-side} END::DOUBLE, 4) AS FLOAT) AS {name}")
 
 
@@ -183,7 +195,7 @@ ORACLES = {
     "synth_group_data": f"""
         SELECT c_custkey, c_mktsegment AS group_name,
                CAST(CASE WHEN {_uniform_sql('c_custkey', 'noise')} < 0.4
-                         THEN CASE WHEN {_uniform_sql('c_custkey', 'noise', 1)} < 0.5 THEN 0 ELSE 1 END
+                         THEN CASE WHEN {_uniform_sql('c_custkey', 'coin')} < 0.5 THEN 0 ELSE 1 END
                          ELSE class END AS INTEGER) AS label,
                {', '.join(_feature_sql(name, i) for i, name in enumerate(FEATURES))}
         FROM (SELECT *, CASE WHEN {_uniform_sql('c_custkey', 'class')} < 0.5 THEN 0 ELSE 1 END AS class FROM customer)""",
