@@ -21,7 +21,7 @@ from lakeops.models.prepare import blank_nan, exact_medians, fit_categories
 from lakeops.operators.ordering import join_null_safe
 from lakeops.session import materialize
 
-GROUP_ROWS = 500_000
+GROUP_ROWS = 200_000
 # Tables of leaf values up to this size are broadcast to the rows of large groups.
 BROADCAST_BYTES = 32 * 1024 * 1024
 

@@ -8,16 +8,22 @@ it.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lakeops.session import materialize
 
 ROWS_PER_TASK = 2_000_000
+# More chunks than this cost more in shuffle blocks than smaller tasks save; chunks then get larger.
+MAX_CHUNKS = 20_000
 
 
-def largest_group(df: DataFrame, by: list[str]) -> int:
-    """Rows of the largest group, counted with map-side partial sums."""
-    return df.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+def group_sizes(df: DataFrame, by: list[str]) -> tuple[int, int]:
+    """(rows of the largest group, all rows), counted with map-side partial sums."""
+    sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
+    largest, total = sizes.agg(F.max("n"), F.sum("n")).first()
+    return largest or 0, total or 0
 
 
 def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
@@ -33,7 +39,8 @@ def running_totals(df: DataFrame, totals: dict[str, Column], order_by: list[Colu
     """Add, per group and in order, the running sum of each value in ``totals`` (name -> value).
 
     ``order_by`` must be unique within a group. With ``inclusive=False`` a row's own value is left
-    out. Values must not be NULL.
+    out. Values must not be NULL. ``df`` is read more than once, so a costly one should be
+    materialized first.
     """
     partition_by = list(partition_by)
     end = 0 if inclusive else -1
@@ -42,11 +49,13 @@ def running_totals(df: DataFrame, totals: dict[str, Column], order_by: list[Colu
         window = Window.partitionBy(*by).orderBy(*order_by)
         return F.coalesce(F.sum(value).over(window.rowsBetween(Window.unboundedPreceding, end)), F.lit(0))
 
-    if largest_group(df, partition_by) <= rows_per_task:
+    largest, total = group_sizes(df, partition_by)
+    if largest <= rows_per_task:
         return df.withColumns({name: local_sum(value, *partition_by) for name, value in totals.items()})
 
+    chunks = min(MAX_CHUNKS, math.ceil(total / rows_per_task))
     spread = (df.withColumns(totals)
-              .repartitionByRange(*[F.col(c) for c in partition_by], *order_by)
+              .repartitionByRange(chunks, *[F.col(c) for c in partition_by], *order_by)
               .withColumn("_chunk", F.spark_partition_id()))
     spread = materialize(spread)
     chunk_sums = spread.groupBy("_chunk", *partition_by).agg(*[F.sum(n).alias(f"_sum_{n}") for n in totals])
@@ -62,7 +71,7 @@ def running_totals(df: DataFrame, totals: dict[str, Column], order_by: list[Colu
 def row_number_by(df: DataFrame, partition_by: list[str], order_by: list[Column], name: str = "row_number",
                   rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """Number the rows of each group from 1; end ``order_by`` with a unique key for a fixed result."""
-    if largest_group(df, partition_by) <= rows_per_task:
+    if group_sizes(df, partition_by)[0] <= rows_per_task:
         window = Window.partitionBy(*partition_by).orderBy(*order_by)
         return df.withColumn(name, F.row_number().over(window).cast("bigint"))
     return running_totals(df, {name: F.lit(1).cast("bigint")}, order_by, partition_by,
@@ -77,10 +86,10 @@ def rank_by(df: DataFrame, partition_by: list[str], value: str, descending: bool
     computed on distinct values and their counts, and no tie is ever gathered in one task.
     """
     order = F.col(value).desc() if descending else F.col(value).asc()
-    if largest_group(df, partition_by) <= rows_per_task:
+    if group_sizes(df, partition_by)[0] <= rows_per_task:
         window = Window.partitionBy(*partition_by).orderBy(order)
         return df.withColumn(name, F.rank().over(window).cast("bigint"))
-    counts = df.groupBy(*partition_by, value).agg(F.count(F.lit(1)).alias("_n"))
+    counts = materialize(df.groupBy(*partition_by, value).agg(F.count(F.lit(1)).alias("_n")))
     ahead = running_totals(counts, {"_ahead": F.col("_n")}, [order], partition_by, inclusive=False,
                            rows_per_task=rows_per_task)
     ranks = ahead.select(*partition_by, value, (F.col("_ahead") + 1).alias(name))

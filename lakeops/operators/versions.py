@@ -1,9 +1,10 @@
 """Numbered versions of a parquet table, with history, time travel and retention.
 
 Layout: one managed table partitioned by ``version`` holds the rows, a second table
-``<name>_history`` holds one row per version. A version is either a full copy, or the rows added to
-the version before it. Version n is therefore the partitions from its base, the last full copy at
-or before n, up to n, and Spark prunes the scan to them.
+``<name>_history`` holds one row per version. A commit writes at most one new partition, and its
+history row lists the partitions that make up the version; Spark prunes a read to them. An append
+writes only its rows. A delete, update or merge rewrites only the partitions that hold a matching
+row. ``rewrite`` and ``compact`` write the whole table.
 
 A commit writes the partition's folder, adds the partition, then appends the history row; readers
 go by the history, so they see a version whole or not at all. A crash before the last step leaves
@@ -14,6 +15,7 @@ number the second fails because the folder exists. There is no further concurren
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession, functions as F
 from pyspark.sql.types import (ArrayType, IntegerType, LongType, StringType, StructField, StructType,
@@ -23,7 +25,7 @@ from lakeops.operators import changes
 from lakeops.sources.files import BYTES_PER_MEGABYTE, balance_for_write, merge_files, size_of
 
 HISTORY = StructType([
-    StructField("version", IntegerType()), StructField("base", IntegerType()),
+    StructField("version", IntegerType()), StructField("parts", ArrayType(IntegerType())),
     StructField("operation", StringType()), StructField("detail", StringType()),
     StructField("rows", LongType()), StructField("files", LongType()), StructField("bytes", LongType()),
     StructField("columns", ArrayType(StringType())), StructField("committed_at", TimestampType()),
@@ -59,10 +61,15 @@ class VersionedTable:
     def read(self, version: int | None = None) -> DataFrame:
         """The rows and columns of a version; the newest one by default."""
         entry = self._entry(version)
-        if version is not None and entry.base not in self._partitions():
+        if version is not None and not set(entry.parts) <= set(self._partitions()):
             raise ValueError(f"the rows of version {version} of {self.name} were dropped")
-        rows = self.spark.table(self.name).filter(F.col("version").between(entry.base, entry.version))
-        return rows.select(*entry.columns)
+        return self._parts(entry.parts).select(*entry.columns)
+
+    def _parts(self, parts: list[int]) -> DataFrame:
+        return self.spark.table(self.name).filter(F.col("version").isin(parts))
+
+    def _partitions(self) -> list[int]:
+        return [int(r[0].split("=")[1]) for r in self.spark.sql(f"SHOW PARTITIONS {self.name}").collect()]
 
     # -- writing ---------------------------------------------------------------------------
 
@@ -75,40 +82,61 @@ class VersionedTable:
         spark.sql(f"CREATE TABLE {name} ({fields}, version INT) USING parquet PARTITIONED BY (version)")
         table = cls(spark, name)
         spark.createDataFrame([], HISTORY).write.format("parquet").saveAsTable(table.history_name)
-        table._commit(balance_for_write(df), 0, 0, operation, "")
+        table._commit(balance_for_write(df), [], operation, "", version=0)
         return table
 
     def _location(self) -> str:
         described = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.name}")
         return described.filter("col_name = 'Location'").first().data_type.rstrip("/")
 
-    def _commit(self, df: DataFrame, version: int, base: int, operation: str, detail: str) -> int:
-        folder = f"{self._location()}/version={version}"
-        seen = Observation()
-        df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists").parquet(folder)
-        self.spark.sql(f"ALTER TABLE {self.name} ADD PARTITION (version={version})")
-        files, size = size_of(self.spark, folder)
-        entry = [version, base, operation, detail, seen.get["rows"], files, size, df.columns]
-        columns = [F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(entry, HISTORY.fields)]
-        (self.spark.range(1, numPartitions=1).select(*columns, F.current_timestamp().alias("committed_at"))
+    def _commit(self, df: DataFrame | None, kept: list[int], operation: str, detail: str,
+                version: int | None = None, columns: list[str] | None = None) -> int:
+        """Record a version made of the partitions ``kept`` and, unless None, a new one with ``df``."""
+        version = self.latest() + 1 if version is None else version
+        rows, files, size = 0, 0, 0
+        if df is not None:
+            folder = f"{self._location()}/version={version}"
+            seen = Observation()
+            df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists").parquet(folder)
+            self.spark.sql(f"ALTER TABLE {self.name} ADD PARTITION (version={version})")
+            files, size = size_of(self.spark, folder)
+            rows, kept, columns = seen.get["rows"], [*kept, version], df.columns
+        entry = [version, kept, operation, detail, rows, files, size, columns]
+        values = [F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(entry, HISTORY.fields)]
+        (self.spark.range(1, numPartitions=1).select(*values, F.current_timestamp().alias("committed_at"))
          .write.mode("append").format("parquet").saveAsTable(self.history_name))
         return version
 
     def rewrite(self, df: DataFrame, operation: str, detail: str = "") -> int:
-        """Commit ``df``, usually made from ``read()``, as a full copy; returns the new version."""
-        version = self.latest() + 1
-        return self._commit(balance_for_write(df), version, version, operation, detail)
+        """Commit ``df``, usually made from ``read()``, as the whole table; returns the new version."""
+        return self._commit(balance_for_write(df), [], operation, detail)
+
+    def _change(self, matching: Callable[[DataFrame], DataFrame], change: Callable[[DataFrame], DataFrame],
+                operation: str, detail: str, adds_rows: bool = False) -> int:
+        """Apply ``change`` to the partitions with rows that ``matching`` keeps, and leave the others."""
+        entry = self._entry()
+        found = matching(self._parts(entry.parts)).select("version").distinct().collect()
+        hit = sorted(r[0] for r in found)
+        kept = [p for p in entry.parts if p not in hit]
+        if not hit and not adds_rows:
+            return self._commit(None, kept, operation, detail, columns=entry.columns)
+        changed = change(self._parts(hit).select(*entry.columns))
+        return self._commit(balance_for_write(changed), kept, operation, detail)
 
     def delete(self, predicate: Column, detail: str = "") -> int:
-        return self.rewrite(changes.delete_where(self.read(), predicate), "delete", detail or _text(predicate))
+        return self._change(lambda rows: rows.filter(predicate),
+                            lambda rows: changes.delete_where(rows, predicate), "delete", detail or _text(predicate))
 
     def update(self, predicate: Column, values: dict[str, Column], detail: str = "") -> int:
-        return self.rewrite(changes.update_where(self.read(), predicate, values), "update",
+        return self._change(lambda rows: rows.filter(predicate),
+                            lambda rows: changes.update_where(rows, predicate, values), "update",
                             detail or _text(predicate))
 
     def merge(self, source: DataFrame, keys: list[str], target_keys_unique: bool = False) -> int:
-        merged = changes.merge_upsert(self.read(), source, keys, target_keys_unique)
-        return self.rewrite(merged, "merge", f"on {', '.join(keys)}")
+        """Upsert; partitions without any key of ``source`` are not touched, which cannot change the result."""
+        return self._change(lambda rows: rows.join(source.select(*keys), list(keys), "left_semi"),
+                            lambda rows: changes.merge_upsert(rows, source, keys, target_keys_unique), "merge",
+                            f"on {', '.join(keys)}", adds_rows=True)
 
     def append(self, rows: DataFrame, evolve: bool = False) -> int:
         """Add rows as a new version; only they are written. New columns need ``evolve``."""
@@ -124,33 +152,28 @@ class VersionedTable:
             fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in added)
             self.spark.sql(f"ALTER TABLE {self.name} ADD COLUMNS ({fields})")
         full = current.limit(0).unionByName(rows, allowMissingColumns=True)
-        return self._commit(full, entry.version + 1, entry.base, "append", "evolve" if new else "")
+        return self._commit(full, entry.parts, "append", "evolve" if new else "")
 
     # -- upkeep ----------------------------------------------------------------------------
 
     def compact(self, target_bytes: int = 128 * BYTES_PER_MEGABYTE, min_files: int = 2) -> int | None:
         """Rewrite the newest version in few files; None if it has no ``min_files`` too many."""
         entry = self._entry()
-        parts = self.history().filter(F.col("version").between(entry.base, entry.version))
-        files, size = parts.agg(F.sum("files"), F.sum("bytes")).first()
+        written = self.history().filter(F.col("version").isin(entry.parts))
+        files, size = written.agg(F.coalesce(F.sum("files"), F.lit(0)), F.coalesce(F.sum("bytes"), F.lit(0))).first()
         if files - max(1, math.ceil(size / target_bytes)) < min_files:
             return None
-        version = entry.version + 1
-        compacted = merge_files(self.read(), size, target_bytes)
-        return self._commit(compacted, version, version, "compact", f"{files} files")
-
-    def _partitions(self) -> list[int]:
-        return [int(r[0].split("=")[1]) for r in self.spark.sql(f"SHOW PARTITIONS {self.name}").collect()]
+        return self._commit(merge_files(self.read(), size, target_bytes), [], "compact", f"{files} files")
 
     def retain(self, keep: int = 1) -> list[int]:
-        """Drop the rows that the last ``keep`` versions do not need; returns the dropped partitions.
+        """Drop the partitions that the last ``keep`` versions do not need; returns them.
 
         The newest version is always kept. History rows stay, but versions whose rows are gone can
         no longer be read.
         """
-        kept = self.history().select("base").limit(max(1, keep))
-        needed = kept.agg(F.min("base")).first()[0]
-        dropped = sorted(v for v in self._partitions() if v < needed)
+        needed = {p for r in self.history().select("parts").limit(max(1, keep)).collect() for p in r[0]}
+        latest = self.latest()
+        dropped = sorted(v for v in self._partitions() if v not in needed and v <= latest)
         for version in dropped:
             self.spark.sql(f"ALTER TABLE {self.name} DROP IF EXISTS PARTITION (version={version})")
         return dropped

@@ -47,7 +47,7 @@ def test_appends_write_only_their_rows_then_compact_and_retain(spark, table):
     assert table.compact() is None
     assert rows(table.read()) == before and rows(table.read(4)) == before
     assert table.history().first().files == 1
-    assert table.retain(2) == []          # version 4 still needs the base and all appended parts
+    assert table.retain(2) == []          # version 4 still needs the first and all appended parts
     assert table.retain(1) == [0, 1, 2, 3, 4]
     assert rows(table.read()) == before
     with pytest.raises(ValueError, match="dropped"):
@@ -96,3 +96,22 @@ def test_empty_table(spark):
     assert rows(empty.read()) == [(1,)]
     empty.delete(F.lit(True))
     assert empty.read().count() == 0
+
+
+def test_changes_rewrite_only_the_parts_they_touch(spark, table):
+    for n in (10, 20, 30):
+        table.append(spark.createDataFrame([(n, n), (n + 1, n)], "k int, v int"))
+    assert table.history().first().parts == [0, 1, 2, 3]
+    table.update(F.col("k") == 20, {"v": F.lit(7)})
+    assert (table.history().first().parts, table.history().first().rows) == ([0, 1, 3, 4], 2)
+    table.delete(F.col("k") == 999)
+    assert (table.history().first().parts, table.history().first().rows) == ([0, 1, 3, 4], 0)
+    table.merge(spark.createDataFrame([(11, None), (31, 5), (50, 1)], "k int, v int"), ["k"])
+    assert (table.history().first().parts, table.history().first().rows) == ([0, 4, 6], 5)
+    table.merge(spark.createDataFrame([(60, 1)], "k int, v int"), ["k"])
+    assert (table.history().first().parts, table.history().first().rows) == ([0, 4, 6, 7], 1)
+    assert rows(table.read()) == sorted(
+        [(1, 30), (2, 40), (3, None), (10, 10), (11, None), (20, 7), (21, 20), (30, 30), (31, 5), (50, 1), (60, 1)], key=str)
+    assert rows(table.read(3)) == sorted(
+        [(1, 30), (2, 40), (3, None), (10, 10), (11, 10), (20, 20), (21, 20), (30, 30), (31, 30)], key=str)
+    assert table.retain(1) == [1, 2, 3] and table.read().count() == 11
