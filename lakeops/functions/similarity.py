@@ -31,24 +31,27 @@ def longest_common_subsequence(a: str, b: str) -> int:
     return len(a) - open_bits.bit_count()
 
 
-def _ratio(a: str, b: str) -> int:
-    if not a or not b:
-        return 0
-    if a == b:
-        return 100
-    return round(100 * 2 * longest_common_subsequence(a, b) / (len(a) + len(b)))
+def _ratio(shared: int, lengths: int) -> int:
+    return round(100 * 2 * shared / lengths)
 
 
 def token_set_score(left: str | None, right: str | None) -> int | None:
     if left is None or right is None:
         return None
-    tokens = [set(_NON_WORD.sub(" ", s.translate(_DROPPED)).lower().split()) for s in (left, right)]
-    if not tokens[0] or not tokens[1]:
+    one, two = (set(_NON_WORD.sub(" ", s.translate(_DROPPED)).lower().split()) for s in (left, right))
+    if not one or not two:
         return 0
-    common = " ".join(sorted(tokens[0] & tokens[1]))
-    full = [(common + " " + " ".join(sorted(own - other))).strip()
-            for own, other in (tokens, tokens[::-1])]
-    return max(_ratio(common, full[0]), _ratio(common, full[1]), _ratio(full[0], full[1]))
+    common = " ".join(sorted(one & two))
+    rests = [" ".join(sorted(rest)) for rest in (one - two, two - one)]
+    if common and not all(rests):
+        return 100
+    # I begins both A and B, so it is shared whole; only the rests need the longest subsequence.
+    start = f"{common} " if common else ""
+    lengths = [len(start) + len(rest) for rest in rests]
+    scores = [_ratio(len(start) + longest_common_subsequence(*rests), sum(lengths))]
+    if common:
+        scores += [_ratio(len(common), len(common) + length) for length in lengths]
+    return max(scores)
 
 
 @F.pandas_udf(IntegerType())

@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession, functions as F
 from pyspark.sql.types import (ArrayType, IntegerType, LongType, StringType, StructField, StructType,
@@ -82,20 +83,20 @@ class VersionedTable:
         spark.sql(f"CREATE TABLE {name} ({fields}, version INT) USING parquet PARTITIONED BY (version)")
         table = cls(spark, name)
         spark.createDataFrame([], HISTORY).write.format("parquet").saveAsTable(table.history_name)
-        table._commit(balance_for_write(df), [], operation, "", version=0)
+        table._commit(0, balance_for_write(df), [], operation, "")
         return table
 
-    def _location(self) -> str:
+    @cached_property
+    def location(self) -> str:
         described = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.name}")
         return described.filter("col_name = 'Location'").first().data_type.rstrip("/")
 
-    def _commit(self, df: DataFrame | None, kept: list[int], operation: str, detail: str,
-                version: int | None = None, columns: list[str] | None = None) -> int:
+    def _commit(self, version: int, df: DataFrame | None, kept: list[int], operation: str, detail: str,
+                columns: list[str] | None = None) -> int:
         """Record a version made of the partitions ``kept`` and, unless None, a new one with ``df``."""
-        version = self.latest() + 1 if version is None else version
         rows, files, size = 0, 0, 0
         if df is not None:
-            folder = f"{self._location()}/version={version}"
+            folder = f"{self.location}/version={version}"
             seen = Observation()
             df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists").parquet(folder)
             self.spark.sql(f"ALTER TABLE {self.name} ADD PARTITION (version={version})")
@@ -109,7 +110,7 @@ class VersionedTable:
 
     def rewrite(self, df: DataFrame, operation: str, detail: str = "") -> int:
         """Commit ``df``, usually made from ``read()``, as the whole table; returns the new version."""
-        return self._commit(balance_for_write(df), [], operation, detail)
+        return self._commit(self.latest() + 1, balance_for_write(df), [], operation, detail)
 
     def _change(self, matching: Callable[[DataFrame], DataFrame], change: Callable[[DataFrame], DataFrame],
                 operation: str, detail: str, adds_rows: bool = False) -> int:
@@ -119,9 +120,9 @@ class VersionedTable:
         hit = sorted(r[0] for r in found)
         kept = [p for p in entry.parts if p not in hit]
         if not hit and not adds_rows:
-            return self._commit(None, kept, operation, detail, columns=entry.columns)
+            return self._commit(entry.version + 1, None, kept, operation, detail, columns=entry.columns)
         changed = change(self._parts(hit).select(*entry.columns))
-        return self._commit(balance_for_write(changed), kept, operation, detail)
+        return self._commit(entry.version + 1, balance_for_write(changed), kept, operation, detail)
 
     def delete(self, predicate: Column, detail: str = "") -> int:
         return self._change(lambda rows: rows.filter(predicate),
@@ -141,7 +142,7 @@ class VersionedTable:
     def append(self, rows: DataFrame, evolve: bool = False) -> int:
         """Add rows as a new version; only they are written. New columns need ``evolve``."""
         entry = self._entry()
-        current = self.read()
+        current = self._parts(entry.parts).select(*entry.columns)
         changes.check_append(current, rows, evolve)
         stored = self.spark.table(self.name).columns
         new = [f for f in rows.schema.fields if f.name not in current.columns]
@@ -152,7 +153,7 @@ class VersionedTable:
             fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in added)
             self.spark.sql(f"ALTER TABLE {self.name} ADD COLUMNS ({fields})")
         full = current.limit(0).unionByName(rows, allowMissingColumns=True)
-        return self._commit(full, entry.parts, "append", "evolve" if new else "")
+        return self._commit(entry.version + 1, full, entry.parts, "append", "evolve" if new else "")
 
     # -- upkeep ----------------------------------------------------------------------------
 
@@ -163,7 +164,8 @@ class VersionedTable:
         files, size = written.agg(F.coalesce(F.sum("files"), F.lit(0)), F.coalesce(F.sum("bytes"), F.lit(0))).first()
         if files - max(1, math.ceil(size / target_bytes)) < min_files:
             return None
-        return self._commit(merge_files(self.read(), size, target_bytes), [], "compact", f"{files} files")
+        rows = self._parts(entry.parts).select(*entry.columns)
+        return self._commit(entry.version + 1, merge_files(rows, size, target_bytes), [], "compact", f"{files} files")
 
     def retain(self, keep: int = 1) -> list[int]:
         """Drop the partitions that the last ``keep`` versions do not need; returns them.

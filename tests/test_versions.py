@@ -71,7 +71,7 @@ def test_unknown_version_and_reserved_name(spark, table):
 
 def test_failed_commit_is_invisible_and_can_be_cleared(spark, table):
     before = rows(table.read())
-    folder = f"{table._location()}/version=1"
+    folder = f"{table.location}/version=1"
     spark.createDataFrame([(5, 5)], "k int, v int").write.parquet(folder)
     assert rows(table.read()) == before
     with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
@@ -81,7 +81,7 @@ def test_failed_commit_is_invisible_and_can_be_cleared(spark, table):
 
 
 def test_partition_without_history_is_invisible(spark, table):
-    folder = f"{table._location()}/version=1"
+    folder = f"{table.location}/version=1"
     spark.createDataFrame([(5, 5)], "k int, v int").write.parquet(folder)
     spark.sql(f"ALTER TABLE {table.name} ADD PARTITION (version=1)")
     assert table.read().count() == 3
