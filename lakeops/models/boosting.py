@@ -21,7 +21,10 @@ from lakeops.models.prepare import blank_nan, exact_medians, fit_categories
 from lakeops.operators.ordering import join_null_safe
 from lakeops.session import materialize
 
-GROUP_ROWS = 200_000
+# A group of this many rows and two dozen features takes well under 1 GB in a Python worker.
+GROUP_ROWS = 1_000_000
+# Large groups whose rounds run in the same Spark jobs; the driver holds their leaf values.
+LARGE_AT_ONCE = 1_000
 # Tables of leaf values up to this size are broadcast to the rows of large groups.
 BROADCAST_BYTES = 32 * 1024 * 1024
 
@@ -121,41 +124,50 @@ def scores_of(label: np.ndarray, predicted: np.ndarray) -> tuple[float, float, f
 
 def _bins_of(rows: pd.DataFrame, train: np.ndarray, numeric: list[str], categorical: list[str],
              fill_category: str | None, bins: int) -> np.ndarray:
-    columns = []
+    kind = np.uint8 if bins <= 256 else np.uint32
+    binned = []
+
+    def add(values: np.ndarray) -> None:
+        low, high = values[train].min(), values[train].max()
+        width = high - low if high > low else 1.0
+        binned.append(np.clip(np.floor((values - low) / width * bins), 0, bins - 1).astype(kind))
+
     for c in numeric:
         values = rows[c].to_numpy(dtype="float64")
         known = values[train & ~np.isnan(values)]
-        columns.append(np.where(np.isnan(values), np.median(known) if len(known) else 0.0, values))
+        add(np.where(np.isnan(values), np.median(known) if len(known) else 0.0, values))
     for c in categorical:
         values = rows[c] if fill_category is None else rows[c].fillna(fill_category)
-        columns += [(values == v).to_numpy(dtype="float64") for v in sorted(values[train].dropna().unique())]
-    matrix = np.column_stack(columns)
-    low, high = matrix[train].min(axis=0), matrix[train].max(axis=0)
-    width = np.where(high > low, high - low, 1.0)
-    return np.clip(np.floor((matrix - low) / width * bins), 0, bins - 1).astype("int64")
+        for v in sorted(values[train].dropna().unique()):
+            add((values == v).to_numpy(dtype="float64"))
+    return np.array(binned)
 
 
 def _sigmoid(margin: np.ndarray) -> np.ndarray:
     return 1.0 / (1.0 + np.exp(-margin))
 
 
+def margin_of(values: np.ndarray, bins: np.ndarray) -> np.ndarray:
+    """Sum of the leaf values of every row; both arguments have one row per feature."""
+    margin = np.zeros(bins.shape[1])
+    for table, column in zip(values, bins):
+        margin += table[column]
+    return margin
+
+
 def fit_rows(bins: np.ndarray, label: np.ndarray, test: np.ndarray, options: BoostOptions) -> Progress:
     """Boost on the rows outside ``test`` and judge every round on those in it."""
-    features = bins.shape[1]
-    cells = bins + np.arange(features) * options.bins
-    train_cells, train_label = cells[~test], label[~test]
-    flat, size = train_cells.ravel(), features * options.bins
-    progress = Progress(features, options)
+    train_bins, test_bins = bins[:, ~test], bins[:, test]
+    train_label, test_label = label[~test], label[test]
+    progress = Progress(len(bins), options)
+
+    def sums(weights: np.ndarray) -> np.ndarray:
+        return np.array([np.bincount(column, weights=weights, minlength=options.bins) for column in train_bins])
+
     while not progress.done:
-        table = progress.values.ravel()
-        chance = _sigmoid(table[train_cells].sum(axis=1))
-        grad = np.repeat(chance - train_label, features)
-        hess = np.repeat(chance * (1 - chance), features)
-        progress.add(*best_split(
-            np.bincount(flat, weights=grad, minlength=size).reshape(features, options.bins),
-            np.bincount(flat, weights=hess, minlength=size).reshape(features, options.bins), options))
-        margin = progress.values.ravel()[cells[test]].sum(axis=1)
-        progress.judge(auc_of(label[test], np.round(margin, 9)))
+        chance = _sigmoid(margin_of(progress.values, train_bins))
+        progress.add(*best_split(sums(chance - train_label), sums(chance * (1 - chance)), options))
+        progress.judge(auc_of(test_label, np.round(margin_of(progress.values, test_bins), 9)))
     return progress
 
 
@@ -173,8 +185,7 @@ def make_trainer(group: str, label: str, test: str, numeric: list[str], categori
         if (~in_test).any():
             bins = _bins_of(rows, ~in_test, numeric, categorical, fill_category, options.bins)
             progress = fit_rows(bins, truth, in_test, options)
-            cells = bins + np.arange(bins.shape[1]) * options.bins
-            margin = progress.best_values.ravel()[cells].sum(axis=1)
+            margin = margin_of(progress.best_values, bins)
             predicted = (np.round(margin, 9) > 0).astype("float64")
             for side, chosen in (("train", ~in_test), ("test", in_test)):
                 scores = scores_of(truth[chosen], predicted[chosen])
@@ -234,15 +245,15 @@ def _with_margin(binned: DataFrame, group: str, values: dict[object, np.ndarray]
     return join_null_safe(binned, table, [group]).select(group, "label", "test", "bins", margin.alias("margin"))
 
 
-def fit_large_groups(df: DataFrame, group: str, label: str, test: str, numeric: list[str],
-                     categorical: list[str], fill_category: str | None = None,
-                     options: BoostOptions = BoostOptions()) -> DataFrame:
-    """Statistics of every group of ``df``, with rounds run as Spark jobs over all its rows.
+def _fit_together(df: DataFrame, groups: list, group: str, label: str, test: str, numeric: list[str],
+                  categorical: list[str], fill_category: str | None, options: BoostOptions) -> list[list]:
+    """One row of statistics per listed group, which are those of ``df``; each round is a few Spark jobs over all its rows.
 
     Per round and group only one split and one AUC come to the driver.
     """
     start = datetime.datetime.now()
     binned, features = _binned(df, group, label, test, numeric, categorical, fill_category, options.bins)
+    # A group without train rows has no ranges and so no bins; its statistics stay empty.
     progress = {r[0]: Progress(features, options) for r in binned.select(group).distinct().collect()}
     key_type = binned.schema[group]
     split_schema = StructType([
@@ -280,21 +291,38 @@ def fit_large_groups(df: DataFrame, group: str, label: str, test: str, numeric:
     scores = {(r[group], r["test"]): r for r in sides}
     end = datetime.datetime.now()
     rows = []
-    for g, p in progress.items():
+    for g in groups:
+        p = progress.get(g)
         row = [g, start.strftime(_PYTHON_TIME), end.strftime(_PYTHON_TIME),
                round((end - start).total_seconds(), 1)]
         for side in (False, True):
             found = scores.get((g, side))
             row += [found[n] if found else None for n in _SCORES]
-        row += [None if np.isnan(p.best_auc) else round(p.best_auc, DIGITS), p.best_round]
+        row += [None if p is None or np.isnan(p.best_auc) else round(p.best_auc, DIGITS),
+                None if p is None else p.best_round]
         rows.append(row)
-    schema = StructType([StructField("group", key_type.dataType), *STATS_SCHEMA.fields[1:]])
-    return df.sparkSession.createDataFrame(rows, schema).withColumn("group", F.col("group").cast("string"))
+    return rows
+
+
+def fit_large_groups(df: DataFrame, groups: list, group: str, label: str, test: str, numeric: list[str],
+                     categorical: list[str], fill_category: str | None = None,
+                     options: BoostOptions = BoostOptions(), at_once: int = LARGE_AT_ONCE) -> DataFrame:
+    """Statistics of the listed groups, ``at_once`` of them per series of Spark jobs."""
+    spark, key = df.sparkSession, df.schema[group]
+    rows = []
+    for first in range(0, len(groups), at_once):
+        some = groups[first:first + at_once]
+        chosen = spark.createDataFrame([(g,) for g in some], StructType([key]))
+        rows += _fit_together(join_null_safe(df, chosen, [group], "left_semi"), some, group, label, test, numeric,
+                              categorical, fill_category, options)
+    schema = StructType([StructField("group", key.dataType), *STATS_SCHEMA.fields[1:]])
+    return spark.createDataFrame(rows, schema).withColumn("group", F.col("group").cast("string"))
 
 
 def train_groups(df: DataFrame, group: str, label: str, test: str, numeric: list[str],
                  categorical: list[str] = (), fill_category: str | None = None,
-                 options: BoostOptions = BoostOptions(), group_rows: int = GROUP_ROWS) -> DataFrame:
+                 options: BoostOptions = BoostOptions(), group_rows: int = GROUP_ROWS,
+                 at_once: int = LARGE_AT_ONCE) -> DataFrame:
     """Fit one model per group and return one row of statistics each.
 
     ``test`` is a boolean column; its rows stop the training and are also the reported test rows.
@@ -310,7 +338,6 @@ def train_groups(df: DataFrame, group: str, label: str, test: str, numeric: list
         small = join_null_safe(used, keys, [group], "left_anti")
     stats = small.withColumn(group, F.col(group).cast("string")).groupBy(group).applyInPandas(trainer, STATS_SCHEMA)
     if large:
-        rows = join_null_safe(used, keys, [group], "left_semi")
-        stats = stats.unionByName(fit_large_groups(rows, group, label, test, list(numeric), list(categorical),
-                                                   fill_category, options))
+        stats = stats.unionByName(fit_large_groups(used, large, group, label, test, list(numeric),
+                                                   list(categorical), fill_category, options, at_once))
     return stats

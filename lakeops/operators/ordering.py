@@ -33,6 +33,12 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str
     return left.join(renamed, condition, how).drop(*[f"_right_{k}" for k in keys])
 
 
+def _spread(df: DataFrame, partition_by: list[str], order_by: list[Column], rows: int,
+            rows_per_task: int) -> DataFrame:
+    chunks = min(MAX_CHUNKS, math.ceil(rows / rows_per_task))
+    return df.repartitionByRange(chunks, *[F.col(c) for c in partition_by], *order_by)
+
+
 def running_totals(df: DataFrame, totals: dict[str, Column], order_by: list[Column],
                    partition_by: list[str] = (), inclusive: bool = True,
                    rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
@@ -53,11 +59,8 @@ def running_totals(df: DataFrame, totals: dict[str, Column], order_by: list[Colu
     if largest <= rows_per_task:
         return df.withColumns({name: local_sum(value, *partition_by) for name, value in totals.items()})
 
-    chunks = min(MAX_CHUNKS, math.ceil(total / rows_per_task))
-    spread = (df.withColumns(totals)
-              .repartitionByRange(chunks, *[F.col(c) for c in partition_by], *order_by)
-              .withColumn("_chunk", F.spark_partition_id()))
-    spread = materialize(spread)
+    spread = _spread(df.withColumns(totals), partition_by, order_by, total, rows_per_task)
+    spread = materialize(spread.withColumn("_chunk", F.spark_partition_id()))
     chunk_sums = spread.groupBy("_chunk", *partition_by).agg(*[F.sum(n).alias(f"_sum_{n}") for n in totals])
     earlier = (Window.partitionBy(*partition_by).orderBy("_chunk")
                .rowsBetween(Window.unboundedPreceding, -1))
@@ -71,11 +74,23 @@ def running_totals(df: DataFrame, totals: dict[str, Column], order_by: list[Colu
 def row_number_by(df: DataFrame, partition_by: list[str], order_by: list[Column], name: str = "row_number",
                   rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """Number the rows of each group from 1; end ``order_by`` with a unique key for a fixed result."""
-    if group_sizes(df, partition_by)[0] <= rows_per_task:
+    largest, total = group_sizes(df, partition_by)
+    if largest <= rows_per_task:
         window = Window.partitionBy(*partition_by).orderBy(*order_by)
         return df.withColumn(name, F.row_number().over(window).cast("bigint"))
-    return running_totals(df, {name: F.lit(1).cast("bigint")}, order_by, partition_by,
-                          rows_per_task=rows_per_task)
+    # In a sorted task this id counts rows from 0 in its lower 33 bits, below the task's number, so
+    # a row's place needs no window and no second shuffle, only where its group starts.
+    keys = [F.col(c) for c in partition_by]
+    placed = (_spread(df, partition_by, order_by, total, rows_per_task)
+              .sortWithinPartitions(*keys, *order_by).withColumn("_place", F.monotonically_increasing_id()))
+    placed = materialize(placed).withColumn("_chunk", F.shiftright("_place", 33))
+    starts = placed.groupBy("_chunk", *partition_by).agg(F.min("_place").alias("_start"), F.count(F.lit(1)).alias("_n"))
+    earlier = (Window.partitionBy(*partition_by).orderBy("_chunk")
+               .rowsBetween(Window.unboundedPreceding, -1))
+    starts = starts.select("_chunk", *partition_by, (
+        F.coalesce(F.sum("_n").over(earlier), F.lit(0)) + 1 - F.col("_start")).alias("_shift"))
+    return join_null_safe(placed, starts, ["_chunk", *partition_by]).select(
+        *df.columns, (F.col("_place") + F.col("_shift")).alias(name))
 
 
 def rank_by(df: DataFrame, partition_by: list[str], value: str, descending: bool = True, name: str = "rank",

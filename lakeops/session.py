@@ -64,10 +64,13 @@ def scratch_database(spark: SparkSession, name: str) -> str:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder once; later reads see exactly these rows.
+    """Write ``df`` once as parquet in the shared folder and read it back.
 
     Needed where a column depends on how rows were partitioned, such as ``spark_partition_id``:
-    computing it twice could give two answers. The copy outlives lost executors.
+    computing it twice could give two answers. Also used for results that several later steps
+    read. The copy outlives lost executors, and later reads take only the columns they need.
     """
-    scratch_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = scratch_path(spark, "rows")
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
