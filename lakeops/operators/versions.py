@@ -75,15 +75,16 @@ class VersionedTable:
     # -- writing ---------------------------------------------------------------------------
 
     @classmethod
-    def create(cls, spark: SparkSession, name: str, df: DataFrame, operation: str = "create") -> VersionedTable:
-        """Create the table with ``df`` as version 0."""
+    def create(cls, spark: SparkSession, name: str, df: DataFrame, operation: str = "create",
+               balance: bool = False) -> VersionedTable:
+        """Create the table with ``df`` as version 0; ``balance`` evens out its files by a shuffle."""
         if "version" in df.columns:
             raise ValueError("the column name version is taken")
         fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
         spark.sql(f"CREATE TABLE {name} ({fields}, version INT) USING parquet PARTITIONED BY (version)")
         table = cls(spark, name)
         spark.createDataFrame([], HISTORY).write.format("parquet").saveAsTable(table.history_name)
-        table._commit(0, balance_for_write(df), [], operation, "")
+        table._commit(0, balance_for_write(df) if balance else df, [], operation, "")
         return table
 
     @cached_property
@@ -108,9 +109,12 @@ class VersionedTable:
          .write.mode("append").format("parquet").saveAsTable(self.history_name))
         return version
 
-    def rewrite(self, df: DataFrame, operation: str, detail: str = "") -> int:
-        """Commit ``df``, usually made from ``read()``, as the whole table; returns the new version."""
-        return self._commit(self.latest() + 1, balance_for_write(df), [], operation, detail)
+    def rewrite(self, df: DataFrame, operation: str, detail: str = "", balance: bool = False) -> int:
+        """Commit ``df``, usually made from ``read()``, as the whole table; returns the new version.
+
+        ``balance`` evens out its files by a shuffle.
+        """
+        return self._commit(self.latest() + 1, balance_for_write(df) if balance else df, [], operation, detail)
 
     def _change(self, matching: Callable[[DataFrame], DataFrame], change: Callable[[DataFrame], DataFrame],
                 operation: str, detail: str, adds_rows: bool = False) -> int:
@@ -122,7 +126,7 @@ class VersionedTable:
         if not hit and not adds_rows:
             return self._commit(entry.version + 1, None, kept, operation, detail, columns=entry.columns)
         changed = change(self._parts(hit).select(*entry.columns))
-        return self._commit(entry.version + 1, balance_for_write(changed), kept, operation, detail)
+        return self._commit(entry.version + 1, changed, kept, operation, detail)
 
     def delete(self, predicate: Column, detail: str = "") -> int:
         return self._change(lambda rows: rows.filter(predicate),

@@ -72,7 +72,8 @@ def metrics_long(spark, folder):
 
 def synth_group_data(spark, folder):
     keys = table(spark, folder, "customer").select("c_custkey", F.col("c_mktsegment").alias("group_name"))
-    return synth.synth_rows(keys, "c_custkey")
+    rows = synth.synth_rows(keys, "c_custkey")
+    return rows.withColumns({c: F.col(c).cast("double") for c in FEATURES})
 
 
 def inject_missing(spark, folder):
@@ -149,7 +150,7 @@ def _feature_sql(name: str, number: int) -> str:
     total = " + ".join(f"(({drawn} >> {15 * part}) & 32767)" for part in range(4))
     side = 0.5 if number % 2 == 0 else -0.5
     return (f"CAST(round((({total}) / 32768.0::DOUBLE - 2.0::DOUBLE) * sqrt(3.0::DOUBLE)"
-            f" + CASE WHEN class = 1 THEN {side} ELSE {-side} END::DOUBLE, 4) AS FLOAT) AS {name}")
+            f" + CASE WHEN class = 1 THEN {side} ELSE {-side} END::DOUBLE, 4) AS FLOAT)::DOUBLE AS {name}")
 
 
 _TEST_SQL = "CAST('0x' || substr(md5(CAST({key} AS VARCHAR)), 1, 8) AS BIGINT) % 100 < 33"
