@@ -37,6 +37,8 @@ STATS_SCHEMA = StructType([
     StructField("test_auc", FloatType()), StructField("best_iteration", IntegerType()),
 ])
 _SCORES = ("precision", "recall", "f1")
+# What a row is used for: fitting, stopping only, or the reported test scores.
+TRAIN, WATCH, TEST = 0, 1, 2
 _PYTHON_TIME = "%d-%b-%Y (%H:%M:%S.%f)"
 
 
@@ -155,10 +157,11 @@ def margin_of(values: np.ndarray, bins: np.ndarray) -> np.ndarray:
     return margin
 
 
-def fit_rows(bins: np.ndarray, label: np.ndarray, test: np.ndarray, options: BoostOptions) -> Progress:
-    """Boost on the rows outside ``test`` and judge every round on those in it."""
-    train_bins, test_bins = bins[:, ~test], bins[:, test]
-    train_label, test_label = label[~test], label[test]
+def fit_rows(bins: np.ndarray, label: np.ndarray, train: np.ndarray, judged: np.ndarray,
+             options: BoostOptions) -> Progress:
+    """Boost on the ``train`` rows and judge every round on the ``judged`` ones."""
+    train_bins, judged_bins = bins[:, train], bins[:, judged]
+    train_label, judged_label = label[train], label[judged]
     progress = Progress(len(bins), options)
 
     def sums(weights: np.ndarray) -> np.ndarray:
@@ -167,30 +170,29 @@ def fit_rows(bins: np.ndarray, label: np.ndarray, test: np.ndarray, options: Boo
     while not progress.done:
         chance = _sigmoid(margin_of(progress.values, train_bins))
         progress.add(*best_split(sums(chance - train_label), sums(chance * (1 - chance)), options))
-        progress.judge(auc_of(test_label, np.round(margin_of(progress.values, test_bins), 9)))
+        progress.judge(auc_of(judged_label, np.round(margin_of(progress.values, judged_bins), 9)))
     return progress
 
 
-def make_trainer(group: str, label: str, test: str, numeric: list[str], categorical: list[str],
-                 fill_category: str | None = None, options: BoostOptions = BoostOptions()):
+def make_trainer(group: str, label: str, role: str, numeric: list[str], categorical: list[str],
+                 fill_category: str | None = None, options: BoostOptions = BoostOptions(), judge: int = TEST):
     """A function from one group's rows to its one row of statistics, with all settings bound."""
     names = STATS_SCHEMA.names
 
     def train(rows: pd.DataFrame) -> pd.DataFrame:
         start = datetime.datetime.now()
-        in_test = rows[test].to_numpy(dtype=bool)
+        roles = rows[role].to_numpy()
         truth = rows[label].to_numpy(dtype="float64")
         stats = dict.fromkeys(names)
         stats["group"] = rows[group].iloc[0]
-        if (~in_test).any():
-            bins = _bins_of(rows, ~in_test, numeric, categorical, fill_category, options.bins)
-            progress = fit_rows(bins, truth, in_test, options)
-            margin = margin_of(progress.best_values, bins)
-            predicted = (np.round(margin, 9) > 0).astype("float64")
-            for side, chosen in (("train", ~in_test), ("test", in_test)):
-                scores = scores_of(truth[chosen], predicted[chosen])
+        if (roles == TRAIN).any():
+            bins = _bins_of(rows, roles == TRAIN, numeric, categorical, fill_category, options.bins)
+            progress = fit_rows(bins, truth, roles == TRAIN, roles == judge, options)
+            margin = np.round(margin_of(progress.best_values, bins), 9)
+            for side, chosen in (("train", roles == TRAIN), ("test", roles == TEST)):
+                scores = scores_of(truth[chosen], (margin[chosen] > 0).astype("float64"))
                 stats.update({f"{side}_{n}": round(s, DIGITS) for n, s in zip(_SCORES, scores)})
-            stats["test_auc"] = round(progress.best_auc, DIGITS)
+            stats["test_auc"] = round(auc_of(truth[roles == TEST], margin[roles == TEST]), DIGITS)
             stats["best_iteration"] = progress.best_round
         end = datetime.datetime.now()
         stats["start_time"], stats["end_time"] = start.strftime(_PYTHON_TIME), end.strftime(_PYTHON_TIME)
@@ -203,10 +205,10 @@ def make_trainer(group: str, label: str, test: str, numeric: list[str], categori
 # -- large groups: one Spark job per step over all of them ---------------------------------
 
 
-def _binned(df: DataFrame, group: str, label: str, test: str, numeric: list[str], categorical: list[str],
+def _binned(df: DataFrame, group: str, label: str, role: str, numeric: list[str], categorical: list[str],
             fill_category: str | None, bins: int) -> tuple[DataFrame, int]:
-    """(group, label, test, bins) with all statistics taken from the train rows of each group."""
-    train = df.filter(~F.col(test))
+    """(group, label, role, bins) with all statistics taken from the train rows of each group."""
+    train = df.filter(F.col(role) == TRAIN)
     filled = df
     if numeric:
         medians = exact_medians(train, numeric, [group]).withColumnsRenamed({c: f"_median_{c}" for c in numeric})
@@ -216,10 +218,10 @@ def _binned(df: DataFrame, group: str, label: str, test: str, numeric: list[str]
         value = F.col(c) if fill_category is None else F.coalesce(F.col(c), F.lit(fill_category))
         known = fit_categories(train.select(value.alias(c)), [c])[c]
         columns += [F.coalesce((value == v).cast("double"), F.lit(0.0)) for v in known]
-    wide = filled.select(group, F.col(label).cast("int").alias("label"), F.col(test).alias("test"),
+    wide = filled.select(group, F.col(label).cast("int").alias("label"), F.col(role).alias("role"),
                          *[c.alias(f"x{i}") for i, c in enumerate(columns)])
     names = [f"x{i}" for i in range(len(columns))]
-    ranges = wide.filter(~F.col("test")).groupBy(group).agg(
+    ranges = wide.filter(F.col("role") == TRAIN).groupBy(group).agg(
         *[F.min(x).alias(f"low_{x}") for x in names], *[F.max(x).alias(f"high_{x}") for x in names])
 
     def to_bin(x: str) -> Column:
@@ -228,7 +230,7 @@ def _binned(df: DataFrame, group: str, label: str, test: str, numeric: list[str]
         return F.greatest(F.lit(0), F.least(F.lit(bins - 1), F.floor((F.col(x) - low) / width * bins))).cast("int")
 
     binned = join_null_safe(wide, ranges, [group]).select(
-        group, "label", "test", F.array(*[to_bin(x) for x in names]).alias("bins"))
+        group, "label", "role", F.array(*[to_bin(x) for x in names]).alias("bins"))
     return materialize(binned), len(names)
 
 
@@ -242,17 +244,24 @@ def _with_margin(binned: DataFrame, group: str, values: dict[object, np.ndarray]
     margin = F.lit(0.0)
     for f in range(features):
         margin = margin + F.col("values")[f][F.col("bins")[f]]
-    return join_null_safe(binned, table, [group]).select(group, "label", "test", "bins", margin.alias("margin"))
+    return join_null_safe(binned, table, [group]).select(
+        group, "label", "role", "bins", F.round(margin, 9).alias("margin"))
 
 
-def _fit_together(df: DataFrame, groups: list, group: str, label: str, test: str, numeric: list[str],
-                  categorical: list[str], fill_category: str | None, options: BoostOptions) -> list[list]:
+def _auc_by_group(scored: DataFrame, group: str, role: int) -> dict[object, float]:
+    aucs = area_under_curve(scored.filter(F.col("role") == role), "label", "margin", [group]).collect()
+    return {r[group]: r["auc"] for r in aucs if r["auc"] is not None}
+
+
+def _fit_together(df: DataFrame, groups: list, group: str, label: str, role: str, numeric: list[str],
+                  categorical: list[str], fill_category: str | None, options: BoostOptions,
+                  judge: int) -> list[list]:
     """One row of statistics per listed group, which are those of ``df``; each round is a few Spark jobs over all its rows.
 
     Per round and group only one split and one AUC come to the driver.
     """
     start = datetime.datetime.now()
-    binned, features = _binned(df, group, label, test, numeric, categorical, fill_category, options.bins)
+    binned, features = _binned(df, group, label, role, numeric, categorical, fill_category, options.bins)
     # A group without train rows has no ranges and so no bins; its statistics stay empty.
     progress = {r[0]: Progress(features, options) for r in binned.select(group).distinct().collect()}
     key_type = binned.schema[group]
@@ -272,72 +281,77 @@ def _fit_together(df: DataFrame, groups: list, group: str, label: str, test: str
         if not active:
             break
         chance = 1 / (1 + F.exp(-F.col("margin")))
-        cells = (_with_margin(binned, group, active, features).filter(~F.col("test"))
+        cells = (_with_margin(binned, group, active, features).filter(F.col("role") == TRAIN)
                  .select(group, (chance - F.col("label")).alias("grad"), (chance * (1 - chance)).alias("hess"),
                          F.posexplode("bins").alias("feature", "bin"))
                  .groupBy(group, "feature", "bin").agg(F.sum("grad").alias("grad"), F.sum("hess").alias("hess")))
         # At most features * bins rows per group reach the grouped map.
         for row in cells.groupBy(group).applyInPandas(split, split_schema).collect():
             progress[row[0]].add(*row[1:])
-        judged = (_with_margin(binned, group, {g: progress[g].values for g in active}, features)
-                  .filter("test").withColumn("margin", F.round("margin", 9)))
-        found = {r[group]: r["auc"] for r in area_under_curve(judged, "label", "margin", [group]).collect()}
+        judged = _with_margin(binned, group, {g: progress[g].values for g in active}, features)
+        found = _auc_by_group(judged, group, judge)
         for g in active:
-            progress[g].judge(float("nan") if found.get(g) is None else found[g])
+            progress[g].judge(found.get(g, float("nan")))
 
     final = _with_margin(binned, group, {g: p.best_values for g, p in progress.items()}, features)
-    predicted = final.withColumn("predicted", (F.round("margin", 9) > 0).cast("int"))
-    sides = weighted_scores(predicted, "label", "predicted", [group, "test"]).collect()
-    scores = {(r[group], r["test"]): r for r in sides}
+    predicted = final.withColumn("predicted", (F.col("margin") > 0).cast("int"))
+    sides = weighted_scores(predicted, "label", "predicted", [group, "role"]).collect()
+    scores = {(r[group], r["role"]): r for r in sides}
+    test_auc = _auc_by_group(final, group, TEST)
     end = datetime.datetime.now()
     rows = []
     for g in groups:
         p = progress.get(g)
         row = [g, start.strftime(_PYTHON_TIME), end.strftime(_PYTHON_TIME),
                round((end - start).total_seconds(), 1)]
-        for side in (False, True):
+        for side in (TRAIN, TEST):
             found = scores.get((g, side))
             row += [found[n] if found else None for n in _SCORES]
-        row += [None if p is None or np.isnan(p.best_auc) else round(p.best_auc, DIGITS),
-                None if p is None else p.best_round]
+        row += [round(test_auc[g], DIGITS) if g in test_auc else None, None if p is None else p.best_round]
         rows.append(row)
     return rows
 
 
-def fit_large_groups(df: DataFrame, groups: list, group: str, label: str, test: str, numeric: list[str],
+def fit_large_groups(df: DataFrame, groups: list, group: str, label: str, role: str, numeric: list[str],
                      categorical: list[str], fill_category: str | None = None,
-                     options: BoostOptions = BoostOptions(), at_once: int = LARGE_AT_ONCE) -> DataFrame:
+                     options: BoostOptions = BoostOptions(), judge: int = TEST,
+                     at_once: int = LARGE_AT_ONCE) -> DataFrame:
     """Statistics of the listed groups, ``at_once`` of them per series of Spark jobs."""
     spark, key = df.sparkSession, df.schema[group]
     rows = []
     for first in range(0, len(groups), at_once):
         some = groups[first:first + at_once]
         chosen = spark.createDataFrame([(g,) for g in some], StructType([key]))
-        rows += _fit_together(join_null_safe(df, chosen, [group], "left_semi"), some, group, label, test, numeric,
-                              categorical, fill_category, options)
+        rows += _fit_together(join_null_safe(df, chosen, [group], "left_semi"), some, group, label, role, numeric,
+                              categorical, fill_category, options, judge)
     schema = StructType([StructField("group", key.dataType), *STATS_SCHEMA.fields[1:]])
     return spark.createDataFrame(rows, schema).withColumn("group", F.col("group").cast("string"))
 
 
 def train_groups(df: DataFrame, group: str, label: str, test: str, numeric: list[str],
                  categorical: list[str] = (), fill_category: str | None = None,
-                 options: BoostOptions = BoostOptions(), group_rows: int = GROUP_ROWS,
+                 options: BoostOptions = BoostOptions(), watch: str | None = None, group_rows: int = GROUP_ROWS,
                  at_once: int = LARGE_AT_ONCE) -> DataFrame:
     """Fit one model per group and return one row of statistics each.
 
-    ``test`` is a boolean column; its rows stop the training and are also the reported test rows.
+    ``test`` is a boolean column; its rows stop the training and are also the reported test rows,
+    which makes the test scores optimistic. With the boolean column ``watch`` those rows stop the
+    training instead, and the test rows take no part in it.
     """
-    used = df.select(group, label, test, *numeric, *categorical)
+    numeric, categorical = list(numeric), list(categorical)
+    role = F.when(F.col(test), TEST).when(F.col(watch) if watch else F.lit(False), WATCH).otherwise(TRAIN)
+    judge = WATCH if watch else TEST
+    used = df.select(group, label, role.alias("_role"), *numeric, *categorical)
     sizes = used.groupBy(group).agg(F.count(F.lit(1)).alias("_n"))
     # At most rows / group_rows groups are large.
     large = [r[0] for r in sizes.filter(F.col("_n") > group_rows).collect()]
-    trainer = make_trainer(group, label, test, list(numeric), list(categorical), fill_category, options)
+    trainer = make_trainer(group, label, "_role", numeric, categorical, fill_category, options, judge)
     small = used
     if large:
         keys = df.sparkSession.createDataFrame([(g,) for g in large], StructType([used.schema[group]]))
         small = join_null_safe(used, keys, [group], "left_anti")
     stats = small.withColumn(group, F.col(group).cast("string")).groupBy(group).applyInPandas(trainer, STATS_SCHEMA)
     if large:
-        stats = stats.unionByName(fit_large_groups(used, large, group, label, test, list(numeric),
-                                                   list(categorical), fill_category, options, at_once))
+        stats = stats.unionByName(fit_large_groups(used, large, group, label, "_role", numeric, categorical,
+                                                   fill_category, options, judge, at_once))
     return stats

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType
 
+from lakeops.operators.expand import duplicate_rows
 from lakeops.operators.ordering import top_rows
 from lakeops.plans.tables import table
 from lakeops.session import scratch_database, scratch_path
@@ -94,9 +95,19 @@ def compact_rows(spark, folder):
     ).withColumn("fewer_files", F.lit(fewer))
 
 
+def balanced_write(spark, folder):
+    """Many copies in many partitions, evened out just before the write."""
+    path = scratch_path(spark, "balanced")
+    copies = duplicate_rows(table(spark, folder, "customer").select(*CUSTOMER_COLUMNS), 20, "c_custkey")
+    files.balance_for_write(files.spread_rows(copies, 64)).write.parquet(path)
+    return spark.read.parquet(path).groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("n")).withColumn(
+        "fewer_files", F.lit(files.count_files(spark, path) < 64))
+
+
 QUERIES = {f.__name__: f for f in (
     csv_infer_scan, csv_schema_scan, save_overwrite, ctas_projection, append_rows, insert_accumulate,
-    repartition_rows, table_head, top_desc, count_all, file_inventory, compact_rows)}
+    repartition_rows, table_head, top_desc, count_all, file_inventory, compact_rows,
+    balanced_write)}
 
 ORACLES = {
     "csv_infer_scan": "SELECT CAST(p_partkey AS INTEGER) AS p_partkey, p_name, p_size, p_retailprice FROM part",
@@ -118,6 +129,8 @@ ORACLES = {
     "file_inventory": f"""
         SELECT CAST(least(count(*), {INVENTORY_FILES}) AS BIGINT) AS files, TRUE AS all_filled, TRUE AS sizes_agree
         FROM orders""",
+    "balanced_write": """
+        SELECT c_mktsegment, count(*) * 20 AS n, TRUE AS fewer_files FROM customer GROUP BY c_mktsegment""",
     "compact_rows": """
         SELECT o_orderpriority, count(*) AS n, round(sum(o_totalprice), 2) AS total, TRUE AS fewer_files
         FROM orders GROUP BY o_orderpriority""",
