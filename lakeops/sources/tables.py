@@ -8,11 +8,15 @@ from lakeops.operators.changes import check_append
 from lakeops.session import materialize
 
 
+# Fixed value: what database names start with.
+DATABASE_PREFIX = "workshop_"
+
+
 def database_name(initials: str) -> str:
     """``workshop_<initials>``; the initials must be exactly one word."""
     if len(initials.split()) != 1:
         raise ValueError("give exactly one word")
-    return f"workshop_{initials}"
+    return f"{DATABASE_PREFIX}{initials}"
 
 
 def use_database(spark: SparkSession, name: str) -> None:

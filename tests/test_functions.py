@@ -1,4 +1,5 @@
 import datetime
+import random
 import re
 
 import pytest
@@ -123,3 +124,21 @@ def test_draws_are_uniform_and_repeatable(spark):
     assert abs(normal_mean) < 0.03 and abs(normal_sd - 1) < 0.03 and abs(share - 0.33) < 0.015
     again = spark.range(20000).repartition(7).select(draws.uniform(F.col("id"), "u").alias("u"))
     assert abs(again.agg(F.sum("u")).first()[0] - df.agg(F.sum("u")).first()[0]) < 1e-6
+
+
+def test_cleaning_of_many_random_texts(spark):
+    rng = random.Random(8)
+    texts = ["".join(rng.choice("$,.-0123456789") for _ in range(rng.randint(0, 9))) for _ in range(600)]
+    names = ["".join(rng.choice("z_<ab") for _ in range(rng.randint(0, 8))) for _ in range(600)]
+    df = spark.createDataFrame(list(zip(range(600), texts, names)), "k int, m string, n string").orderBy("k")
+
+    def number(value):
+        try:
+            return float(re.sub(r"[$,]", "", value))
+        except ValueError:
+            return None
+
+    assert values(df.select(text.money_to_double(F.col("m")))) == [number(t) for t in texts]
+    assert values(df.select(text.strip_pattern(F.col("n")))) == [n.replace("z_", "") for n in names]
+    assert values(df.select(text.strip_pattern(F.col("n"), text.PREFIX_OR_LESS_THAN))) == [
+        re.sub("z_|<", "", n) for n in names]
