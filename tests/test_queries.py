@@ -5,8 +5,7 @@ import pytest
 
 import __spark_entry__ as entry_points
 
-QUERIES = entry_points.queries()
-ORACLES = entry_points.oracle_sql()
+from lakeops.plans import ORACLES, QUERIES
 # Fitting is iterative or uses long texts; these have their own tests.
 WITHOUT_SQL = {"token_similarity_turns", "group_train", "gbt_train", "batch_score"}
 
@@ -16,6 +15,11 @@ def connection(tiny):
     return compare.connect(tiny)
 
 
+def test_entry_points_hold_all_queries():
+    assert set(QUERIES) <= set(entry_points.queries())
+    assert set(ORACLES) <= set(entry_points.oracle_sql()) <= set(entry_points.queries())
+
+
 def test_only_models_and_long_texts_lack_sql():
     assert set(QUERIES) - set(ORACLES) == WITHOUT_SQL
     assert set(ORACLES) <= set(QUERIES)
