@@ -5,6 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from lakeops.llm import decontaminate, simhash
 from lakeops.llm.common import table
 from lakeops.llm.tokens import count_tokens
 
@@ -12,9 +13,21 @@ VOCABULARY = "byte_bpe_50k.json"
 TOKEN_LIMIT = 512
 
 
+def op3_simhash_components(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, folder, "documents"))
+
+
 def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return count_tokens(table(spark, folder, "documents"), public_tokenizers.path(VOCABULARY), TOKEN_LIMIT)
 
 
-QUERIES = {"op9_token_counts": op9_token_counts}
+def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.report(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+QUERIES = {
+    "op3_simhash_components": op3_simhash_components,
+    "op9_token_counts": op9_token_counts,
+    "op10_decontamination": op10_decontamination,
+}
 ORACLES: dict[str, str] = {}
