@@ -46,6 +46,15 @@ class PairMerger:
         if any(t["lstrip"] or t["rstrip"] or t["single_word"] or t["normalized"] for t in content["added_tokens"]):
             raise ValueError("added tokens with own rules are not supported")
         self.added = added
+        self._vocab = vocab
+
+    def ranked_bytes(self) -> dict[bytes, int]:
+        """Each entry's bytes and id, for encoders that take ids as ranks."""
+        if (np.diff(self.merged) <= 0).any():
+            raise ValueError("ids do not follow the order of merges")
+        letters = {c: b for b, c in enumerate(_byte_letters())}
+        added = set(self.added)
+        return {bytes(letters[c] for c in entry): i for entry, i in self._vocab.items() if entry not in added}
 
     def _rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         key = left.astype(np.int64) << 32 | right

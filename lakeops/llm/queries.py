@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeops.llm import decontaminate, simhash, toxicity
+from lakeops.llm import decontaminate, packing, simhash, toxicity
 from lakeops.llm.common import table
 from lakeops.llm.tokens import count_tokens
 
@@ -17,6 +17,10 @@ def op3_simhash_components(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
 
 
+def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(table(spark, folder, "documents"), public_tokenizers.path(VOCABULARY))
+
+
 def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
@@ -31,6 +35,7 @@ def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op3_simhash_components": op3_simhash_components,
+    "op6_packing": op6_packing,
     "op7_toxicity": op7_toxicity,
     "op9_token_counts": op9_token_counts,
     "op10_decontamination": op10_decontamination,
