@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeops.llm import decontaminate, packing, simhash, toxicity
+from lakeops.llm import decontaminate, line_windows, packing, simhash, toxicity
 from lakeops.llm.common import table
 from lakeops.llm.tokens import count_tokens
 
@@ -25,6 +25,10 @@ def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op8_line_windows(spark: SparkSession, folder: str) -> DataFrame:
+    return line_windows.report(table(spark, folder, "documents"))
+
+
 def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return count_tokens(table(spark, folder, "documents"), public_tokenizers.path(VOCABULARY), TOKEN_LIMIT)
 
@@ -37,7 +41,8 @@ QUERIES = {
     "op3_simhash_components": op3_simhash_components,
     "op6_packing": op6_packing,
     "op7_toxicity": op7_toxicity,
+    "op8_line_windows": op8_line_windows,
     "op9_token_counts": op9_token_counts,
     "op10_decontamination": op10_decontamination,
 }
-ORACLES: dict[str, str] = {}
+ORACLES = {"op8_line_windows": line_windows.REPORT_SQL}
