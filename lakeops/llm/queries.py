@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeops.llm import decontaminate, html_text, line_windows, packing, simhash, toxicity
+from lakeops.llm import decontaminate, html_text, line_windows, packing, simhash, toxicity, vectors
 from lakeops.llm.common import table
 from lakeops.llm.tokens import count_tokens
 
@@ -17,6 +17,10 @@ def op1_html_text(spark: SparkSession, folder: str) -> DataFrame:
     return html_text.extract(table(spark, folder, "pages"))
 
 
+def op2_nearest_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    return vectors.search(table(spark, folder, "embeddings"), lambda i: i % 20 == 0, 20)
+
+
 def op3_simhash_components(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
 
@@ -43,6 +47,7 @@ def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_html_text": op1_html_text,
+    "op2_nearest_vectors": op2_nearest_vectors,
     "op3_simhash_components": op3_simhash_components,
     "op6_packing": op6_packing,
     "op7_toxicity": op7_toxicity,
