@@ -39,6 +39,7 @@ class Index:
     centres: np.ndarray
     probes: int
     bounding: np.ndarray
+    bounding_lists: np.ndarray
 
     def rotated(self, vectors: np.ndarray, query: bool) -> np.ndarray:
         """Vectors of equal length with one more dimension, so that the largest inner product is the least distance."""
@@ -55,7 +56,7 @@ def fit(vectors: np.ndarray, norm: float, lists: int, nearest: int) -> Index:
     rng = np.random.default_rng(5)
     dims = vectors.shape[1] + 1
     rotation, signs = np.linalg.qr(rng.standard_normal((dims, dims)))
-    index = Index(rotation * np.sign(np.diag(signs)), norm, np.zeros((0, dims)), 1, np.zeros((0, dims)))
+    index = Index(rotation * np.sign(np.diag(signs)), norm, np.zeros((0, dims)), 1, np.zeros((0, dims)), np.zeros(0, int))
     rows = index.rotated(vectors, query=False)
     centres = rows[rng.choice(len(rows), min(lists, len(rows)), replace=False)]
     for _ in range(FIT_ROUNDS):
@@ -71,8 +72,8 @@ def fit(vectors: np.ndarray, norm: float, lists: int, nearest: int) -> Index:
     place = np.argsort(np.argsort(index.distances(queries, centres), axis=1), axis=1)
     needed = np.sort(np.take_along_axis(place, owner[true], axis=1).ravel())
     probes = int(needed[min(len(needed) - 1, math.ceil(RECALL * len(needed)))]) + 1
-    bounding = rows[rng.choice(len(rows), min(BOUND_ROWS, len(rows)), replace=False)]
-    return Index(index.rotation, norm, centres, probes, bounding)
+    bounding = rng.choice(len(rows), min(BOUND_ROWS, len(rows)), replace=False)
+    return Index(index.rotation, norm, centres, probes, rows[bounding], owner[bounding])
 
 
 def _matrix(column) -> np.ndarray:
@@ -166,17 +167,24 @@ def search(table: DataFrame, queries: Callable[[Column], Column], nearest: int,
     def probe(batch: pa.RecordBatch) -> pa.RecordBatch:
         index = sent.value
         rotated = index.rotated(_matrix(batch.column(0)), query=True)
-        lists = np.argsort(index.distances(rotated, index.centres), axis=1)[:, :index.probes]
+        lists = np.argsort(index.distances(rotated, index.centres), axis=1)
         near = index.distances(rotated, index.bounding)
-        # Twice as many fitted vectors lie within the bound as are asked for: one may be the query's own, and some
-        # may be in lists that are not probed.
+        # Twice as many fitted vectors lie within the bound as are asked for, and lists are probed at least until
+        # they hold a few more of these than are asked for, the query's own among them.
         enough = 2 * nearest + 2
-        bound = (np.partition(near, enough, axis=1)[:, enough] if near.shape[1] > enough
-                 else np.full(len(rotated), np.inf))
-        at = np.repeat(np.arange(len(rotated)), lists.shape[1])
+        probes = np.full(len(rotated), min(index.probes, lists.shape[1]))
+        if near.shape[1] > enough:
+            close = np.argpartition(near, enough, axis=1)[:, :enough + 1]
+            bound = np.take_along_axis(near, close, axis=1).max(axis=1)
+            place = np.take_along_axis(np.argsort(lists, axis=1), index.bounding_lists[close], axis=1)
+            probes = np.maximum(probes, np.sort(place, axis=1)[:, nearest + 5] + 1)
+        else:
+            bound, probes = np.full(len(rotated), np.inf), np.full(len(rotated), lists.shape[1])
+        at = np.repeat(np.arange(len(rotated)), probes)
         return pa.RecordBatch.from_arrays(
-            [batch.column(0).take(pa.array(at)), batch.column(1).take(pa.array(at)),
-             pa.array(bound[at]), pa.array(lists.ravel().astype(np.int32))], ["v", "query", "bound", "list"])
+            [batch.column(0).take(pa.array(at)), batch.column(1).take(pa.array(at)), pa.array(bound[at]),
+             pa.array(lists[np.arange(lists.shape[1])[None, :] < probes[:, None]].astype(np.int32))],
+            ["v", "query", "bound", "list"])
 
     stored = materialize(map_batches(entries.select("v", "ids", "entry"), assign,
                                      "v array<double>, ids array<long>, entry long, list int", rows=4096))
