@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeops.llm import decontaminate, html_text, line_windows, packing, simhash, toxicity, vectors
+from lakeops.llm import decontaminate, html_text, line_windows, packing, simhash, suffixes, toxicity, vectors
 from lakeops.llm.common import table
 from lakeops.llm.tokens import count_tokens
 
@@ -25,6 +25,10 @@ def op3_simhash_components(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
 
 
+def op5_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffixes.report(table(spark, folder, "documents"))
+
+
 def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), public_tokenizers.path(VOCABULARY))
 
@@ -49,6 +53,7 @@ QUERIES = {
     "op1_html_text": op1_html_text,
     "op2_nearest_vectors": op2_nearest_vectors,
     "op3_simhash_components": op3_simhash_components,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op6_packing": op6_packing,
     "op7_toxicity": op7_toxicity,
     "op8_line_windows": op8_line_windows,
