@@ -19,9 +19,11 @@ LENGTH = 50
 PART = 16
 #: A stretch of strings with one group name is cut after so many, so rounds of the construction are bounded.
 STRETCH = 64
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 8 << 20
+#: Bytes hashed at once.
+HASHED_BYTES = 1 << 20
 #: Text bytes per bucket, from which the number of buckets follows.
-BUCKET_BYTES = 4 << 20
+BUCKET_BYTES = 16 << 20
 #: Symbols of one construction.
 ORDER_BYTES = 1 << 19
 END = 255  # never a byte of UTF-8
@@ -82,12 +84,19 @@ def _unshuffled(raw: bytes, kind: type, n: int) -> np.ndarray:
 def pack_chunk(docs: np.ndarray, bases: np.ndarray, parts: list[bytes], buckets: int,
                length: int) -> list[tuple[int, int, bytes]]:
     """(bucket, number, packed stretches) for a few texts; a bucket gets whole groups."""
-    owner, start, end, names = stretches(parts, length)
+    found, first, size = [], 0, 0
+    for i, part in enumerate(parts):
+        size += len(part)
+        if size >= HASHED_BYTES or i == len(parts) - 1:
+            owner, *rest = stretches(parts[first:i + 1], length)
+            found.append([owner + first, *rest])
+            first, size = i + 1, 0
+    owner, start, end, names = (np.concatenate(x) for x in zip(*found))
     bucket = ((names >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
     order = np.argsort(bucket, kind="stable")
     owner, start, end, names, bucket = (x[order] for x in (owner, start, end, names, bucket))
     bounds = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1], [True]))) if len(bucket) else [0]
-    packer = zstandard.ZstdCompressor(level=3)
+    packer = zstandard.ZstdCompressor(level=6)
     out = []
     for a, b in zip(bounds[:-1], bounds[1:]):
         body = [parts[o][s:e] for o, s, e in zip(owner[a:b].tolist(), start[a:b].tolist(), end[a:b].tolist())]
@@ -281,8 +290,8 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", len
                 if len(raw) < length:
                     continue
                 number = batch.column(0)[i].as_py()
-                for base in range(0, len(raw) - length + 1, CHUNK_BYTES):
-                    part = raw[base:base + CHUNK_BYTES + length - 1]
+                for base in range(0, len(raw) - length + 1, HASHED_BYTES):
+                    part = raw[base:base + HASHED_BYTES + length - 1]
                     waiting.append((number, base, part))
                     size += len(part)
                     if size >= CHUNK_BYTES:
