@@ -103,7 +103,7 @@ def blocks_of(page: str) -> list[Block]:
     Unclosed and stray tags are taken as browsers take them in the common cases: an end tag closes up to its own
     element, block starts close an open paragraph, list items and cells close their kind.
     """
-    stack = [_Element("", 0, START)]
+    stack = [_Element("", 0, 0.0)]
     out: list[Block] = []
     words: list[tuple[str, bool]] = []
     links = articles = hidden = 0
@@ -113,7 +113,10 @@ def blocks_of(page: str) -> list[Block]:
             text = " ".join(html.unescape("".join(t for t, _ in words)).split())
             if text:
                 inside = sum(len(t.strip()) for t, linked in words if linked)
-                out.append(Block(text, tuple(e.number for e in stack), sum(e.odds for e in stack),
+                odds = [e.odds for e in stack]
+                # Signs against content add up; of those for it the strongest counts, so that nesting proves nothing.
+                out.append(Block(text, tuple(e.number for e in stack),
+                                 START + max([0.0, *odds]) + sum(o for o in odds if o < 0),
                                  min(1.0, inside / len(text)), any(e.name in HEADINGS for e in stack)))
             words.clear()
 

@@ -1,0 +1,25 @@
+import corpus_pipeline
+from lakeops.llm import simhash
+
+
+def test_stages_take_effect_and_the_last_packs_what_is_left(spark, tiny):
+    docs = spark.read.parquet(f"{tiny}/documents.parquet")
+    rows, counts = docs, []
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, rows, tiny)
+        assert out.columns == docs.columns and out.dtypes == docs.dtypes, name
+        rows = spark.createDataFrame(out.collect(), docs.schema)
+        counts.append(rows.count())
+    assert counts[0] < docs.count() and counts[1] == counts[0] and counts[2] < counts[1]
+    left = {r.doc_id for r in rows.collect()}
+    assert len({r.component_id for r in simhash.near_duplicates(rows).collect()}) == len(left) == counts[3]
+    packed = corpus_pipeline.run(spark, tiny).collect()
+    assert {r.doc_id for r in packed} == left
+
+
+def test_stages_bear_awkward_rows(spark, tiny, awkward, no_documents):
+    for frame in (awkward, no_documents):
+        rows = frame.withColumnRenamed("rows", "n_chars").withColumn("n_chars", frame["rows"].cast("long"))
+        for _, stage in corpus_pipeline.STAGES:
+            rows = stage(spark, rows, tiny)
+        assert rows.count() >= (0 if frame is no_documents else 1)
