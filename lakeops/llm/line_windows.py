@@ -39,7 +39,7 @@ def mark_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", span:
     windows = _windows(docs, key, text, span)
     repeated = materialize(windows.groupBy("h1", "h2").agg(F.min("place").alias("first"), F.count("*").alias("n"))
                            .filter("n > 1").select("h1", "h2", "first"))
-    later = windows.join(repeated, ["h1", "h2"]).filter("place > first")
+    later = windows.join(repeated.hint("merge"), ["h1", "h2"]).filter("place > first")
     starts = (later.groupBy(F.col("place.key").alias("_key"), F.col("place.body").alias("_body"))
               .agg(F.collect_set("place.line").alias("_starts")))
     marks = materialize(starts.select("_key", "_body", F.array_distinct(F.flatten(F.transform(
@@ -49,7 +49,8 @@ def mark_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", span:
     names = {c: fresh_name(docs, c) for c in ("_key", "_body")}
     marks = marks.select(F.col("_key").alias(names["_key"]), F.col("_body").alias(names["_body"]),
                          F.col("_lines").alias(name))
-    joined = docs.join(marks, docs[key].eqNullSafe(marks[names["_key"]])
+    # The marks grow with the table, so the join is a shuffled one at every size.
+    joined = docs.join(marks.hint("merge"), docs[key].eqNullSafe(marks[names["_key"]])
                        & (F.xxhash64(docs[text]) == marks[names["_body"]]), "left")
     return joined.select(*[docs[f"`{c}`"] for c in docs.columns], marks[name]), name
 
