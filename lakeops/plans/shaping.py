@@ -213,7 +213,7 @@ ORACLES = {
         SELECT o_orderkey, TRY_CAST(regexp_replace(o_totalprice, '[$,]', '', 'g') AS DOUBLE) AS o_totalprice
         FROM ({DIRTY_ORDERS_SQL})""",
     "clean_table": f"""
-        SELECT o_orderkey, o_custkey, o_orderstatus,
+        SELECT o_orderkey, o_custkey, o_orderstatus, o_orderdate,
                regexp_replace(o_orderpriority, 'z_|<', '', 'g') AS o_orderpriority,
                TRY_CAST(regexp_replace(o_totalprice, '[$,]', '', 'g') AS DOUBLE) AS o_totalprice
         FROM ({DIRTY_ORDERS_SQL})""",

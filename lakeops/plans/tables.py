@@ -15,14 +15,15 @@ def dirty_orders(spark: SparkSession, folder: str) -> DataFrame:
     money = F.when(F.col("o_orderkey") % 50 == 0, "n/a").otherwise(
         F.concat(F.lit("$"), F.format_number("o_totalprice", 2)))
     return table(spark, folder, "orders").select(
-        "o_orderkey", "o_custkey", priority.alias("o_orderpriority"), money.alias("o_totalprice"), "o_orderstatus")
+        "o_orderkey", "o_custkey", priority.alias("o_orderpriority"), money.alias("o_totalprice"), "o_orderstatus",
+        "o_orderdate")
 
 
 DIRTY_ORDERS_SQL = """
     SELECT o_orderkey, o_custkey,
            CASE WHEN o_orderkey % 3 = 0 THEN '<' ELSE 'z_' END || o_orderpriority AS o_orderpriority,
            CASE WHEN o_orderkey % 50 = 0 THEN 'n/a' ELSE format('${:,.2f}', o_totalprice) END AS o_totalprice,
-           o_orderstatus
+           o_orderstatus, o_orderdate
     FROM orders"""
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import re
 import shutil
 import tempfile
 import uuid
@@ -10,6 +11,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Masters whose executors share the driver's machine and its folders; local-cluster[...] is none of them.
+LOCAL = re.compile(r"local(\[[^\]]*\])?")
+
+
 def build_session(app: str = "lakeops", master: str | None = None, partitions: int | None = None,
                   memory: str | None = None) -> SparkSession:
     """A session with adaptive execution and a fixed time zone; give ``master`` only for local runs."""
@@ -42,7 +47,7 @@ def scratch_dir(spark: SparkSession) -> str:
             context.setCheckpointDir(shared)
         return shared.rstrip("/")
     if context.getCheckpointDir() is None:
-        if not context.master.startswith("local"):
+        if not LOCAL.fullmatch(context.master):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         own = tempfile.mkdtemp(prefix="lakeops-")
         atexit.register(shutil.rmtree, own, ignore_errors=True)
@@ -69,8 +74,24 @@ def materialize(df: DataFrame) -> DataFrame:
     Needed where a column depends on how rows were partitioned, such as ``spark_partition_id``:
     computing it twice could give two answers. Also used for results that several later steps
     read. The copy outlives lost executors, and later reads take only the columns they need.
+    Whoever has read it for the last time should ``discard`` it.
     """
     spark = df.sparkSession
     path = scratch_path(spark, "rows")
     df.write.mode("errorifexists").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    stored = spark.read.schema(df.schema).parquet(path)
+    stored.stored_at = path
+    return stored
+
+
+def discard(*stored: DataFrame) -> None:
+    """Delete what ``materialize`` wrote for these; nothing may read them afterwards."""
+    for df in stored:
+        path = getattr(df, "stored_at", None)
+        if path is not None:
+            delete_folder(df.sparkSession, path)
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

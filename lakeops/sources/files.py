@@ -49,14 +49,20 @@ def balance_for_write(df: DataFrame) -> DataFrame:
 
 def merge_files(df: DataFrame, total_bytes: int, target_bytes: int) -> DataFrame:
     """Join the scan's partitions into about ``total_bytes / target_bytes`` ones, without a shuffle."""
-    return df.coalesce(max(1, math.ceil(total_bytes / target_bytes)))
+    return df.coalesce(files_for(total_bytes, target_bytes))
+
+
+def files_for(size: int, target_bytes: int = 128 * BYTES_PER_MEGABYTE) -> int:
+    """How many files of about ``target_bytes`` hold ``size`` bytes."""
+    return max(1, math.ceil(size / target_bytes))
 
 
 def compact_parquet(spark: SparkSession, source: str, destination: str,
-                    target_bytes: int = 128 * BYTES_PER_MEGABYTE) -> bool:
-    """Rewrite many small files as few; False and nothing written if that would not lower the count."""
+                    target_bytes: int = 128 * BYTES_PER_MEGABYTE) -> str:
+    """The folder to read afterwards: ``destination`` with the rows in few files, or ``source``, left as it is,
+    if its files are few already."""
     files, size = size_of(spark, source)
-    if files <= max(1, math.ceil(size / target_bytes)):
-        return False
+    if files <= files_for(size, target_bytes):
+        return source
     merge_files(spark.read.parquet(source), size, target_bytes).write.mode("errorifexists").parquet(destination)
-    return True
+    return destination

@@ -1,9 +1,12 @@
+import os
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType
 
 from lakeops import claims
-from lakeops.session import materialize, scratch_database, scratch_dir, scratch_path
+from lakeops.plans import reading
+from lakeops.session import LOCAL, discard, materialize, scratch_database, scratch_dir, scratch_path
 from lakeops.sources import csv, files, tables
 
 
@@ -82,14 +85,33 @@ def test_files_and_compaction(spark):
     listing = files.file_inventory(spark, many)
     assert listing.columns == ["path", "name", "bytes", "megabytes"]
     assert files.count_files(spark, many) == 20 == listing.filter("bytes > 0 AND name LIKE '%.parquet'").count()
-    assert files.compact_parquet(spark, many, few)
+    assert files.compact_parquet(spark, many, few) == few
     assert files.count_files(spark, few) == 1 and spark.read.parquet(few).count() == 1000
-    assert not files.compact_parquet(spark, few, scratch_path(spark, "unused"))
+    assert files.compact_parquet(spark, few, scratch_path(spark, "unused")) == few
     balanced = scratch_path(spark, "balanced")
     files.balance_for_write(spark.read.parquet(many)).write.parquet(balanced)
     assert files.count_files(spark, balanced) < 20
 
 
+@pytest.mark.parametrize("target", [1_000, 20_000, 128_000_000])
+def test_compaction_query_at_any_target(spark, tiny, target):
+    rows = reading.compact_rows(spark, tiny, target).collect()
+    assert sum(r.n for r in rows) == 1500 and all(r.few_files for r in rows)
+
+
+def test_discarded_tables_leave_no_folder(spark):
+    before = set(os.listdir(scratch_dir(spark).removeprefix("file:")))
+    stored = [materialize(spark.range(3)) for _ in range(4)]
+    discard(*stored)
+    discard(spark.range(1))
+    assert set(os.listdir(scratch_dir(spark).removeprefix("file:"))) == before
+
+
+def test_only_plain_local_masters_get_a_temporary_folder():
+    assert all(LOCAL.fullmatch(m) for m in ("local", "local[4]", "local[*]", "local[2,3]"))
+    assert not any(LOCAL.fullmatch(m) for m in ("local-cluster[2,1,1024]", "yarn", "spark://host:7077", "localhost"))
+
+
 def test_megabytes():
     assert files.bytes_to_megabytes(246568) == 0.25 and files.bytes_to_megabytes(101525468) == 101.53
     assert files.megabytes_to_bytes(2) == 2_000_000
