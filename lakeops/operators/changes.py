@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
 def delete_where(df: DataFrame, predicate: Column) -> DataFrame:
@@ -31,32 +31,42 @@ def _like_target(source: DataFrame, target: DataFrame) -> DataFrame:
     return source.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in target.schema.fields])
 
 
-def merge_upsert(target: DataFrame, source: DataFrame, keys: list[str],
-                 target_keys_unique: bool = False) -> DataFrame:
+def merge_upsert(target: DataFrame, source: DataFrame, keys: list[str], large_source: bool = False) -> DataFrame:
     """Rows of ``target`` whose key is in ``source`` take all source values, other source rows are added.
 
-    A NULL key never matches. A target key that occurs several times is updated each time. It is
-    an error if several source rows match one target row. With ``target_keys_unique=True`` the
-    matched target rows are replaced instead of joined, which scans the target once.
+    A NULL key never matches. A target key that occurs several times is updated each time. The result raises an error
+    if several source rows match one target row. By default the source is joined to the target once for updates and
+    its keys once more for inserts, which suits a source that Spark broadcasts. ``large_source`` makes it one full
+    outer join instead: each side is read once and shuffled once. Both give the same rows. Rows with a NULL key on
+    either side pass around the joins, so they never meet in one task.
     """
     keys = list(keys)
+    columns = target.columns
     new = _like_target(source, target)
     known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-    repeated = new.filter(known).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").drop("_n")
-    if not repeated.isEmpty() and not target.select(*keys).join(repeated, keys, "left_semi").isEmpty():
-        raise ValueError("several source rows match the same target row")
-
-    if target_keys_unique:
-        return target.join(new.select(*keys), keys, "left_anti").select(*target.columns).unionByName(new)
-
-    # The keys present on both sides: at most the source's, found by a semi join on key columns only.
-    matched = target.select(*keys).join(new.select(*keys), keys, "left_semi").distinct()
-    inserts = new.join(matched, keys, "left_anti").select(*target.columns)
-    offered = new.withColumnsRenamed({c: f"_new_{c}" for c in target.columns}).withColumn("_hit", F.lit(True))
-    condition = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"_new_{k}") for k in keys])
-    updated = target.join(offered, condition, "left").select(*[
-        F.when(F.col("_hit"), F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c) for c in target.columns])
-    return updated.unionByName(inserts)
+    beside = target.filter(~known).unionByName(new.filter(~known))
+    old, new = target.filter(known), new.filter(known)
+    offered = new.withColumnsRenamed({c: f"_new_{c}" for c in columns})
+    new_keys = [f"_new_{k}" for k in keys]
+    condition = reduce(lambda a, b: a & b, [F.col(k) == F.col(n) for k, n in zip(keys, new_keys)])
+    clash = F.raise_error(F.lit("several source rows match the same target row")).cast("boolean")
+    taken = F.col(new_keys[0]).isNotNull()
+    values = [F.when(taken, F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c) for c in columns]
+
+    if large_source:
+        # The count per key uses the same partitioning as the join.
+        counted = offered.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(*new_keys)))
+        joined = old.join(counted.hint("merge"), condition, "full_outer")
+        met = F.col(keys[0]).isNotNull() & taken & (F.col("_n") > 1)
+        return joined.filter(F.when(met, clash).otherwise(True)).select(*values).unionByName(beside)
+
+    updated = old.join(offered, condition, "left").select(*values)
+    # The keys present on both sides, from key columns only; two source rows of one such key are the error.
+    pairs = old.select(*keys).join(new.select(*keys, F.monotonically_increasing_id().alias("_row")), keys)
+    matched = pairs.groupBy(*keys).agg(F.min("_row").alias("_first"), F.max("_row").alias("_last"))
+    matched = matched.filter(F.when(F.col("_first") < F.col("_last"), clash).otherwise(True)).select(*keys)
+    inserts = new.join(matched, keys, "left_anti").select(*columns)
+    return updated.unionByName(inserts).unionByName(beside)
 
 
 def check_append(target: DataFrame, rows: DataFrame, evolve: bool = False) -> None:

@@ -1,29 +1,19 @@
 """Ranks, row numbers and running totals that hold when one group has most of the rows.
 
-A Spark window puts each group in one task. Groups within ``rows_per_task`` use that. Otherwise
-the rows are range-partitioned on (group, order), so a large group spans many tasks; each task's
-total per group is one row, the totals are summed in order, and every task adds what lies before
-it.
+A Spark window puts each group in one task. Here the rows are range-partitioned on (group, order), so a large group
+spans many tasks; each task's total per group is one row, the totals are summed in order, and every task adds what
+lies before it. The way is the same at any size; ``chunks`` sets the number of tasks (by default the session's
+number of shuffle partitions).
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from lakeops.session import materialize
-
-ROWS_PER_TASK = 2_000_000
-# More chunks than this cost more in shuffle blocks than smaller tasks save; chunks then get larger.
-MAX_CHUNKS = 20_000
+from lakeops.session import discard, materialize
 
-
-def group_sizes(df: DataFrame, by: list[str]) -> tuple[int, int]:
-    """(rows of the largest group, all rows), counted with map-side partial sums."""
-    sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
-    largest, total = sizes.agg(F.max("n"), F.sum("n")).first()
-    return largest or 0, total or 0
+#: A stored side of a join is broadcast up to this size, and joined by a shuffle beyond it.
+BROADCAST_BYTES = 64 << 20
 
 
 def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
@@ -33,15 +23,23 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str
     return left.join(renamed, condition, how).drop(*[f"_right_{k}" for k in keys])
 
 
-def _spread(df: DataFrame, partition_by: list[str], order_by: list[Column], rows: int,
-            rows_per_task: int) -> DataFrame:
-    chunks = min(MAX_CHUNKS, math.ceil(rows / rows_per_task))
+def join_measured(left: DataFrame, stored: DataFrame, keys: list[str], row_bytes: int, how: str = "inner") -> DataFrame:
+    """Null-safe join with a materialized right side: broadcast if its counted rows, at ``row_bytes`` each, are few.
+
+    Beyond that it is a sort-merge join, whose hot keys on the left adaptive execution splits.
+    """
+    small = stored.count() * row_bytes <= BROADCAST_BYTES
+    return join_null_safe(left, F.broadcast(stored) if small else stored.hint("merge"), keys, how)
+
+
+def _spread(df: DataFrame, partition_by: list[str], order_by: list[Column], chunks: int | None) -> DataFrame:
+    chunks = chunks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return df.repartitionByRange(chunks, *[F.col(c) for c in partition_by], *order_by)
 
 
 def running_totals(df: DataFrame, totals: dict[str, Column], order_by: list[Column],
                    partition_by: list[str] = (), inclusive: bool = True,
-                   rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+                   chunks: int | None = None) -> DataFrame:
     """Add, per group and in order, the running sum of each value in ``totals`` (name -> value).
 
     ``order_by`` must be unique within a group. With ``inclusive=False`` a row's own value is left
@@ -55,11 +53,7 @@ def running_totals(df: DataFrame, totals: dict[str, Column], order_by: list[Colu
         window = Window.partitionBy(*by).orderBy(*order_by)
         return F.coalesce(F.sum(value).over(window.rowsBetween(Window.unboundedPreceding, end)), F.lit(0))
 
-    largest, total = group_sizes(df, partition_by)
-    if largest <= rows_per_task:
-        return df.withColumns({name: local_sum(value, *partition_by) for name, value in totals.items()})
-
-    spread = _spread(df.withColumns(totals), partition_by, order_by, total, rows_per_task)
+    spread = _spread(df.withColumns(totals), partition_by, order_by, chunks)
     spread = materialize(spread.withColumn("_chunk", F.spark_partition_id()))
     chunk_sums = spread.groupBy("_chunk", *partition_by).agg(*[F.sum(n).alias(f"_sum_{n}") for n in totals])
     earlier = (Window.partitionBy(*partition_by).orderBy("_chunk")
@@ -72,16 +66,12 @@ def running_totals(df: DataFrame, totals: dict[str, Column], order_by: list[Colu
 
 
 def row_number_by(df: DataFrame, partition_by: list[str], order_by: list[Column], name: str = "row_number",
-                  rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+                  chunks: int | None = None) -> DataFrame:
     """Number the rows of each group from 1; end ``order_by`` with a unique key for a fixed result."""
-    largest, total = group_sizes(df, partition_by)
-    if largest <= rows_per_task:
-        window = Window.partitionBy(*partition_by).orderBy(*order_by)
-        return df.withColumn(name, F.row_number().over(window).cast("bigint"))
     # In a sorted task this id counts rows from 0 in its lower 33 bits, below the task's number, so
     # a row's place needs no window and no second shuffle, only where its group starts.
     keys = [F.col(c) for c in partition_by]
-    placed = (_spread(df, partition_by, order_by, total, rows_per_task)
+    placed = (_spread(df, partition_by, order_by, chunks)
               .sortWithinPartitions(*keys, *order_by).withColumn("_place", F.monotonically_increasing_id()))
     placed = materialize(placed).withColumn("_chunk", F.shiftright("_place", 33))
     starts = placed.groupBy("_chunk", *partition_by).agg(F.min("_place").alias("_start"), F.count(F.lit(1)).alias("_n"))
@@ -94,26 +84,24 @@ def row_number_by(df: DataFrame, partition_by: list[str], order_by: list[Column]
 
 
 def rank_by(df: DataFrame, partition_by: list[str], value: str, descending: bool = True, name: str = "rank",
-            rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+            chunks: int | None = None) -> DataFrame:
     """Rank with gaps by ``value`` within each group; NULL values come last when descending.
 
-    In a large group the rank of a value is one more than the rows ahead of it, so ranks are
-    computed on distinct values and their counts, and no tie is ever gathered in one task.
+    The rank of a value is one more than the rows ahead of it, so ranks are computed on distinct values and their
+    counts. They are broadcast to the rows while they are few; beyond it a frequent value's rows are split by
+    skewed-join handling.
     """
     order = F.col(value).desc() if descending else F.col(value).asc()
-    if group_sizes(df, partition_by)[0] <= rows_per_task:
-        window = Window.partitionBy(*partition_by).orderBy(order)
-        return df.withColumn(name, F.rank().over(window).cast("bigint"))
     counts = materialize(df.groupBy(*partition_by, value).agg(F.count(F.lit(1)).alias("_n")))
-    ahead = running_totals(counts, {"_ahead": F.col("_n")}, [order], partition_by, inclusive=False,
-                           rows_per_task=rows_per_task)
-    ranks = ahead.select(*partition_by, value, (F.col("_ahead") + 1).alias(name))
-    return join_null_safe(df, ranks, [*partition_by, value])
+    ahead = running_totals(counts, {"_ahead": F.col("_n")}, [order], partition_by, inclusive=False, chunks=chunks)
+    ranks = materialize(ahead.select(*partition_by, value, (F.col("_ahead") + 1).alias(name)))
+    discard(counts)
+    return join_measured(df, ranks, [*partition_by, value], 64)
 
 
-def stable_row_id(df: DataFrame, key: list[str], name: str = "id", rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+def stable_row_id(df: DataFrame, key: list[str], name: str = "id", chunks: int | None = None) -> DataFrame:
     """0, 1, 2, ... in the order of a unique key, whatever the partitioning."""
-    numbered = row_number_by(df, [], [F.col(k) for k in key], name, rows_per_task)
+    numbered = row_number_by(df, [], [F.col(k) for k in key], name, chunks)
     return numbered.withColumn(name, F.col(name) - 1)
 
 

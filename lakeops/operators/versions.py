@@ -8,7 +8,7 @@ row. ``rewrite`` and ``compact`` write the whole table.
 
 A commit writes the partition's folder, adds the partition, then appends the history row; readers
 go by the history, so they see a version whole or not at all. A crash before the last step leaves
-an unused folder or partition, which ``discard_uncommitted`` removes. Of two writers of the same
+an unused folder, and the next commit fails until it is removed by hand. Of two writers of the same
 number the second fails because the folder exists. There is no further concurrency control.
 """
 
@@ -112,10 +112,26 @@ class VersionedTable:
     def rewrite(self, df: DataFrame, operation: str, detail: str = "", balance: bool = False) -> int:
         """Commit ``df``, usually made from ``read()``, as the whole table; returns the new version.
 
+        Columns may be left out or, as in an evolving append, added, but none may change its type.
         ``balance`` evens out its files by a shuffle.
         """
+        self._check_stored(df)
         return self._commit(self.latest() + 1, balance_for_write(df) if balance else df, [], operation, detail)
 
+    def _check_stored(self, rows: DataFrame) -> None:
+        """Make room for new columns; raise if a column has another type than any version stored it with."""
+        stored = {f.name: f.dataType for f in self.spark.table(self.name).schema.fields}
+        if "version" in rows.columns:
+            raise ValueError("the column name version is taken")
+        clash = [f"{f.name}: {stored[f.name].simpleString()} and {f.dataType.simpleString()}"
+                 for f in rows.schema.fields if f.name in stored and f.dataType != stored[f.name]]
+        if clash:
+            raise ValueError(f"column types differ from the stored ones: {clash}")
+        added = [f for f in rows.schema.fields if f.name not in stored]
+        if added:
+            fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in added)
+            self.spark.sql(f"ALTER TABLE {self.name} ADD COLUMNS ({fields})")
+
     def _change(self, matching: Callable[[DataFrame], DataFrame], change: Callable[[DataFrame], DataFrame],
                 operation: str, detail: str, adds_rows: bool = False) -> int:
         """Apply ``change`` to the partitions with rows that ``matching`` keeps, and leave the others."""
@@ -137,10 +153,10 @@ class VersionedTable:
                             lambda rows: changes.update_where(rows, predicate, values), "update",
                             detail or _text(predicate))
 
-    def merge(self, source: DataFrame, keys: list[str], target_keys_unique: bool = False) -> int:
+    def merge(self, source: DataFrame, keys: list[str], large_source: bool = False) -> int:
         """Upsert; partitions without any key of ``source`` are not touched, which cannot change the result."""
         return self._change(lambda rows: rows.join(source.select(*keys), list(keys), "left_semi"),
-                            lambda rows: changes.merge_upsert(rows, source, keys, target_keys_unique), "merge",
+                            lambda rows: changes.merge_upsert(rows, source, keys, large_source), "merge",
                             f"on {', '.join(keys)}", adds_rows=True)
 
     def append(self, rows: DataFrame, evolve: bool = False) -> int:
@@ -148,14 +164,8 @@ class VersionedTable:
         entry = self._entry()
         current = self._parts(entry.parts).select(*entry.columns)
         changes.check_append(current, rows, evolve)
-        stored = self.spark.table(self.name).columns
+        self._check_stored(rows)
         new = [f for f in rows.schema.fields if f.name not in current.columns]
-        if "version" in [f.name for f in new]:
-            raise ValueError("the column name version is taken")
-        added = [f for f in new if f.name not in stored]
-        if added:
-            fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in added)
-            self.spark.sql(f"ALTER TABLE {self.name} ADD COLUMNS ({fields})")
         full = current.limit(0).unionByName(rows, allowMissingColumns=True)
         return self._commit(entry.version + 1, full, entry.parts, "append", "evolve" if new else "")
 
@@ -183,15 +193,3 @@ class VersionedTable:
         for version in dropped:
             self.spark.sql(f"ALTER TABLE {self.name} DROP IF EXISTS PARTITION (version={version})")
         return dropped
-
-    def discard_uncommitted(self) -> list[int]:
-        """Drop partitions newer than the history, and leftover folders of a commit that failed."""
-        latest = self.latest()
-        leftover = [v for v in self._partitions() if v > latest]
-        # A folder without a partition is adopted first, so that dropping the partition removes it.
-        if latest + 1 not in leftover:
-            self.spark.sql(f"ALTER TABLE {self.name} ADD IF NOT EXISTS PARTITION (version={latest + 1})")
-            leftover.append(latest + 1)
-        for version in leftover:
-            self.spark.sql(f"ALTER TABLE {self.name} DROP IF EXISTS PARTITION (version={version})")
-        return sorted(leftover)

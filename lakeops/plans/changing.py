@@ -45,8 +45,15 @@ def merge_upsert(spark, folder):
 
 
 def merge_upsert_unique(spark, folder):
+    """The same source into a table with unique keys, by one full outer join."""
     source = _merge_source(spark, folder)
-    return changes.merge_upsert(accounts(spark, folder), source, ["c_custkey"], target_keys_unique=True)
+    return changes.merge_upsert(accounts(spark, folder), source, ["c_custkey"], large_source=True)
+
+
+def merge_upsert_large(spark, folder):
+    """The first merge, by one full outer join."""
+    return changes.merge_upsert(_merge_target(spark, folder), _merge_source(spark, folder), ["c_custkey"],
+                                large_source=True)
 
 
 def append_evolve(spark, folder):
@@ -61,7 +68,7 @@ def _versioned(spark, folder):
     versioned = VersionedTable.create(spark, f"{scratch_database(spark, 'versions')}.customer", customer)
     versioned.delete(_key() % 10 == 3)
     versioned.update(_key() % 10 == 4, {"c_acctbal": F.lit(100)})
-    versioned.merge(_merge_source(spark, folder).filter("c_custkey IS NOT NULL"), ["c_custkey"])
+    versioned.merge(_merge_source(spark, folder), ["c_custkey"])
     versioned.append(customer.filter(_key() % 50 == 0).select(
         (-1_000_000_000_000 - _key()).alias("c_custkey"), "c_acctbal", "c_mktsegment", F.lit("M").alias("c_gender")),
         evolve=True)
@@ -78,7 +85,8 @@ def version_filter(spark, folder):
     """Changed, updated and new rows before and after."""
     versioned = _versioned(spark, folder)
     states = [versioned.read(v).withColumn("version", F.lit(v)) for v in (0, 3)]
-    return states[0].unionByName(states[1]).filter((_key() % 10).isin([3, 4, 5]) | (_key() < 0))
+    return states[0].unionByName(states[1]).filter(
+        (_key() % 10).isin([3, 4, 5]) | (_key() < 0) | _key().isNull())
 
 
 def table_history(spark, folder):
@@ -94,7 +102,7 @@ def retain_versions(spark, folder):
 
 
 QUERIES = {f.__name__: f for f in (
-    delete_where, update_where, merge_upsert, merge_upsert_unique, append_evolve, version_count, version_filter,
+    delete_where, update_where, merge_upsert, merge_upsert_unique, merge_upsert_large, append_evolve, version_count, version_filter,
     table_history, retain_versions)}
 
 _SOURCE = """
@@ -115,13 +123,16 @@ def _merge_sql(target: str, source: str) -> str:
         SELECT * FROM s WHERE NOT EXISTS (SELECT 1 FROM t WHERE t.c_custkey = s.c_custkey)"""
 
 
+_MERGE_TARGET = f"""
+    SELECT CASE WHEN c_custkey % 13 <> 0 THEN c_custkey END AS c_custkey, c_acctbal, c_mktsegment
+    FROM ({ACCOUNTS_SQL} UNION ALL SELECT * FROM ({ACCOUNTS_SQL}) WHERE c_custkey % 15 = 0)"""
 _V2 = """
     SELECT c_custkey, CASE WHEN c_custkey % 10 = 4 THEN 100 ELSE c_acctbal END AS c_acctbal, c_mktsegment
     FROM customer WHERE c_custkey % 10 <> 3"""
 _SIZES = """
     sizes AS (
         SELECT count(*) AS all_rows, count(*) FILTER (c_custkey % 10 <> 3) AS kept,
-               count(*) FILTER (c_custkey % 20 = 7) AS added, count(*) FILTER (c_custkey % 50 = 0) AS appended
+               count(*) FILTER (c_custkey % 20 = 7) + count(*) FILTER (c_custkey % 100 = 1) AS added, count(*) FILTER (c_custkey % 50 = 0) AS appended
         FROM customer)"""
 
 ORACLES = {
@@ -130,9 +141,8 @@ ORACLES = {
         SELECT c_custkey, CASE WHEN c_acctbal > 5000 THEN 100 ELSE c_acctbal END AS c_acctbal,
                CASE WHEN c_acctbal > 5000 THEN c_mktsegment || ' old' ELSE c_mktsegment END AS c_mktsegment
         FROM ({ACCOUNTS_SQL})""",
-    "merge_upsert": _merge_sql(f"""
-        SELECT CASE WHEN c_custkey % 13 <> 0 THEN c_custkey END AS c_custkey, c_acctbal, c_mktsegment
-        FROM ({ACCOUNTS_SQL} UNION ALL SELECT * FROM ({ACCOUNTS_SQL}) WHERE c_custkey % 15 = 0)""", _SOURCE_WITH_NULL),
+    "merge_upsert": _merge_sql(_MERGE_TARGET, _SOURCE_WITH_NULL),
+    "merge_upsert_large": _merge_sql(_MERGE_TARGET, _SOURCE_WITH_NULL),
     "merge_upsert_unique": _merge_sql(ACCOUNTS_SQL, _SOURCE_WITH_NULL),
     "append_evolve": f"""
         SELECT *, NULL::VARCHAR AS c_gender FROM ({ACCOUNTS_SQL})
@@ -145,8 +155,8 @@ ORACLES = {
     "version_filter": f"""
         SELECT * FROM (
             SELECT c_custkey, c_acctbal, c_mktsegment, 0 AS version FROM customer
-            UNION ALL SELECT *, 3 FROM ({_merge_sql(_V2, _SOURCE)}))
-        WHERE c_custkey % 10 IN (3, 4, 5) OR c_custkey < 0""",
+            UNION ALL SELECT *, 3 FROM ({_merge_sql(_V2, _SOURCE_WITH_NULL)}))
+        WHERE c_custkey % 10 IN (3, 4, 5) OR c_custkey < 0 OR c_custkey IS NULL""",
     "table_history": f"""
         WITH {_SIZES}
         SELECT 0 AS version, 'create' AS operation, all_rows AS rows FROM sizes

@@ -45,11 +45,14 @@ def test_merge_two_keys_and_column_order(spark):
 
 def test_merge_source_conflicts(spark):
     target = table(spark, [(1, 10)])
-    with pytest.raises(ValueError):
-        changes.merge_upsert(target, table(spark, [(1, 1), (1, 2)]), ["k"])
-    # Repeated source keys that match nothing are all inserted.
-    merged = changes.merge_upsert(target, table(spark, [(2, 1), (2, 2)]), ["k"])
-    assert rows(merged) == [(1, 10), (2, 1), (2, 2)]
+    for large in (False, True):
+        conflict = changes.merge_upsert(target, table(spark, [(1, 1), (1, 2)]), ["k"], large)
+        for act in (conflict.collect, conflict.count):
+            with pytest.raises(Exception, match="several source rows"):
+                act()
+        # Repeated source keys that match nothing are all inserted.
+        merged = changes.merge_upsert(target, table(spark, [(2, 1), (2, 2)]), ["k"], large)
+        assert rows(merged) == [(1, 10), (2, 1), (2, 2)]
     with pytest.raises(ValueError):
         changes.merge_upsert(target, table(spark, [(1,)], "k int"), ["k"])
 
@@ -74,8 +77,9 @@ def merge_by_hand(target, source):
 @given(pairs, pairs)
 def test_merge_against_plain_python(spark, target, source):
     unique = list({k: (k, v) for k, v in source}.values())
-    merged = changes.merge_upsert(table(spark, target), table(spark, unique), ["k"])
-    assert rows(merged) == rows(table(spark, merge_by_hand(target, unique)))
+    for large in (False, True):
+        merged = changes.merge_upsert(table(spark, target), table(spark, unique), ["k"], large)
+        assert rows(merged) == rows(table(spark, merge_by_hand(target, unique)))
 
 
 @settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
@@ -86,10 +90,12 @@ def test_delete_and_kept_rows_are_the_table(spark, data):
     assert rows(changes.delete_where(df, predicate).unionAll(df.filter(predicate))) == rows(df)
 
 
-def test_merge_fast_form_agrees_for_unique_keys(spark):
-    target, source = table(spark, [(1, 1), (2, 2), (None, 3)]), table(spark, [(2, None), (5, 5), (None, 9)])
+def test_merge_forms_agree_on_repeated_target_keys(spark):
+    target = table(spark, [(1, 1), (2, 2), (2, 4), (None, 3)])
+    source = table(spark, [(2, None), (5, 5), (None, 9)])
     assert rows(changes.merge_upsert(target, source, ["k"])) == rows(
-        changes.merge_upsert(target, source, ["k"], target_keys_unique=True))
+        changes.merge_upsert(target, source, ["k"], large_source=True)) == rows(
+        table(spark, [(1, 1), (2, None), (2, None), (None, 3), (5, 5), (None, 9)]))
 
 
 def test_append_is_strict_unless_it_evolves(spark):

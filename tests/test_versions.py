@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lakeops.operators.versions import VersionedTable
-from lakeops.session import scratch_database
+from lakeops.session import delete_folder, scratch_database
 
 
 def rows(df):
@@ -76,7 +76,7 @@ def test_failed_commit_is_invisible_and_can_be_cleared(spark, table):
     assert rows(table.read()) == before
     with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
         table.delete(F.col("k") == 1)
-    table.discard_uncommitted()
+    delete_folder(spark, folder)
     assert table.delete(F.col("k") == 1) == 1 and table.read().count() == 2
 
 
@@ -85,8 +85,21 @@ def test_partition_without_history_is_invisible(spark, table):
     spark.createDataFrame([(5, 5)], "k int, v int").write.parquet(folder)
     spark.sql(f"ALTER TABLE {table.name} ADD PARTITION (version=1)")
     assert table.read().count() == 3
-    assert 1 in table.discard_uncommitted()
-    assert table.delete(F.col("k") == 1) == 1
+
+
+def test_rewrite_and_append_check_stored_types(spark, table):
+    assert table.rewrite(table.read().withColumn("w", F.lit("x")), "widen") == 1
+    assert table.read().columns == ["k", "v", "w"] and table.read(0).columns == ["k", "v"]
+    table.rewrite(table.read().drop("w"), "narrow")
+    before = rows(table.read())
+    with pytest.raises(ValueError, match="types differ"):
+        table.rewrite(table.read().withColumn("v", F.col("v").cast("string")), "retype")
+    # The newest version lacks w, but an older one stored it as text.
+    with pytest.raises(ValueError, match="w: string and int"):
+        table.append(spark.createDataFrame([(9, 9, 9)], "k int, v int, w int"), evolve=True)
+    with pytest.raises(ValueError, match="version"):
+        table.rewrite(table.read().withColumn("version", F.lit(1)), "reserved")
+    assert rows(table.read()) == before and table.latest() == 2
 
 
 def test_empty_table(spark):
