@@ -24,6 +24,14 @@ def impute_median(spark, folder):
     return prepare.impute_medians(rows, medians)
 
 
+def impute_median_int(spark, folder):
+    """Whole numbers with holes: halves and ones twos, whose median is 1.5, beside one that doubles cannot hold."""
+    part = table(spark, folder, "part").select("p_partkey", F.explode(F.array(F.lit(1), F.lit(2))).alias("copy"))
+    rows = part.select("p_partkey", "copy", F.when(F.col("p_partkey") % 7 != 0, F.col("copy")).alias("filled"),
+                       (F.col("p_partkey") + 9007199254740993).alias("large"))
+    return prepare.impute_medians(rows, prepare.fit_medians(rows, ["filled", "large"]))
+
+
 def median_by_group(spark, folder):
     return prepare.exact_medians(table(spark, folder, "lineitem"), ["l_quantity", "l_extendedprice"], ["l_returnflag"])
 
@@ -133,7 +141,7 @@ def batch_score(spark, folder):
 
 
 QUERIES = {f.__name__: f for f in (
-    hash_split, impute_median, median_by_group, impute_constant, one_hot, scale_column, weighted_prf, auc_rank,
+    hash_split, impute_median, impute_median_int, median_by_group, impute_constant, one_hot, scale_column, weighted_prf, auc_rank,
     metrics_long, synth_group_data, inject_missing, draw_category, group_train, gbt_train, batch_score)}
 
 
@@ -173,6 +181,10 @@ ORACLES = {
         SELECT c_custkey, coalesce(c_acctbal, (SELECT median(c_acctbal) FROM ({ACCOUNTS_SQL})
                                                WHERE NOT {_TEST_SQL.format(key='c_custkey')})) AS c_acctbal
         FROM ({ACCOUNTS_SQL})""",
+    "impute_median_int": """
+        SELECT p_partkey, copy, CASE WHEN p_partkey % 7 <> 0 THEN copy::DOUBLE ELSE 1.5::DOUBLE END AS filled,
+               p_partkey + 9007199254740993 AS large
+        FROM part, (SELECT unnest([1, 2]) AS copy)""",
     "median_by_group": """
         SELECT l_returnflag, median(l_quantity) AS l_quantity, median(l_extendedprice) AS l_extendedprice
         FROM lineitem GROUP BY l_returnflag""",

@@ -23,20 +23,20 @@ def expected_ranks(rows):
     return result
 
 
-@pytest.mark.parametrize("limit", [1_000_000, 20])
+@pytest.mark.parametrize("chunks", [None, 1, 20])
 @pytest.mark.parametrize("parts", [1, 3, 16])
-def test_rank(spark, rows, limit, parts):
+def test_rank(spark, rows, chunks, parts):
     df = spark.createDataFrame(rows, "k int, g string, v int").repartition(parts)
-    ranked = ordering.rank_by(df, ["g"], "v", rows_per_task=limit)
+    ranked = ordering.rank_by(df, ["g"], "v", chunks=chunks)
     assert {r.k: r["rank"] for r in ranked.collect()} == expected_ranks(rows)
 
 
-@pytest.mark.parametrize("limit", [1_000_000, 20])
-def test_row_number_and_totals(spark, rows, limit):
+@pytest.mark.parametrize("chunks", [None, 1, 20])
+def test_row_number_and_totals(spark, rows, chunks):
     df = spark.createDataFrame(rows, "k int, g string, v int").repartition(5)
     order = [F.col("v").desc(), F.col("k")]
-    numbered = ordering.row_number_by(df, ["g"], order, "n", limit)
-    totals = ordering.running_totals(df, {"t": F.coalesce("v", F.lit(0))}, order, ["g"], False, limit)
+    numbered = ordering.row_number_by(df, ["g"], order, "n", chunks)
+    totals = ordering.running_totals(df, {"t": F.coalesce("v", F.lit(0))}, order, ["g"], False, chunks)
     by_group = {}
     for k, g, v in sorted(rows, key=lambda r: (r[2] is None, -(r[2] or 0), r[0])):
         by_group.setdefault(g, []).append((k, v or 0))
@@ -51,16 +51,16 @@ def test_row_number_and_totals(spark, rows, limit):
     assert totals.columns == ["k", "g", "v", "t"]
 
 
-@pytest.mark.parametrize("limit", [1_000_000, 10])
-def test_stable_row_id(spark, limit):
+@pytest.mark.parametrize("chunks", [None, 10])
+def test_stable_row_id(spark, chunks):
     df = spark.range(100).select((F.col("id") * 7 % 100).alias("k")).repartition(6)
-    assert {r.k: r.id for r in ordering.stable_row_id(df, ["k"], rows_per_task=limit).collect()} == {
+    assert {r.k: r.id for r in ordering.stable_row_id(df, ["k"], chunks=chunks).collect()} == {
         k: k for k in range(100)}
 
 
 def test_large_group_spans_tasks(spark):
     df = spark.range(10_000).select(F.lit("hot").alias("g"), "id")
-    ranged = ordering.row_number_by(df, ["g"], [F.col("id")], "n", rows_per_task=100)
+    ranged = ordering.row_number_by(df, ["g"], [F.col("id")], "n", chunks=100)
     assert ranged.filter("n <> id + 1").count() == 0
     assert ranged.count() == 10_000
     plan = ranged._jdf.queryExecution().executedPlan().toString()

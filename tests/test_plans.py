@@ -5,9 +5,10 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from lakeops.operators import changes, expand, joins
+from lakeops.operators import changes, expand, joins, ordering
 from lakeops.plans import QUERIES
 from lakeops.plans.tables import table
+from lakeops.session import materialize
 from lakeops.sources.files import spread_rows
 
 
@@ -53,10 +54,10 @@ def test_small_source_merges_without_shuffling_the_target(spark, tiny):
     target = table(spark, tiny, "orders").select("o_orderkey", "o_totalprice")
     source = target.filter("o_orderkey < 10")
     plan = plan_of(changes.merge_upsert(target, source, ["o_orderkey"]))
-    # Only the keys found on both sides are exchanged, for their distinct values.
-    assert plan.count("BroadcastHashJoin") >= 2 and "SortMergeJoin" not in plan
+    # The target meets the source by broadcast joins; only the keys found on both sides and the source are exchanged.
+    assert plan.count("BroadcastHashJoin") >= 2 and plan.count("SortMergeJoin") == plan.count("LeftAnti") == 1
     shuffled = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan)
-    assert len(shuffled) <= 1
+    assert len(shuffled) <= 2
 
 
 def test_large_sides_merge_without_broadcast(spark, tiny):
@@ -72,6 +73,28 @@ def test_large_sides_merge_without_broadcast(spark, tiny):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
+def test_large_source_merges_with_one_scan_and_one_exchange_per_side(spark, tiny):
+    target = table(spark, tiny, "orders").select("o_orderkey", "o_totalprice").filter("o_orderkey IS NOT NULL")
+    source = table(spark, tiny, "lineitem").selectExpr("l_orderkey AS o_orderkey", "l_tax AS o_totalprice")
+    merged = changes.merge_upsert(target, source, ["o_orderkey"], large_source=True)
+    # The other scans are those of the rows without a key, which the files' statistics leave empty.
+    plan = plan_of(merged)
+    joined = plan.split("SortMergeJoin")[1].split("Union")[0]
+    assert plan.count("Exchange hashpartitioning") == 2 and joined.count("FileScan") <= 4 and "Broadcast" not in plan
+
+
+def test_medians_of_groups_do_not_shuffle_the_rows(spark, tiny):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = table(spark, tiny, "lineitem").select("l_returnflag", "l_quantity", F.lit(1).alias("_marker"))
+        bands = materialize(rows.groupBy("l_returnflag").agg(F.max("l_quantity").alias("_bands")))
+        plan = plan_of(ordering.join_measured(rows, bands, ["l_returnflag"], 64))
+        assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
 def test_no_cartesian_product_in_any_cheap_query(spark, tiny):
     for name in ("self_join_inner", "join_diff_keys", "merge_upsert", "auc_rank", "median_by_group", "view_rank",
                  "weighted_prf", "token_similarity_turns"):
