@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import datetime
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -18,14 +19,14 @@ from pyspark.sql.types import ArrayType, DoubleType, FloatType, IntegerType, Str
 
 from lakeops.models.metrics import DIGITS, area_under_curve, weighted_scores
 from lakeops.models.prepare import blank_nan, exact_medians, fit_categories
-from lakeops.operators.ordering import join_null_safe
-from lakeops.session import materialize
+from lakeops.operators.ordering import join_measured, join_null_safe
+from lakeops.session import discard, materialize
 
 # A group of this many rows and two dozen features takes well under 1 GB in a Python worker.
 GROUP_ROWS = 1_000_000
 # Large groups whose rounds run in the same Spark jobs; the driver holds their leaf values.
 LARGE_AT_ONCE = 1_000
-# Tables of leaf values up to this size are broadcast to the rows of large groups.
+# Leaf values are broadcast to the rows of large groups in tables of at most this size.
 BROADCAST_BYTES = 32 * 1024 * 1024
 
 STATS_SCHEMA = StructType([
@@ -130,9 +131,9 @@ def _bins_of(rows: pd.DataFrame, train: np.ndarray, numeric: list[str], categori
     binned = []
 
     def add(values: np.ndarray) -> None:
-        low, high = values[train].min(), values[train].max()
-        width = high - low if high > low else 1.0
-        binned.append(np.clip(np.floor((values - low) / width * bins), 0, bins - 1).astype(kind))
+        # Bins of about equal counts: a far outlier takes one, not all.
+        edges = np.quantile(values[train], np.arange(1, bins) / bins, method="inverted_cdf")
+        binned.append(np.searchsorted(edges, values, side="left").astype(kind))
 
     for c in numeric:
         values = rows[c].to_numpy(dtype="float64")
@@ -212,7 +213,7 @@ def _binned(df: DataFrame, group: str, label: str, role: str, numeric: list[str]
     filled = df
     if numeric:
         medians = exact_medians(train, numeric, [group]).withColumnsRenamed({c: f"_median_{c}" for c in numeric})
-        filled = join_null_safe(filled, medians, [group])
+        filled = join_measured(filled, materialize(medians), [group], 8 * len(numeric))
     columns = [F.coalesce(blank_nan(F.col(c).cast("double")), F.col(f"_median_{c}"), F.lit(0.0)) for c in numeric]
     for c in categorical:
         value = F.col(c) if fill_category is None else F.coalesce(F.col(c), F.lit(fill_category))
@@ -221,15 +222,14 @@ def _binned(df: DataFrame, group: str, label: str, role: str, numeric: list[str]
     wide = filled.select(group, F.col(label).cast("int").alias("label"), F.col(role).alias("role"),
                          *[c.alias(f"x{i}") for i, c in enumerate(columns)])
     names = [f"x{i}" for i in range(len(columns))]
-    ranges = wide.filter(F.col("role") == TRAIN).groupBy(group).agg(
-        *[F.min(x).alias(f"low_{x}") for x in names], *[F.max(x).alias(f"high_{x}") for x in names])
+    shares = F.array(*[F.lit(i / bins) for i in range(1, bins)])
+    edges = materialize(wide.filter(F.col("role") == TRAIN).groupBy(group).agg(
+        *[F.percentile_approx(x, shares, F.lit(10_000)).alias(f"edges_{x}") for x in names]))
 
     def to_bin(x: str) -> Column:
-        low, high = F.col(f"low_{x}"), F.col(f"high_{x}")
-        width = F.when(high > low, high - low).otherwise(1.0)
-        return F.greatest(F.lit(0), F.least(F.lit(bins - 1), F.floor((F.col(x) - low) / width * bins))).cast("int")
+        return F.size(F.filter(f"edges_{x}", lambda edge: edge < F.col(x)))
 
-    binned = join_null_safe(wide, ranges, [group]).select(
+    binned = join_measured(wide, edges, [group], 8 * bins * len(names)).select(
         group, "label", "role", F.array(*[to_bin(x) for x in names]).alias("bins"))
     return materialize(binned), len(names)
 
@@ -238,13 +238,16 @@ def _with_margin(binned: DataFrame, group: str, values: dict[object, np.ndarray]
     """Add the sum of the leaf values; rows of groups without ``values`` are left out."""
     spark = binned.sparkSession
     schema = StructType([binned.schema[group], StructField("values", ArrayType(ArrayType(DoubleType())))])
-    table = spark.createDataFrame([(g, v.tolist()) for g, v in values.items()], schema)
-    if sum(v.nbytes for v in values.values()) <= BROADCAST_BYTES:
-        table = F.broadcast(table)
     margin = F.lit(0.0)
     for f in range(features):
         margin = margin + F.col("values")[f][F.col("bins")[f]]
-    return join_null_safe(binned, table, [group]).select(
+    groups = list(values)
+    step = max(1, BROADCAST_BYTES // max(1, values[groups[0]].nbytes))
+    parts = []
+    for first in range(0, len(groups), step):
+        table = spark.createDataFrame([(g, values[g].tolist()) for g in groups[first:first + step]], schema)
+        parts.append(join_null_safe(binned, F.broadcast(table), [group]))
+    return reduce(DataFrame.unionByName, parts).select(
         group, "label", "role", "bins", F.round(margin, 9).alias("margin"))
 
 
@@ -298,6 +301,7 @@ def _fit_together(df: DataFrame, groups: list, group: str, label: str, role: str
     sides = weighted_scores(predicted, "label", "predicted", [group, "role"]).collect()
     scores = {(r[group], r["role"]): r for r in sides}
     test_auc = _auc_by_group(final, group, TEST)
+    discard(binned)
     end = datetime.datetime.now()
     rows = []
     for g in groups:
@@ -318,12 +322,16 @@ def fit_large_groups(df: DataFrame, groups: list, group: str, label: str, role:
                      at_once: int = LARGE_AT_ONCE) -> DataFrame:
     """Statistics of the listed groups, ``at_once`` of them per series of Spark jobs."""
     spark, key = df.sparkSession, df.schema[group]
+    # Read once, however many series follow.
+    all_of_them = spark.createDataFrame([(g,) for g in groups], StructType([key]))
+    df = materialize(join_null_safe(df, all_of_them, [group], "left_semi"))
     rows = []
     for first in range(0, len(groups), at_once):
         some = groups[first:first + at_once]
         chosen = spark.createDataFrame([(g,) for g in some], StructType([key]))
         rows += _fit_together(join_null_safe(df, chosen, [group], "left_semi"), some, group, label, role, numeric,
                               categorical, fill_category, options, judge)
+    discard(df)
     schema = StructType([StructField("group", key.dataType), *STATS_SCHEMA.fields[1:]])
     return spark.createDataFrame(rows, schema).withColumn("group", F.col("group").cast("string"))
 
@@ -336,12 +344,14 @@ def train_groups(df: DataFrame, group: str, label: str, test: str, numeric: list
 
     ``test`` is a boolean column; its rows stop the training and are also the reported test rows,
     which makes the test scores optimistic. With the boolean column ``watch`` those rows stop the
-    training instead, and the test rows take no part in it.
+    training instead, and the test rows take no part in it. A NULL label is an error.
     """
     numeric, categorical = list(numeric), list(categorical)
     role = F.when(F.col(test), TEST).when(F.col(watch) if watch else F.lit(False), WATCH).otherwise(TRAIN)
     judge = WATCH if watch else TEST
-    used = df.select(group, label, role.alias("_role"), *numeric, *categorical)
+    checked = F.when(F.col(label).isNull(), F.raise_error(F.lit(f"{label} is NULL")).cast(df.schema[label].dataType)
+                     ).otherwise(F.col(label)).alias(label)
+    used = df.select(group, checked, role.alias("_role"), *numeric, *categorical)
     sizes = used.groupBy(group).agg(F.count(F.lit(1)).alias("_n"))
     # At most rows / group_rows groups are large.
     large = [r[0] for r in sizes.filter(F.col("_n") > group_rows).collect()]

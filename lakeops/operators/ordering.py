@@ -61,8 +61,10 @@ def running_totals(df: DataFrame, totals: dict[str, Column], order_by: list[Colu
     before = chunk_sums.select("_chunk", *partition_by, *[
         F.coalesce(F.sum(f"_sum_{n}").over(earlier), F.lit(0)).alias(f"_before_{n}") for n in totals])
     joined = join_null_safe(spread, before, ["_chunk", *partition_by])
-    return joined.select(*df.columns, *[
+    summed = joined.select(*df.columns, *[
         (local_sum(F.col(n), "_chunk", *partition_by) + F.col(f"_before_{n}")).alias(n) for n in totals])
+    summed.stored_at = spread.stored_at  # discard() of the result frees what it reads
+    return summed
 
 
 def row_number_by(df: DataFrame, partition_by: list[str], order_by: list[Column], name: str = "row_number",
@@ -95,7 +97,7 @@ def rank_by(df: DataFrame, partition_by: list[str], value: str, descending: bool
     counts = materialize(df.groupBy(*partition_by, value).agg(F.count(F.lit(1)).alias("_n")))
     ahead = running_totals(counts, {"_ahead": F.col("_n")}, [order], partition_by, inclusive=False, chunks=chunks)
     ranks = materialize(ahead.select(*partition_by, value, (F.col("_ahead") + 1).alias(name)))
-    discard(counts)
+    discard(counts, ahead)
     return join_measured(df, ranks, [*partition_by, value], 64)
 
 

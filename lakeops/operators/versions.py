@@ -23,7 +23,7 @@ from pyspark.sql.types import (ArrayType, IntegerType, LongType, StringType, Str
                                TimestampType)
 
 from lakeops.operators import changes
-from lakeops.sources.files import BYTES_PER_MEGABYTE, balance_for_write, merge_files, size_of
+from lakeops.sources.files import BYTES_PER_MEGABYTE, balance_for_write, merge_files, written_size
 
 HISTORY = StructType([
     StructField("version", IntegerType()), StructField("parts", ArrayType(IntegerType())),
@@ -101,7 +101,7 @@ class VersionedTable:
             seen = Observation()
             df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists").parquet(folder)
             self.spark.sql(f"ALTER TABLE {self.name} ADD PARTITION (version={version})")
-            files, size = size_of(self.spark, folder)
+            files, size = written_size(self.spark, folder)
             rows, kept, columns = seen.get["rows"], [*kept, version], df.columns
         entry = [version, kept, operation, detail, rows, files, size, columns]
         values = [F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(entry, HISTORY.fields)]

@@ -113,15 +113,47 @@ def _stored_training_rows(spark, folder):
     return materialize(_training_rows(spark, folder))
 
 
+def _exact_rows(spark, folder):
+    """The training rows with a label that follows from one feature of few values, which scoring must find again."""
+    share = F.col("o_orderkey") % 5
+    rows = _training_rows(spark, folder).withColumns({
+        "numeric_feature_00": share.cast("double"), "label": (share >= 3).cast("int")})
+    return materialize(rows)
+
+
+def group_train_exact(spark, folder):
+    """Full rounds per group on that label: exact scores on both sides from the first round on."""
+    rows = _exact_rows(spark, folder)
+    stats = boosting.train_groups(rows, "group_name", "label", "in_test", prepare.columns_with(rows, "numeric"),
+                                  prepare.columns_with(rows, "categorical"))
+    return stats.select("group", "best_iteration", *[
+        F.col(c).cast("double").alias(c) for c in stats.columns if c.startswith(("train_", "test_"))])
+
+
+def gbt_train_exact(spark, folder):
+    rows = _exact_rows(spark, folder)
+    predicted = _fitted(rows).transform(rows).withColumn("predicted", F.col("prediction").cast("int"))
+    return metrics.weighted_scores(predicted, "label", "predicted", ["in_test"])
+
+
+def batch_score_exact(spark, folder):
+    """Fit, save, load, check the columns and score every order: the loaded model gives the label."""
+    rows = _exact_rows(spark, folder)
+    path = scoring.save_model(_fitted(rows), scratch_path(spark, "model"))
+    contract = StructType([StructField("categorical_feature_01", StringType()),
+                           *[StructField(c, DoubleType()) for c in FEATURES]])
+    return scoring.score(scoring.load_model(path), rows, ["o_orderkey"], contract)
+
+
 def group_train(spark, folder):
     rows = _training_rows(spark, folder)
     return boosting.train_groups(rows, "group_name", "label", "in_test", prepare.columns_with(rows, "numeric"),
                                  prepare.columns_with(rows, "categorical"))
 
 
-def _fitted(rows, max_rounds=10):
+def _fitted(rows):
     return scoring.fit_gbt(rows, "label", "in_test", prepare.columns_with(rows, "numeric"),
-                           prepare.columns_with(rows, "categorical"), max_rounds=max_rounds)
+                           prepare.columns_with(rows, "categorical"))
 
 
 def gbt_train(spark, folder):
@@ -134,7 +166,7 @@ def gbt_train(spark, folder):
 def batch_score(spark, folder):
     """Fit, save, load, check the columns and score every order."""
     rows = _stored_training_rows(spark, folder)
-    path = scoring.save_model(_fitted(rows, max_rounds=3), scratch_path(spark, "model"))
+    path = scoring.save_model(_fitted(rows), scratch_path(spark, "model"))
     contract = StructType([StructField("categorical_feature_01", StringType()),
                            *[StructField(c, DoubleType()) for c in FEATURES]])
     return scoring.score(scoring.load_model(path), rows, ["o_orderkey"], contract)
@@ -142,7 +174,8 @@ def batch_score(spark, folder):
 
 QUERIES = {f.__name__: f for f in (
     hash_split, impute_median, impute_median_int, median_by_group, impute_constant, one_hot, scale_column, weighted_prf, auc_rank,
-    metrics_long, synth_group_data, inject_missing, draw_category, group_train, gbt_train, batch_score)}
+    metrics_long, synth_group_data, inject_missing, draw_category, group_train, gbt_train, batch_score,
+    group_train_exact, gbt_train_exact, batch_score_exact)}
 
 
 def _bits_sql(key: str, name: str, seed: int = 0) -> str:
@@ -181,6 +214,16 @@ ORACLES = {
         SELECT c_custkey, coalesce(c_acctbal, (SELECT median(c_acctbal) FROM ({ACCOUNTS_SQL})
                                                WHERE NOT {_TEST_SQL.format(key='c_custkey')})) AS c_acctbal
         FROM ({ACCOUNTS_SQL})""",
+    "group_train_exact": """
+        SELECT DISTINCT o_orderpriority AS "group", 0 AS best_iteration, 1.0::DOUBLE AS train_precision,
+               1.0::DOUBLE AS train_recall, 1.0::DOUBLE AS train_f1, 1.0::DOUBLE AS test_precision,
+               1.0::DOUBLE AS test_recall, 1.0::DOUBLE AS test_f1, 1.0::DOUBLE AS test_auc
+        FROM orders""",
+    "gbt_train_exact": f"""
+        SELECT DISTINCT {_TEST_SQL.format(key='o_orderkey')} AS in_test, 1.0::DOUBLE AS precision,
+               1.0::DOUBLE AS recall, 1.0::DOUBLE AS f1
+        FROM orders""",
+    "batch_score_exact": "SELECT o_orderkey, CAST(o_orderkey % 5 >= 3 AS INTEGER) AS prediction FROM orders",
     "impute_median_int": """
         SELECT p_partkey, copy, CASE WHEN p_partkey % 7 <> 0 THEN copy::DOUBLE ELSE 1.5::DOUBLE END AS filled,
                p_partkey + 9007199254740993 AS large

@@ -153,11 +153,20 @@ def token_similarity_turns(spark, folder):
         "conv_id", "turn", score_udf(F.col("text"), F.col("next_text")).alias("similarity"))
 
 
+def token_similarity_reversed(spark, folder):
+    """Every whole turn against its own words in reverse, and against a text that shares no letter with any word."""
+    turns = table(spark, folder, "conversations").select("conv_id", "turn", "text")
+    backwards = F.array_join(F.reverse(F.split("text", " ")), " ")
+    return turns.select("conv_id", "turn", score_udf(F.col("text"), backwards).alias("same_words"),
+                        score_udf(F.col("text"), F.lit("\u0416")).alias("no_letters"))
+
+
 QUERIES = {f.__name__: f for f in (
     filter_cmp, filter_param, filter_eq, filter_isin, case_flag_df, case_flag_sql, case_flag_expr, strip_prefix,
     money_to_double, clean_table, view_rank, row_number_by_group, row_id_stable, self_join_inner, join_diff_keys,
     explode_range, explode_range_udf, duplicate_rows, padded_name, scale_expression, format_timestamp,
-    token_similarity, token_similarity_native, token_similarity_turns)}
+    token_similarity, token_similarity_native, token_similarity_turns,
+    token_similarity_reversed)}
 
 _FLAGS = """
     SELECT o_orderkey, CASE WHEN o_orderkey % 9 <> 0 AND o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 1 ELSE 0 END
@@ -269,4 +278,8 @@ ORACLES = {
                                    / greatest(length(x), length(y))) END AS score
             FROM compared)
         SELECT p_partkey, CAST(max(score) AS INTEGER) AS similarity FROM scored GROUP BY p_partkey""",
+    "token_similarity_reversed": """
+        SELECT conv_id, turn, CASE WHEN regexp_matches(regexp_replace(text, '[\u0080-\u00ff]', '', 'g'), '[\\pL\\pN_]')
+                                   THEN 100 ELSE 0 END AS same_words, 0 AS no_letters
+        FROM conversations""",
 }

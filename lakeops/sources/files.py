@@ -37,6 +37,15 @@ def size_of(spark: SparkSession, path: str) -> tuple[int, int]:
     return row[0], row[1]
 
 
+def written_size(spark: SparkSession, path: str) -> tuple[int, int]:
+    """(files, bytes) of a folder that Spark has just written, from one listing without a job."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    summary = system.getContentSummary(folder)
+    marker = system.exists(spark._jvm.org.apache.hadoop.fs.Path(folder, "_SUCCESS"))
+    return summary.getFileCount() - int(marker), summary.getLength()
+
+
 def spread_rows(df: DataFrame, files: int) -> DataFrame:
     """Spread rows evenly over ``files`` partitions, so that a write gives that many files."""
     return df.repartition(files)
