@@ -16,59 +16,62 @@ from lakeops.session import materialize
 
 LENGTH = 50
 #: A string's group is named by the least hash of its parts of this many bytes.
-PART = 16
-#: A stretch of strings with one group name is cut after so many, so rounds of the construction are bounded.
-STRETCH = 64
+PART = 12
 CHUNK_BYTES = 8 << 20
 #: Bytes hashed at once.
 HASHED_BYTES = 1 << 20
 #: Text bytes per bucket, from which the number of buckets follows.
-BUCKET_BYTES = 16 << 20
+BUCKET_BYTES = 8 << 20
 #: Symbols of one construction.
-ORDER_BYTES = 1 << 19
+ORDER_BYTES = 1 << 18
 END = 255  # never a byte of UTF-8
 _FACTOR = 0x9E3779B97F4A7C15
-_MASK = (1 << 64) - 1
+_MIX = np.random.default_rng(7).integers(0, 2 ** 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-def _group_names(raw: np.ndarray, length: int) -> np.ndarray:
-    """For each place the least mixed hash of the ``PART``-byte parts of the string of ``length`` bytes there."""
-    mix = np.random.default_rng(7).integers(0, 2 ** 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-    hashed, size, factor = mix[raw], 1, _FACTOR
-    while size < PART:
-        hashed = hashed[:-size] * np.uint64(factor) + hashed[size:]
-        size, factor = 2 * size, factor * factor & _MASK
+def _least_parts(raw: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each place the least mixed hash of the ``PART``-byte parts of the string of ``length`` bytes there, and
+    where the first part with that hash stands."""
+    hashed = np.zeros(len(raw) - PART + 1, np.uint64)
+    mixed = _MIX[raw]
+    for i in range(PART):
+        hashed = hashed * np.uint64(_FACTOR) + mixed[i:len(raw) - PART + 1 + i]
     hashed = (hashed ^ (hashed >> np.uint64(29))) * np.uint64(_FACTOR)
     hashed ^= hashed >> np.uint64(32)
+    place = np.arange(len(hashed), dtype=np.int32)
     width, size = length - PART + 1, 1
-    while 2 * size <= width:
-        hashed, size = np.minimum(hashed[:-size], hashed[size:]), 2 * size
-    return np.minimum(hashed[:len(hashed) - (width - size)], hashed[width - size:]) if size < width else hashed
+    while size < width:
+        step = min(size, width - size)
+        first = hashed[:-step] <= hashed[step:]
+        hashed = np.where(first, hashed[:-step], hashed[step:])
+        place = np.where(first, place[:-step], place[step:])
+        size += step
+    return hashed, place
 
 
-def stretches(parts: list[bytes], length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(part, start, end, group name) of neighbouring strings of ``length`` bytes with equal names, by place.
+def stretches(parts: list[bytes], length: int = LENGTH) -> tuple[np.ndarray, ...]:
+    """(part, start, end, place of the least part, its hash) of neighbouring strings of ``length`` bytes with the
+    same least part.
 
-    Equal strings have equal names wherever they stand, so one group holds all copies of a string.
+    Equal strings have equal least parts at equal places in them, wherever they stand, so one group of equal parts
+    holds all copies of a string. A least part lies inside every string of its stretch, so a stretch is short.
     """
     raw = np.frombuffer(b"".join(parts), np.uint8)
     if len(raw) < length:
         none = np.zeros(0, np.int64)
-        return none, none, none, none.astype(np.uint64)
+        return none, none, none, none, none.astype(np.uint64)
     sizes = np.fromiter(map(len, parts), np.int64, len(parts))
     starts = np.cumsum(sizes) - sizes
-    names = _group_names(raw, length)
+    names, places = _least_parts(raw, length)
     owner = np.repeat(np.arange(len(parts)), sizes)[:len(names)]
     inside = np.arange(len(names)) + length <= (starts + sizes)[owner]
-    cut = np.flatnonzero((names[1:] != names[:-1]) | (owner[1:] != owner[:-1]) | (inside[1:] != inside[:-1])) + 1
+    cut = np.flatnonzero((places[1:] != places[:-1]) | (owner[1:] != owner[:-1]) | (inside[1:] != inside[:-1])) + 1
     first = np.concatenate(([0], cut))
     last = np.concatenate((cut, [len(names)]))
     keep = inside[first]
     first, last = first[keep], last[keep]
-    pieces = -(-(last - first) // STRETCH)
-    begin = np.repeat(first, pieces) + STRETCH * (np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces))
-    until = np.minimum(begin + STRETCH, np.repeat(last, pieces))
-    return owner[begin], begin - starts[owner[begin]], until - starts[owner[begin]] + length - 1, names[begin]
+    base = starts[owner[first]]
+    return owner[first], first - base, last - base + length - 1, places[first] - base, names[first]
 
 
 def _shuffled(numbers: np.ndarray) -> bytes:
@@ -91,45 +94,67 @@ def pack_chunk(docs: np.ndarray, bases: np.ndarray, parts: list[bytes], buckets:
             owner, *rest = stretches(parts[first:i + 1], length)
             found.append([owner + first, *rest])
             first, size = i + 1, 0
-    owner, start, end, names = (np.concatenate(x) for x in zip(*found))
+    owner, start, end, place, names = (np.concatenate(x) for x in zip(*found))
     bucket = ((names >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
     order = np.argsort(bucket, kind="stable")
-    owner, start, end, names, bucket = (x[order] for x in (owner, start, end, names, bucket))
+    owner, start, end, place, bucket = (x[order] for x in (owner, start, end, place, bucket))
     bounds = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1], [True]))) if len(bucket) else [0]
-    packer = zstandard.ZstdCompressor(level=6)
+    packer = zstandard.ZstdCompressor(level=3)
     out = []
     for a, b in zip(bounds[:-1], bounds[1:]):
         body = [parts[o][s:e] for o, s, e in zip(owner[a:b].tolist(), start[a:b].tolist(), end[a:b].tolist())]
-        raw = b"".join([_shuffled(docs[owner[a:b]]), _shuffled(bases[owner[a:b]] + start[a:b]),
-                        _shuffled((names[a:b] & np.uint64(0xFFFFFFFF)).astype(np.uint32)),
+        # Differences of neighbours are small, which compresses better.
+        raw = b"".join([_shuffled(np.diff(docs[owner[a:b]], prepend=0)),
+                        _shuffled(np.diff(bases[owner[a:b]] + start[a:b], prepend=0)),
+                        (place[a:b] - start[a:b]).astype(np.uint8).tobytes(),
                         (end[a:b] - start[a:b]).astype(np.uint8).tobytes(), *body])
         out.append((int(bucket[a]), int(b - a), packer.compress(raw)))
     return out
 
 
-def unpack(n: int, packed: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, bytes]:
+def unpack(n: int, packed: bytes) -> tuple[np.ndarray, ...]:
+    """(documents, starts, places of the least part in the stretch, sizes, bytes)."""
     raw = zstandard.ZstdDecompressor().decompress(packed)
-    return (_unshuffled(raw[:8 * n], np.int64, n), _unshuffled(raw[8 * n:16 * n], np.int64, n),
-            _unshuffled(raw[16 * n:20 * n], np.uint32, n), np.frombuffer(raw[20 * n:21 * n], np.uint8).astype(np.int64),
-            raw[21 * n:])
+    return (np.cumsum(_unshuffled(raw[:8 * n], np.int64, n)), np.cumsum(_unshuffled(raw[8 * n:16 * n], np.int64, n)),
+            np.frombuffer(raw[16 * n:17 * n], np.uint8).astype(np.int64),
+            np.frombuffer(raw[17 * n:18 * n], np.uint8).astype(np.int64), raw[18 * n:])
+
+
+def _hash_at(raw: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
+    """A hash of the ``size`` bytes at each place."""
+    out = np.zeros(len(at), np.uint64)
+    for i in range(size):
+        out = out * np.uint64(_FACTOR) + _MIX[raw[at + i]]
+    return out
+
+
+def _shared(keys: np.ndarray, docs: np.ndarray) -> np.ndarray:
+    """Which rows have a key that rows of another document have too."""
+    out = np.zeros(len(keys), bool)
+    if len(keys):
+        order = np.argsort(keys, kind="stable")
+        first = np.flatnonzero(np.concatenate(([True], keys[order][1:] != keys[order][:-1])))
+        low, high = np.minimum.reduceat(docs[order], first), np.maximum.reduceat(docs[order], first)
+        out[order] = np.repeat(low != high, np.diff(np.append(first, len(keys))))
+    return out
 
 
 class _RangeMinimum:
     """Minimum over ranges of small numbers, from tables of doubling width."""
 
     def __init__(self, values: np.ndarray):
-        self.tables = [values]
-        while 2 * (1 << (len(self.tables) - 1)) <= len(values):
-            last, half = self.tables[-1], 1 << (len(self.tables) - 1)
-            self.tables.append(np.minimum(last[:-half], last[half:]))
+        self.size = len(values)
+        self.tables = np.empty((max(1, self.size.bit_length()), self.size), np.uint8)
+        self.tables[0] = values
+        for level in range(1, len(self.tables)):
+            half = 1 << (level - 1)
+            np.minimum(self.tables[level - 1, :-half], self.tables[level - 1, half:], out=self.tables[level, :-half])
+        self.tables = self.tables.ravel()
 
     def __call__(self, first: np.ndarray, last: np.ndarray) -> np.ndarray:
-        level = np.frexp((last - first + 1).astype(np.float64))[1] - 1
-        out = np.zeros(len(first), np.uint8)
-        for i in np.unique(level).tolist():
-            at = np.flatnonzero(level == i)
-            out[at] = np.minimum(self.tables[i][first[at]], self.tables[i][last[at] - (1 << i) + 1])
-        return out
+        level = np.frexp((last - first + 1).astype(np.float32))[1].astype(np.int64) - 1
+        row = level * self.size
+        return np.minimum(self.tables[row + first], self.tables[row + last + 1 - (1 << level)])
 
 
 def suffix_order(strings: list[bytes], cap: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -145,7 +170,8 @@ def suffix_order(strings: list[bytes], cap: int) -> tuple[np.ndarray, np.ndarray
     sizes = np.fromiter(map(len, strings), np.int64, count)
     ends = np.cumsum(sizes)
     before = flat[ends - 1].copy()
-    owner, depth = np.arange(count, dtype=np.int32), np.zeros(count, np.uint8)
+    # String and suffix length in one number.
+    which = np.arange(count) << 8
     common = np.zeros(count, np.uint8)
     place, alive = np.arange(count), np.arange(count)
     for step in range(1, int(sizes.max(initial=0)) + 1):
@@ -176,13 +202,13 @@ def suffix_order(strings: list[bytes], cap: int) -> tuple[np.ndarray, np.ndarray
             out[target] = new
             return out
 
-        before, owner, depth = grown(before, symbols), grown(owner, alive), grown(depth, step)
+        before, which = grown(before, symbols), grown(which, alive << 8 | step)
         common = grown(common, prefix)
         common[target[joined_two] + 1] = following[joined_two]
         place[alive] = target
         # Places of finished strings move too, but nothing is inserted through them any more.
         alive = alive[left > 0]
-    return owner, depth, common
+    return which >> 8, which & 255, common
 
 
 def least_documents(strings: list[bytes], least: np.ndarray, length: int) -> list[np.ndarray]:
@@ -202,24 +228,30 @@ def least_documents(strings: list[bytes], least: np.ndarray, length: int) -> lis
 def repeats_in_bucket(packed: list[tuple[int, bytes]], length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(document, start, end) of the bytes of this bucket's stretches that start in a smaller document too."""
     found = [unpack(n, raw) for n, raw in packed]
-    docs, starts, tags, sizes = (np.concatenate([f[i] for f in found]) for i in range(4))
-    # Groups within one document hold no repeat across documents.
-    order = np.argsort(tags, kind="stable")
-    first = np.flatnonzero(np.concatenate(([True], tags[order][1:] != tags[order][:-1])))
-    low, high = np.minimum.reduceat(docs[order], first), np.maximum.reduceat(docs[order], first)
-    shared = np.zeros(len(docs), bool)
-    shared[order] = np.repeat(low != high, np.diff(np.append(first, len(docs))))
+    docs, starts, places, sizes = (np.concatenate([f[i] for f in found]) for i in range(4))
     body = b"".join([f[4] for f in found])
-    ends = np.cumsum(sizes)
-    at = order[shared[order]]
+    del found
+    raw = np.frombuffer(body, np.uint8)
+    begins = np.cumsum(sizes) - sizes
+    # Two documents that share a string share its least part, and half of what else is in the string on one side.
+    side = (length - PART + 1) // 2
+    tags = _hash_at(raw, begins + places, PART)
+    at = np.flatnonzero(_shared(tags, docs))
+    near = np.zeros(len(at), bool)
+    for reach, inside in ((-side, places[at] >= side), (PART, places[at] + PART + side <= sizes[at])):
+        some = at[inside]
+        near[inside] |= _shared(tags[some] * np.uint64(_FACTOR) + _hash_at(raw, begins[some] + places[some] + reach, side),
+                                docs[some])
+    at = at[near]
+    at = at[np.argsort(tags[at], kind="stable")]
     names: dict[bytes, int] = {}
-    which = np.fromiter((names.setdefault(body[e - s:e], len(names)) for e, s in
-                         zip(ends[at].tolist(), sizes[at].tolist())), np.int64, len(at))
+    which = np.fromiter((names.setdefault(body[b:b + s], len(names)) for b, s in
+                         zip(begins[at].tolist(), sizes[at].tolist())), np.int64, len(at))
     docs, starts, sizes, tags = docs[at], starts[at], sizes[at], tags[at]
     strings = list(names)
     least = np.full(len(strings), np.iinfo(np.int64).max)
     np.minimum.at(least, which, docs)
-    tag = np.zeros(len(strings), np.uint32)
+    tag = np.zeros(len(strings), np.uint64)
     tag[which] = tags
     lengths = np.fromiter(map(len, strings), np.int64, len(strings))
     # Strings came in the order of their groups, so a construction takes whole groups.
@@ -249,24 +281,24 @@ def repeats_in_bucket(packed: list[tuple[int, bytes]], length: int) -> tuple[np.
     return docs[piece[new]], starts[piece[new]] + offset[new], starts[piece[new]] + offset[last] + length
 
 
-def _merged(spans: list[dict]) -> list[tuple[int, int]]:
-    out: list[list[int]] = []
-    for start, end in sorted((s["start"], s["end"]) for s in spans or ()):
-        if out and start <= out[-1][1]:
-            out[-1][1] = max(out[-1][1], end)
-        else:
-            out.append([start, end])
-    return [tuple(s) for s in out]
+def _runs(starts: np.ndarray, ends: np.ndarray) -> list[list[int]]:
+    """Ranges as maximal runs [start, end], in order; ranges that touch are one."""
+    order = np.argsort(starts, kind="stable")
+    starts, ends = starts[order], np.maximum.accumulate(ends[order])
+    first = np.flatnonzero(np.concatenate(([True], starts[1:] > ends[:-1])))
+    return np.stack([starts[first], ends[np.append(first[1:], len(ends)) - 1]], axis=1).tolist()
 
 
 def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
-    """(key, spans): per document with any, the byte ranges (start, end; unmerged) of strings of ``length`` bytes
-    that also start in a document with a smaller key.
+    """(key, spans): per document with any, the maximal byte ranges [start, end] covered by strings of ``length``
+    bytes that also start in a document with a smaller key.
 
-    Texts are cut into stretches of neighbouring strings that share a group name (a least hash inside the string), so
+    Texts are cut into stretches of neighbouring strings that share a least part (by hash), so
     equal strings meet in one bucket whatever stands around them. A bucket's distinct stretches are the collection
     whose suffix order is built column by column; buckets follow the table's size. Ties: an equal key is not smaller.
     """
+    if not PART < length <= 128:
+        raise ValueError(f"the length is more than {PART} and at most 128 bytes")
     rows = docs.filter(docs[key].isNotNull()).select(docs[key].cast("long").alias("key"), text_of(text).alias("text"))
     total = rows.agg(F.sum(F.octet_length("text")).alias("n")).first().n or 0
     buckets = max(1, math.ceil(total / BUCKET_BYTES))
@@ -301,19 +333,34 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", len
             yield flush()
 
     def find(table: pa.Table) -> pa.Table:
-        found = repeats_in_bucket(list(zip(table.column("n").to_pylist(), table.column("packed").to_pylist())), length)
-        return pa.table({c: pa.array(x, pa.int64()) for c, x in zip(("key", "start", "end"), found)})
-
-    spans = (rows.mapInArrow(cut, "bucket long, n long, packed binary").groupBy("bucket")
-             .applyInArrow(lambda table: find(table), "key long, start long, end long"))
-    return spans.groupBy("key").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+        keys, starts, ends = repeats_in_bucket(
+            list(zip(table.column("n").to_pylist(), table.column("packed").to_pylist())), length)
+        order = np.argsort(keys, kind="stable")
+        keys, ranges = keys[order], np.stack([starts[order], ends[order]], axis=1)
+        first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))) if len(keys) else np.zeros(0, np.int64)
+        return pa.table({"key": pa.array(keys[first], pa.int64()), "ranges": pa.array(
+            [r.tobytes() for r in np.split(ranges, first[1:])] if len(keys) else [], pa.binary())})
+
+    def join(batch: pa.RecordBatch) -> pa.RecordBatch:
+        spans = []
+        for lists in batch.column(1).to_pylist():
+            ranges = np.frombuffer(b"".join(lists), np.int64).reshape(-1, 2)
+            spans.append(_runs(ranges[:, 0], ranges[:, 1]))
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(spans, pa.list_(pa.list_(pa.int64())))],
+                                          ["key", "spans"])
+
+    # A bucket's ranges of one document travel as one value; a document's runs are few.
+    ranges = (rows.mapInArrow(cut, "bucket long, n long, packed binary").groupBy("bucket")
+              .applyInArrow(lambda table: find(table), "key long, ranges binary"))
+    return map_batches(ranges.groupBy("key").agg(F.collect_list("ranges").alias("ranges")), join,
+                       "key long, spans array<array<bigint>>")
 
 
 def _marked(docs: DataFrame, key: str, text: str, length: int) -> tuple[DataFrame, str]:
     spans = materialize(repeated_spans(docs, key, text, length))
     name, other = fresh_name(docs, "spans"), fresh_name(docs, "span_key")
     spans = spans.select(F.col("key").alias(other), F.col("spans").alias(name))
-    joined = docs.join(spans, docs[key].cast("long") == spans[other], "left")
+    joined = docs.join(spans.hint("merge"), docs[key].cast("long") == spans[other], "left")
     return joined.select(*[docs[f"`{c}`"] for c in docs.columns], spans[name]), name
 
 
@@ -323,13 +370,18 @@ def report(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int
     NULL texts are empty. Rows without a key neither remove nor lose anything. Rows that repeat a key are compared
     with smaller keys only; repeats within a document stay.
     """
-    marked, name = _marked(docs.select(docs[key].alias("key"), docs[text].alias("text")), "key", "text", length)
-    kind = marked.schema["key"].dataType.simpleString()
+    rows = docs.select(docs[key].alias("key"), text_of(text).alias("text"))
+    kind = rows.schema["key"].dataType.simpleString()
+    spans = materialize(repeated_spans(rows, "key", "text", length)).withColumnRenamed("key", "of")
+
+    def shrink(batch: pa.RecordBatch, packer: zstandard.ZstdCompressor) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(
+            [packer.compress(t.encode()) for t in batch.column(1).to_pylist()], pa.binary())], ["key", "packed"])
 
     def digest(batch: pa.RecordBatch) -> pa.RecordBatch:
-        rows = []
-        for body, spans in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-            raw, merged = body.encode(), _merged(spans)
+        rows, unpacker = [], zstandard.ZstdDecompressor()
+        for packed, merged in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+            raw, merged = unpacker.decompress(packed), merged or []
             kept, last = hashlib.sha256(), 0
             for start, end in merged:
                 kept.update(raw[last:start])
@@ -341,8 +393,11 @@ def report(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int
                                            pa.array(columns[3], pa.string())],
                                           ["key", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
-    rows = marked.select("key", text_of("text").alias("text"), name)
-    return map_batches(rows, digest, f"key {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+    # Texts are shuffled once to meet their runs, compressed better than a shuffle would.
+    small = map_batches(rows, shrink, f"key {kind}, packed binary", lambda: zstandard.ZstdCompressor(level=6))
+    marked = (small.join(spans.hint("merge"), small["key"].cast("long") == spans["of"], "left")
+              .select("key", "packed", "spans"))
+    return map_batches(marked, digest, f"key {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
                        ).withColumnRenamed("key", key)
 
 
@@ -355,9 +410,9 @@ def drop_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", lengt
     def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts = []
         for body, spans in zip(batch.column(at).cast(pa.string()).to_pylist(), batch.column(width).to_pylist()):
-            if body is not None and spans:
+            if body and spans:
                 raw, pieces, last = body.encode(), [], 0
-                for start, end in [*_merged(spans), (len(body.encode()), 0)]:
+                for start, end in [*spans, (len(raw), 0)]:
                     pieces.append(raw[last:start].decode(errors="ignore"))
                     last = end
                 body = "".join(pieces)
