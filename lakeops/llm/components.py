@@ -4,14 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from lakeops.session import materialize
-
-
-def _least(links: DataFrame) -> DataFrame:
-    """Each node with its smallest neighbour or itself, whichever is smaller."""
-    both = links.select(F.col("a").alias("node"), F.col("b").alias("other")).union(links.select("b", "a"))
-    return materialize(both.groupBy("node").agg(F.min("other").alias("other"))
-                       .select("node", F.least("node", "other").alias("root")))
+from lakeops.session import discard, materialize
 
 
 def component_roots(links: DataFrame) -> DataFrame:
@@ -20,21 +13,23 @@ def component_roots(links: DataFrame) -> DataFrame:
     A large-star round hangs every larger neighbour of a node on the node's smallest neighbour; a small-star round
     hangs the node and its smaller neighbours there. Rounds end when neither changes the links; their number grows
     with the logarithm of the longest path. Each step is one aggregate and one join on node ids; a hub with many
-    links is split by skewed-join handling, its minimum pre-aggregated. Steps are written to the shared folder.
+    links is split by skewed-join handling, its minimum pre-aggregated. Steps are written to the shared folder, and
+    deleted when the next one is.
     """
     links = materialize(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
                         .filter("a < b").distinct())
     state = None
     while True:
-        least = _least(links)
         both = links.select(F.col("a").alias("node"), F.col("b").alias("other")).union(links.select("b", "a"))
+        least = both.groupBy("node").agg(F.min("other").alias("other")).select(
+            "node", F.least("node", "other").alias("root"))
         large = materialize(both.filter("other > node").join(least, "node")
-                            .select(F.col("root").alias("a"), F.col("other").alias("b"))
-                            .filter("a < b").distinct())
+                            .select(F.col("root").alias("a"), F.col("other").alias("b")))
         # Links now point from the smaller (a) to the larger (b) node: a node's smaller neighbours are its a's.
-        down = materialize(large.groupBy("b").agg(F.min("a").alias("root")))
-        links = materialize(large.join(down, "b").select(F.col("root").alias("a"), F.col("a").alias("b"))
-                            .filter("a < b").union(down.select(F.col("root").alias("a"), "b")).distinct())
+        down = large.groupBy("b").agg(F.min("a").alias("root"))
+        hung = large.join(down, "b").select("root", F.explode(F.array("a", "b")).alias("b"))
+        old, links = links, materialize(hung.select(F.col("root").alias("a"), "b").filter("a < b").distinct())
+        discard(old, large)
         now = links.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
         if now == state:
             break
