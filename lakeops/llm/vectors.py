@@ -25,7 +25,7 @@ BOUND_ROWS = 2048
 #: to all dimensions, exceeds the bound by so many standard deviations.
 COLUMNS = 16
 DEVIATIONS = 2.4
-BLOCK_VECTORS = 4096
+BLOCK_VECTORS = 8192
 BLOCK_QUERIES = 2048
 QUERIES_AT_ONCE = 128
 
@@ -81,24 +81,23 @@ def _matrix(column) -> np.ndarray:
     return array.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(array), -1)
 
 
-def adaptive_scan(index: Index, queries: np.ndarray, bounds: np.ndarray, vectors: np.ndarray,
-                  nearest: int) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs (query row, vector row): at most ``nearest`` and a few per query, chosen among all vectors of a block.
+def adaptive_scan(index: Index, asked: np.ndarray, bounds: np.ndarray, rows: np.ndarray,
+                  wanted: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query, vector, distance) of at least the best ``wanted`` vectors of one list within each query's bound.
 
-    The rotated vectors are read one column block after the other. After each, the hypothesis that a candidate is
-    within the bound (the least of the given one and the block's own) is tested on its partial distance.
+    Both sides are rotated; the list is read one column block after the other. After each, the hypothesis that a
+    candidate is within the bound (the least of the given one and the list's own) is tested on its partial distance.
     """
     dims = index.rotation.shape[0]
-    rows, asked = index.rotated(vectors, query=False), index.rotated(queries, query=True)
     edges = [*range(0, dims, COLUMNS), dims]
     columns = [np.ascontiguousarray(rows[:, a:b]) for a, b in zip(edges, edges[1:])]
-    found_q, found_v = [], []
+    found = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
     for start in range(0, len(asked), QUERIES_AT_ONCE):
         part = asked[start:start + QUERIES_AT_ONCE]
         partial = index.distances(part[:, :edges[1]], columns[0])
         limit = bounds[start:start + len(part)].copy()
-        if len(rows) > nearest:
-            first = np.argpartition(partial, nearest, axis=1)[:, :nearest + 1]
+        if len(rows) > wanted:
+            first = np.argpartition(partial, wanted - 1, axis=1)[:, :wanted]
             limit = np.minimum(limit, ((rows[first] - part[:, None, :]) ** 2).sum(axis=2).max(axis=1))
 
         def within(distance, row, read):
@@ -111,14 +110,41 @@ def adaptive_scan(index: Index, queries: np.ndarray, bounds: np.ndarray, vectors
             distance = distance + ((block[v] - part[q, a:b]) ** 2).sum(axis=1)
             keep = within(distance, q, b)
             q, v, distance = q[keep], v[keep], distance[keep]
-        order = np.lexsort((v, distance, q))
-        q, v = q[order], v[order]
-        first = np.searchsorted(q, q)
-        keep = np.arange(len(q)) - first < nearest + 8
-        found_q.append(q[keep] + start)
-        found_v.append(v[keep])
-    none = np.zeros(0, np.int64)
-    return np.concatenate([none, *found_q]), np.concatenate([none, *found_v])
+        found.append((q + start, v, distance))
+    return tuple(np.concatenate(x) for x in zip(*found))
+
+
+def _best(q: np.ndarray, v: np.ndarray, distance: np.ndarray, count: int) -> tuple[np.ndarray, ...]:
+    """The ``count`` nearest rows of each query, in order, and each row's place among them."""
+    order = np.lexsort((v, distance, q))
+    q, v, distance = q[order], v[order], distance[order]
+    place = np.arange(len(q)) - np.searchsorted(q, q)
+    keep = place < count
+    return q[keep], v[keep], distance[keep], place[keep]
+
+
+def scan_lists(index: Index, queries: np.ndarray, bounds: np.ndarray, probed: np.ndarray, vectors: np.ndarray,
+               lists: np.ndarray, wanted: int) -> tuple[np.ndarray, np.ndarray]:
+    """(query, vector) of a few more than the best ``wanted`` of each query in its probed lists.
+
+    ``probed`` says, per query and list number, whether it is probed. Each list tightens the bounds for the next.
+    """
+    rows, asked = index.rotated(vectors, query=False), index.rotated(queries, query=True)
+    bounds, nearest = bounds.copy(), np.full((len(asked), wanted), np.inf)
+    found = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
+    for number in np.unique(lists).tolist():
+        at, mine = np.flatnonzero(lists == number), np.flatnonzero(probed[:, number])
+        if not len(mine):
+            continue
+        q, v, distance, place = _best(*adaptive_scan(index, asked[mine], bounds[mine], rows[at], wanted), wanted + 7)
+        new = np.full((len(mine), wanted + 7), np.inf)
+        new[q, place] = distance
+        nearest[mine] = np.partition(np.hstack([nearest[mine], new]), wanted - 1, axis=1)[:, :wanted]
+        bounds[mine] = np.minimum(bounds[mine], nearest[mine].max(axis=1))
+        found.append((mine[q], at[v], distance))
+    q, v, distance = (np.concatenate(x) for x in zip(*found))
+    keep = distance <= bounds[q] * (1 + 1e-9)
+    return _best(q[keep], v[keep], distance[keep], wanted + 7)[:2]
 
 
 def _sound(vector: Column) -> Column:
@@ -127,6 +153,18 @@ def _sound(vector: Column) -> Column:
     return vector.isNotNull() & fine & F.exists(vector, lambda x: x != 0)
 
 
+def list_units(counts: dict[int, int], lists: int) -> tuple[list[int], list[int]]:
+    """The unit of each list, neighbours together up to ``BLOCK_VECTORS``, and the number of blocks of each unit."""
+    units, sizes = [], []
+    for i in range(lists):
+        n = counts.get(i, 0)
+        if not sizes or sizes[-1] and sizes[-1] + n > BLOCK_VECTORS:
+            sizes.append(0)
+        sizes[-1] += n
+        units.append(len(sizes) - 1)
+    return units, [max(1, math.ceil(n / BLOCK_VECTORS)) for n in sizes]
+
+
 def search(table: DataFrame, queries: Callable[[Column], Column], nearest: int, key: str = "vec_id", vector: str = "embedding",
            fit_rows: int = FIT_ROWS) -> DataFrame:
     """For each row whose id ``queries`` selects: query_id, rank (from 1), vec_id, score of its nearest other rows.
@@ -136,8 +174,8 @@ def search(table: DataFrame, queries: Callable[[Column], Column], nearest: int,
     force, and each list is read by an adaptive scan; what is returned has exact scores. Rows without an id, and
     vectors that are NULL, zero, hold NULL or non-finite components, or have another number of dimensions than most
     take no part. Equal vectors are one entry with its smallest ids, equal query vectors are searched once, and
-    repeated rows count once. Fewer rows than ``nearest`` give all others. A list of many vectors or queries is cut
-    into blocks, and each task scans one block of vectors for one block of queries.
+    repeated rows count once. Fewer rows than ``nearest`` give all others. Each task scans some whole lists, or one
+    block of a long list, for one part of the queries.
     """
     spark = table.sparkSession
     schema = "query_id long, rank int, vec_id long, score double"
@@ -180,43 +218,46 @@ def search(table: DataFrame, queries: Callable[[Column], Column], nearest: int,
             probes = np.maximum(probes, np.sort(place, axis=1)[:, nearest + 5] + 1)
         else:
             bound, probes = np.full(len(rotated), np.inf), np.full(len(rotated), lists.shape[1])
-        at = np.repeat(np.arange(len(rotated)), probes)
+        probed = np.zeros((len(rotated), lists.shape[1]), bool)
+        np.put_along_axis(probed, lists, np.arange(lists.shape[1])[None, :] < probes[:, None], axis=1)
         return pa.RecordBatch.from_arrays(
-            [batch.column(0).take(pa.array(at)), batch.column(1).take(pa.array(at)), pa.array(bound[at]),
-             pa.array(lists[np.arange(lists.shape[1])[None, :] < probes[:, None]].astype(np.int32))],
-            ["v", "query", "bound", "list"])
+            [*batch.columns, pa.array(bound), pa.array([np.flatnonzero(p).astype(np.int32) for p in probed],
+                                                       pa.list_(pa.int32()))], ["v", "query", "bound", "lists"])
 
     stored = materialize(map_batches(entries.select("v", "ids", "entry"), assign,
                                      "v array<double>, ids array<long>, entry long, list int", rows=4096))
     asking = rows.filter("asks").groupBy("v").agg(F.min("id").alias("query"))
     asked = materialize(map_batches(asking.select("v", "query"), probe,
-                                    "v array<double>, query long, bound double, list int", rows=1024))
-    count = F.count("*").alias("n")
-    blocks = {r.list: math.ceil(r.n / BLOCK_VECTORS) for r in stored.groupBy("list").agg(count).collect()}
-    query_blocks = {r.list: math.ceil(r.n / BLOCK_QUERIES) for r in asked.groupBy("list").agg(count).collect()}
-
-    def number(of: dict[int, int], key: Column) -> Column:
-        return F.element_at(F.lit([of.get(i, 0) for i in range(lists)]), key + 1)
-
-    def spread(mine: str, own: dict[int, int], other: dict[int, int], frame: DataFrame, names: tuple) -> DataFrame:
-        """Each row's own block, repeated for every block of the other side."""
-        return (frame.withColumn(names[0], F.pmod(F.xxhash64(mine), number(own, F.col("list"))).cast("int"))
-                .filter(number(other, F.col("list")) > 0)
-                .withColumn(names[1], F.explode(F.sequence(F.lit(0), number(other, F.col("list")) - 1))))
-
-    left = spread("entry", blocks, query_blocks, stored.drop("ids"), ("block", "part"))
-    right = spread("query", query_blocks, blocks, asked, ("part", "block"))
+                                    "v array<double>, query long, bound double, lists array<int>", rows=1024))
+    counts = {r.list: r.n for r in stored.groupBy("list").agg(F.count("*").alias("n")).collect()}
+    units, blocks = list_units(counts, lists)
+    parts = max(1, math.ceil(asked.count() / BLOCK_QUERIES))
+
+    def number(of: list[int], at: Column) -> Column:
+        return F.element_at(F.lit(of), at + 1)
+
+    # A unit is some whole lists, or one block of a long list; each meets every part of the queries that probe it.
+    left = (stored.select("v", "entry", "list", number(units, F.col("list")).alias("unit"))
+            .withColumn("block", F.pmod(F.xxhash64("entry"), number(blocks, F.col("unit"))).cast("int"))
+            .withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))))
+    right = (asked.withColumn("unit", F.explode(F.array_distinct(F.transform("lists", lambda i: number(units, i)))))
+             .withColumn("part", F.pmod(F.xxhash64("query"), parts).cast("int"))
+             .withColumn("block", F.explode(F.sequence(F.lit(0), number(blocks, F.col("unit")) - 1))))
 
     def scan(vectors: pa.Table, queries: pa.Table) -> pa.Table:
-        if not vectors.num_rows or not queries.num_rows:
-            return pa.table({"query": pa.array([], pa.int64()), "entry": pa.array([], pa.int64()),
-                             "score": pa.array([], pa.float64())})
-        x, asks = _matrix(vectors.column("v")), _matrix(queries.column("v"))
-        q, v = adaptive_scan(sent.value, asks, queries.column("bound").to_numpy(), x, nearest)
-        return pa.table({"query": queries.column("query").to_numpy()[q], "entry": vectors.column("entry").to_numpy()[v],
-                         "score": (asks[q] * x[v]).sum(axis=1)})
-
-    hits = left.groupBy("list", "block", "part").cogroup(right.groupBy("list", "block", "part")).applyInArrow(
+        q, v, score = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+        if vectors.num_rows and queries.num_rows:
+            x, asks = _matrix(vectors.column("v")), _matrix(queries.column("v"))
+            probed = np.zeros((len(asks), lists), bool)
+            for row, numbers in zip(probed, queries.column("lists").to_pylist()):
+                row[numbers] = True
+            q, v = scan_lists(sent.value, asks, queries.column("bound").to_numpy(), probed, x,
+                              vectors.column("list").to_numpy(), nearest + 1)
+            score = (asks[q] * x[v]).sum(axis=1)
+            q, v = queries.column("query").to_numpy()[q], vectors.column("entry").to_numpy()[v]
+        return pa.table({"query": pa.array(q, pa.int64()), "entry": pa.array(v, pa.int64()), "score": pa.array(score)})
+
+    hits = left.groupBy("unit", "block", "part").cogroup(right.groupBy("unit", "block", "part")).applyInArrow(
         lambda vectors, queries: scan(vectors, queries), "query long, entry long, score double")
     best = Window.partitionBy("query").orderBy(F.desc("score"), "entry")
     top = (hits.withColumn("place", F.row_number().over(best)).filter(F.col("place") <= nearest + 1)
