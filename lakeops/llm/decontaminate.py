@@ -182,6 +182,29 @@ def report(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", **options
                         contaminated(names).alias("contaminated"))
 
 
+_WORDS_SQL = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                          'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+REPORT_SQL = f"""
+    WITH docs AS (SELECT doc_id, {_WORDS_SQL} AS words FROM documents),
+    items AS (SELECT CAST(item_id AS VARCHAR) AS item, {_WORDS_SQL} AS words FROM benchmark),
+    cut AS (SELECT item, least(13, len(words)) AS size, words, unnest(range(len(words) - least(13, len(words)) + 1)) AS place
+            FROM items WHERE len(words) > 0),
+    windows AS (SELECT DISTINCT item, size, array_to_string(words[place + 1:place + size], ' ') AS body FROM cut),
+    scanned AS (
+        SELECT doc_id, size, place, array_to_string(words[place + 1:place + size], ' ') AS body
+        FROM (SELECT doc_id, words, size, unnest(range(len(words) - size + 1)) AS place
+              FROM docs CROSS JOIN (SELECT DISTINCT size FROM windows) WHERE len(words) >= size)),
+    hits AS (SELECT doc_id, place, size, item FROM scanned JOIN windows USING (size, body)),
+    covered AS (SELECT doc_id, count(DISTINCT word) AS n FROM (
+        SELECT doc_id, unnest(range(place, place + size)) AS word FROM hits) GROUP BY doc_id),
+    named AS (SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS names
+              FROM (SELECT DISTINCT doc_id, item FROM hits) GROUP BY doc_id)
+    SELECT d.doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(c.n, 0) AS n_hit, coalesce(i.n, 0) AS n_items,
+           sha256(coalesce(i.names, '')) AS items_sha256,
+           coalesce(c.n, 0) > 0 AND 20 * coalesce(c.n, 0) >= len(words) AS contaminated
+    FROM docs d LEFT JOIN covered c ON c.doc_id = d.doc_id LEFT JOIN named i ON i.doc_id = d.doc_id"""
+
+
 def _cut_words(text: str, ranges: list[list[int]]) -> str:
     raw = text.encode()
     spans = [m.span() for m in _WORD.finditer(raw)]

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeops.llm import decontaminate, html_text, line_windows, packing, simhash, suffixes, toxicity, vectors
+from lakeops.llm import decontaminate, html_text, licences, line_windows, packing, simhash, suffixes, toxicity, vectors
 from lakeops.llm.common import table
 from lakeops.llm.tokens import count_tokens
 
@@ -25,6 +25,10 @@ def op3_simhash_components(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
 
 
+def op4_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return licences.report(table(spark, folder, "documents"))
+
+
 def op5_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return suffixes.report(table(spark, folder, "documents"))
 
@@ -53,6 +57,7 @@ QUERIES = {
     "op1_html_text": op1_html_text,
     "op2_nearest_vectors": op2_nearest_vectors,
     "op3_simhash_components": op3_simhash_components,
+    "op4_license_scan": op4_license_scan,
     "op5_suffix_dedup": op5_suffix_dedup,
     "op6_packing": op6_packing,
     "op7_toxicity": op7_toxicity,
@@ -60,4 +65,8 @@ QUERIES = {
     "op9_token_counts": op9_token_counts,
     "op10_decontamination": op10_decontamination,
 }
-ORACLES = {"op8_line_windows": line_windows.REPORT_SQL}
+ORACLES = {
+    "op5_suffix_dedup": suffixes.REPORT_SQL,
+    "op8_line_windows": line_windows.REPORT_SQL,
+    "op10_decontamination": decontaminate.REPORT_SQL,
+}

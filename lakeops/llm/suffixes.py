@@ -401,6 +401,35 @@ def report(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int
                        ).withColumnRenamed("key", key)
 
 
+REPORT_SQL = f"""
+    WITH docs AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS raw FROM documents),
+    places AS (
+        SELECT doc_id, place, substr(raw, 2 * place + 1, {2 * LENGTH}) AS body
+        FROM (SELECT doc_id, raw, unnest(range(len(raw) // 2 - {LENGTH - 1})) AS place FROM docs)),
+    removed AS (
+        SELECT doc_id, place FROM places JOIN (SELECT body, min(doc_id) AS first FROM places GROUP BY body) USING (body)
+        WHERE doc_id > first),
+    marked AS (
+        SELECT doc_id, place, place > coalesce(lag(place) OVER w + {LENGTH}, -1) AS opens
+        FROM removed WINDOW w AS (PARTITION BY doc_id ORDER BY place)),
+    runs AS (
+        SELECT doc_id, min(place) AS start, max(place) + {LENGTH} AS stop
+        FROM (SELECT *, sum(opens::INTEGER) OVER (PARTITION BY doc_id ORDER BY place) AS run FROM marked)
+        GROUP BY doc_id, run),
+    pieces AS (
+        SELECT doc_id, coalesce(lag(stop) OVER (PARTITION BY doc_id ORDER BY start), 0) AS start, start AS stop FROM runs
+        UNION ALL
+        SELECT d.doc_id, coalesce(max(r.stop), 0), any_value(len(d.raw)) // 2
+        FROM docs d LEFT JOIN runs r ON r.doc_id = d.doc_id GROUP BY d.doc_id),
+    kept AS (
+        SELECT p.doc_id, string_agg(substr(raw, 2 * start + 1, 2 * (stop - start)), '' ORDER BY start, stop) AS raw
+        FROM pieces p JOIN docs d ON d.doc_id = p.doc_id GROUP BY p.doc_id),
+    counts AS (SELECT doc_id, sum(stop - start) AS removed, count(*) AS spans FROM runs GROUP BY doc_id)
+    SELECT d.doc_id, CAST(len(d.raw) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(c.removed, 0) AS BIGINT) AS n_removed,
+           coalesce(c.spans, 0) AS n_spans, sha256(unhex(k.raw)) AS kept_sha256
+    FROM docs d JOIN kept k ON k.doc_id = d.doc_id LEFT JOIN counts c ON c.doc_id = d.doc_id"""
+
+
 def drop_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
     """``docs`` with the repeated bytes taken out of the text; a character that is cut in two goes as a whole."""
     marked, name = _marked(docs, key, text, length)

@@ -133,9 +133,9 @@ def test_lines_of_awkward_rows(awkward, no_documents):
     assert line_windows.report(no_documents).collect() == []
 
 
-def test_lines_agree_with_sql(spark, tiny):
-    assert compare.differences(queries.QUERIES["op8_line_windows"](spark, tiny), compare.connect(tiny),
-                               queries.ORACLES["op8_line_windows"]) == ""
+@pytest.mark.parametrize("name", sorted(queries.ORACLES))
+def test_queries_agree_with_sql(spark, tiny, name):
+    assert compare.differences(queries.QUERIES[name](spark, tiny), compare.connect(tiny), queries.ORACLES[name]) == ""
 
 
 def test_lines_use_no_python(spark, awkward):
