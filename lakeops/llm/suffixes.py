@@ -22,6 +22,8 @@ CHUNK_BYTES = 8 << 20
 HASHED_BYTES = 1 << 20
 #: Text bytes per bucket, from which the number of buckets follows.
 BUCKET_BYTES = 8 << 20
+#: Documents whose ranges are brought together in one value.
+SHARE_ROWS = 1000
 #: Symbols of one construction.
 ORDER_BYTES = 1 << 18
 END = 255  # never a byte of UTF-8
@@ -300,8 +302,9 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", len
     if not PART < length <= 128:
         raise ValueError(f"the length is more than {PART} and at most 128 bytes")
     rows = docs.filter(docs[key].isNotNull()).select(docs[key].cast("long").alias("key"), text_of(text).alias("text"))
-    total = rows.agg(F.sum(F.octet_length("text")).alias("n")).first().n or 0
-    buckets = max(1, math.ceil(total / BUCKET_BYTES))
+    total = rows.agg(F.sum(F.octet_length("text")).alias("bytes"), F.count("*").alias("rows")).first()
+    buckets = max(1, math.ceil((total.bytes or 0) / BUCKET_BYTES))
+    shares = max(1, math.ceil(total.rows / SHARE_ROWS))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: list[tuple[int, int, bytes]] = []
@@ -335,25 +338,31 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", len
     def find(table: pa.Table) -> pa.Table:
         keys, starts, ends = repeats_in_bucket(
             list(zip(table.column("n").to_pylist(), table.column("packed").to_pylist())), length)
-        order = np.argsort(keys, kind="stable")
-        keys, ranges = keys[order], np.stack([starts[order], ends[order]], axis=1)
-        first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))) if len(keys) else np.zeros(0, np.int64)
-        return pa.table({"key": pa.array(keys[first], pa.int64()), "ranges": pa.array(
+        share = ((keys.view(np.uint64) * np.uint64(_FACTOR)) >> np.uint64(20)) % np.uint64(shares)
+        order = np.argsort(share, kind="stable")
+        share, ranges = share[order], np.stack([keys[order], starts[order], ends[order]], axis=1)
+        first = np.flatnonzero(np.concatenate(([True], share[1:] != share[:-1]))) if len(keys) else np.zeros(0, np.int64)
+        return pa.table({"share": pa.array(share[first].astype(np.int64), pa.int64()), "ranges": pa.array(
             [r.tobytes() for r in np.split(ranges, first[1:])] if len(keys) else [], pa.binary())})
 
     def join(batch: pa.RecordBatch) -> pa.RecordBatch:
-        spans = []
+        keys, spans = [], []
         for lists in batch.column(1).to_pylist():
-            ranges = np.frombuffer(b"".join(lists), np.int64).reshape(-1, 2)
-            spans.append(_runs(ranges[:, 0], ranges[:, 1]))
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(spans, pa.list_(pa.list_(pa.int64())))],
+            ranges = np.frombuffer(b"".join(lists), np.int64).reshape(-1, 3)
+            ranges = ranges[np.argsort(ranges[:, 0], kind="stable")]
+            first = np.flatnonzero(np.concatenate(([True], ranges[1:, 0] != ranges[:-1, 0])))
+            for part in np.split(ranges, first[1:]):
+                keys.append(int(part[0, 0]))
+                spans.append(_runs(part[:, 1], part[:, 2]))
+        return pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(spans, pa.list_(pa.list_(pa.int64())))],
                                           ["key", "spans"])
 
-    # A bucket's ranges of one document travel as one value; a document's runs are few.
-    ranges = (rows.mapInArrow(cut, "bucket long, n long, packed binary").groupBy("bucket")
-              .applyInArrow(lambda table: find(table), "key long, ranges binary"))
-    return map_batches(ranges.groupBy("key").agg(F.collect_list("ranges").alias("ranges")), join,
-                       "key long, spans array<array<bigint>>")
+    # A bucket's ranges travel packed, some documents' together; a document's runs are few.
+    # About one bucket per task, however many the session's number of shuffle partitions is.
+    ranges = (rows.mapInArrow(cut, "bucket long, n long, packed binary").repartition(buckets, "bucket").groupBy("bucket")
+              .applyInArrow(lambda table: find(table), "share long, ranges binary"))
+    return map_batches(ranges.groupBy("share").agg(F.collect_list("ranges").alias("ranges")), join,
+                       "key long, spans array<array<bigint>>", rows=16)
 
 
 def _marked(docs: DataFrame, key: str, text: str, length: int) -> tuple[DataFrame, str]:
