@@ -8,6 +8,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 from itertools import combinations
+from statistics import NormalDist
 
 import numpy as np
 import pyarrow as pa
@@ -23,9 +24,13 @@ SPAN = 16
 STEP = 4
 #: At most so many labelled rows of each class are learned from, chosen by a hash of their id.
 LABELLED = 6000
-#: A term is learned as toxic if its evidence reaches this share of the strongest term's.
-SHARE = 0.15
-LEAST_EVIDENCE = 20.0
+#: Chance that any harmless term of the sample is taken for toxic, over all terms tested.
+LEVEL = 0.01
+#: Labelled sentences of each class that the sentence machine is fitted on, and those of them that are landmarks.
+SENTENCES = 3000
+SENTENCE_LANDMARKS = 40
+#: Least kernel of two spellings of one term.
+NEAR = 0.5
 CLEAN_TERMS = 4000
 MINED = 500
 ROUNDS = 3
@@ -114,46 +119,74 @@ def _table(words: list[bytes]) -> np.ndarray:
 
 @dataclass
 class Model:
-    """Term margins as one weight per subsequence (the landmarks' expansions, summed) and the score's logistic map."""
+    """Two machines as one weight per subsequence each (the landmarks' expansions, summed), the terms known as toxic,
+    and the score's logistic map of a text's largest term margin and largest and mean sentence margin."""
 
     weights: np.ndarray | None
     bias: float = -1.0
-    slope: float = 0.0
+    sentence_weights: np.ndarray | None = None
+    sentence_bias: float = -1.0
+    terms: frozenset[bytes] = frozenset()
+    slopes: tuple[float, ...] = (0.0, 0.0, 0.0)
     offset: float = -20.0
 
     def score(self, margins: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.slope * margins + self.offset, -50, 50)))
+        return 1 / (1 + np.exp(-np.clip(margins @ np.array(self.slopes) + self.offset, -50, 50)))
 
 
 class TermScorer:
-    """Margins of terms and of texts, with a bounded memory of terms."""
+    """Margins of terms, sentences and texts, with a bounded memory of terms."""
 
     def __init__(self, model: Model):
         self.model = model
-        self.tables = None if model.weights is None else model.weights.reshape(-1, 1)
-        self.known: dict[bytes, float] = {}
+        columns = [w for w in (model.weights, model.sentence_weights) if w is not None]
+        self.tables = np.stack(columns, axis=1) if columns else None
+        self.known: dict[bytes, tuple[float, float]] = {}
 
-    def margins(self, words: list[bytes]) -> np.ndarray:
-        """The largest margin of each word's windows, between -2 and 2; words under three letters have the bias."""
-        out = np.full(len(words), self.model.bias)
+    def _values(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Each word's margin, and its share in the sentence machine (the sum over its windows)."""
+        margins, shares = np.full(len(words), self.model.bias), np.zeros(len(words))
         if self.tables is not None and words:
             owner, windows = [], []
             for i, word in enumerate(words):
                 for window in _windows(word):
                     owner.append(i)
                     windows.append(window)
-            np.maximum.at(out, owner, _apply(self.tables, windows)[:, 0] + self.model.bias if windows else [])
+            if windows:
+                values = _apply(self.tables, windows)
+                if self.model.weights is not None:
+                    np.maximum.at(margins, owner, values[:, 0] + self.model.bias)
+                if self.model.sentence_weights is not None:
+                    np.add.at(shares, owner, values[:, -1])
+        sure = np.fromiter((w in self.model.terms for w in words), bool, len(words))
+        return np.clip(np.where(sure, np.maximum(margins, 1.0), margins), -2, 2), shares
+
+    def margins(self, words: list[bytes]) -> np.ndarray:
+        """The largest margin of each word's windows, between -2 and 2 and at least 1 for known terms; words under three
+        letters have the bias."""
+        return self._values(words)[0]
+
+    def details(self, texts: list[str]) -> np.ndarray:
+        """Per text its largest term margin (-2 without terms), and its largest and mean sentence margin."""
+        if len(self.known) > REMEMBERED:
+            self.known.clear()
+        whole = [terms_of(t) for t in texts]
+        parts = [[terms_of(s) for s in _SENTENCE.split(t)] for t in texts]
+        new = list({w for words in [*whole, *(p for some in parts for p in some)] for w in words if w not in self.known})
+        margins, shares = self._values(new)
+        self.known.update(zip(new, zip(margins.tolist(), shares.tolist())))
+        get, bias = self.known.__getitem__, self.model.sentence_bias
+        out = np.full((len(texts), 3), -2.0)
+        for i, (words, some) in enumerate(zip(whole, parts)):
+            out[i, 0] = max((get(w)[0] for w in words), default=-2.0)
+            found = [sum([get(w)[1] for w in p]) / len(p) ** 0.5 + bias for p in some if p]
+            if found:
+                out[i, 1:] = max(found), sum(found) / len(found)
         return np.clip(out, -2, 2)
 
     def texts(self, texts: list[str]) -> np.ndarray:
         """The largest margin among each text's terms; -2 without terms."""
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        sets = [terms_of(t) for t in texts]
-        new = list({w for words in sets for w in words if w not in self.known})
-        self.known.update(zip(new, self.margins(new).tolist()))
-        get = self.known.__getitem__
-        return np.array([max(map(get, words), default=-2.0) for words in sets])
+        return self.details(texts)[:, 0]
 
 
 def _fit_linear(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-3) -> tuple[np.ndarray, float]:
@@ -187,20 +220,72 @@ def fit_terms(toxic: list[bytes], clean: list[bytes], landmarks: list[bytes]) ->
     return Model(basis @ (root @ w), bias)
 
 
-def _fit_score(margins: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
-    """Slope and offset of the logistic map from a document's margin to its label, with Platt's smoothed targets."""
+def fit_sentences(toxic: list[str], clean: list[str], terms: list[bytes]) -> tuple[np.ndarray, float]:
+    """The machine over Nystroem features of labelled sentences; classes weigh the same.
+
+    A sentence is the sum of its distinct terms' windows in the space of the term kernel, over the root of the number
+    of terms. Landmarks are sentences of both classes and the given terms.
+    """
+    sets = [terms_of(t) for t in toxic + clean]
+    kept = [i for i, words in enumerate(sets) if words]
+    sets, y = [sorted(sets[i]) for i in kept], np.array([1.0 if i < len(toxic) else -1.0 for i in kept])
+    picked = [sets[i] for sign in (1, -1) for i in np.flatnonzero(y == sign)[:SENTENCE_LANDMARKS]]
+    basis = np.zeros((_CODES, len(picked) + len(terms)))
+    for column, words in enumerate([*picked, *([w] for w in terms)]):
+        windows = [x for w in words for x in _windows(w)]
+        for start in range(0, len(windows), 64):
+            basis[:, column] += _table(windows[start:start + 64]).sum(axis=1)
+        basis[:, column] /= len(words) ** 0.5
+    values, vectors = np.linalg.eigh(basis.T @ basis)
+    sound = values > 1e-8 * values.max()
+    root = vectors[:, sound] / np.sqrt(values[sound])
+    known = {w: i for i, w in enumerate(sorted({x for words in sets for w in words for x in _windows(w)}))}
+    reduced = _apply(basis, list(known)) @ root
+    features = np.array([reduced[[known[x] for w in words for x in _windows(w)]].sum(axis=0) / len(words) ** 0.5
+                         for words in sets])
+    weight = np.where(y > 0, (y < 0).sum() / max(1, (y > 0).sum()), 1.0)
+    w, bias = _fit_linear(features, y, weight)
+    return basis @ (root @ w), bias
+
+
+def _fit_score(margins: np.ndarray, labels: np.ndarray) -> tuple[tuple[float, ...], float]:
+    """Slopes and offset of the logistic map from a document's margins to its label, with Platt's smoothed targets."""
     positive = labels.sum()
     target = np.where(labels == 1, (positive + 1) / (positive + 2), 1 / (len(labels) - positive + 2))
-    rows, w = np.stack([margins, np.ones(len(margins))], 1), np.zeros(2)
-    for _ in range(60):
-        p = 1 / (1 + np.exp(-rows @ w))
-        grad = rows.T @ (p - target) + 1e-6 * w
-        hess = rows.T @ (rows * (p * (1 - p) + 1e-9)[:, None]) + 1e-6 * np.eye(2)
+    rows = np.hstack([margins, np.ones((len(margins), 1))])
+    size = rows.shape[1]
+    w = np.zeros(size)
+    for _ in range(100):
+        p = 1 / (1 + np.exp(-np.clip(rows @ w, -50, 50)))
+        grad = rows.T @ (p - target) + 1e-3 * w
+        hess = rows.T @ (rows * (p * (1 - p) + 1e-9)[:, None]) + 1e-3 * np.eye(size)
         step = np.linalg.solve(hess, grad)
         w = w - np.clip(step, -2, 2)
         if np.abs(step).max() < 1e-8:
             break
-    return float(w[0]), float(w[1])
+    return tuple(w[:-1].tolist()), float(w[-1])
+
+
+def toxic_terms(counts: list[tuple[bytes, int, int]], rate: float, tested: int) -> list[bytes]:
+    """The terms of (term, toxic documents, clean documents) that are toxic beyond chance, strongest first.
+
+    A term's likelihood ratio must be significant at ``LEVEL`` over all terms tested. As labels may be wrong and
+    harmless words stand near toxic ones, its share of toxic documents must also be nearer to that which the purest
+    term surely has (its confidence bound at the same level) than to the base rate.
+    """
+    z2 = NormalDist().inv_cdf(1 - min(0.5, LEVEL / max(1, tested))) ** 2
+    strong, purest = [], rate
+    for term, bad, good in counts:
+        n = bad + good
+        share = bad / n
+        if share <= rate:
+            continue
+        evidence = 2 * (bad * np.log(share / rate) + (good * np.log((1 - share) / (1 - rate)) if good else 0.0))
+        if evidence >= z2:
+            centre, spread = share + z2 / (2 * n), np.sqrt(z2 * share * (1 - share) / n + z2 * z2 / (4 * n * n))
+            purest = max(purest, (centre - spread) / (1 + z2 / n))
+            strong.append((evidence, share, term))
+    return [t for _, s, t in sorted(strong, key=lambda x: (-x[0], x[2])) if s > (rate + purest) / 2]
 
 
 def _variants(word: bytes) -> list[bytes]:
@@ -219,50 +304,84 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
           labelled: int = LABELLED) -> Model:
     """Learn from the documents of labelled rows that are not held out, at most ``labelled`` of each class.
 
-    A sentence carries its document's label; equal sentences count once. Terms whose sentences are toxic far beyond
-    chance (a likelihood ratio, as many labels are wrong and most sentences of a toxic document are harmless) and
-    their spelled variants are learned against clean terms; in further rounds the clean terms of the sample that
-    come nearest join them. Without labels of both classes the model scores every text 0.
+    A sentence carries its document's label; equal sentences count once, for one document. One machine is fitted on
+    labelled sentences. Another is fitted on terms: those in toxic documents far beyond chance (see ``toxic_terms``)
+    and their spelled variants against clean terms; in further rounds the clean terms of the sample that come
+    nearest join them. Without labels of both classes the model scores every text 0.
     """
     usable = (labels.select(labels[key].alias("key"), labels[label].cast("int").alias("toxic"))
               .filter(F.col("key").isNotNull() & F.col("toxic").isin(0, 1)).filter(~held_out(F.col("key")))
               .groupBy("key").agg(F.max("toxic").alias("toxic")))
     chosen = [usable.filter(F.col("toxic") == c).orderBy(F.xxhash64("key"), "key").limit(labelled) for c in (0, 1)]
     sample = materialize(docs.select(docs[key].alias("key"), text_of(text).alias("text"))
-                         .join(F.broadcast(materialize(chosen[0].union(chosen[1]))), "key").select("text", "toxic"))
+                         .join(F.broadcast(materialize(chosen[0].union(chosen[1]))), "key")
+                         .select(F.xxhash64("key").alias("owner"), "text", "toxic"))
     classes = {r.toxic: r.n for r in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     if len(classes) < 2:
         return Model(None)
 
     def sentences(batch: pa.RecordBatch) -> pa.RecordBatch:
-        rows = {(s, y) for t, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
+        rows = {(k, s, y) for k, t, y in zip(*(batch.column(i).to_pylist() for i in range(3)))
                 for s in _SENTENCE.split(t) if s}
-        return pa.RecordBatch.from_arrays([pa.array([s for s, _ in rows], pa.string()),
-                                           pa.array([y for _, y in rows], pa.int32())], ["sentence", "toxic"])
+        return pa.RecordBatch.from_arrays([pa.array([x[0] for x in rows], pa.int64()),
+                                           pa.array([x[1] for x in rows], pa.string()),
+                                           pa.array([x[2] for x in rows], pa.int32())], ["owner", "sentence", "toxic"])
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            counts: Counter = Counter()
-            for s, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                counts.update((w, y) for w in terms_of(s) if len(w) >= 3)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([w for w, _ in counts], pa.binary()),
-                 pa.array([n if y else 0 for (_, y), n in counts.items()], pa.int64()),
-                 pa.array([0 if y else n for (_, y), n in counts.items()], pa.int64())], ["term", "bad", "good"])
-
-    distinct = map_batches(sample, sentences, "sentence string, toxic int").distinct()
-    totals = materialize(distinct.mapInArrow(count, "term binary, bad long, good long").groupBy("term")
-                         .agg(F.sum("bad").alias("bad"), F.sum("good").alias("good")))
-    sums = totals.agg(F.sum("bad").alias("bad"), F.sum("good").alias("good")).first()
+            rows = {(w, k, y) for k, s, y in zip(*(batch.column(i).to_pylist() for i in range(3)))
+                    for w in terms_of(s) if len(w) >= 3}
+            yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in rows], pa.binary()),
+                                              pa.array([x[1] for x in rows], pa.int64()),
+                                              pa.array([x[2] for x in rows], pa.int32())], ["term", "owner", "toxic"])
+
+    def families(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tables = _table(toxic)
+        for batch in batches:
+            words = batch.column(0).to_pylist()
+            owner, windows = [], []
+            for i, word in enumerate(words):
+                for window in _windows(word):
+                    owner.append(i)
+                    windows.append(window)
+            rows, columns = np.nonzero(_apply(tables, windows) >= NEAR) if windows else ([], [])
+            pairs = sorted({(owner[r], int(c)) for r, c in zip(rows, columns)})
+            yield pa.RecordBatch.from_arrays([pa.array([words[i] for i, _ in pairs], pa.binary()),
+                                              pa.array([toxic[c] for _, c in pairs], pa.binary())], ["term", "of"])
+
+    distinct = materialize(map_batches(sample, sentences, "owner long, sentence string, toxic int")
+                           .groupBy("sentence", "toxic").agg(F.min("owner").alias("owner"))
+                           .select("owner", "sentence", "toxic"))
+    found = materialize(distinct.mapInArrow(terms, "term binary, owner long, toxic int").distinct())
+    counts = [F.count_if(F.col("toxic") == 1).alias("bad"), F.count_if(F.col("toxic") == 0).alias("good")]
+    totals = materialize(found.groupBy("term").agg(*counts))
+    sums = totals.agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"), F.count("*").alias("terms")).first()
     rate = (sums.bad or 0) / max(1, (sums.bad or 0) + (sums.good or 0))
     part = F.col("bad") / (F.col("bad") + F.col("good"))
-    evidence = 2 * (F.col("bad") * F.log(part / rate) + F.when(
-        F.col("good") > 0, F.col("good") * F.log((1 - part) / (1 - rate))).otherwise(0.0))
-    strong = (totals.filter(F.col("bad") > 0).filter(part > rate).filter(part > 0.8)
-              .withColumn("evidence", evidence).orderBy(F.desc("evidence"), "term").limit(64).collect())
-    top = max([r.evidence for r in strong], default=0.0)
-    toxic = [bytes(r.term) for r in strong
-             if r.evidence >= max(LEAST_EVIDENCE, SHARE * top) and len(r.term) <= SPAN]
+    strong = totals.filter(F.col("bad") > 1).filter(part > rate).collect()
+    every = toxic_terms([(bytes(r.term), r.bad, r.good) for r in strong], rate, sums.terms)
+    toxic = [t for t in every if len(t) <= SPAN]
+    if toxic:
+        # Spellings count as the term only if it stays toxic with them, by documents that have any; else it is known
+        # to the letter alone.
+        near = totals.select("term").mapInArrow(families, "term binary, of binary")
+        whole = found.join(near, "term").select("of", "owner", "toxic").distinct().groupBy("of").agg(*counts).collect()
+        kept = set(toxic_terms([(bytes(r.of), r.bad, r.good) for r in whole if r.bad > 1], rate, sums.terms))
+        toxic = [t for t in toxic if t in kept]
+    spark = docs.sparkSession
+    model = _term_machine(spark, totals, part, toxic)
+    model.terms = frozenset(every)
+    ordered = [F.xxhash64("sentence"), F.col("sentence")]
+    taught = [[r.sentence for r in distinct.filter(F.col("toxic") == c).orderBy(*ordered).limit(SENTENCES).collect()]
+              for c in (1, 0)]
+    model.sentence_weights, model.sentence_bias = fit_sentences(*taught, toxic[:2 * SENTENCE_LANDMARKS])
+    rows = score_rows(sample, model, ["toxic"], "text", spark).collect()
+    model.slopes, model.offset = _fit_score(np.array([r.margins for r in rows]), np.array([r.toxic for r in rows]))
+    return model
+
+
+def _term_machine(spark, totals: DataFrame, part, toxic: list[bytes]) -> Model:
+    """The machine over terms; without toxic ones it gives every term the bias."""
     if not toxic:
         return Model(None)
     spelled = toxic + [v for word in toxic for v in _variants(word) if len(v) <= SPAN]
@@ -271,10 +390,9 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     random = clean_rows.orderBy(F.xxhash64("term"), "term").limit(CLEAN_TERMS // 2).collect()
     clean = list(dict.fromkeys(bytes(r.term) for r in common + random))
     hard: list[bytes] = []
-    spark = docs.sparkSession
     for round_ in range(ROUNDS):
         near = hard[:LANDMARKS // 4] + clean
-        landmarks = list(dict.fromkeys(toxic + near))[:LANDMARKS]
+        landmarks = list(dict.fromkeys(toxic[:LANDMARKS // 2] + near))[:LANDMARKS]
         model = fit_terms(spelled, list(dict.fromkeys(clean + hard)), landmarks)
         if round_ == ROUNDS - 1:
             break
@@ -288,21 +406,19 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
                              lambda sent=sent: TermScorer(sent.value), rows=10_000)
         mined = scored.orderBy(F.desc("margin"), "term").limit(MINED).collect()
         hard = list(dict.fromkeys([bytes(r.term) for r in mined] + hard))
-    rows = score_rows(sample, model, ["toxic"], "text", spark).collect()
-    model.slope, model.offset = _fit_score(np.array([r.margin for r in rows]), np.array([r.toxic for r in rows]))
     return model
 
 
 def score_rows(docs: DataFrame, model: Model, keep: list[str], text: str, spark) -> DataFrame:
-    """The kept columns, each text's margin and its score, one pass."""
+    """The kept columns, each text's margins and its score, one pass."""
     sent = spark.sparkContext.broadcast(model)
     frame = docs.select(*[docs[f"`{c}`"] for c in keep], text_of(text).alias(fresh_name(docs, "whole_text")))
-    names = [fresh_name(frame.select(*keep), n) for n in ("margin", "score")]
-    schema = frame.select(*keep, F.lit(0.0).alias(names[0]), F.lit(0.0).alias(names[1])).schema
+    names = [fresh_name(frame.select(*keep), n) for n in ("margins", "score")]
+    schema = frame.select(*keep, F.array(F.lit(0.0)).alias(names[0]), F.lit(0.0).alias(names[1])).schema
 
     def score(batch: pa.RecordBatch, scorer: TermScorer) -> pa.RecordBatch:
-        margins = scorer.texts(batch.column(len(keep)).to_pylist())
-        return pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(margins),
+        margins = scorer.details(batch.column(len(keep)).to_pylist())
+        return pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(margins.tolist(), pa.list_(pa.float64())),
                                            pa.array(scorer.model.score(margins))], schema.names)
 
     return map_batches(frame, score, schema, lambda: TermScorer(sent.value))
@@ -311,8 +427,8 @@ def score_rows(docs: DataFrame, model: Model, keep: list[str], text: str, spark)
 def toxicity(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """Per row: key, held_out, score (0 to 1), predicted (1 from 0.5 on).
 
-    The score rests on the most toxic term of the whole text, however long; NULL and empty texts have none and get
-    the lowest score. Repeated rows score alike; NULL keys are scored and never held out.
+    The score rests on the most toxic term and the sentences of the whole text, however long; NULL and empty texts
+    have none and get the lowest margins. Repeated rows score alike; NULL keys are scored and never held out.
     """
     model = train(docs, labels, key, text, **options)
     scored = score_rows(docs.select(docs[key].alias("key"), docs[text].alias("text")), model, ["key"], "text",
