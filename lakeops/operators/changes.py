@@ -6,6 +6,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from lakeops.operators.names import fresh_name
+
 
 def delete_where(df: DataFrame, predicate: Column) -> DataFrame:
     """Drop the rows for which ``predicate`` is true; rows where it is NULL stay."""
@@ -46,25 +48,28 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys: list[str], large_so
     known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
     beside = target.filter(~known).unionByName(new.filter(~known))
     old, new = target.filter(known), new.filter(known)
-    offered = new.withColumnsRenamed({c: f"_new_{c}" for c in columns})
-    new_keys = [f"_new_{k}" for k in keys]
-    condition = reduce(lambda a, b: a & b, [F.col(k) == F.col(n) for k, n in zip(keys, new_keys)])
+    # Work names must differ from the table's own columns and from one another.
+    names = {c: fresh_name(target, f"_new_{c}") for c in columns}
+    offered = new.withColumnsRenamed(names)
+    condition = reduce(lambda a, b: a & b, [F.col(k) == F.col(names[k]) for k in keys])
     clash = F.raise_error(F.lit("several source rows match the same target row")).cast("boolean")
-    taken = F.col(new_keys[0]).isNotNull()
-    values = [F.when(taken, F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c) for c in columns]
+    taken = F.col(names[keys[0]]).isNotNull()
+    values = [F.when(taken, F.col(names[c])).otherwise(F.col(c)).alias(c) for c in columns]
 
     if large_source:
         # The count per key uses the same partitioning as the join.
-        counted = offered.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(*new_keys)))
+        n = fresh_name(target, "_n", offered)
+        counted = offered.withColumn(n, F.count(F.lit(1)).over(Window.partitionBy(*[names[k] for k in keys])))
         joined = old.join(counted.hint("merge"), condition, "full_outer")
-        met = F.col(keys[0]).isNotNull() & taken & (F.col("_n") > 1)
+        met = F.col(keys[0]).isNotNull() & taken & (F.col(n) > 1)
         return joined.filter(F.when(met, clash).otherwise(True)).select(*values).unionByName(beside)
 
     updated = old.join(offered, condition, "left").select(*values)
     # The keys present on both sides, from key columns only; two source rows of one such key are the error.
-    pairs = old.select(*keys).join(new.select(*keys, F.monotonically_increasing_id().alias("_row")), keys)
-    matched = pairs.groupBy(*keys).agg(F.min("_row").alias("_first"), F.max("_row").alias("_last"))
-    matched = matched.filter(F.when(F.col("_first") < F.col("_last"), clash).otherwise(True)).select(*keys)
+    row, first, last = (fresh_name(target, name) for name in ("_row", "_first", "_last"))
+    pairs = old.select(*keys).join(new.select(*keys, F.monotonically_increasing_id().alias(row)), keys)
+    matched = pairs.groupBy(*keys).agg(F.min(row).alias(first), F.max(row).alias(last))
+    matched = matched.filter(F.when(F.col(first) < F.col(last), clash).otherwise(True)).select(*keys)
     inserts = new.join(matched, keys, "left_anti").select(*columns)
     return updated.unionByName(inserts).unionByName(beside)
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from lakeops.operators.names import fresh_name, fresh_names
 from lakeops.session import discard, materialize
 
 #: A stored side of a join is broadcast up to this size, and joined by a shuffle beyond it.
@@ -18,9 +19,10 @@ BROADCAST_BYTES = 64 << 20
 
 def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
     """Equi-join in which NULL keys match each other; the right side's keys are dropped."""
-    renamed = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
-    condition = [F.col(k).eqNullSafe(F.col(f"_right_{k}")) for k in keys]
-    return left.join(renamed, condition, how).drop(*[f"_right_{k}" for k in keys])
+    names = {k: fresh_name(left, f"_right_{k}", right) for k in keys}
+    renamed = right.withColumnsRenamed(names)
+    condition = [F.col(k).eqNullSafe(F.col(n)) for k, n in names.items()]
+    return left.join(renamed, condition, how).drop(*names.values())
 
 
 def join_measured(left: DataFrame, stored: DataFrame, keys: list[str], row_bytes: int, how: str = "inner") -> DataFrame:
@@ -48,21 +50,24 @@ def running_totals(df: DataFrame, totals: dict[str, Column], order_by: list[Colu
     """
     partition_by = list(partition_by)
     end = 0 if inclusive else -1
+    named = df.withColumns(totals)
+    chunk, *rest = fresh_names(named, "_chunk", *[f"_sum_{n}" for n in totals], *[f"_before_{n}" for n in totals])
+    sums, befores = dict(zip(totals, rest)), dict(zip(totals, rest[len(totals):]))
 
     def local_sum(value: Column, *by: str) -> Column:
         window = Window.partitionBy(*by).orderBy(*order_by)
         return F.coalesce(F.sum(value).over(window.rowsBetween(Window.unboundedPreceding, end)), F.lit(0))
 
-    spread = _spread(df.withColumns(totals), partition_by, order_by, chunks)
-    spread = materialize(spread.withColumn("_chunk", F.spark_partition_id()))
-    chunk_sums = spread.groupBy("_chunk", *partition_by).agg(*[F.sum(n).alias(f"_sum_{n}") for n in totals])
-    earlier = (Window.partitionBy(*partition_by).orderBy("_chunk")
+    spread = _spread(named, partition_by, order_by, chunks)
+    spread = materialize(spread.withColumn(chunk, F.spark_partition_id()))
+    chunk_sums = spread.groupBy(chunk, *partition_by).agg(*[F.sum(n).alias(sums[n]) for n in totals])
+    earlier = (Window.partitionBy(*partition_by).orderBy(chunk)
                .rowsBetween(Window.unboundedPreceding, -1))
-    before = chunk_sums.select("_chunk", *partition_by, *[
-        F.coalesce(F.sum(f"_sum_{n}").over(earlier), F.lit(0)).alias(f"_before_{n}") for n in totals])
-    joined = join_null_safe(spread, before, ["_chunk", *partition_by])
+    before = chunk_sums.select(chunk, *partition_by, *[
+        F.coalesce(F.sum(sums[n]).over(earlier), F.lit(0)).alias(befores[n]) for n in totals])
+    joined = join_null_safe(spread, before, [chunk, *partition_by])
     summed = joined.select(*df.columns, *[
-        (local_sum(F.col(n), "_chunk", *partition_by) + F.col(f"_before_{n}")).alias(n) for n in totals])
+        (local_sum(F.col(n), chunk, *partition_by) + F.col(befores[n])).alias(n) for n in totals])
     summed.stored_at = spread.stored_at  # discard() of the result frees what it reads
     return summed
 
@@ -73,16 +78,20 @@ def row_number_by(df: DataFrame, partition_by: list[str], order_by: list[Column]
     # In a sorted task this id counts rows from 0 in its lower 33 bits, below the task's number, so
     # a row's place needs no window and no second shuffle, only where its group starts.
     keys = [F.col(c) for c in partition_by]
+    place, chunk, start, count, shift = fresh_names(df, "_place", "_chunk", "_start", "_n", "_shift")
     placed = (_spread(df, partition_by, order_by, chunks)
-              .sortWithinPartitions(*keys, *order_by).withColumn("_place", F.monotonically_increasing_id()))
-    placed = materialize(placed).withColumn("_chunk", F.shiftright("_place", 33))
-    starts = placed.groupBy("_chunk", *partition_by).agg(F.min("_place").alias("_start"), F.count(F.lit(1)).alias("_n"))
-    earlier = (Window.partitionBy(*partition_by).orderBy("_chunk")
+              .sortWithinPartitions(*keys, *order_by).withColumn(place, F.monotonically_increasing_id()))
+    stored = materialize(placed)
+    placed = stored.withColumn(chunk, F.shiftright(place, 33))
+    starts = placed.groupBy(chunk, *partition_by).agg(F.min(place).alias(start), F.count(F.lit(1)).alias(count))
+    earlier = (Window.partitionBy(*partition_by).orderBy(chunk)
                .rowsBetween(Window.unboundedPreceding, -1))
-    starts = starts.select("_chunk", *partition_by, (
-        F.coalesce(F.sum("_n").over(earlier), F.lit(0)) + 1 - F.col("_start")).alias("_shift"))
-    return join_null_safe(placed, starts, ["_chunk", *partition_by]).select(
-        *df.columns, (F.col("_place") + F.col("_shift")).alias(name))
+    starts = starts.select(chunk, *partition_by, (
+        F.coalesce(F.sum(count).over(earlier), F.lit(0)) + 1 - F.col(start)).alias(shift))
+    numbered = join_null_safe(placed, starts, [chunk, *partition_by]).select(
+        *df.columns, (F.col(place) + F.col(shift)).alias(name))
+    numbered.stored_at = stored.stored_at
+    return numbered
 
 
 def rank_by(df: DataFrame, partition_by: list[str], value: str, descending: bool = True, name: str = "rank",
@@ -94,9 +103,11 @@ def rank_by(df: DataFrame, partition_by: list[str], value: str, descending: bool
     skewed-join handling.
     """
     order = F.col(value).desc() if descending else F.col(value).asc()
-    counts = materialize(df.groupBy(*partition_by, value).agg(F.count(F.lit(1)).alias("_n")))
-    ahead = running_totals(counts, {"_ahead": F.col("_n")}, [order], partition_by, inclusive=False, chunks=chunks)
-    ranks = materialize(ahead.select(*partition_by, value, (F.col("_ahead") + 1).alias(name)))
+    # Two of these names could only meet if a grouping column had one of them.
+    count, before = fresh_names(df, "_n", "_ahead")
+    counts = materialize(df.groupBy(*partition_by, value).agg(F.count(F.lit(1)).alias(count)))
+    ahead = running_totals(counts, {before: F.col(count)}, [order], partition_by, inclusive=False, chunks=chunks)
+    ranks = materialize(ahead.select(*partition_by, value, (F.col(before) + 1).alias(name)))
     discard(counts, ahead)
     return join_measured(df, ranks, [*partition_by, value], 64)
 

@@ -130,3 +130,12 @@ def test_filter_binds_its_value(spark):
     assert filter_table(spark, "filter_rows", "s", "=", "a' OR '1'='1").count() == 1
     with pytest.raises(ValueError):
         filter_table(spark, "filter_rows", "v", "; DROP", 1)
+
+
+@pytest.mark.parametrize("large", [False, True])
+def test_merge_with_columns_named_like_work_columns(spark, large):
+    names = "_n int, _row int, _first int, _last int, _new_k int, k int"
+    target = spark.createDataFrame([(1, 1, 1, 1, 1, 1), (2, 2, 2, 2, 2, 2)], names)
+    source = spark.createDataFrame([(9, 9, 9, 9, 9, 2), (8, 8, 8, 8, 8, 3)], names)
+    rows = changes.merge_upsert(target, source, ["k"], large_source=large).collect()
+    assert sorted(map(tuple, rows)) == [(1, 1, 1, 1, 1, 1), (8, 8, 8, 8, 8, 3), (9, 9, 9, 9, 9, 2)]

@@ -80,3 +80,13 @@ def test_quick_ids_are_unique_and_top_rows(spark):
     ids = ordering.quick_row_id(spark.range(100).repartition(5).withColumnRenamed("id", "k"))
     assert ids.select("id").distinct().count() == 100
     assert [r[0] for r in ordering.top_rows(spark.range(100), [F.col("id").desc()], 3).collect()] == [99, 98, 97]
+
+
+def test_columns_named_like_work_columns(spark):
+    rows = spark.createDataFrame([(i % 2, i, 7, 7, 7, 7, 7) for i in range(20)],
+                                 "g int, v int, _place int, _chunk int, _start int, _n int, _shift int")
+    numbered = ordering.row_number_by(rows, ["g"], [F.col("v")]).collect()
+    assert all(r.row_number == r.v // 2 + 1 and r._chunk == 7 for r in numbered)
+    summed = ordering.running_totals(rows, {"total": F.col("v")}, [F.col("v")], ["g"]).collect()
+    assert all(r.total == sum(range(r.g, r.v + 1, 2)) for r in summed)
+    assert {r["rank"] for r in ordering.rank_by(rows, ["_n"], "v").collect()} == set(range(1, 21))
