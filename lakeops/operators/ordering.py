@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from lakeops.operators.names import fresh_name, fresh_names
+from lakeops.operators.names import column, fresh_name, fresh_names
 from lakeops.session import discard, materialize
 
 #: A stored side of a join is broadcast up to this size, and joined by a shuffle beyond it.
@@ -66,7 +66,7 @@ def running_totals(df: DataFrame, totals: dict[str, Column], order_by: list[Colu
     before = chunk_sums.select(chunk, *partition_by, *[
         F.coalesce(F.sum(sums[n]).over(earlier), F.lit(0)).alias(befores[n]) for n in totals])
     joined = join_null_safe(spread, before, [chunk, *partition_by])
-    summed = joined.select(*df.columns, *[
+    summed = joined.select(*[F.col(column(c)) for c in df.columns], *[
         (local_sum(F.col(n), chunk, *partition_by) + F.col(befores[n])).alias(n) for n in totals])
     summed.stored_at = spread.stored_at  # discard() of the result frees what it reads
     return summed
@@ -89,7 +89,7 @@ def row_number_by(df: DataFrame, partition_by: list[str], order_by: list[Column]
     starts = starts.select(chunk, *partition_by, (
         F.coalesce(F.sum(count).over(earlier), F.lit(0)) + 1 - F.col(start)).alias(shift))
     numbered = join_null_safe(placed, starts, [chunk, *partition_by]).select(
-        *df.columns, (F.col(place) + F.col(shift)).alias(name))
+        *[F.col(column(c)) for c in df.columns], (F.col(place) + F.col(shift)).alias(name))
     numbered.stored_at = stored.stored_at
     return numbered
 
