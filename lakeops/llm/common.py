@@ -7,6 +7,8 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from lakeops.operators.names import fresh_name  # noqa: F401
+
 TEXT_ROWS = 256
 
 
@@ -14,14 +16,6 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def fresh_name(df: DataFrame, name: str) -> str:
-    """``name``, with underscores in front until no column of ``df`` has it (Spark ignores case)."""
-    taken = {c.lower() for c in df.columns}
-    while name.lower() in taken:
-        name = "_" + name
-    return name
-
-
 def text_of(column: str):
     """The column as text, with NULL as the empty text."""
     return F.coalesce(F.col(f"`{column}`").cast("string"), F.lit(""))

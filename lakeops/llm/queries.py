@@ -5,7 +5,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeops.llm import decontaminate, html_text, licences, line_windows, packing, simhash, suffixes, toxicity, vectors
+from lakeops.llm import (
+    decontaminate, html_text, licences, line_windows, packing, sharding, simhash, suffixes, toxicity, vectors,
+)
 from lakeops.llm.common import table
 from lakeops.llm.tokens import count_tokens
 
@@ -53,6 +55,10 @@ def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.report(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op12_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    return sharding.report(table(spark, folder, "documents"))
+
+
 QUERIES = {
     "op1_html_text": op1_html_text,
     "op2_nearest_vectors": op2_nearest_vectors,
@@ -64,6 +70,7 @@ QUERIES = {
     "op8_line_windows": op8_line_windows,
     "op9_token_counts": op9_token_counts,
     "op10_decontamination": op10_decontamination,
+    "op12_sharding": op12_sharding,
 }
 ORACLES = {
     "op5_suffix_dedup": suffixes.REPORT_SQL,
