@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from lakeops.llm import (
-    decontaminate, html_text, licences, line_windows, packing, sharding, simhash, suffixes, toxicity, vectors,
+    decontaminate, html_text, licences, line_windows, packing, sharding, simhash, suffixes, toxicity, vector_codes,
+    vectors,
 )
 from lakeops.llm.common import table
 from lakeops.llm.tokens import count_tokens
@@ -55,6 +56,10 @@ def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.report(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op11_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    return vector_codes.report(table(spark, folder, "embeddings"))
+
+
 def op12_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.report(table(spark, folder, "documents"))
 
@@ -70,10 +75,12 @@ QUERIES = {
     "op8_line_windows": op8_line_windows,
     "op9_token_counts": op9_token_counts,
     "op10_decontamination": op10_decontamination,
+    "op11_vector_codes": op11_vector_codes,
     "op12_sharding": op12_sharding,
 }
 ORACLES = {
     "op5_suffix_dedup": suffixes.REPORT_SQL,
     "op8_line_windows": line_windows.REPORT_SQL,
     "op10_decontamination": decontaminate.REPORT_SQL,
+    "op11_vector_codes": vector_codes.report_sql(),
 }
