@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from lakeops.llm import (
-    decontaminate, html_text, licences, line_windows, packing, sharding, simhash, suffixes, toxicity, vector_codes,
-    vectors,
+    decontaminate, divergence, html_text, licences, line_windows, packing, sharding, simhash, suffixes, toxicity,
+    vector_codes, vectors,
 )
 from lakeops.llm.common import table
 from lakeops.llm.tokens import count_tokens
@@ -64,6 +64,10 @@ def op12_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.report(table(spark, folder, "documents"))
 
 
+def op13_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.audit(table(spark, folder, "documents"))
+
+
 QUERIES = {
     "op1_html_text": op1_html_text,
     "op2_nearest_vectors": op2_nearest_vectors,
@@ -77,10 +81,12 @@ QUERIES = {
     "op10_decontamination": op10_decontamination,
     "op11_vector_codes": op11_vector_codes,
     "op12_sharding": op12_sharding,
+    "op13_source_divergence": op13_source_divergence,
 }
 ORACLES = {
     "op5_suffix_dedup": suffixes.REPORT_SQL,
     "op8_line_windows": line_windows.REPORT_SQL,
     "op10_decontamination": decontaminate.REPORT_SQL,
     "op11_vector_codes": vector_codes.report_sql(),
+    "op13_source_divergence": divergence.audit_sql(),
 }
