@@ -1,8 +1,8 @@
 """How the sources of a language differ in their words, from an index that is built in one pass.
 
 Each task indexes its documents in memory: per language and source, how often a term occurs and in how many documents.
-When the block is full it is written as a run sorted by language, term and source. The runs are then merged, term shard
-by term shard, through a heap; a merge sees a bounded number of runs, so beyond it there are several levels. What comes
+When the block is full it is written as a run, sorted by term and cut into shards of terms by hash. The runs of a shard
+are then merged through a heap; a merge sees a bounded number of runs, so beyond it there are several levels. What comes
 out is one posting list per term that enough documents of its language hold. Differences between two sources are summed
 from a common base, the chance of a term that neither has, plus corrections streamed from the posting lists.
 """
@@ -12,12 +12,13 @@ from __future__ import annotations
 import heapq
 import itertools
 import math
-import re
-from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from typing import NamedTuple
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -30,153 +31,276 @@ TOP_TERMS = 50
 #: A chance of 1 as a whole number, and what is added to every count.
 UNIT = 1_000_000_000
 SMOOTHING = 5
-#: (language, source, term) entries that an index block holds before it is written.
-BLOCK_ENTRIES = 300_000
-#: Runs merged at once, and the entries that a merging task aims at.
+#: (document, term) postings that an index block holds before it is written.
+BLOCK_POSTINGS = 3_000_000
+#: Runs merged at once, and the shards of terms that a run is cut into; each further level of merging cuts finer.
 FAN_IN = 256
-MERGE_ENTRIES = 250_000
-#: Longer texts are indexed piece by piece, cut between terms.
-PIECE_BYTES = 1 << 20
+SHARDS = 256
+FINER = 16
+#: Texts are cut into terms so many bytes at a time; longer ones between terms.
+PIECE_BYTES = 4 << 20
 #: Sources whose differences a task sums in one table.
 TABLE_SOURCES = 1024
 #: Estimated bytes of one broadcast row of group totals.
 GROUP_BYTES = 128
 
-#: Bytes of a term in lower-cased UTF-8: letters and everything outside ASCII.
-TERM = re.compile(rb"[a-z\x80-\xff]+")
-_BREAK = re.compile(rb"[^a-z\x80-\xff]")
-_RUNS = "run long, lang string, term binary, source string, n long, docs long"
-_NAMES = ["run", "lang", "term", "source", "n", "docs"]
+_CODES = np.arange(256)
+_UPPER = (_CODES >= ord("A")) & (_CODES <= ord("Z"))
+_LOWERED = np.where(_UPPER, _CODES + 32, _CODES).astype(np.uint8)
+#: Bytes of terms: ASCII letters and everything outside ASCII.
+_IN_TERM = _UPPER | ((_CODES >= ord("a")) & (_CODES <= ord("z"))) | (_CODES >= 0x80)
+
+_RUNS = "run long, shard int, langs array<string>, sources array<string>, postings binary"
+_RUN_NAMES = ["run", "shard", "langs", "sources", "postings"]
+#: A shard of a run: by term, then by group, which counts up the languages and sources named beside it.
+_POSTINGS = pa.schema([("term", pa.binary()), ("group", pa.int32()), ("n", pa.int64()), ("docs", pa.int64())])
 _LISTS = "lang string, term binary, sources array<string>, counts array<long>, docs long"
 
 
 # -- blocks in memory, written as sorted runs ------------------------------------------------------------------------
 
-def _pieces(text: bytes) -> Iterator[bytes]:
-    """The lower-cased text in pieces of about ``PIECE_BYTES`` that cut no term."""
-    text, start = text.lower(), 0
-    while len(text) - start > PIECE_BYTES:
-        cut = _BREAK.search(text, start + PIECE_BYTES)
-        if cut is None:
-            break
-        yield text[start:cut.start()]
-        start = cut.end()
-    yield text[start:] if start else text
-
+class Counts(NamedTuple):
+    """Entries in the order of (term, group); ``terms`` and ``groups`` are sorted and distinct."""
+    terms: pa.BinaryArray
+    groups: list[tuple[str, str]]
+    term: np.ndarray
+    group: np.ndarray
+    n: np.ndarray
+    docs: np.ndarray
 
-class Block:
-    """Postings of the documents seen since the last run; the empty term counts documents, so groups without terms stay."""
-
-    def __init__(self):
-        self.groups: dict[tuple[str, str], tuple[Counter, Counter]] = {}
-        self.entries = 0
 
-    def add(self, lang: str, source: str, text: bytes) -> None:
-        counts, holders = self.groups.setdefault((lang, source), (Counter(), Counter()))
-        before = len(holders)
-        seen = {b""}
-        for piece in _pieces(text):
-            terms = TERM.findall(piece)
-            counts.update(terms)
-            seen.update(terms)
-        holders.update(seen)
-        self.entries += len(holders) - before
+def _distinct(arrays: list[pa.Array]) -> tuple[pa.Array, np.ndarray]:
+    """The sorted distinct values of some arrays, and the place of each given value among them."""
+    coded = pa.concat_arrays(arrays).dictionary_encode()
+    order = pc.sort_indices(coded.dictionary)
+    place = np.empty(len(order), np.int64)
+    place[order.to_numpy()] = np.arange(len(order))
+    return coded.dictionary.take(order), place[coded.indices.to_numpy()]
 
-    def rows(self) -> list[tuple[str, bytes, str, int, int]]:
-        """(lang, term, source, occurrences, documents), sorted by the first three."""
-        return sorted((lang, term, source, counts[term], docs) for (lang, source), (counts, holders)
-                      in self.groups.items() for term, docs in holders.items())
 
+def _starts(key: np.ndarray) -> np.ndarray:
+    """Where runs of equal values begin in a sorted array."""
+    return np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))) if len(key) else np.zeros(0, np.int64)
 
-def _batches(rows, schema: pa.Schema, size: int = 10_000) -> Iterator[pa.RecordBatch]:
-    rows = iter(rows)
-    while part := list(itertools.islice(rows, size)):
-        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*part), schema)], schema=schema)
 
+def cut_terms(data: np.ndarray, starts: np.ndarray) -> tuple[pa.BinaryArray, np.ndarray]:
+    """The lower-cased terms of texts that lie one after another in ``data``, and the text that each is from."""
+    inside = _IN_TERM[data]
+    first = inside.copy()
+    first[1:] &= ~inside[:-1]
+    within = starts[starts < len(data)]
+    first[within] = inside[within]
+    begin = np.flatnonzero(first)
+    kept = _LOWERED[data[inside]]
+    offsets = np.append(inside.cumsum(dtype=np.int32)[begin] - 1, len(kept)).astype(np.int32)
+    terms = pa.BinaryArray.from_buffers(pa.binary(), len(begin), [None, pa.py_buffer(offsets), pa.py_buffer(kept)])
+    return terms, np.searchsorted(starts, begin, side="right") - 1
 
-_RUN_SCHEMA = pa.schema([("run", pa.int64()), ("lang", pa.string()), ("term", pa.binary()), ("source", pa.string()),
-                         ("n", pa.int64()), ("docs", pa.int64())])
-_LIST_SCHEMA = pa.schema([("lang", pa.string()), ("term", pa.binary()), ("sources", pa.list_(pa.string())),
-                          ("counts", pa.list_(pa.int64())), ("docs", pa.int64())])
 
+class Block:
+    """(document, term) postings since the last run; the empty term stands in every document, so none is lost."""
 
-def index_runs(docs: DataFrame, block_entries: int = BLOCK_ENTRIES) -> DataFrame:
-    """One row per run and (lang, term, source), from the columns lang, source and text."""
+    def __init__(self):
+        self.groups: dict[tuple[str, str], int] = {}
+        self.group_of: list[int] = []
+        self.pieces: list[tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]] = []
+        self.size = 0
+
+    def add(self, groups: list[tuple[str, str]], data: np.ndarray, offsets: np.ndarray) -> None:
+        """Texts between neighbouring ``offsets`` of ``data``, each in a group."""
+        first = len(self.group_of)
+        self.group_of += [self.groups.setdefault(g, len(self.groups)) for g in groups]
+        self.size += len(groups)
+        if offsets[-1] - offsets[0] <= PIECE_BYTES:
+            self._keep(*_postings(data[offsets[0]:offsets[-1]], offsets[:-1] - offsets[0]), first)
+        else:  # one long text: its pieces become one set of postings again
+            pieces = [_postings(piece, np.zeros(1, np.int64)) for piece in _pieces(data[offsets[0]:offsets[-1]])]
+            terms, place = _distinct([p[0] for p in pieces])
+            local = np.concatenate([p[1] + at for p, at in zip(pieces, np.cumsum([0, *[len(p[0]) for p in pieces]]))])
+            counts = np.bincount(place[local], np.concatenate([p[3] for p in pieces]), len(terms)).astype(np.int64)
+            self._keep(terms, np.arange(len(terms)), np.zeros(len(terms), np.int64), counts, first)
+
+    def _keep(self, terms: pa.Array, code: np.ndarray, text: np.ndarray, n: np.ndarray, first: int) -> None:
+        self.pieces.append((terms, code, text + first, n))
+        self.size += len(code)
+
+    def counts(self) -> Counts:
+        docs = len(self.group_of)
+        pieces = [*self.pieces, (pa.array([b""], pa.binary()), np.zeros(docs, np.int64), np.arange(docs),
+                                 np.zeros(docs, np.int64))]
+        terms, place = _distinct([p[0] for p in pieces])
+        ends = np.cumsum([0, *[len(p[0]) for p in pieces]])
+        term = place[np.concatenate([code + at for (_, code, _, _), at in zip(pieces, ends)])]
+        names = sorted(self.groups)
+        rank = np.empty(len(names), np.int64)
+        rank[[self.groups[g] for g in names]] = np.arange(len(names))
+        group = rank[np.array(self.group_of, np.int64)][np.concatenate([p[2] for p in pieces])]
+        key = term * len(names) + group
+        order = np.argsort(key, kind="stable")
+        key = key[order]
+        start = _starts(key)
+        n = np.add.reduceat(np.concatenate([p[3] for p in pieces])[order], start)
+        return Counts(terms, names, key[start] // len(names), key[start] % len(names), n,
+                      np.diff(start, append=len(key)))
+
+
+def _postings(data: np.ndarray, starts: np.ndarray) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct terms, and per (text, term): the term's place among them, the text, the occurrences."""
+    terms, text = cut_terms(data, starts)
+    coded = terms.dictionary_encode()
+    size = max(1, len(coded.dictionary))
+    key, n = np.unique(text * size + coded.indices.to_numpy(), return_counts=True)
+    return coded.dictionary, key % size, key // size, n
+
+
+def _pieces(data: np.ndarray) -> Iterator[np.ndarray]:
+    """A long text in pieces of about ``PIECE_BYTES`` that cut no term."""
+    start = 0
+    while len(data) - start > PIECE_BYTES:
+        end = start + PIECE_BYTES
+        while end < len(data) and _IN_TERM[data[end:end + 4096]].all():
+            end += 4096
+        end = min(len(data), end + int(np.argmin(_IN_TERM[data[end:end + 4096]]))) if end < len(data) else len(data)
+        yield data[start:end]
+        start = end
+    yield data[start:]
+
+
+def _segments(run: int, counts: Counts, shards: int) -> Iterator[pa.RecordBatch]:
+    """A run as one row per shard of terms."""
+    if not len(counts.term):
+        return
+    hashes = pd.util.hash_array(np.array(counts.terms.to_pylist(), dtype=object), categorize=False)
+    shard = (hashes % np.uint64(shards)).astype(np.int64)[counts.term]
+    order = np.argsort(shard, kind="stable")
+    cuts = np.append(_starts(shard[order]), len(order))
+    for start, end in zip(cuts, cuts[1:]):
+        some = order[start:end]
+        used, group = np.unique(counts.group[some], return_inverse=True)
+        langs, sources = zip(*(counts.groups[g] for g in used))
+        postings = pa.RecordBatch.from_arrays(
+            [counts.terms.take(pa.array(counts.term[some])), pa.array(group, pa.int32()), pa.array(counts.n[some]),
+             pa.array(counts.docs[some])], schema=_POSTINGS)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([run], pa.int64()), pa.array([shard[some[0]]], pa.int32()),
+             pa.array([langs], pa.list_(pa.string())), pa.array([sources], pa.list_(pa.string())),
+             pa.array([postings.serialize().to_pybytes()], pa.binary())], _RUN_NAMES)
+
+
+def index_runs(docs: DataFrame, block_postings: int = BLOCK_POSTINGS, shards: int = SHARDS) -> DataFrame:
+    """Rows of runs, from the columns lang, source and text, which hold no NULL."""
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, run = Block(), TaskContext.get().partitionId() << 24
         for batch in batches:
-            langs, sources = (batch.column(i).to_pylist() for i in (0, 1))
-            for i, (lang, source) in enumerate(zip(langs, sources)):
-                block.add(lang, source, batch.column(2)[i].cast(pa.binary()).as_py())
-                if block.entries >= block_entries:
-                    yield from _batches(((run, *r) for r in block.rows()), _RUN_SCHEMA)
+            groups = list(zip(*(batch.column(i).to_pylist() for i in (0, 1))))
+            text = batch.column(2).cast(pa.large_binary())
+            _, offsets, data = text.buffers()
+            offsets = np.frombuffer(offsets, np.int64)[text.offset:text.offset + len(text) + 1] if len(text) else None
+            data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
+            start = 0
+            while start < len(text):
+                end = max(start + 1, int(np.searchsorted(offsets, offsets[start] + PIECE_BYTES, side="right")) - 1)
+                block.add(groups[start:end], data, offsets[start:end + 1])
+                start = end
+                if block.size >= block_postings:
+                    yield from _segments(run, block.counts(), shards)
                     block, run = Block(), run + 1
-        yield from _batches(((run, *r) for r in block.rows()), _RUN_SCHEMA)
+        if block.size:
+            yield from _segments(run, block.counts(), shards)
 
     return docs.mapInArrow(index, _RUNS)
 
 
 # -- merging runs ----------------------------------------------------------------------------------------------------
 
-def _merge(runs: dict[int, list]) -> Iterator[tuple[tuple[str, bytes, str], int, int]]:
-    """((lang, term, source), occurrences, documents) over all runs, in order, through a heap over the runs."""
-    for rows in runs.values():
-        rows.sort()  # a run that Spark read in two pieces is two sorted stretches
-    for key, rows in itertools.groupby(heapq.merge(*runs.values()), key=lambda r: r[:3]):
-        n = docs = 0
-        for row in rows:
-            n, docs = n + row[3], docs + row[4]
-        yield key, n, docs
+def merge_segments(segments: list[tuple[list[str], list[str], bytes]]) -> Counts:
+    """One shard of several runs: entries go through a heap over the runs, and those of one term and group are summed.
+
+    A heap entry is one whole number: the term's place, the group's place, the entry's own place.
+    """
+    names = sorted({g for langs, sources, _ in segments for g in zip(langs, sources)})
+    at = {g: i for i, g in enumerate(names)}
+    runs = [pa.ipc.read_record_batch(pa.py_buffer(data), _POSTINGS) for _, _, data in segments]
+    terms, term = _distinct([r.column("term") for r in runs])
+    group = np.concatenate([np.array([at[g] for g in zip(langs, sources)], np.int64)[r.column("group").to_numpy()]
+                            for (langs, sources, _), r in zip(segments, runs)])
+    size = len(term)
+    kind = np.int64 if len(terms) * len(names) * size < 1 << 63 else object
+    packed = (term.astype(kind) * len(names) + group) * size + np.arange(size)
+    ends = np.cumsum([0, *[r.num_rows for r in runs]])
+    merged = np.fromiter(heapq.merge(*(packed[a:b].tolist() for a, b in zip(ends, ends[1:]))), kind, size)
+    key, order = merged // size, (merged % size).astype(np.int64)
+    start = _starts(key)
+    n, docs = (np.add.reduceat(np.concatenate([r.column(c).to_numpy() for r in runs])[order], start)
+               for c in ("n", "docs"))
+    return Counts(terms, names, (key[start] // len(names)).astype(np.int64), (key[start] % len(names)).astype(np.int64),
+                  n, docs)
+
+
+def _lists(counts: Counts, min_documents: int) -> pa.RecordBatch:
+    """Posting lists of the terms in enough documents of a language; the empty term's counts are documents."""
+    langs = sorted({lang for lang, _ in counts.groups})
+    lang_of = np.array([langs.index(lang) for lang, _ in counts.groups], np.int64) if len(langs) < 100 else np.unique(
+        np.array([lang for lang, _ in counts.groups], object), return_inverse=True)[1]
+    sources = pa.array([source for _, source in counts.groups], pa.string())
+    key = counts.term * len(langs) + lang_of[counts.group]
+    start = _starts(key)
+    docs = np.add.reduceat(counts.docs, start)
+    marker = np.array([not t.as_py() for t in counts.terms[:1]] or [False])[0]
+    empty = (counts.term == 0) & marker
+    kept = (docs >= min_documents) | empty[start]
+    sizes = np.diff(start, append=len(key))
+    chosen = np.repeat(kept, sizes)
+    offsets = pa.array(np.concatenate(([0], sizes[kept].cumsum())), pa.int32())
+    return pa.RecordBatch.from_arrays(
+        [pa.array(langs, pa.string()).take(pa.array(key[start][kept] % len(langs))),
+         counts.terms.take(pa.array(key[start][kept] // len(langs))),
+         pa.ListArray.from_arrays(offsets, sources.take(pa.array(counts.group[chosen]))),
+         pa.ListArray.from_arrays(offsets, pa.array(np.where(empty, counts.docs, counts.n)[chosen])),
+         pa.array(docs[kept])], ["lang", "term", "sources", "counts", "docs"])
 
 
-def _read(batches: Iterator[pa.RecordBatch]) -> dict[int, dict[int, list]]:
-    """The runs of a task's shard by the group of runs they are merged in."""
-    groups: dict[int, dict[int, list]] = {}
-    for batch in batches:
-        group, run, *cells = (c.to_pylist() for c in batch.columns)
-        for key, rows in itertools.groupby(zip(zip(group, run), zip(*cells)), key=lambda r: r[0]):
-            groups.setdefault(key[0], {}).setdefault(key[1], []).extend(r for _, r in rows)
-    return groups
+def _shards(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[int, Counts]]:
+    """(group of runs, merged counts) of each shard in a task, whose rows come sorted by both."""
+    rows = (row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns)))
+    for (group, _), some in itertools.groupby(rows, key=lambda r: r[:2]):
+        yield group, merge_segments([r[2:] for r in some])
 
 
 def merge_runs(runs: DataFrame, min_documents: int = MIN_DOCUMENTS, fan_in: int = FAN_IN,
-               merge_entries: int = MERGE_ENTRIES) -> DataFrame:
+               shards: int = SHARDS) -> DataFrame:
     """Posting lists (lang, term, sources, counts, docs) of the terms in at least ``min_documents`` documents of a
     language, and of the empty term, whose counts are the documents of each source.
 
-    Terms are dealt to shards by hash, as many as the counted entries ask for. While there are more than ``fan_in``
-    runs, groups of about that many are merged into one each, so a term that every run holds never brings more than
-    about ``fan_in`` entries per source to one task. ``runs`` must be stored; it is discarded.
+    While there are more than ``fan_in`` runs, groups of about that many are merged into one each, so a term that every
+    run holds never brings more than about ``fan_in`` entries per source to one task; the merged runs are longer and
+    so cut into more shards. ``runs`` must be stored; it is discarded.
     """
-    least = int(runs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-    def into_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group, held in _read(batches).items():
-            yield from _batches(((group, *key, n, docs) for key, n, docs in _merge(held)), _RUN_SCHEMA)
-
-    def into_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def lists():
-            rows_in_order = _merge(_read(batches).get(0, {}))
-            for (lang, term), rows in itertools.groupby(rows_in_order, key=lambda r: r[0][:2]):
-                rows = list(rows)
-                docs = sum(r[2] for r in rows)
-                if not term or docs >= min_documents:
-                    yield lang, term, [r[0][2] for r in rows], [r[1] if term else r[2] for r in rows], docs
-        yield from _batches(lists(), _LIST_SCHEMA, 1_000)
-
+    spark = runs.sparkSession
     while True:
-        entries, number = runs.agg(F.count(F.lit(1)), F.count_distinct("run")).first()
+        number = runs.agg(F.count_distinct("run")).first()[0]
         groups = math.ceil(number / fan_in)
         group = F.pmod(F.xxhash64("run"), F.lit(groups)) if groups > 1 else F.lit(0).cast("long")
-        shards = max(least, math.ceil(entries / merge_entries))
-        dealt = runs.select(group.alias("group"), *_NAMES).repartition(shards, "group", "lang", "term")
+        tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), shards, shards * groups)
+        dealt = (runs.select(group.alias("group"), *_RUN_NAMES[1:]).repartition(tasks, "group", "shard")
+                 .sortWithinPartitions("group", "shard"))
+        finer = shards * FINER
+
+        def into_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for group, counts in _shards(batches):
+                yield from _segments(group, counts, finer)
+
+        def into_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for _, counts in _shards(batches):
+                yield _lists(counts, min_documents)
+
         merged = materialize(dealt.mapInArrow(into_runs, _RUNS) if groups > 1 else
                              dealt.mapInArrow(into_lists, _LISTS))
         discard(runs)
         if groups <= 1:
             return merged
-        runs = merged
+        runs, shards = merged, finer
 
 
 # -- chances and their differences -----------------------------------------------------------------------------------
@@ -237,45 +361,53 @@ def _corrections(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield _pair_rows(lang, names, names, tables.pop(lang)[:len(names), :len(names)])
 
     for batch in batches:
-        for row in batch.to_pylist():
-            lang, held = row["lang"], row["held"]
-            names = [h["source"] for h in held]
-            p, base = (np.array([h[c] for h in held], np.int64) for c in ("p", "base"))
+        langs, held = batch.column("lang").to_pylist(), batch.column("held")
+        cuts = np.diff(held.offsets.to_numpy()).cumsum()
+        cells = held.flatten()
+        source, all_p, all_base = (cells.field(c) for c in ("source", "p", "base"))
+        source = source.dictionary_encode()
+        known, codes = source.dictionary.to_pylist(), source.indices.to_numpy()
+        all_p, all_base = all_p.to_numpy(), all_base.to_numpy()
+        for lang, start, end in zip(langs, [0, *cuts], cuts):
+            names, p, base = [known[c] for c in codes[start:end]], all_p[start:end], all_base[start:end]
             if len(names) > TABLE_SOURCES:
-                cuts = [slice(i, i + TABLE_SOURCES) for i in range(0, len(names), TABLE_SOURCES)]
-                for i, j in itertools.product(cuts, cuts):
+                blocks = [slice(i, i + TABLE_SOURCES) for i in range(0, len(names), TABLE_SOURCES)]
+                for i, j in itertools.product(blocks, blocks):
                     sums = _both(p[i], base[i], p[j], base[j])
                     if i == j:
                         np.fill_diagonal(sums, 0)
                     yield _pair_rows(lang, names[i], names[j], sums)
                 continue
-            new = len(set(names) - places.get(lang, {}).keys())
-            if len(places.get(lang, ())) + new > TABLE_SOURCES:
-                yield from send([lang])
-            if sum(t.size for t in tables.values()) > 8 * TABLE_SOURCES ** 2:
-                yield from send(list(tables))
             place = places.setdefault(lang, {})
-            at = np.array([place.setdefault(n, len(place)) for n in names])
+            at = [place.setdefault(n, len(place)) for n in names]
+            if len(place) > TABLE_SOURCES:
+                for name in names:  # new ones that the table has no room for wait until it is sent
+                    if place[name] >= len(tables[lang]):
+                        del place[name]
+                yield from send([lang])
+                place = places.setdefault(lang, {})
+                at = [place.setdefault(n, len(place)) for n in names]
             table = tables.get(lang, np.zeros((0, 0), np.int64))
             if len(place) > len(table):
                 size = min(TABLE_SOURCES, max(len(place), 2 * len(table)))
-                table = np.pad(table, (0, size - len(table)))
+                table = tables[lang] = np.pad(table, (0, size - len(table)))
             sums = _both(p, base, p, base)
             np.fill_diagonal(sums, 0)
             table[np.ix_(at, at)] += sums
-            tables[lang] = table
+        if sum(t.size for t in tables.values()) > 8 * TABLE_SOURCES ** 2:
+            yield from send(list(tables))
     yield from send(list(tables))
 
 
 def posting_lists(docs: DataFrame, lang: str = "lang", source: str = "source", text: str = "text",
-                  min_documents: int = MIN_DOCUMENTS, block_entries: int = BLOCK_ENTRIES, fan_in: int = FAN_IN,
-                  merge_entries: int = MERGE_ENTRIES) -> DataFrame:
+                  min_documents: int = MIN_DOCUMENTS, block_postings: int = BLOCK_POSTINGS, fan_in: int = FAN_IN,
+                  shards: int = SHARDS) -> DataFrame:
     """(lang, term, sources, counts, docs) of the terms that enough documents of their language hold; see ``merge_runs``.
 
     Texts are read once; only sorted runs of counted terms are written and shuffled.
     """
     rows = docs.select(text_of(lang).alias("lang"), text_of(source).alias("source"), text_of(text).alias("text"))
-    return merge_runs(materialize(index_runs(rows, block_entries)), min_documents, fan_in, merge_entries)
+    return merge_runs(materialize(index_runs(rows, block_postings, shards)), min_documents, fan_in, shards)
 
 
 def audit(docs: DataFrame, lang: str = "lang", source: str = "source", text: str = "text",

@@ -84,9 +84,24 @@ def test_awkward_rows(spark, mixed, least, top):
 
 def test_many_runs_and_merge_levels(spark, mixed):
     docs = frame(spark, mixed).repartition(9)
-    runs = divergence.index_runs(docs.select("lang", "source", "text").fillna(""), block_entries=150)
-    assert runs.select("run").distinct().count() > 27
-    check(divergence.audit(docs, min_documents=5, block_entries=150, fan_in=3, merge_entries=500), mixed, 5)
+    runs = divergence.index_runs(docs.select("lang", "source", "text").fillna(""), block_postings=150)
+    assert runs.select("run").distinct().count() == 9
+    check(divergence.audit(docs, min_documents=5, block_postings=150, fan_in=3, shards=4), mixed, 5)
+
+
+def test_long_texts_are_cut_between_terms(spark, mixed, monkeypatch):
+    text = ("alpha Beta " * 900 + "漢字" * 3000 + " w1w " * 9).encode()
+    monkeypatch.setattr(divergence, "PIECE_BYTES", 1000)
+    block = divergence.Block()
+    other = b"beta beta "
+    block.add([("en", "a")], divergence.np.frombuffer(text, divergence.np.uint8), divergence.np.array([0, len(text)]))
+    block.add([("en", "a"), ("en", "b")], divergence.np.frombuffer(other, divergence.np.uint8),
+              divergence.np.array([0, 5, 10]))
+    counts = block.counts()
+    found = {(counts.terms[t].as_py().decode(), counts.groups[g][1]): (n, d)
+             for t, g, n, d in zip(counts.term, counts.group, counts.n, counts.docs)}
+    assert found == {("", "a"): (0, 2), ("", "b"): (0, 1), ("alpha", "a"): (900, 1), ("beta", "a"): (901, 2),
+                     ("beta", "b"): (1, 1), ("漢字" * 3000, "a"): (1, 1), ("w", "a"): (18, 1)}
 
 
 def test_more_sources_than_a_table_holds(spark, mixed, monkeypatch):
