@@ -21,7 +21,7 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str
     """Equi-join in which NULL keys match each other; the right side's keys are dropped."""
     names = {k: fresh_name(left, f"_right_{k}", right) for k in keys}
     renamed = right.withColumnsRenamed(names)
-    condition = [F.col(k).eqNullSafe(F.col(n)) for k, n in names.items()]
+    condition = [F.col(column(k)).eqNullSafe(F.col(column(n))) for k, n in names.items()]
     return left.join(renamed, condition, how).drop(*names.values())
 
 
@@ -36,7 +36,7 @@ def join_measured(left: DataFrame, stored: DataFrame, keys: list[str], row_bytes
 
 def _spread(df: DataFrame, partition_by: list[str], order_by: list[Column], chunks: int | None) -> DataFrame:
     chunks = chunks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartitionByRange(chunks, *[F.col(c) for c in partition_by], *order_by)
+    return df.repartitionByRange(chunks, *[F.col(column(c)) for c in partition_by], *order_by)
 
 
 def running_totals(df: DataFrame, totals: dict[str, Column], order_by: list[Column],
@@ -77,7 +77,7 @@ def row_number_by(df: DataFrame, partition_by: list[str], order_by: list[Column]
     """Number the rows of each group from 1; end ``order_by`` with a unique key for a fixed result."""
     # In a sorted task this id counts rows from 0 in its lower 33 bits, below the task's number, so
     # a row's place needs no window and no second shuffle, only where its group starts.
-    keys = [F.col(c) for c in partition_by]
+    keys = [F.col(column(c)) for c in partition_by]
     place, chunk, start, count, shift = fresh_names(df, "_place", "_chunk", "_start", "_n", "_shift")
     placed = (_spread(df, partition_by, order_by, chunks)
               .sortWithinPartitions(*keys, *order_by).withColumn(place, F.monotonically_increasing_id()))
@@ -126,3 +126,42 @@ def quick_row_id(df: DataFrame, name: str = "id") -> DataFrame:
 def top_rows(df: DataFrame, order_by: list[Column], n: int) -> DataFrame:
     """The first ``n`` rows in order; each task keeps its own ``n`` only."""
     return df.orderBy(*order_by).limit(n)
+
+
+def with_neighbours(df: DataFrame, partition_by: list[str], order_by: list[Column],
+                    previous: dict[str, Column] | None = None, following: dict[str, Column] | None = None,
+                    chunks: int | None = None) -> DataFrame:
+    """Add values of the row before (``previous``, name -> value) and of the row after, within each group.
+
+    They are NULL in a group's first and last row. ``order_by`` must be unique within a group for a fixed result. A
+    group spans as many range-partitioned tasks as it needs: only the last row of the task before and the first one of
+    the task after are carried over, one row per task.
+    """
+    previous, following = previous or {}, following or {}
+    group = F.struct(*[F.col(column(c)) for c in partition_by]) if partition_by else F.struct(F.lit(0))
+    back, ahead, place, chunk, last, first = fresh_names(df, "_back", "_ahead", "_place", "_chunk", "_last", "_first")
+    # Numbered fields, as the caller's names may clash inside the struct too.
+    marked = df.withColumns({
+        back: F.struct(group.alias("g"), *[v.alias(f"v{i}") for i, v in enumerate(previous.values())]),
+        ahead: F.struct(group.alias("g"), *[v.alias(f"v{i}") for i, v in enumerate(following.values())])})
+    keys = [F.col(column(c)) for c in partition_by]
+    spread = (_spread(marked, partition_by, order_by, chunks).sortWithinPartitions(*keys, *order_by)
+              .withColumn(place, F.monotonically_increasing_id()))
+    stored = materialize(spread)
+    placed = stored.withColumn(chunk, F.shiftright(place, 33))
+    every = Window.orderBy(chunk)
+    ends = (placed.groupBy(chunk).agg(F.max_by(back, place).alias(last), F.min_by(ahead, place).alias(first))
+            .select(chunk, F.lag(last).over(every).alias(last), F.lead(first).over(every).alias(first)))
+    inside = Window.partitionBy(chunk).orderBy(place)
+    near = placed.join(F.broadcast(ends), chunk).withColumns({
+        last: F.coalesce(F.lag(back).over(inside), F.col(last)),
+        first: F.coalesce(F.lead(ahead).over(inside), F.col(first))})
+
+    def of_group(side: str, own: str, values: dict[str, Column]) -> list[Column]:
+        same = F.col(side)["g"].eqNullSafe(F.col(own)["g"])
+        return [F.when(same, F.col(side)[f"v{i}"]).alias(n) for i, n in enumerate(values)]
+
+    found = near.select(*[F.col(column(c)) for c in df.columns], *of_group(last, back, previous),
+                        *of_group(first, ahead, following))
+    found.stored_at = stored.stored_at
+    return found

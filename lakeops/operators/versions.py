@@ -22,7 +22,8 @@ from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession, funct
 from pyspark.sql.types import (ArrayType, IntegerType, LongType, StringType, StructField, StructType,
                                TimestampType)
 
-from lakeops.operators import changes
+from lakeops.operators import changes, intervals
+from lakeops.operators.ordering import join_null_safe
 from lakeops.sources.files import BYTES_PER_MEGABYTE, balance_for_write, merge_files, written_size
 
 HISTORY = StructType([
@@ -159,6 +160,17 @@ class VersionedTable:
                             lambda rows: changes.merge_upsert(rows, source, keys, large_source), "merge",
                             f"on {', '.join(keys)}", adds_rows=True)
 
+    def merge_history(self, changes: DataFrame, keys: list[str], at: str, **options) -> int:
+        """Merge changes into a stored history of intervals; see ``intervals.merge_history``.
+
+        All rows of a key that changes are in the partitions that hold it, so the others are not touched.
+        """
+        def changed(rows: DataFrame) -> DataFrame:
+            return join_null_safe(rows, changes.select(*keys).distinct(), keys, "left_semi")
+
+        return self._change(changed, lambda rows: intervals.merge_history(rows, changes, keys, at, **options),
+                            "merge_history", f"on {', '.join(keys)} at {at}", adds_rows=True)
+
     def append(self, rows: DataFrame, evolve: bool = False) -> int:
         """Add rows as a new version; only they are written. New columns need ``evolve``."""
         entry = self._entry()
