@@ -1,34 +1,32 @@
-"""Boosted one-split trees, one model per group, with early stopping on the test rows' AUC.
+"""Boosted trees for every group of a table at once, grown level by level from histograms that Spark sums.
 
-Groups of up to ``group_rows`` rows are each fitted in one grouped-map call. A larger group never
-enters one task: its rounds are Spark jobs over all large groups at once, which sum gradients per
-(group, feature, bin) with map-side partial sums. Both follow the same rules and give the same
-model.
+Rows are binned once and packed into blocks of one group each; a group has as many blocks as its rows need, so one rule
+serves groups of every size. A level of a round is one Spark job over the blocks of all groups that still learn: each
+block finds the node of its rows, sums gradients per (node, feature, bin), and Spark adds the sums up. Of two siblings
+only the lighter one is summed, the other is the parent less it. Gradients and leaf values are whole multiples of a
+small unit, so all sums are exact and a model does not depend on how rows were dealt to blocks and tasks.
 """
 
 from __future__ import annotations
 
 import datetime
-from dataclasses import dataclass
-from functools import reduce
+import itertools
+import json
+from collections.abc import Iterator
+from dataclasses import asdict, dataclass, field
+from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import ArrayType, DoubleType, FloatType, IntegerType, StringType, StructField, StructType
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import (ArrayType, FloatType, IntegerType, LongType, StringType, StructField, StructType)
 
 from lakeops.models.metrics import DIGITS, area_under_curve, weighted_scores
 from lakeops.models.prepare import blank_nan, exact_medians, fit_categories
+from lakeops.operators.names import column
 from lakeops.operators.ordering import join_measured, join_null_safe
 from lakeops.session import discard, materialize
 
-# A group of this many rows and two dozen features takes well under 1 GB in a Python worker.
-GROUP_ROWS = 1_000_000
-# Large groups whose rounds run in the same Spark jobs; the driver holds their leaf values.
-LARGE_AT_ONCE = 1_000
-# Leaf values are broadcast to the rows of large groups in tables of at most this size.
-BROADCAST_BYTES = 32 * 1024 * 1024
-
 STATS_SCHEMA = StructType([
     StructField("group", StringType()), StructField("start_time", StringType()),
     StructField("end_time", StringType()), StructField("elapsed_seconds", FloatType()),
@@ -40,7 +38,19 @@ STATS_SCHEMA = StructType([
 _SCORES = ("precision", "recall", "f1")
 # What a row is used for: fitting, stopping only, or the reported test scores.
 TRAIN, WATCH, TEST = 0, 1, 2
-_PYTHON_TIME = "%d-%b-%Y (%H:%M:%S.%f)"
+_TIME = "%d-%b-%Y (%H:%M:%S.%f)"
+#: Rows of a block.
+BLOCK_ROWS = 1 << 16
+#: Gradients are multiples of 1 / GRADIENT, margins of 1 / MARGIN; scores are compared in steps of 1 / STEPS up to LIMIT.
+GRADIENT, MARGIN, STEPS, LIMIT = 1 << 24, 1 << 20, 1 << 10, 32
+#: After so many rounds the margins of all rows are stored, so a level never walks more trees than that.
+STORED_ROUNDS = 16
+#: What the trees of one group are taken to need when they are joined to its blocks.
+TREE_BYTES = 1 << 16
+#: Sums that the driver holds at once; groups beyond it learn in a further series of jobs.
+DRIVER_SUMS = 1 << 23
+#: Finest bins and deepest trees that blocks and whole-number leaves are made for.
+MOST_BINS, MOST_DEPTH = 256, 12
 
 
 @dataclass(frozen=True)
@@ -50,318 +60,569 @@ class BoostOptions:
     rate: float = 0.3
     l2: float = 1.0
     bins: int = 64
+    max_depth: int = 6
 
+    def __post_init__(self):
+        if not (2 <= self.bins <= MOST_BINS and 1 <= self.max_depth <= MOST_DEPTH):
+            raise ValueError(f"bins must be 2 to {MOST_BINS}, max_depth 1 to {MOST_DEPTH}")
 
-# -- rules shared by both ways -------------------------------------------------------------
 
+# -- one tree ----------------------------------------------------------------------------------------------------------
 
-def best_split(grad: np.ndarray, hess: np.ndarray, options: BoostOptions) -> tuple[int, int, float, float]:
-    """The (feature, last left bin, left value, right value) with the largest gain.
+class Tree(NamedTuple):
+    """Node i has the children 2 i (bins up to ``last``) and 2 i + 1; ``leaves`` holds margins of the lowest level.
 
-    ``grad`` and ``hess`` hold sums per feature and bin. Equal gains go to the first feature and bin.
+    A node that is not split sends all rows to the left.
     """
-    left_g, left_h = grad.cumsum(axis=1)[:, :-1], hess.cumsum(axis=1)[:, :-1]
-    all_g, all_h = grad.sum(axis=1, keepdims=True), hess.sum(axis=1, keepdims=True)
-    right_g, right_h = all_g - left_g, all_h - left_h
-    gain = left_g**2 / (left_h + options.l2) + right_g**2 / (right_h + options.l2)
-    gain = np.where((left_h > 1e-9) & (right_h > 1e-9), np.round(gain, 9), -1.0)
-    feature, last = np.unravel_index(int(gain.argmax()), gain.shape)
-    if gain[feature, last] < 0:
-        value = float(-options.rate * all_g[0, 0] / (all_h[0, 0] + options.l2))
-        return 0, grad.shape[1] - 1, value, value
-    left = -options.rate * left_g[feature, last] / (left_h[feature, last] + options.l2)
-    right = -options.rate * right_g[feature, last] / (right_h[feature, last] + options.l2)
-    return int(feature), int(last), float(left), float(right)
-
-
-class Progress:
-    """Rounds of one model: leaf values per feature and bin, the best round, and when to stop."""
-
-    def __init__(self, features: int, options: BoostOptions):
-        self.options = options
-        self.values = np.zeros((features, options.bins))
-        self.best_values = self.values.copy()
-        self.best_auc, self.best_round, self.round = float("nan"), 0, -1
-
-    def add(self, feature: int, last: int, left: float, right: float) -> None:
-        self.round += 1
-        self.values[feature, :last + 1] += left
-        self.values[feature, last + 1:] += right
+    feature: np.ndarray
+    last: np.ndarray
+    leaves: np.ndarray
 
-    def judge(self, auc: float) -> None:
-        if self.round == 0 or auc > self.best_auc or (np.isnan(self.best_auc) and not np.isnan(auc)):
-            self.best_auc, self.best_round = auc, self.round
-            self.best_values = self.values.copy()
+    @classmethod
+    def empty(cls, depth: int) -> Tree:
+        size = 1 << depth
+        return cls(np.zeros(size, np.int64), np.full(size, MOST_BINS, np.int64), np.zeros(size, np.int64))
 
-    @property
-    def done(self) -> bool:
-        return (self.round + 1 >= self.options.max_rounds
-                or self.round - self.best_round >= self.options.patience)
-
-
-# -- small groups: one grouped-map call each -----------------------------------------------
-
-
-def auc_of(label: np.ndarray, score: np.ndarray) -> float:
-    """AUC with tied scores counting half; NaN for one class only."""
-    _, place = np.unique(score, return_inverse=True)
-    positives = np.bincount(place, weights=label)
-    negatives = np.bincount(place, weights=1 - label)
-    pairs = positives.sum() * negatives.sum()
-    below = negatives.cumsum() - negatives
-    return float((positives * (below + negatives / 2)).sum() / pairs) if pairs else float("nan")
-
-
-def scores_of(label: np.ndarray, predicted: np.ndarray) -> tuple[float, float, float]:
-    """Precision, recall and F1 weighted by class size; NaN without rows."""
-    if not len(label):
-        return (float("nan"),) * 3
-    total = np.zeros(3)
-    for value in np.unique(label):
-        support, called = (label == value).sum(), (predicted == value).sum()
-        hits = ((label == value) & (predicted == value)).sum()
-        total += support * np.array([hits / called if called else 0.0, hits / support,
-                                     2 * hits / (called + support)])
-    return tuple(total / len(label))
-
-
-def _bins_of(rows: pd.DataFrame, train: np.ndarray, numeric: list[str], categorical: list[str],
-             fill_category: str | None, bins: int) -> np.ndarray:
-    kind = np.uint8 if bins <= 256 else np.uint32
-    binned = []
-
-    def add(values: np.ndarray) -> None:
-        # Bins of about equal counts: a far outlier takes one, not all.
-        edges = np.quantile(values[train], np.arange(1, bins) / bins, method="inverted_cdf")
-        binned.append(np.searchsorted(edges, values, side="left").astype(kind))
-
-    for c in numeric:
-        values = rows[c].to_numpy(dtype="float64")
-        known = values[train & ~np.isnan(values)]
-        add(np.where(np.isnan(values), np.median(known) if len(known) else 0.0, values))
-    for c in categorical:
-        values = rows[c] if fill_category is None else rows[c].fillna(fill_category)
-        for v in sorted(values[train].dropna().unique()):
-            add((values == v).to_numpy(dtype="float64"))
-    return np.array(binned)
-
-
-def _sigmoid(margin: np.ndarray) -> np.ndarray:
-    return 1.0 / (1.0 + np.exp(-margin))
-
-
-def margin_of(values: np.ndarray, bins: np.ndarray) -> np.ndarray:
-    """Sum of the leaf values of every row; both arguments have one row per feature."""
-    margin = np.zeros(bins.shape[1])
-    for table, column in zip(values, bins):
-        margin += table[column]
-    return margin
-
-
-def fit_rows(bins: np.ndarray, label: np.ndarray, train: np.ndarray, judged: np.ndarray,
-             options: BoostOptions) -> Progress:
-    """Boost on the ``train`` rows and judge every round on the ``judged`` ones."""
-    train_bins, judged_bins = bins[:, train], bins[:, judged]
-    train_label, judged_label = label[train], label[judged]
-    progress = Progress(len(bins), options)
-
-    def sums(weights: np.ndarray) -> np.ndarray:
-        return np.array([np.bincount(column, weights=weights, minlength=options.bins) for column in train_bins])
-
-    while not progress.done:
-        chance = _sigmoid(margin_of(progress.values, train_bins))
-        progress.add(*best_split(sums(chance - train_label), sums(chance * (1 - chance)), options))
-        progress.judge(auc_of(judged_label, np.round(margin_of(progress.values, judged_bins), 9)))
-    return progress
-
-
-def make_trainer(group: str, label: str, role: str, numeric: list[str], categorical: list[str],
-                 fill_category: str | None = None, options: BoostOptions = BoostOptions(), judge: int = TEST):
-    """A function from one group's rows to its one row of statistics, with all settings bound."""
-    names = STATS_SCHEMA.names
-
-    def train(rows: pd.DataFrame) -> pd.DataFrame:
-        start = datetime.datetime.now()
-        roles = rows[role].to_numpy()
-        truth = rows[label].to_numpy(dtype="float64")
-        stats = dict.fromkeys(names)
-        stats["group"] = rows[group].iloc[0]
-        if (roles == TRAIN).any():
-            bins = _bins_of(rows, roles == TRAIN, numeric, categorical, fill_category, options.bins)
-            progress = fit_rows(bins, truth, roles == TRAIN, roles == judge, options)
-            margin = np.round(margin_of(progress.best_values, bins), 9)
-            for side, chosen in (("train", roles == TRAIN), ("test", roles == TEST)):
-                scores = scores_of(truth[chosen], (margin[chosen] > 0).astype("float64"))
-                stats.update({f"{side}_{n}": round(s, DIGITS) for n, s in zip(_SCORES, scores)})
-            stats["test_auc"] = round(auc_of(truth[roles == TEST], margin[roles == TEST]), DIGITS)
-            stats["best_iteration"] = progress.best_round
-        end = datetime.datetime.now()
-        stats["start_time"], stats["end_time"] = start.strftime(_PYTHON_TIME), end.strftime(_PYTHON_TIME)
-        stats["elapsed_seconds"] = round((end - start).total_seconds(), 1)
-        return pd.DataFrame([stats], columns=names)
-
-    return train
-
-
-# -- large groups: one Spark job per step over all of them ---------------------------------
-
-
-def _binned(df: DataFrame, group: str, label: str, role: str, numeric: list[str], categorical: list[str],
-            fill_category: str | None, bins: int) -> tuple[DataFrame, int]:
-    """(group, label, role, bins) with all statistics taken from the train rows of each group."""
-    train = df.filter(F.col(role) == TRAIN)
-    filled = df
-    if numeric:
-        medians = exact_medians(train, numeric, [group]).withColumnsRenamed({c: f"_median_{c}" for c in numeric})
-        filled = join_measured(filled, materialize(medians), [group], 8 * len(numeric))
-    columns = [F.coalesce(blank_nan(F.col(c).cast("double")), F.col(f"_median_{c}"), F.lit(0.0)) for c in numeric]
-    for c in categorical:
-        value = F.col(c) if fill_category is None else F.coalesce(F.col(c), F.lit(fill_category))
-        known = fit_categories(train.select(value.alias(c)), [c])[c]
-        columns += [F.coalesce((value == v).cast("double"), F.lit(0.0)) for v in known]
-    wide = filled.select(group, F.col(label).cast("int").alias("label"), F.col(role).alias("role"),
-                         *[c.alias(f"x{i}") for i, c in enumerate(columns)])
-    names = [f"x{i}" for i in range(len(columns))]
-    shares = F.array(*[F.lit(i / bins) for i in range(1, bins)])
-    edges = materialize(wide.filter(F.col("role") == TRAIN).groupBy(group).agg(
-        *[F.percentile_approx(x, shares, F.lit(10_000)).alias(f"edges_{x}") for x in names]))
-
-    def to_bin(x: str) -> Column:
-        return F.size(F.filter(f"edges_{x}", lambda edge: edge < F.col(x)))
-
-    binned = join_measured(wide, edges, [group], 8 * bins * len(names)).select(
-        group, "label", "role", F.array(*[to_bin(x) for x in names]).alias("bins"))
-    return materialize(binned), len(names)
-
-
-def _with_margin(binned: DataFrame, group: str, values: dict[object, np.ndarray], features: int) -> DataFrame:
-    """Add the sum of the leaf values; rows of groups without ``values`` are left out."""
-    spark = binned.sparkSession
-    schema = StructType([binned.schema[group], StructField("values", ArrayType(ArrayType(DoubleType())))])
-    margin = F.lit(0.0)
-    for f in range(features):
-        margin = margin + F.col("values")[f][F.col("bins")[f]]
-    groups = list(values)
-    step = max(1, BROADCAST_BYTES // max(1, values[groups[0]].nbytes))
-    parts = []
-    for first in range(0, len(groups), step):
-        table = spark.createDataFrame([(g, values[g].tolist()) for g in groups[first:first + step]], schema)
-        parts.append(join_null_safe(binned, F.broadcast(table), [group]))
-    return reduce(DataFrame.unionByName, parts).select(
-        group, "label", "role", "bins", F.round(margin, 9).alias("margin"))
-
-
-def _auc_by_group(scored: DataFrame, group: str, role: int) -> dict[object, float]:
-    aucs = area_under_curve(scored.filter(F.col("role") == role), "label", "margin", [group]).collect()
-    return {r[group]: r["auc"] for r in aucs if r["auc"] is not None}
-
-
-def _fit_together(df: DataFrame, groups: list, group: str, label: str, role: str, numeric: list[str],
-                  categorical: list[str], fill_category: str | None, options: BoostOptions,
-                  judge: int) -> list[list]:
-    """One row of statistics per listed group, which are those of ``df``; each round is a few Spark jobs over all its rows.
-
-    Per round and group only one split and one AUC come to the driver.
+    def nodes(self, bins: np.ndarray, levels: int) -> np.ndarray:
+        """The node of every row after so many levels; ``bins`` has one row per feature."""
+        rows = np.arange(bins.shape[1])
+        node = np.ones(bins.shape[1], np.int64)
+        for _ in range(levels):
+            node = 2 * node + (bins[self.feature[node], rows] > self.last[node])
+        return node
+
+    def margins(self, bins: np.ndarray) -> np.ndarray:
+        size = len(self.leaves)
+        return self.leaves[self.nodes(bins, size.bit_length() - 1) - size]
+
+
+class Split(NamedTuple):
+    feature: int
+    last: int
+    left: np.ndarray    # (gradient, hessian) sums on either side
+    right: np.ndarray
+
+
+def best_split(sums: np.ndarray, options: BoostOptions) -> Split | None:
+    """The split with the largest score of both sides together, from sums per (feature, bin, gradient or hessian).
+
+    Equal scores go to the first feature and bin. A split that gains nothing by itself is taken too, as those below it
+    may; None if no split has rows on both sides.
     """
-    start = datetime.datetime.now()
-    binned, features = _binned(df, group, label, role, numeric, categorical, fill_category, options.bins)
-    # A group without train rows has no ranges and so no bins; its statistics stay empty.
-    progress = {r[0]: Progress(features, options) for r in binned.select(group).distinct().collect()}
-    key_type = binned.schema[group]
-    split_schema = StructType([
-        key_type, StructField("feature", IntegerType()), StructField("last", IntegerType()),
-        StructField("left", DoubleType()), StructField("right", DoubleType())])
-
-    def split(cells: pd.DataFrame) -> pd.DataFrame:
-        grad, hess = np.zeros((features, options.bins)), np.zeros((features, options.bins))
-        grad[cells["feature"], cells["bin"]] = cells["grad"]
-        hess[cells["feature"], cells["bin"]] = cells["hess"]
-        return pd.DataFrame([(cells[group].iloc[0], *best_split(grad, hess, options))],
-                            columns=split_schema.names)
+    left = sums.cumsum(axis=1)[:, :-1]
+    total = sums.sum(axis=1)[:, None, :]
+    right = total - left
+    extra = options.l2 * GRADIENT
+
+    def score(side: np.ndarray) -> np.ndarray:
+        return (side[..., 0] / GRADIENT) ** 2 / ((side[..., 1] + extra) / GRADIENT)
+
+    gain = np.where((left[..., 1] > 0) & (right[..., 1] > 0), np.round(score(left) + score(right), 9), -1.0)
+    f, last = np.unravel_index(int(gain.argmax()), gain.shape)
+    return None if gain[f, last] < 0 else Split(int(f), int(last), left[f, last], right[f, last])
+
 
+def leaf_value(gradient: int, hessian: int, options: BoostOptions) -> int:
+    return round(-options.rate * int(gradient) / (int(hessian) + options.l2 * GRADIENT) * MARGIN)
+
+
+@dataclass
+class Model:
+    """What the driver knows of one group: its trees, the tree that grows, the best round so far."""
+    options: BoostOptions
+    trees: list[Tree] = field(default_factory=list)
+    best_round: int | None = None
+    best_auc: float = float("nan")
+    done: bool = False
+    stored: int = 0     # trees whose margins are stored with the rows
+    growing: Tree | None = None
+    total: np.ndarray | None = None
+    sums: dict[int, np.ndarray] = field(default_factory=dict)
+    split: dict[int, Split] = field(default_factory=dict)
+
+    def judge(self, auc: float) -> None:
+        """Take note of the newest round's AUC; learning ends when later rounds cannot or do not help."""
+        last = len(self.trees) - 1
+        if self.best_round is None or auc > self.best_auc or (np.isnan(self.best_auc) and not np.isnan(auc)):
+            self.best_round, self.best_auc = last, auc
+        self.done = (len(self.trees) >= self.options.max_rounds or last - self.best_round >= self.options.patience
+                     or self.best_auc == 1.0)
+
+    def wanted(self, level: int) -> list[int]:
+        """Nodes of a level whose histograms must be summed: the lighter child of each split node."""
+        if level == 0:
+            return [1]
+        return [2 * n + int(s.left[1] > s.right[1]) for n, s in sorted(self.split.items()) if n >> (level - 1) == 1]
+
+    def grow(self, level: int, found: dict[int, np.ndarray]) -> None:
+        """Split the nodes of a level, given the wanted histograms."""
+        if level == 0:
+            self.growing, self.sums, self.split = Tree.empty(self.options.max_depth), dict(found), {}
+            self.total = found[1][0].sum(axis=0)
+        else:
+            for node, sums in found.items():
+                self.sums[node], self.sums[node ^ 1] = sums, self.sums[node >> 1] - sums
+        for node in [n for n in self.sums if n >> level == 1]:
+            split = best_split(self.sums[node], self.options)
+            if split is not None:
+                self.split[node] = split
+                self.growing.feature[node], self.growing.last[node] = split.feature, split.last
+        for node in [n for n in self.sums if n >> level != 1]:
+            del self.sums[node]  # parents are no longer needed
+
+    def finish(self) -> None:
+        """Turn the sums on either side of the lowest splits into leaves; a node left whole ends at its far left."""
+        depth, tree = self.options.max_depth, self.growing
+        sides = {1: self.total}
+        for level in range(depth):
+            for node in [n for n in sides if n >> level == 1]:
+                split, whole = self.split.get(node), sides.pop(node)
+                if split is None:
+                    sides[2 * node] = whole
+                else:
+                    sides[2 * node], sides[2 * node + 1] = split.left, split.right
+        for node, side in sides.items():
+            tree.leaves[node - (1 << depth)] = leaf_value(*side, self.options)
+        self.trees.append(tree)
+        self.growing, self.sums, self.split = None, {}, {}
+
+
+def auc_of(counts: np.ndarray) -> float:
+    """AUC from rows (score, positives, negatives); tied scores count half, NaN for one class only."""
+    counts = counts[np.argsort(counts[:, 0])]
+    pos, neg = counts[:, 1], counts[:, 2]
+    pairs = int(pos.sum()) * int(neg.sum())
+    return float((pos * (2 * (neg.cumsum() - neg) + neg)).sum() / 2 / pairs) if pairs else float("nan")
+
+
+def scores_at(margins: np.ndarray) -> np.ndarray:
+    """Margins in the steps in which scores are compared."""
+    steps = np.rint(margins / (MARGIN // STEPS)).astype(np.int64)
+    return np.clip(steps, -LIMIT * STEPS, LIMIT * STEPS)
+
+
+# -- blocks of rows ----------------------------------------------------------------------------------------------------
+
+_BLOCK = "rows int, bins binary, label binary, role binary, margin binary"
+
+
+def _pack(binned: DataFrame, keep: list[str] = (), rows: int = BLOCK_ROWS) -> DataFrame:
+    """Stored rows of (group, label, role, bins), a byte per bin, as blocks of one group each; ``keep`` come as lists.
+
+    Rows are dealt by ranges of (group, stored place): a large group spans many tasks, whatever its rows hold.
+    """
+    spark = binned.sparkSession
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = (binned.withColumn("place", F.monotonically_increasing_id())
+             .repartitionByRange(tasks, "group", "place").drop("place").sortWithinPartitions("group"))
+    kind = dealt.schema["group"].dataType.simpleString()
+    lists = "".join(f", {column(c)} array<{dealt.schema[c].dataType.simpleString()}>" for c in keep)
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+
+        def block() -> pa.RecordBatch:
+            one = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            n = one.num_rows
+            flat = one.column("bins").flatten().to_numpy().astype(np.uint8).reshape(n, -1)
+            cells = [one.column("group").slice(0, 1), pa.array([n], pa.int32()),
+                     pa.array([flat.T.tobytes()], pa.binary()),
+                     *[pa.array([one.column(c).to_numpy(zero_copy_only=False).astype(np.uint8).tobytes()], pa.binary())
+                       for c in ("label", "role")], pa.array([np.zeros(n, np.int64).tobytes()], pa.binary())]
+            kept = [pa.ListArray.from_arrays(pa.array([0, n], pa.int32()), one.column(c)) for c in keep]
+            return pa.RecordBatch.from_arrays([*cells, *kept],
+                                              ["group", "rows", "bins", "label", "role", "margin", *keep])
+
+        for batch in batches:
+            groups = batch.column("group").to_pylist()
+            cuts = [0, *[i for i in range(1, len(groups)) if groups[i] != groups[i - 1]], len(groups)]
+            for start, end in itertools.pairwise(cuts):
+                if held and held[0].column("group")[0].as_py() != groups[start]:
+                    yield block()
+                    held.clear()
+                while start < end:
+                    room = rows - sum(b.num_rows for b in held)
+                    held.append(batch.slice(start, min(room, end - start)))
+                    start += held[-1].num_rows
+                    if sum(b.num_rows for b in held) >= rows:
+                        yield block()
+                        held.clear()
+        if held:
+            yield block()
+
+    return dealt.mapInArrow(pack, f"group {kind}, {_BLOCK}{lists}")
+
+
+class _Rows(NamedTuple):
+    bins: np.ndarray
+    label: np.ndarray
+    role: np.ndarray
+    margin: np.ndarray
+
+    @classmethod
+    def of(cls, row: dict) -> _Rows:
+        n = row["rows"]
+        return cls(np.frombuffer(row["bins"], np.uint8).reshape(-1, n), np.frombuffer(row["label"], np.uint8),
+                   np.frombuffer(row["role"], np.uint8), np.frombuffer(row["margin"], np.int64))
+
+    def margins(self, trees: list[Tree]) -> np.ndarray:
+        margin = self.margin.copy()
+        for tree in trees:
+            margin += tree.margins(self.bins)
+        return margin
+
+
+def level_sums(rows: _Rows, margin: np.ndarray, tree: Tree | None, level: int, wanted: list[int],
+               bins: int) -> np.ndarray:
+    """Gradient and hessian sums of the train rows per (wanted node, feature, bin)."""
+    slot = np.full(1 << level, -1, np.int64)
+    slot[np.array(wanted, np.int64) - (1 << level)] = np.arange(len(wanted))
+    nodes = tree.nodes(rows.bins, level) if level else np.ones(len(margin), np.int64)
+    place = slot[nodes - (1 << level)]
+    some = np.flatnonzero((rows.role == TRAIN) & (place >= 0))
+    place, chance = place[some] * bins, 1.0 / (1.0 + np.exp(-margin[some] / MARGIN))
+    weights = (np.rint((chance - rows.label[some]) * GRADIENT), np.rint(chance * (1 - chance) * GRADIENT))
+    out = np.zeros((len(wanted), len(rows.bins), bins, 2), np.int64)
+    for f, of_feature in enumerate(rows.bins):
+        cell = place + of_feature[some]
+        for i, weight in enumerate(weights):
+            # Sums of whole numbers below 2 ** 53 are exact in floating point.
+            out[:, f, :, i] = np.bincount(cell, weight, len(wanted) * bins).reshape(-1, bins)
+    return out
+
+
+def _level(blocks: DataFrame, models: dict, level: int, judge: int) -> dict:
+    """One job: per group, the wanted histograms of a level and, at the root, (score, positives, negatives)."""
+    kind = blocks.schema["group"].dataType.simpleString()
+    asked = {g: (m.trees[m.stored:], m.growing, m.wanted(level), m.options.bins) for g, m in models.items()}
+    scoring = {g for g, m in models.items() if level == 0 and m.trees}
+    index = {g: i for i, g in enumerate(asked)}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict = {}
+        counts: dict = {}
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = {c: batch.column(c)[i].as_py() for c in batch.schema.names}
+                group = row["group"]
+                if group not in asked:
+                    continue
+                trees, growing, wanted, bins = asked[group]
+                rows = _Rows.of(row)
+                margin = rows.margins(trees)
+                if wanted:
+                    found = level_sums(rows, margin, growing, level, wanted, bins)
+                    sums[group] = sums[group] + found if group in sums else found
+                if group in scoring:
+                    judged = rows.role == judge
+                    score, at = np.unique(scores_at(margin[judged]), return_inverse=True)
+                    pos = np.bincount(at, rows.label[judged], len(score)).astype(np.int64)
+                    mine = counts.setdefault(group, {})
+                    for s, p, n in zip(score.tolist(), pos.tolist(), np.bincount(at, minlength=len(score)).tolist()):
+                        old = mine.get(s, (0, 0))
+                        mine[s] = (old[0] + p, old[1] + n - p)
+
+        def rows_of(part: int, group, cell: np.ndarray, one: np.ndarray, two: np.ndarray) -> pa.RecordBatch:
+            n = len(cell)
+            return pa.RecordBatch.from_arrays(
+                [pa.array(np.full(n, index[group])), pa.array(np.full(n, part, np.int32)), pa.array(cell), pa.array(one),
+                 pa.array(two)], ["model", "part", "cell", "one", "two"])
+
+        for group, found in sums.items():
+            flat = found.reshape(-1, 2)
+            used = np.flatnonzero(flat.any(axis=1))
+            yield rows_of(0, group, used, flat[used, 0], flat[used, 1])
+        for group, mine in counts.items():
+            cells = np.array([(s, *pn) for s, pn in mine.items()], np.int64).reshape(-1, 3)
+            yield rows_of(1, group, cells[:, 0], cells[:, 1], cells[:, 2])
+
+    added = (blocks.mapInArrow(run, "model long, part int, cell long, one long, two long")
+             .groupBy("model", "part", "cell").agg(F.sum("one").alias("one"), F.sum("two").alias("two")).toArrow())
+    model, part, cell, one, two = (added.column(c).to_numpy() for c in ("model", "part", "cell", "one", "two"))
+    order = np.argsort(model, kind="stable")
+    bounds = np.searchsorted(model[order], np.arange(len(index) + 1))
+    out = {}
+    for group, i in index.items():
+        mine = order[bounds[i]:bounds[i + 1]]
+        at, scored = mine[part[mine] == 0], mine[part[mine] == 1]
+        _, _, wanted, bins = asked[group]
+        out[group] = wanted, bins, cell[at], one[at], two[at], np.stack([x[scored] for x in (cell, one, two)], axis=1)
+    return out
+
+
+def _dense(wanted: list[int], bins: int, features: int, cell: np.ndarray, one: np.ndarray,
+           two: np.ndarray) -> dict[int, np.ndarray]:
+    flat = np.zeros((len(wanted) * features * bins, 2), np.int64)
+    flat[cell, 0], flat[cell, 1] = one, two
+    return dict(zip(wanted, flat.reshape(len(wanted), features, bins, 2)))
+
+
+def _learn(blocks: DataFrame, groups: list, features: int, options: BoostOptions, judge: int) -> dict:
+    """Models of the given groups, whose rounds share their jobs."""
+    models = {g: Model(options) for g in groups}
+    margins = blocks
     while True:
-        active = {g: p.values for g, p in progress.items() if not p.done}
+        active = {g: m for g, m in models.items() if not m.done}
         if not active:
             break
-        chance = 1 / (1 + F.exp(-F.col("margin")))
-        cells = (_with_margin(binned, group, active, features).filter(F.col("role") == TRAIN)
-                 .select(group, (chance - F.col("label")).alias("grad"), (chance * (1 - chance)).alias("hess"),
-                         F.posexplode("bins").alias("feature", "bin"))
-                 .groupBy(group, "feature", "bin").agg(F.sum("grad").alias("grad"), F.sum("hess").alias("hess")))
-        # At most features * bins rows per group reach the grouped map.
-        for row in cells.groupBy(group).applyInPandas(split, split_schema).collect():
-            progress[row[0]].add(*row[1:])
-        judged = _with_margin(binned, group, {g: progress[g].values for g in active}, features)
-        found = _auc_by_group(judged, group, judge)
-        for g in active:
-            progress[g].judge(found.get(g, float("nan")))
-
-    final = _with_margin(binned, group, {g: p.best_values for g, p in progress.items()}, features)
-    predicted = final.withColumn("predicted", (F.col("margin") > 0).cast("int"))
-    sides = weighted_scores(predicted, "label", "predicted", [group, "role"]).collect()
-    scores = {(r[group], r["role"]): r for r in sides}
-    test_auc = _auc_by_group(final, group, TEST)
-    discard(binned)
-    end = datetime.datetime.now()
-    rows = []
-    for g in groups:
-        p = progress.get(g)
-        row = [g, start.strftime(_PYTHON_TIME), end.strftime(_PYTHON_TIME),
-               round((end - start).total_seconds(), 1)]
-        for side in (TRAIN, TEST):
-            found = scores.get((g, side))
-            row += [found[n] if found else None for n in _SCORES]
-        row += [round(test_auc[g], DIGITS) if g in test_auc else None, None if p is None else p.best_round]
-        rows.append(row)
-    return rows
-
-
-def fit_large_groups(df: DataFrame, groups: list, group: str, label: str, role: str, numeric: list[str],
-                     categorical: list[str], fill_category: str | None = None,
-                     options: BoostOptions = BoostOptions(), judge: int = TEST,
-                     at_once: int = LARGE_AT_ONCE) -> DataFrame:
-    """Statistics of the listed groups, ``at_once`` of them per series of Spark jobs."""
-    spark, key = df.sparkSession, df.schema[group]
-    # Read once, however many series follow.
-    all_of_them = spark.createDataFrame([(g,) for g in groups], StructType([key]))
-    df = materialize(join_null_safe(df, all_of_them, [group], "left_semi"))
-    rows = []
-    for first in range(0, len(groups), at_once):
-        some = groups[first:first + at_once]
-        chosen = spark.createDataFrame([(g,) for g in some], StructType([key]))
-        rows += _fit_together(join_null_safe(df, chosen, [group], "left_semi"), some, group, label, role, numeric,
-                              categorical, fill_category, options, judge)
-    discard(df)
-    schema = StructType([StructField("group", key.dataType), *STATS_SCHEMA.fields[1:]])
-    return spark.createDataFrame(rows, schema).withColumn("group", F.col("group").cast("string"))
-
-
-def train_groups(df: DataFrame, group: str, label: str, test: str, numeric: list[str],
-                 categorical: list[str] = (), fill_category: str | None = None,
-                 options: BoostOptions = BoostOptions(), watch: str | None = None, group_rows: int = GROUP_ROWS,
-                 at_once: int = LARGE_AT_ONCE) -> DataFrame:
-    """Fit one model per group and return one row of statistics each.
-
-    ``test`` is a boolean column; its rows stop the training and are also the reported test rows,
-    which makes the test scores optimistic. With the boolean column ``watch`` those rows stop the
-    training instead, and the test rows take no part in it. A NULL label is an error.
+        for level in range(options.max_depth):
+            found = _level(margins, active, level, judge)
+            for g, (wanted, bins, cell, one, two, counts) in found.items():
+                model = active[g]
+                if level == 0 and model.trees:
+                    model.judge(auc_of(counts))
+                if level == 0 and not len(cell):
+                    model.done = True  # no train rows, or all are predicted to the last unit
+                if not model.done:
+                    model.grow(level, _dense(wanted, bins, features, cell, one, two))
+            active = {g: m for g, m in active.items() if not m.done}
+            if not active or not any(m.wanted(level + 1) for m in active.values()):
+                break
+        for model in active.values():
+            model.finish()
+        if active and max(len(m.trees) - m.stored for m in active.values()) >= STORED_ROUNDS:
+            stored = _with_margins(margins, active)
+            if margins is not blocks:
+                discard(margins)
+            margins = stored
+    if margins is not blocks:
+        discard(margins)
+    return models
+
+
+def _with_margins(blocks: DataFrame, models: dict) -> DataFrame:
+    """The blocks of the groups that still learn, with the margins after all trees so far."""
+    todo = {g: m.trees[m.stored:] for g, m in models.items()}
+    names = blocks.columns
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                one = batch.slice(i, 1)
+                row = {c: one.column(c)[0].as_py() for c in names}
+                if row["group"] in todo:
+                    margin = _Rows.of(row).margins(todo[row["group"]]).tobytes()
+                    columns = [pa.array([margin], pa.binary()) if c == "margin" else one.column(c) for c in names]
+                    yield pa.RecordBatch.from_arrays(columns, names)
+
+    stored = materialize(blocks.mapInArrow(add, blocks.schema))
+    for model in models.values():
+        model.stored = len(model.trees)
+    return stored
+
+
+# -- preparation and the public functions ------------------------------------------------------------------------------
+
+@dataclass
+class Binning:
+    """How rows become bins: medians and bin edges per group (stored tables) and the categories of the train rows.
+
+    Inside, numeric features are called n0, n1, ... and categorical ones c0, c1, ..., whatever the caller calls them.
+    """
+    numeric: list[str]
+    categorical: list[str]
+    categories: list[list[str]]
+    fill_category: str | None
+    bins: int
+    medians: DataFrame | None = None
+    edges: DataFrame | None = None
+
+    @property
+    def features(self) -> int:
+        return len(self.numeric) + sum(map(len, self.categories))
+
+    def inputs(self) -> list[Column]:
+        """The feature columns of a caller's table under their inner names; NULL categories are filled."""
+        filled = [F.col(column(c)) if self.fill_category is None else
+                  F.coalesce(F.col(column(c)), F.lit(self.fill_category)) for c in self.categorical]
+        return [*[F.col(column(c)).cast("double").alias(f"n{i}") for i, c in enumerate(self.numeric)],
+                *[c.alias(f"c{i}") for i, c in enumerate(filled)]]
+
+    def values(self, rows: DataFrame) -> DataFrame:
+        """The features of ``rows`` (group, the inner names and others) as one array."""
+        numbers = [f"n{i}" for i in range(len(self.numeric))]
+        filled = join_measured(rows, self.medians, ["group"], 16 + 8 * len(numbers), "left") if numbers else rows
+        values = [F.coalesce(blank_nan(F.col(n)), F.col(f"median_{n}"), F.lit(0.0)) for n in numbers]
+        values += [F.coalesce((F.col(f"c{i}") == v).cast("double"), F.lit(0.0))
+                   for i, known in enumerate(self.categories) for v in known]
+        inner = {*numbers, *[f"median_{n}" for n in numbers], *[f"c{i}" for i in range(len(self.categorical))]}
+        return filled.select(*[column(c) for c in filled.columns if c not in inner],
+                             F.array(*values).cast("array<double>").alias("values"))
+
+    def __call__(self, rows: DataFrame) -> DataFrame:
+        """``rows`` with the features replaced by their bins; all 0 in a group without train rows."""
+        valued = join_measured(self.values(rows), self.edges, ["group"], 16 + 8 * self.bins * self.features, "left")
+        bins = F.transform("values", lambda v, i: F.coalesce(
+            F.size(F.filter(F.get("edges", i), lambda edge: edge < v)), F.lit(0)))
+        return valued.withColumn("bins", bins).drop("values", "edges")
+
+
+def _fit_binning(binning: Binning, rows: DataFrame) -> None:
+    """All statistics from the train rows of each group: medians, categories, and edges of bins with about equal counts.
+
+    Edges come from one mergeable sketch per group and feature, the same way for every size.
+    """
+    train = rows.filter(F.col("role") == TRAIN)
+    if binning.numeric:
+        numbers = [f"n{i}" for i in range(len(binning.numeric))]
+        binning.medians = exact_medians(train, numbers, ["group"]).withColumnsRenamed({n: f"median_{n}" for n in numbers})
+        binning.medians = materialize(binning.medians)
+    binning.categories = list(fit_categories(train, [f"c{i}" for i in range(len(binning.categorical))]).values())
+    shares = F.array(*[F.lit(i / binning.bins) for i in range(1, binning.bins)])
+    edges = [F.percentile_approx(F.col("values")[i], shares, F.lit(10_000)) for i in range(binning.features)]
+    binning.edges = materialize(binning.values(train).groupBy("group").agg(F.array(*edges).alias("edges")))
+
+
+_TREES = ArrayType(StructType([StructField("feature", ArrayType(IntegerType())), StructField("last", ArrayType(IntegerType())),
+                               StructField("leaves", ArrayType(LongType()))]))
+
+
+@dataclass
+class GroupModels:
+    """Fitted models of all groups; ``trees`` is a stored table with one row per group that had train rows."""
+    binning: Binning
+    trees: DataFrame
+
+    def score(self, df: DataFrame, group: str | None, keep: list[str]) -> DataFrame:
+        """``keep``, the predicted class and the margin of every row; both NULL for a group without a model."""
+        names = {f"kept_{i}": c for i, c in enumerate(keep)}
+        key = F.col(column(group)) if group else F.lit(0)
+        rows = df.select(key.alias("group"), *[F.col(column(c)).alias(n) for n, c in names.items()],
+                         *self.binning.inputs(), F.lit(0).alias("label"), F.lit(TRAIN).alias("role"))
+        blocks = _pack(materialize(self.binning(rows)), list(names))
+        joined = join_measured(blocks, self.trees, ["group"], TREE_BYTES, "left")
+        types = ", ".join(f"{column(n)} {rows.schema[n].dataType.simpleString()}" for n in names)
+
+        def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for i in range(batch.num_rows):
+                    one = batch.slice(i, 1)
+                    row = {c: one.column(c)[0].as_py() for c in ("rows", "bins", "label", "role", "margin", "trees")}
+                    trees = None if row["trees"] is None else [
+                        Tree(*(np.array(t[c], np.int64) for c in Tree._fields)) for t in row["trees"]]
+                    margin = None if trees is None else _Rows.of(row).margins(trees)
+                    empty = [None] * row["rows"]
+                    yield pa.RecordBatch.from_arrays(
+                        [*[one.column(n).flatten() for n in names],
+                         pa.array(empty if margin is None else (margin > 0).astype(np.int32), pa.int32()),
+                         pa.array(empty if margin is None else margin / MARGIN, pa.float64())],
+                        [*names, "prediction", "margin"])
+
+        scored = joined.mapInArrow(predict, f"{types}{', ' if names else ''}prediction int, margin double")
+        return scored.select(*[F.col(n).alias(c) for n, c in names.items()], "prediction", "margin")
+
+    def save(self, path: str) -> str:
+        """Write the model below ``path``: trees, medians, edges, and one row that describes the columns."""
+        spark, binning = self.trees.sparkSession, self.binning
+        about = json.dumps({name: getattr(binning, name) for name in (
+            "numeric", "categorical", "categories", "fill_category", "bins")})
+        spark.createDataFrame([(about,)], "about string").write.mode("overwrite").parquet(f"{path}/about")
+        for name, table in (("trees", self.trees), ("medians", binning.medians), ("edges", binning.edges)):
+            if table is not None:
+                table.write.mode("overwrite").parquet(f"{path}/{name}")
+        return path
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> GroupModels:
+        about = json.loads(spark.read.parquet(f"{path}/about").first()[0])
+        binning = Binning(**about, edges=spark.read.parquet(f"{path}/edges"))
+        if binning.numeric:
+            binning.medians = spark.read.parquet(f"{path}/medians")
+        return cls(binning, spark.read.parquet(f"{path}/trees"))
+
+
+def _series(sizes: list, features: int, options: BoostOptions) -> Iterator[list]:
+    """Groups that learn together, so that the driver's sums stay bounded."""
+    held, used = [], 0
+    for group, rows in sizes:
+        cost = features * options.bins * 2 ** (options.max_depth - 1) + min(rows, 2 * LIMIT * STEPS)
+        if held and used + cost > DRIVER_SUMS:
+            yield held
+            held, used = [], 0
+        held.append(group)
+        used += cost
+    if held:
+        yield held
+
+
+def fit_groups(df: DataFrame, group: str | None, label: str, test: str, numeric: list[str],
+               categorical: list[str] = (), fill_category: str | None = None, options: BoostOptions = BoostOptions(),
+               watch: str | None = None, block_rows: int = BLOCK_ROWS) -> tuple[GroupModels, DataFrame]:
+    """One boosted model per group, or one of all rows if ``group`` is None, and one row of statistics each.
+
+    ``test`` is a boolean column; its rows stop the training by their AUC and are also the reported test rows, which
+    makes the test scores optimistic. With the boolean column ``watch`` those rows stop the training instead, and the
+    test rows take no part in it. A NULL label is an error. The best round counts; later trees are dropped. The driver
+    holds one model and, at a time, the sums of one level of the groups that learn together.
     """
     numeric, categorical = list(numeric), list(categorical)
-    role = F.when(F.col(test), TEST).when(F.col(watch) if watch else F.lit(False), WATCH).otherwise(TRAIN)
+    if not numeric and not categorical:
+        raise ValueError("no feature columns")
+    role = F.when(F.col(column(test)), TEST).when(F.col(column(watch)) if watch else F.lit(False), WATCH).otherwise(TRAIN)
     judge = WATCH if watch else TEST
-    checked = F.when(F.col(label).isNull(), F.raise_error(F.lit(f"{label} is NULL")).cast(df.schema[label].dataType)
-                     ).otherwise(F.col(label)).alias(label)
-    used = df.select(group, checked, role.alias("_role"), *numeric, *categorical)
-    sizes = used.groupBy(group).agg(F.count(F.lit(1)).alias("_n"))
-    # At most rows / group_rows groups are large.
-    large = [r[0] for r in sizes.filter(F.col("_n") > group_rows).collect()]
-    trainer = make_trainer(group, label, "_role", numeric, categorical, fill_category, options, judge)
-    small = used
-    if large:
-        keys = df.sparkSession.createDataFrame([(g,) for g in large], StructType([used.schema[group]]))
-        small = join_null_safe(used, keys, [group], "left_anti")
-    stats = small.withColumn(group, F.col(group).cast("string")).groupBy(group).applyInPandas(trainer, STATS_SCHEMA)
-    if large:
-        stats = stats.unionByName(fit_large_groups(used, large, group, label, "_role", numeric, categorical,
-                                                   fill_category, options, judge, at_once))
-    return stats
+    checked = F.when(F.col(column(label)).isNull(), F.raise_error(F.lit(f"{label} is NULL")).cast("int")
+                     ).otherwise(F.col(column(label)).cast("int"))
+    start = datetime.datetime.now()
+    binning = Binning(numeric, categorical, [], fill_category, options.bins)
+    rows = materialize(df.select((F.col(column(group)) if group else F.lit(0)).alias("group"), checked.alias("label"),
+                                 role.alias("role"), *binning.inputs()))
+    _fit_binning(binning, rows)
+    binned = materialize(binning(rows))
+    blocks = materialize(_pack(binned, rows=block_rows))
+    discard(rows, binned)
+    sizes = blocks.groupBy("group").agg(F.sum("rows")).orderBy("group").collect()
+    models = {}
+    for some in _series(sizes, binning.features, options):
+        models |= _learn(blocks, some, binning.features, options, judge)
+    end = datetime.datetime.now()
+
+    spark, key = df.sparkSession, blocks.schema["group"]
+    kept = {g: m.trees[:m.best_round + 1] for g, m in models.items() if m.best_round is not None}
+    trees = spark.createDataFrame(
+        [(g, [tuple(part.tolist() for part in t) for t in ts]) for g, ts in kept.items()],
+        StructType([key, StructField("trees", _TREES)]))
+    fitted = GroupModels(binning, materialize(trees))
+    progress = spark.createDataFrame(
+        [(g, start.strftime(_TIME), end.strftime(_TIME), round((end - start).total_seconds(), 1),
+          models[g].best_round) for g, _ in sizes],
+        StructType([key, *STATS_SCHEMA.fields[1:4], STATS_SCHEMA["best_iteration"]]))
+    stats = _statistics(blocks, fitted.trees, progress)
+    discard(blocks)
+    return fitted, stats
+
+
+def _statistics(blocks: DataFrame, trees: DataFrame, progress: DataFrame) -> DataFrame:
+    """Weighted scores of both sides and the AUC of the test rows, by the models' best rounds."""
+    kind = blocks.schema["group"].dataType.simpleString()
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = {c: batch.column(c)[i].as_py() for c in batch.schema.names}
+                rows = _Rows.of(row)
+                margin = rows.margins([Tree(*(np.array(t[c], np.int64) for c in Tree._fields)) for t in row["trees"]])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([row["group"]] * row["rows"], batch.schema.field("group").type),
+                     pa.array(rows.role.astype(np.int32)), pa.array(rows.label.astype(np.int32)),
+                     pa.array((margin > 0).astype(np.int32)), pa.array(scores_at(margin))],
+                    ["group", "role", "label", "predicted", "score"])
+
+    scored = materialize(join_measured(blocks, trees, ["group"], TREE_BYTES).mapInArrow(
+        score, f"group {kind}, role int, label int, predicted int, score long"))
+    sides = weighted_scores(scored, "label", "predicted", ["group", "role"])
+    wide = sides.groupBy("group").agg(*[
+        F.max(F.when(F.col("role") == r, F.col(n))).alias(f"{side}_{n}")
+        for side, r in (("train", TRAIN), ("test", TEST)) for n in _SCORES])
+    auc = area_under_curve(scored.filter(F.col("role") == TEST), "label", "score", ["group"], DIGITS)
+    joined = join_null_safe(join_null_safe(progress, wide, ["group"], "left"),
+                            auc.withColumnRenamed("auc", "test_auc"), ["group"], "left")
+    found = materialize(joined.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in STATS_SCHEMA.fields]))
+    discard(scored)
+    return found
+
+
+def train_groups(df: DataFrame, group: str, label: str, test: str, numeric: list[str], categorical: list[str] = (),
+                 fill_category: str | None = None, options: BoostOptions = BoostOptions(), watch: str | None = None,
+                 block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """The statistics of ``fit_groups``: one row per group."""
+    return fit_groups(df, group, label, test, numeric, categorical, fill_category, options, watch, block_rows)[1]

@@ -130,6 +130,38 @@ def group_train_exact(spark, folder):
         F.col(c).cast("double").alias(c) for c in stats.columns if c.startswith(("train_", "test_"))])
 
 
+def _crossed_rows(spark, folder):
+    """Orders with a label that is the exclusive or of two features, which no single split tells anything about."""
+    key = F.col("o_orderkey")
+    one, two = key % 2, F.floor(key / 2) % 2
+    return table(spark, folder, "orders").select(
+        "o_orderkey", F.col("o_orderpriority").alias("group_name"), one.cast("double").alias("numeric_feature_00"),
+        two.cast("double").alias("numeric_feature_01"), (one != two).cast("int").alias("label"),
+        F.element_at(F.array(*[F.lit(c) for c in synth.CATEGORIES]), (key % 3 + 1).cast("int")).alias("categorical_feature_01"),
+        prepare.in_test(key).alias("in_test"))
+
+
+CROSSED = boosting.BoostOptions(max_depth=4)
+
+
+def group_train_crossed(spark, folder):
+    """Trees of some depth per group on that label: exact from the first round on."""
+    rows = _crossed_rows(spark, folder)
+    stats = boosting.train_groups(rows, "group_name", "label", "in_test", prepare.columns_with(rows, "numeric"),
+                                  prepare.columns_with(rows, "categorical"), options=CROSSED)
+    return stats.select("group", "best_iteration", *[
+        F.col(c).cast("double").alias(c) for c in stats.columns if c.startswith(("train_", "test_"))])
+
+
+def table_score_crossed(spark, folder):
+    """One model of the whole table, stopped by its AUC, saved, loaded and applied to every order."""
+    rows = _crossed_rows(spark, folder)
+    models, _ = boosting.fit_groups(rows, None, "label", "in_test", prepare.columns_with(rows, "numeric"),
+                                    prepare.columns_with(rows, "categorical"), options=CROSSED)
+    loaded = boosting.GroupModels.load(spark, models.save(scratch_path(spark, "model")))
+    return loaded.score(rows, None, ["o_orderkey"]).select("o_orderkey", "prediction")
+
+
 def gbt_train_exact(spark, folder):
     rows = _exact_rows(spark, folder)
     predicted = _fitted(rows).transform(rows).withColumn("predicted", F.col("prediction").cast("int"))
@@ -175,7 +207,7 @@ def batch_score(spark, folder):
 QUERIES = {f.__name__: f for f in (
     hash_split, impute_median, impute_median_int, median_by_group, impute_constant, one_hot, scale_column, weighted_prf, auc_rank,
     metrics_long, synth_group_data, inject_missing, draw_category, group_train, gbt_train, batch_score,
-    group_train_exact, gbt_train_exact, batch_score_exact)}
+    group_train_exact, group_train_crossed, table_score_crossed, gbt_train_exact, batch_score_exact)}
 
 
 def _bits_sql(key: str, name: str, seed: int = 0) -> str:
@@ -219,6 +251,12 @@ ORACLES = {
                1.0::DOUBLE AS train_recall, 1.0::DOUBLE AS train_f1, 1.0::DOUBLE AS test_precision,
                1.0::DOUBLE AS test_recall, 1.0::DOUBLE AS test_f1, 1.0::DOUBLE AS test_auc
         FROM orders""",
+    "group_train_crossed": """
+        SELECT DISTINCT o_orderpriority AS "group", 0 AS best_iteration, 1.0::DOUBLE AS train_precision,
+               1.0::DOUBLE AS train_recall, 1.0::DOUBLE AS train_f1, 1.0::DOUBLE AS test_precision,
+               1.0::DOUBLE AS test_recall, 1.0::DOUBLE AS test_f1, 1.0::DOUBLE AS test_auc
+        FROM orders""",
+    "table_score_crossed": "SELECT o_orderkey, CAST(o_orderkey % 2 <> o_orderkey // 2 % 2 AS INTEGER) AS prediction FROM orders",
     "gbt_train_exact": f"""
         SELECT DISTINCT {_TEST_SQL.format(key='o_orderkey')} AS in_test, 1.0::DOUBLE AS precision,
                1.0::DOUBLE AS recall, 1.0::DOUBLE AS f1
