@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lakeops.operators import intervals
+from lakeops.operators import intervals, ranges
 from lakeops.plans.tables import table
 
 KEYS, AT, SEQUENCE, GONE = ["o_custkey"], "o_orderdate", "o_orderkey", "gone"
@@ -42,7 +42,43 @@ def scd2_as_of(spark, folder):
     return intervals.as_of(state, F.lit(AS_OF).cast("timestamp_ntz"))
 
 
-QUERIES = {f.__name__: f for f in (scd2_merge, scd2_collapsed, scd2_as_of)}
+def _windows(spark, folder):
+    """Some minutes after every error, a day after some, and one stretch without an end."""
+    errors = table(spark, folder, "events").filter("event_type = 'error'")
+    minutes = F.when(F.col("event_id") % 50 == 0, 1440).otherwise(F.col("event_id") % 7)
+    return errors.select(
+        F.col("event_id").alias("error_id"), F.col("ts").alias("begin"),
+        F.when(F.col("event_id") % 997 != 0, F.timestamp_add("MINUTE", minutes.cast("int"), F.col("ts"))).alias("until"))
+
+
+def point_in_interval(spark, folder):
+    """The purchases in the time after each error, by nothing but time."""
+    bought = table(spark, folder, "events").filter("event_type = 'purchase'").select("event_id", "ts", "user_id")
+    return ranges.point_join(bought, _windows(spark, folder), "ts", ("begin", "until"), closed=False).select(
+        "event_id", "error_id", "ts")
+
+
+def interval_overlap(spark, folder):
+    """Pairs of error times that overlap, each pair of errors once."""
+    found = ranges.overlap_join(_windows(spark, folder), _windows(spark, folder), ("begin", "until"), ("begin", "until"))
+    return found.filter("error_id < error_id_right").select("error_id", "error_id_right")
+
+
+def interval_overlap_keys(spark, folder):
+    """Pairs of orders of one customer whose twenty days overlap."""
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderdate", F.timestamp_add(
+        "DAY", F.lit(20), F.col("o_orderdate")).alias("until"))
+    found = ranges.overlap_join(orders, orders, ("o_orderdate", "until"), ("o_orderdate", "until"), ["o_custkey"], closed=False)
+    return found.filter("o_orderkey < o_orderkey_right").select("o_custkey", "o_orderkey", "o_orderkey_right")
+
+
+QUERIES = {f.__name__: f for f in (
+    scd2_merge, scd2_collapsed, scd2_as_of, point_in_interval, interval_overlap, interval_overlap_keys)}
+
+_WINDOWS = """
+    SELECT event_id AS error_id, ts AS begin_at, CASE WHEN event_id % 997 <> 0 THEN
+               ts + to_minutes(CASE WHEN event_id % 50 = 0 THEN 1440 ELSE event_id % 7 END) END AS until
+    FROM events WHERE event_type = 'error'"""
 
 
 def _events(order: str) -> str:
@@ -61,6 +97,18 @@ _STRETCHES = """
     FROM ({events})"""
 
 ORACLES = {
+    "point_in_interval": f"""
+        SELECT e.event_id, w.error_id, e.ts
+        FROM events e JOIN ({_WINDOWS}) w ON w.begin_at <= e.ts AND (w.until IS NULL OR e.ts < w.until)
+        WHERE e.event_type = 'purchase'""",
+    "interval_overlap": f"""
+        SELECT a.error_id, b.error_id AS error_id_right
+        FROM ({_WINDOWS}) a JOIN ({_WINDOWS}) b ON a.error_id < b.error_id
+             AND (b.until IS NULL OR a.begin_at <= b.until) AND (a.until IS NULL OR b.begin_at <= a.until)""",
+    "interval_overlap_keys": """
+        SELECT a.o_custkey, a.o_orderkey, b.o_orderkey AS o_orderkey_right
+        FROM orders a JOIN orders b ON a.o_custkey = b.o_custkey AND a.o_orderkey < b.o_orderkey
+             AND a.o_orderdate < b.o_orderdate + INTERVAL 20 DAY AND b.o_orderdate < a.o_orderdate + INTERVAL 20 DAY""",
     "scd2_merge": _STRETCHES.format(events=_events("o_orderkey % 3 <> 0, o_orderkey DESC")),
     "scd2_collapsed": _STRETCHES.format(events=f"""
         SELECT * EXCLUDE (before)
