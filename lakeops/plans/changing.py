@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from lakeops.operators import changes
 from lakeops.operators.versions import VersionedTable
@@ -101,8 +101,47 @@ def retain_versions(spark, folder):
     return kept[0].unionByName(kept[1])
 
 
+def bucketed_changes(spark, folder):
+    """A table written at once in buckets, then a merge, a delete and an update of few keys: only their buckets are new."""
+    customer = table(spark, folder, "customer").select("c_custkey", "c_acctbal", "c_mktsegment")
+    versioned = VersionedTable.create(spark, f"{scratch_database(spark, 'buckets')}.customer", customer,
+                                      bucket_by=["c_custkey"], buckets=32)
+    versioned.merge(customer.filter(_key() < 3).withColumns({
+        "c_custkey": F.when(_key() == 2, -1).otherwise(_key()), "c_mktsegment": F.lit("NEW")}), ["c_custkey"])
+    versioned.delete(_key() == 7)
+    versioned.update(_key().isin(8, 9), {"c_acctbal": F.lit(100)})
+    return versioned.read()
+
+
+def bucketed_history(spark, folder):
+    """The same changes: how many of the buckets each of them left alone."""
+    customer = table(spark, folder, "customer").select("c_custkey", "c_acctbal", "c_mktsegment")
+    versioned = VersionedTable.create(spark, f"{scratch_database(spark, 'buckets')}.customer", customer,
+                                      bucket_by=["c_custkey"], buckets=8)
+    versioned.delete(_key() == 7)
+    versioned.update(_key() == 8, {"c_acctbal": F.lit(100)})
+    before = Window.orderBy("version")
+    kept = F.size(F.array_intersect("parts", F.lag("parts").over(before)))
+    return versioned.history().select("version", "operation", F.coalesce(kept, F.lit(0)).alias("kept"))
+
+
+def tiered_inserts(spark, folder):
+    """Thirty inserts with merging by tiers of three: rows written by each version and the parts of the last one."""
+    some = table(spark, folder, "supplier").select("s_suppkey", "s_nationkey")
+    versioned = VersionedTable.create(spark, f"{scratch_database(spark, 'tiers')}.supplier", some)
+    for _ in range(TIERED_INSERTS):
+        versioned.append(some, tiers=3)
+    newest = versioned.history().limit(1).select(F.lit("parts of the last").alias("operation"),
+                                                 F.size("parts").cast("long").alias("versions"),
+                                                 F.lit(versioned.read().count()).cast("long").alias("rows"))
+    return versioned.history().groupBy("operation").agg(
+        F.count(F.lit(1)).alias("versions"), F.sum("rows").alias("rows")).unionByName(newest)
+
+
+TIERED_INSERTS = 30
+
 QUERIES = {f.__name__: f for f in (
-    delete_where, update_where, merge_upsert, merge_upsert_unique, merge_upsert_large, append_evolve, version_count, version_filter,
+    bucketed_changes, bucketed_history, tiered_inserts, delete_where, update_where, merge_upsert, merge_upsert_unique, merge_upsert_large, append_evolve, version_count, version_filter,
     table_history, retain_versions)}
 
 _SOURCE = """
@@ -135,7 +174,33 @@ _SIZES = """
                count(*) FILTER (c_custkey % 20 = 7) + count(*) FILTER (c_custkey % 100 = 1) AS added, count(*) FILTER (c_custkey % 50 = 0) AS appended
         FROM customer)"""
 
+def _tiers(inserts: int, fan_in: int) -> tuple[int, int, int]:
+    """(merges, tables written by them, parts left) after a first table and so many like it."""
+    parts, merges, written = [1], 0, 0
+    for _ in range(inserts):
+        parts.append(1)
+        while len(parts) >= fan_in and len(set(parts[-fan_in:])) == 1:
+            merges, written = merges + 1, written + sum(parts[-fan_in:])
+            parts[-fan_in:] = [sum(parts[-fan_in:])]
+    return merges, written, len(parts)
+
+
+_MERGES, _REWRITTEN, _LEFT = _tiers(TIERED_INSERTS, 3)
+
 ORACLES = {
+    "bucketed_changes": """
+        SELECT CASE WHEN c_custkey = 2 THEN -1 ELSE c_custkey END AS c_custkey, c_acctbal, 'NEW' AS c_mktsegment
+        FROM customer WHERE c_custkey < 3
+        UNION ALL SELECT c_custkey, CASE WHEN c_custkey IN (8, 9) THEN 100 ELSE c_acctbal END, c_mktsegment
+        FROM customer WHERE c_custkey >= 2 AND c_custkey <> 7""",
+    "bucketed_history": """
+        SELECT 0 AS version, 'create' AS operation, 0 AS kept
+        UNION ALL SELECT 1, 'delete', 7 UNION ALL SELECT 2, 'update', 7""",
+    "tiered_inserts": f"""
+        SELECT 'create' AS operation, CAST(1 AS BIGINT) AS versions, count(*) AS rows FROM supplier
+        UNION ALL SELECT 'append', {TIERED_INSERTS}, {TIERED_INSERTS} * count(*) FROM supplier
+        UNION ALL SELECT 'merge parts', {_MERGES}, {_REWRITTEN} * count(*) FROM supplier
+        UNION ALL SELECT 'parts of the last', {_LEFT}, {TIERED_INSERTS + 1} * count(*) FROM supplier""",
     "delete_where": f"SELECT * FROM ({ACCOUNTS_SQL}) WHERE coalesce(c_acctbal <= 5000, TRUE)",
     "update_where": f"""
         SELECT c_custkey, CASE WHEN c_acctbal > 5000 THEN 100 ELSE c_acctbal END AS c_acctbal,

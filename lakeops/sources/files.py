@@ -46,6 +46,13 @@ def written_size(spark: SparkSession, path: str) -> tuple[int, int]:
     return summary.getFileCount() - int(marker), summary.getLength()
 
 
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders right below ``path``, from one listing without a job."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)
+    return sorted(s.getPath().getName() for s in found if s.isDirectory())
+
+
 def spread_rows(df: DataFrame, files: int) -> DataFrame:
     """Spread rows evenly over ``files`` partitions, so that a write gives that many files."""
     return df.repartition(files)

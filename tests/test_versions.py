@@ -128,3 +128,96 @@ def test_changes_rewrite_only_the_parts_they_touch(spark, table):
     assert rows(table.read(3)) == sorted(
         [(1, 30), (2, 40), (3, None), (10, 10), (11, 10), (20, 20), (21, 20), (30, 30), (31, 30)], key=str)
     assert table.retain(1) == [1, 2, 3] and table.read().count() == 11
+
+
+@pytest.fixture
+def bucketed(spark):
+    base = spark.range(4000).selectExpr("id AS k", "CAST(id % 7 AS INT) AS v")
+    return VersionedTable.create(spark, f"{scratch_database(spark, 'test')}.b", base, bucket_by=["k"], buckets=16)
+
+
+def test_one_changed_key_rewrites_one_bucket(spark, bucketed):
+    created = bucketed.history().first()
+    assert len(created.parts) == 16 and created.rows == 4000
+    bucketed.merge(spark.createDataFrame([(17, -1)], "k int, v int"), ["k"])  # another type of the same key
+    merged = bucketed.history().first()
+    assert len(set(merged.parts) & set(created.parts)) == 15 and len(merged.parts) == 16
+    assert merged.rows < 400 and merged.bytes < created.bytes / 8
+    assert bucketed.read().filter("k = 17").first().v == -1 and bucketed.read().count() == 4000
+    assert bucketed.read(0).filter("k = 17").first().v == 3
+    bucketed.delete(F.col("k").isin(17, 18))
+    assert bucketed.history().first().rows < 800 and bucketed.read().count() == 3998
+    bucketed.update(F.col("k") == 99, {"v": F.lit(5)})
+    assert bucketed.history().first().rows < 400 and bucketed.read().filter("k = 99").first().v == 5
+
+
+def test_merge_reads_only_the_buckets_of_its_source(spark, bucketed):
+    source = spark.createDataFrame([(5, 1), (None, 2)], "k long, v int")
+    parts = bucketed._parts_of_keys(source, ["k"])
+    assert 1 <= len(parts) <= 2
+    files = bucketed._parts(parts).inputFiles()
+    assert 0 < len(files) < len(bucketed.read().inputFiles()) / 4
+    assert bucketed._parts_of_keys(source, ["v"]) is None
+    bucketed.merge(source, ["k"])
+    assert rows(bucketed.read().filter("k = 5 OR k IS NULL")) == [(5, 1), (None, 2)]
+
+
+def test_buckets_with_appends_evolution_compaction_and_retention(spark, bucketed):
+    bucketed.append(spark.createDataFrame([(9001, 1), (9002, 2), (None, 3)], "k long, v int"))
+    bucketed.append(spark.createDataFrame([(9003, 1, "x")], "k long, v int, w string"), evolve=True)
+    before = rows(bucketed.read())
+    assert len(before) == 4004 and bucketed.read(1).columns == ["k", "v"]
+    assert bucketed.compact(min_files=1) == 3 and len(bucketed.history().first().parts) == 16
+    assert rows(bucketed.read()) == before
+    dropped = bucketed.retain(1)
+    assert dropped and rows(bucketed.read()) == before
+    with pytest.raises(ValueError, match="dropped"):
+        bucketed.read(1)
+    with pytest.raises(ValueError, match="by \\['k'\\]"):
+        bucketed.rewrite(bucketed.read().drop("k"), "narrow")
+    with pytest.raises(ValueError, match="bucket"):
+        VersionedTable.create(spark, "x", spark.range(1).withColumnRenamed("id", "bucket"), bucket_by=["bucket"], buckets=2)
+    again = VersionedTable(spark, bucketed.name)
+    assert again.bucketing == (["k"], 16)
+    again.delete(F.lit(True))
+    assert again.read().count() == 0
+    again.append(spark.createDataFrame([(1, 1, "y")], "k long, v int, w string"))
+    assert rows(again.read()) == [(1, 1, "y")]
+
+
+@pytest.mark.parametrize("buckets", [0, 3])
+def test_fifty_inserts_leave_few_parts(spark, buckets):
+    some = spark.range(40).selectExpr("id AS k")
+    table = VersionedTable.create(spark, f"{scratch_database(spark, 'test')}.i", some,
+                                  bucket_by=["k"] if buckets else [], buckets=buckets)
+    for _ in range(21):
+        table.append(some, tiers=3)
+    parts = table.history().first().parts
+    assert table.read().count() == 22 * 40 and len({table._version_of(p) for p in parts}) <= 2 * 3
+    merges = table.history().filter("operation = 'merge parts'").collect()
+    assert 8 <= len(merges) <= 11 and max(m.rows for m in merges) == 9 * 40
+    written = sum(r.rows for r in table.history().collect())
+    assert written <= 22 * 40 * 4  # each row about log3(22) + 1 times
+
+
+def test_two_writers_of_one_version(spark, table):
+    other = VersionedTable(spark, table.name)
+    assert other.latest() == 0 and other._base().version == 0
+    table.append(spark.createDataFrame([(4, 4)], "k int, v int"))
+    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
+        other.append(spark.createDataFrame([(5, 5)], "k int, v int"))
+    assert rows(VersionedTable(spark, table.name).read()) == rows(other.read()) and other.read().count() == 4
+
+
+def test_retention_by_hours(spark, table):
+    for n in range(3):
+        table.update(F.col("k") == 1, {"v": F.lit(n)})
+    assert table.retain(hours=1) == []
+    # As if versions 1, 2 and 3 had come three, two and one hour later than version 0, four hours ago.
+    hours_ago = F.expr("current_timestamp() - make_interval(0, 0, 0, 0, 4 - version)")
+    aged = spark.createDataFrame(table.history().collect(), table.history().schema).withColumn("committed_at", hours_ago)
+    aged.write.mode("overwrite").format("parquet").saveAsTable(table.history_name)
+    table = VersionedTable(spark, table.name)
+    assert table.retain(hours=2.5) == [0]      # version 0 was replaced three hours ago, version 1 two hours ago
+    assert table.read(1).count() == 3
+    assert table.retain(hours=0) == [1, 2] and table.read().count() == 3
