@@ -25,11 +25,13 @@ def impute_median(spark, folder):
 
 
 def impute_median_int(spark, folder):
-    """Whole numbers with holes: halves and ones twos, whose median is 1.5, beside one that doubles cannot hold."""
+    """Whole numbers with holes: halves and ones twos, whose median is 1.5, beside one that doubles cannot hold, and dates."""
     part = table(spark, folder, "part").select("p_partkey", F.explode(F.array(F.lit(1), F.lit(2))).alias("copy"))
     rows = part.select("p_partkey", "copy", F.when(F.col("p_partkey") % 7 != 0, F.col("copy")).alias("filled"),
-                       (F.col("p_partkey") + 9007199254740993).alias("large"))
-    return prepare.impute_medians(rows, prepare.fit_medians(rows, ["filled", "large"]))
+                       F.when(F.col("p_partkey") % 5 != 0, 2 * F.col("p_partkey") + 9007199254740993).alias("large"),
+                       F.when(F.col("p_partkey") % 3 != 0, F.timestamp_add("DAY", F.col("p_partkey").cast("int"), F.lit(
+                           "2020-01-01").cast("timestamp_ntz"))).alias("day"))
+    return prepare.impute_medians(rows, prepare.fit_medians(rows, ["filled", "large", "day"]))
 
 
 def median_by_group(spark, folder):
@@ -263,9 +265,18 @@ ORACLES = {
         FROM orders""",
     "batch_score_exact": "SELECT o_orderkey, CAST(o_orderkey % 5 >= 3 AS INTEGER) AS prediction FROM orders",
     "impute_median_int": """
-        SELECT p_partkey, copy, CASE WHEN p_partkey % 7 <> 0 THEN copy::DOUBLE ELSE 1.5::DOUBLE END AS filled,
-               p_partkey + 9007199254740993 AS large
-        FROM part, (SELECT unnest([1, 2]) AS copy)""",
+        WITH rows AS (
+            SELECT p_partkey, copy, CASE WHEN p_partkey % 7 <> 0 THEN copy::DOUBLE ELSE 1.5::DOUBLE END AS filled,
+                   CASE WHEN p_partkey % 5 <> 0 THEN 2 * p_partkey + 9007199254740993 END AS large,
+                   CASE WHEN p_partkey % 3 <> 0 THEN TIMESTAMP '2020-01-01' + to_days(CAST(p_partkey AS INTEGER)) END AS day
+            FROM part, (SELECT unnest([1, 2]) AS copy)),
+        large AS (SELECT large, row_number() OVER (ORDER BY large) AS i, count(*) OVER () AS n FROM rows WHERE large IS NOT NULL),
+        days AS (SELECT day, row_number() OVER (ORDER BY day) AS i, count(*) OVER () AS n FROM rows WHERE day IS NOT NULL)
+        SELECT p_partkey, copy, filled, coalesce(large, (
+                   SELECT CAST(sum(large) // 2 AS BIGINT) FROM (SELECT large FROM large WHERE i = (n + 1) // 2
+                   UNION ALL SELECT large FROM large WHERE i = (n + 2) // 2))) AS large,
+               coalesce(day, (SELECT day FROM days WHERE i = (n + 1) // 2)) AS day
+        FROM rows""",
     "median_by_group": """
         SELECT l_returnflag, median(l_quantity) AS l_quantity, median(l_extendedprice) AS l_extendedprice
         FROM lineitem GROUP BY l_returnflag""",
