@@ -6,6 +6,7 @@ partitioning, on a task retry and in another engine with MD5.
 
 from __future__ import annotations
 
+import hashlib
 from functools import reduce
 
 from pyspark.sql import Column, functions as F
@@ -18,6 +19,11 @@ def bits(key: Column, name: str | Column, seed: int = 0) -> Column:
     return F.conv(F.substring(text, 1, 15), 16, 10).cast("bigint")
 
 
+def plain_uniform(key: str, name: str, seed: int = 0) -> float:
+    """The draw of ``uniform`` for one key, without Spark."""
+    return int(hashlib.md5(f"{key}|{name}|{seed}".encode()).hexdigest()[:15], 16) / 2 ** 60
+
+
 def as_uniform(drawn: Column) -> Column:
     """The bits as a number in [0, 1)."""
     return drawn.cast("double") / F.lit(float(2 ** 60))

@@ -1,10 +1,12 @@
-"""Queries over JSON and XML texts."""
+"""Queries over JSON and XML texts, conversations and hierarchies."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from lakeops.operators.ordering import with_neighbours
+from lakeops.operators.recursive import fixpoint, follow_links
 from lakeops.plans.tables import table
 from lakeops.sources import nested
 
@@ -46,7 +48,27 @@ def xml_explode(spark, folder):
     return nested.flatten_structs(rows)
 
 
-QUERIES = {f.__name__: f for f in (json_props, json_explode, xml_explode)}
+def recursive_turns(spark, folder):
+    """Every turn of a conversation followed back to the first one, by links to the turn before."""
+    turns = table(spark, folder, "conversations").select("conv_id", "turn")
+    linked = with_neighbours(turns, ["conv_id"], [F.col("turn")], previous={"before": F.col("turn")})
+    links = linked.select(F.struct("conv_id", "turn").alias("node"), F.when(F.col("before").isNotNull(), F.struct(
+        "conv_id", F.col("before").alias("turn"))).alias("next"))
+    return follow_links(links, "node", "next").select(
+        "node.conv_id", "node.turn", F.col("root.turn").alias("first_turn"), "steps", "cyclic")
+
+
+def recursive_ancestors(spark, folder):
+    """All suppliers above each one, where a supplier reports to the one with half its number."""
+    suppliers = table(spark, folder, "supplier").select("s_suppkey")
+    above = F.floor(F.col("s_suppkey") / 2)
+    reports = suppliers.filter("s_suppkey > 0").select("s_suppkey", above.alias("above"))
+    steps = reports.select(F.col("s_suppkey").alias("at"), F.col("above").alias("higher"))
+    return fixpoint(reports, lambda fresh: fresh.join(steps, F.col("above") == F.col("at")).select(
+        "s_suppkey", F.col("higher").alias("above")))
+
+
+QUERIES = {f.__name__: f for f in (json_props, json_explode, xml_explode, recursive_turns, recursive_ancestors)}
 
 _TEXTS = """
     SELECT CASE WHEN l_orderkey % 97 = 0 THEN substr(text, 1, 30) ELSE text END AS text
@@ -56,6 +78,20 @@ _TEXTS = """
           FROM lineitem GROUP BY l_orderkey)"""
 
 ORACLES = {
+    "recursive_turns": """
+        WITH RECURSIVE links AS (
+            SELECT conv_id, turn, lag(turn) OVER (PARTITION BY conv_id ORDER BY turn) AS before FROM conversations),
+        walk AS (
+            SELECT conv_id, turn, turn AS first_turn, CAST(0 AS BIGINT) AS steps FROM conversations
+            UNION ALL SELECT w.conv_id, w.turn, l.before, w.steps + 1
+            FROM walk w JOIN links l ON l.conv_id = w.conv_id AND l.turn = w.first_turn WHERE l.before IS NOT NULL)
+        SELECT conv_id, turn, arg_max(first_turn, steps) AS first_turn, max(steps) AS steps, FALSE AS cyclic
+        FROM walk GROUP BY conv_id, turn""",
+    "recursive_ancestors": """
+        WITH RECURSIVE up AS (
+            SELECT s_suppkey, s_suppkey // 2 AS above FROM supplier WHERE s_suppkey > 0
+            UNION SELECT s_suppkey, above // 2 FROM up WHERE above > 0)
+        SELECT s_suppkey, above FROM up""",
     "json_props": """
         SELECT event_id, CASE WHEN json_valid(text) THEN CAST(json_extract(text, '$.k') AS BIGINT) END AS parsed_k,
                CASE WHEN NOT json_valid(text) THEN text END AS malformed

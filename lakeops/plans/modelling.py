@@ -97,6 +97,26 @@ def draw_category(spark, folder):
     return orders.withColumn("categorical_feature_01", synth.draw_category(F.col("o_orderkey"), F.col("label")))
 
 
+def inject_missing_exact(spark, folder):
+    """Exactly a tenth of the cells of each priority's orders are blanked."""
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_orderpriority", "o_totalprice", "o_custkey", "o_orderstatus")
+    return synth.inject_missing_exact(orders, "o_orderkey", BLANKED, by=["o_orderpriority"])
+
+
+def exact_split(spark, folder):
+    """A test share of exactly a third of the customers of each segment, one segment being NULL."""
+    return prepare.exact_split(accounts(spark, folder).select("c_custkey", "c_mktsegment"), "c_custkey", by=["c_mktsegment"])
+
+
+def cluster_data(spark, folder):
+    """Gaussian clusters for every customer."""
+    return synth.cluster_rows(table(spark, folder, "customer").select("c_custkey"), "c_custkey", **CLUSTERS)
+
+
+BLANKED = ["o_totalprice", "o_custkey", "o_orderstatus"]
+CLUSTERS = {"features": 7, "informative": 3, "redundant": 2, "classes": 2, "clusters": 3, "seed": 0}
+
+
 def _training_rows(spark, folder):
     """Synthetic features with holes for every order, grouped by priority."""
     keys = table(spark, folder, "orders").select("o_orderkey", F.col("o_orderpriority").alias("group_name"))
@@ -209,7 +229,7 @@ def batch_score(spark, folder):
 QUERIES = {f.__name__: f for f in (
     hash_split, impute_median, impute_median_int, median_by_group, impute_constant, one_hot, scale_column, weighted_prf, auc_rank,
     metrics_long, synth_group_data, inject_missing, draw_category, group_train, gbt_train, batch_score,
-    group_train_exact, group_train_crossed, table_score_crossed, gbt_train_exact, batch_score_exact)}
+    inject_missing_exact, exact_split, cluster_data, group_train_exact, group_train_crossed, table_score_crossed, gbt_train_exact, batch_score_exact)}
 
 
 def _bits_sql(key: str, name: str, seed: int = 0) -> str:
@@ -228,6 +248,40 @@ def _feature_sql(name: str, number: int) -> str:
             f" + CASE WHEN class = 1 THEN {side} ELSE {-side} END::DOUBLE, 4) AS FLOAT)::DOUBLE AS {name}")
 
 
+def _normal_sql(key: str, name: str) -> str:
+    drawn = _bits_sql(key, name)
+    total = " + ".join(f"(({drawn} >> {15 * part}) & 32767)" for part in range(4))
+    return f"((({total}) / 32768.0::DOUBLE - 2.0::DOUBLE) * sqrt(3.0::DOUBLE))"
+
+
+def _cluster_sql() -> str:
+    """The cluster data from the same plan of corners, maps and mixtures."""
+    size, more = CLUSTERS["informative"], CLUSTERS["redundant"]
+    plan = list(synth.cluster_plan(CLUSTERS["features"], size, more, CLUSTERS["classes"], CLUSTERS["clusters"], 1.0, 0))
+    names = synth.feature_names(CLUSTERS["features"])
+
+    def pick(values) -> str:
+        return f"[{', '.join(f'{v!r}::DOUBLE' for v in values)}][cluster + 1]"
+
+    placed = []
+    for j in range(size):
+        terms = [pick([corner[j] for corner, _ in plan])] + [f"z{i} * {pick([a[i][j] for _, a in plan])}" for i in range(size)]
+        placed.append(f"{' + '.join(terms)} AS x{j}")
+    values = [f"x{j}" for j in range(size)]
+    values += [" + ".join(["0.0::DOUBLE", *[f"x{j} * {w!r}::DOUBLE" for j, w in enumerate(weights)]])
+               for weights in synth.mixing_plan(size, more, 0)]
+    values += [_normal_sql("c_custkey", n) for n in names[size + more:]]
+    return f"""
+        SELECT c_custkey, CAST(CASE WHEN {_uniform_sql('c_custkey', 'noise')} < 0.4
+                   THEN floor({_uniform_sql('c_custkey', 'coin')} * {CLUSTERS['classes']})
+                   ELSE cluster % {CLUSTERS['classes']} END AS INTEGER) AS label,
+               {', '.join(f'round({v}, 4) AS {n}' for v, n in zip(values, names))}
+        FROM (SELECT *, {', '.join(placed)} FROM (
+            SELECT c_custkey, CAST(floor({_uniform_sql('c_custkey', 'cluster')} * {len(plan)}) AS INTEGER) AS cluster,
+                   {', '.join(f"{_normal_sql('c_custkey', f'normal {j}')} AS z{j}" for j in range(size))}
+            FROM customer))"""
+
+
 _TEST_SQL = "CAST('0x' || substr(md5(CAST({key} AS VARCHAR)), 1, 8) AS BIGINT) % 100 < 33"
 _SCORED_SQL = """
     SELECT lang, quality, CAST(n_chars > 1000 AS INTEGER) AS predicted, n_chars
@@ -243,6 +297,23 @@ _PRF_SQL = f"""
     GROUP BY lang"""
 
 ORACLES = {
+    "inject_missing_exact": f"""
+        WITH cells AS (
+            SELECT o_orderkey, o_orderpriority, name, {_bits_sql('o_orderkey', "' || name || '")} AS draw
+            FROM orders, (SELECT unnest([{', '.join(f"'blank {c}'" for c in BLANKED)}]) AS name)),
+        gone AS (
+            SELECT o_orderkey, name FROM cells
+            QUALIFY row_number() OVER (PARTITION BY o_orderpriority ORDER BY draw, o_orderkey::VARCHAR, name)
+                    <= floor(0.1 * count(*) OVER (PARTITION BY o_orderpriority)))
+        SELECT o_orderkey, o_orderpriority, {', '.join(
+            f"CASE WHEN (o_orderkey, 'blank {c}') NOT IN (SELECT (o_orderkey, name) FROM gone) THEN {c} END AS {c}" for c in BLANKED)}
+        FROM orders""",
+    "exact_split": f"""
+        SELECT c_custkey, c_mktsegment, row_number() OVER (
+                   PARTITION BY c_mktsegment ORDER BY {_bits_sql('c_custkey', 'split')}, c_custkey::VARCHAR)
+               <= ceil(0.33 * count(*) OVER (PARTITION BY c_mktsegment)) AS in_test
+        FROM ({ACCOUNTS_SQL})""",
+    "cluster_data": _cluster_sql(),
     "hash_split": f"SELECT o_orderkey, {_TEST_SQL.format(key='o_orderkey')} AS in_test FROM orders",
     "impute_median": f"""
         SELECT c_custkey, coalesce(c_acctbal, (SELECT median(c_acctbal) FROM ({ACCOUNTS_SQL})
