@@ -39,6 +39,6 @@ def smallest_limit(draws: DataFrame, by: list[str], draw: str, ties: list[str],
     beyond = F.max(F.when(F.col("_number") > F.col("_left"), place))
     parted = F.raise_error(F.lit("rows with equal draws and ties cannot be parted: the key repeats")).cast(
         near.select(place).schema[0].dataType)
-    limits = materialize(last.groupBy(*by).agg(F.when(inside.eqNullSafe(beyond), parted).otherwise(inside).alias("limit")))
+    limits = materialize(last.groupBy(*by).agg(F.when(inside == beyond, parted).otherwise(inside).alias("limit")))
     discard(counted, ending, near, numbered)
     return limits
