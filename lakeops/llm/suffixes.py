@@ -9,9 +9,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import IntegralType
 
 from lakeops.llm.common import fresh_name, map_batches, text_of
+from lakeops.operators.names import column
+from lakeops.operators.ordering import row_number_by
 from lakeops.session import materialize
 
 LENGTH = 50
@@ -86,7 +89,7 @@ def _unshuffled(raw: bytes, kind: type, n: int) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(size, n).T).view(kind).ravel()
 
 
-def pack_chunk(docs: np.ndarray, bases: np.ndarray, parts: list[bytes], buckets: int,
+def pack_chunk(docs: np.ndarray, variants: np.ndarray, bases: np.ndarray, parts: list[bytes], buckets: int,
                length: int) -> list[tuple[int, int, bytes]]:
     """(bucket, number, packed stretches) for a few texts; a bucket gets whole groups."""
     found, first, size = [], 0, 0
@@ -107,6 +110,7 @@ def pack_chunk(docs: np.ndarray, bases: np.ndarray, parts: list[bytes], buckets:
         body = [parts[o][s:e] for o, s, e in zip(owner[a:b].tolist(), start[a:b].tolist(), end[a:b].tolist())]
         # Differences of neighbours are small, which compresses better.
         raw = b"".join([_shuffled(np.diff(docs[owner[a:b]], prepend=0)),
+                        _shuffled(np.diff(variants[owner[a:b]], prepend=0)),
                         _shuffled(np.diff(bases[owner[a:b]] + start[a:b], prepend=0)),
                         (place[a:b] - start[a:b]).astype(np.uint8).tobytes(),
                         (end[a:b] - start[a:b]).astype(np.uint8).tobytes(), *body])
@@ -115,11 +119,11 @@ def pack_chunk(docs: np.ndarray, bases: np.ndarray, parts: list[bytes], buckets:
 
 
 def unpack(n: int, packed: bytes) -> tuple[np.ndarray, ...]:
-    """(documents, starts, places of the least part in the stretch, sizes, bytes)."""
+    """(documents, their variants, starts, places of the least part in the stretch, sizes, bytes)."""
     raw = zstandard.ZstdDecompressor().decompress(packed)
-    return (np.cumsum(_unshuffled(raw[:8 * n], np.int64, n)), np.cumsum(_unshuffled(raw[8 * n:16 * n], np.int64, n)),
-            np.frombuffer(raw[16 * n:17 * n], np.uint8).astype(np.int64),
-            np.frombuffer(raw[17 * n:18 * n], np.uint8).astype(np.int64), raw[18 * n:])
+    wide = [np.cumsum(_unshuffled(raw[8 * n * i:8 * n * (i + 1)], np.int64, n)) for i in range(3)]
+    small = [np.frombuffer(raw[i * n:(i + 1) * n], np.uint8).astype(np.int64) for i in (24, 25)]
+    return (*wide, *small, raw[26 * n:])
 
 
 def _hash_at(raw: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
@@ -173,16 +177,16 @@ def suffix_order(strings: list[bytes], cap: int) -> tuple[np.ndarray, np.ndarray
     ends = np.cumsum(sizes)
     before = flat[ends - 1].copy()
     # String and suffix length in one number.
-    which = np.arange(count) << 8
+    which = np.arange(count, dtype=np.int32 if count < 1 << 22 else np.int64) << 8
     common = np.zeros(count, np.uint8)
     place, alive = np.arange(count), np.arange(count)
     for step in range(1, int(sizes.max(initial=0)) + 1):
         total = len(before)
         order = np.argsort(before, kind="stable")
-        rank = np.empty(total, np.int64)
-        rank[order] = np.arange(total)
+        rank = np.empty(total, np.int32 if total < 1 << 31 else np.int64)
+        rank[order] = np.arange(total, dtype=rank.dtype)
         here = place[alive]
-        k = rank[here]
+        k = rank[here].astype(np.int64)
         symbol = before[here]
         least = _RangeMinimum(common)
         at = np.maximum(k - 1, 0)
@@ -227,11 +231,37 @@ def least_documents(strings: list[bytes], least: np.ndarray, length: int) -> lis
     return np.split(out, bounds[1:-1])
 
 
-def repeats_in_bucket(packed: list[tuple[int, bytes]], length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(document, start, end) of the bytes of this bucket's stretches that start in a smaller document too."""
+def _smallest(strings: list[bytes], tag: np.ndarray, least: np.ndarray, length: int) -> list[np.ndarray]:
+    """``least_documents`` of all strings, which come in the order of their groups; a construction takes whole groups.
+
+    A string that is the only one of its group shares nothing with another: what it holds starts in its own least
+    document, so it needs no order.
+    """
+    if not strings:
+        return []
+    lengths = np.fromiter(map(len, strings), np.int64, len(strings))
+    edges = np.flatnonzero(np.concatenate((tag[1:] != tag[:-1], [True]))) + 1
+    sizes = np.diff(edges, prepend=0)
+    alone = np.repeat(sizes == 1, sizes)
+    out = [np.full(n, d) if a else None for n, d, a in zip((lengths - length + 1).tolist(), least.tolist(), alone.tolist())]
+    held: list[int] = []
+    filled = 0
+    for end, size in zip(edges.tolist(), sizes.tolist()):
+        if size > 1:
+            held += range(end - size, end)
+            filled += int(lengths[end - size:end].sum())
+        if held and (filled >= ORDER_BYTES or end == len(strings)):
+            for i, found in zip(held, least_documents([strings[i] for i in held], least[held], length)):
+                out[i] = found
+            held, filled = [], 0
+    return out
+
+
+def repeats_in_bucket(packed: list[tuple[int, bytes]], length: int) -> tuple[np.ndarray, ...]:
+    """(document, variant, start, end) of the bytes of this bucket's stretches that start in a smaller document too."""
     found = [unpack(n, raw) for n, raw in packed]
-    docs, starts, places, sizes = (np.concatenate([f[i] for f in found]) for i in range(4))
-    body = b"".join([f[4] for f in found])
+    docs, variants, starts, places, sizes = (np.concatenate([f[i] for f in found]) for i in range(5))
+    body = b"".join([f[5] for f in found])
     del found
     raw = np.frombuffer(body, np.uint8)
     begins = np.cumsum(sizes) - sizes
@@ -249,25 +279,17 @@ def repeats_in_bucket(packed: list[tuple[int, bytes]], length: int) -> tuple[np.
     names: dict[bytes, int] = {}
     which = np.fromiter((names.setdefault(body[b:b + s], len(names)) for b, s in
                          zip(begins[at].tolist(), sizes[at].tolist())), np.int64, len(at))
-    docs, starts, sizes, tags = docs[at], starts[at], sizes[at], tags[at]
+    docs, variants, starts, sizes, tags = docs[at], variants[at], starts[at], sizes[at], tags[at]
     strings = list(names)
     least = np.full(len(strings), np.iinfo(np.int64).max)
     np.minimum.at(least, which, docs)
     tag = np.zeros(len(strings), np.uint64)
     tag[which] = tags
     lengths = np.fromiter(map(len, strings), np.int64, len(strings))
-    # Strings came in the order of their groups, so a construction takes whole groups.
-    smallest: list[np.ndarray] = []
-    begin = 0
-    edges = np.flatnonzero(np.concatenate((tag[1:] != tag[:-1], [True]))) + 1 if len(tag) else []
-    filled = np.concatenate(([0], np.cumsum(lengths)))
-    for edge in edges:
-        if filled[edge] - filled[begin] >= ORDER_BYTES or edge == len(strings):
-            smallest += least_documents(strings[begin:edge], least[begin:edge], length)
-            begin = edge
+    smallest = _smallest(strings, tag, least, length)
     if not len(which):
         none = np.zeros(0, np.int64)
-        return none, none, none
+        return none, none, none, none
     flat = np.concatenate(smallest)
     bounds = np.cumsum(lengths - length + 1) - (lengths - length + 1)
     places = sizes - length + 1
@@ -277,10 +299,11 @@ def repeats_in_bucket(packed: list[tuple[int, bytes]], length: int) -> tuple[np.
     piece, offset = piece[covered], offset[covered]
     if not len(piece):
         none = np.zeros(0, np.int64)
-        return none, none, none
+        return none, none, none, none
     new = np.flatnonzero(np.concatenate(([True], (piece[1:] != piece[:-1]) | (offset[1:] != offset[:-1] + 1))))
     last = np.append(new[1:], len(piece)) - 1
-    return docs[piece[new]], starts[piece[new]] + offset[new], starts[piece[new]] + offset[last] + length
+    first = piece[new]
+    return docs[first], variants[first], starts[first] + offset[new], starts[first] + offset[last] + length
 
 
 def _runs(starts: np.ndarray, ends: np.ndarray) -> list[list[int]]:
@@ -291,9 +314,25 @@ def _runs(starts: np.ndarray, ends: np.ndarray) -> list[list[int]]:
     return np.stack([starts[first], ends[np.append(first[1:], len(ends)) - 1]], axis=1).tolist()
 
 
-def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
-    """(key, spans): per document with any, the maximal byte ranges [start, end] covered by strings of ``length``
-    bytes that also start in a document with a smaller key.
+def _told_apart(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """``docs`` with ``of_key`` (the key as a number) and ``variant``: 0 but for rows that repeat a key with another text.
+
+    The texts of a repeated key are numbered by hash; equal rows are one document. Only keys and hashes are shuffled,
+    and the texts of none but a table with very many repeated keys.
+    """
+    body = F.xxhash64(F.col(text), F.lit(1))
+    pairs = docs.filter(F.col(key).isNotNull()).select(F.col(key).alias("twin"), body.alias("twin_body"))
+    several = pairs.groupBy("twin").agg(F.min("twin_body").alias("low"), F.max("twin_body").alias("high"))
+    twins = pairs.join(several.filter("low <> high").select("twin"), "twin", "left_semi").distinct()
+    twins = materialize(row_number_by(materialize(twins), ["twin"], [F.col("twin_body")], "variant"))
+    return docs.join(twins, (F.col(key) == F.col("twin")) & (body == F.col("twin_body")), "left").select(
+        *docs.columns, F.coalesce("variant", F.lit(0)).cast("long").alias("variant"))
+
+
+def repeated_spans(rows: DataFrame, length: int = LENGTH) -> DataFrame:
+    """(of, of_variant, spans): per document with any, the maximal byte ranges [start, end] covered by strings of
+    ``length`` bytes that also start in a document with a smaller key. ``rows`` come from ``_told_apart`` with the
+    columns key (long), variant and text.
 
     Texts are cut into stretches of neighbouring strings that share a least part (by hash), so
     equal strings meet in one bucket whatever stands around them. A bucket's distinct stretches are the collection
@@ -301,19 +340,18 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", len
     """
     if not PART < length <= 128:
         raise ValueError(f"the length is more than {PART} and at most 128 bytes")
-    rows = docs.filter(docs[key].isNotNull()).select(docs[key].cast("long").alias("key"), text_of(text).alias("text"))
+    rows = rows.filter("key IS NOT NULL").select("key", "variant", "text")
     total = rows.agg(F.sum(F.octet_length("text")).alias("bytes"), F.count("*").alias("rows")).first()
     buckets = max(1, math.ceil((total.bytes or 0) / BUCKET_BYTES))
     shares = max(1, math.ceil(total.rows / SHARE_ROWS))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        waiting: list[tuple[int, int, bytes]] = []
+        waiting: list[tuple[int, int, int, bytes]] = []
         size = 0
 
         def flush() -> pa.RecordBatch:
-            packed = pack_chunk(np.array([d for d, _, _ in waiting], np.int64),
-                                np.array([b for _, b, _ in waiting], np.int64), [p for _, _, p in waiting], buckets,
-                                length)
+            *numbers, parts = zip(*waiting)
+            packed = pack_chunk(*(np.array(x, np.int64) for x in numbers), list(parts), buckets, length)
             waiting.clear()
             columns = list(zip(*packed)) or [(), (), ()]
             return pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()),
@@ -321,13 +359,13 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", len
 
         for batch in batches:
             for i in range(batch.num_rows):
-                raw = batch.column(1)[i].as_py().encode()
+                raw = batch.column(2)[i].as_py().encode()
                 if len(raw) < length:
                     continue
-                number = batch.column(0)[i].as_py()
+                number, variant = batch.column(0)[i].as_py(), batch.column(1)[i].as_py()
                 for base in range(0, len(raw) - length + 1, HASHED_BYTES):
                     part = raw[base:base + HASHED_BYTES + length - 1]
-                    waiting.append((number, base, part))
+                    waiting.append((number, variant, base, part))
                     size += len(part)
                     if size >= CHUNK_BYTES:
                         yield flush()
@@ -336,56 +374,68 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", len
             yield flush()
 
     def find(table: pa.Table) -> pa.Table:
-        keys, starts, ends = repeats_in_bucket(
+        keys, variants, starts, ends = repeats_in_bucket(
             list(zip(table.column("n").to_pylist(), table.column("packed").to_pylist())), length)
         share = ((keys.view(np.uint64) * np.uint64(_FACTOR)) >> np.uint64(20)) % np.uint64(shares)
         order = np.argsort(share, kind="stable")
-        share, ranges = share[order], np.stack([keys[order], starts[order], ends[order]], axis=1)
+        share, ranges = share[order], np.stack([x[order] for x in (keys, variants, starts, ends)], axis=1)
         first = np.flatnonzero(np.concatenate(([True], share[1:] != share[:-1]))) if len(keys) else np.zeros(0, np.int64)
         return pa.table({"share": pa.array(share[first].astype(np.int64), pa.int64()), "ranges": pa.array(
             [r.tobytes() for r in np.split(ranges, first[1:])] if len(keys) else [], pa.binary())})
 
     def join(batch: pa.RecordBatch) -> pa.RecordBatch:
-        keys, spans = [], []
+        owners, spans = [], []
         for lists in batch.column(1).to_pylist():
-            ranges = np.frombuffer(b"".join(lists), np.int64).reshape(-1, 3)
-            ranges = ranges[np.argsort(ranges[:, 0], kind="stable")]
-            first = np.flatnonzero(np.concatenate(([True], ranges[1:, 0] != ranges[:-1, 0])))
+            ranges = np.frombuffer(b"".join(lists), np.int64).reshape(-1, 4)
+            ranges = ranges[np.lexsort((ranges[:, 1], ranges[:, 0]))]
+            first = np.flatnonzero(np.concatenate(([True], (ranges[1:, :2] != ranges[:-1, :2]).any(axis=1))))
             for part in np.split(ranges, first[1:]):
-                keys.append(int(part[0, 0]))
-                spans.append(_runs(part[:, 1], part[:, 2]))
-        return pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(spans, pa.list_(pa.list_(pa.int64())))],
-                                          ["key", "spans"])
+                owners.append(part[0, :2].tolist())
+                spans.append(_runs(part[:, 2], part[:, 3]))
+        return pa.RecordBatch.from_arrays(
+            [*[pa.array([o[i] for o in owners], pa.int64()) for i in (0, 1)],
+             pa.array(spans, pa.list_(pa.list_(pa.int64())))], ["of", "of_variant", "spans"])
 
     # A bucket's ranges travel packed, some documents' together; a document's runs are few.
     # About one bucket per task, however many the session's number of shuffle partitions is.
     ranges = (rows.mapInArrow(cut, "bucket long, n long, packed binary").repartition(buckets, "bucket").groupBy("bucket")
               .applyInArrow(lambda table: find(table), "share long, ranges binary"))
     return map_batches(ranges.groupBy("share").agg(F.collect_list("ranges").alias("ranges")), join,
-                       "key long, spans array<array<bigint>>", rows=16)
+                       "of long, of_variant long, spans array<array<bigint>>", rows=16)
 
 
 def _marked(docs: DataFrame, key: str, text: str, length: int) -> tuple[DataFrame, str]:
-    spans = materialize(repeated_spans(docs, key, text, length))
-    name, other = fresh_name(docs, "spans"), fresh_name(docs, "span_key")
-    spans = spans.select(F.col("key").alias(other), F.col("spans").alias(name))
-    joined = docs.join(spans.hint("merge"), docs[key].cast("long") == spans[other], "left")
-    return joined.select(*[docs[f"`{c}`"] for c in docs.columns], spans[name]), name
+    """``docs`` with one more column, whose name is returned: the removed byte ranges of each row, or NULL."""
+    every = [f"c{i}" for i in range(len(docs.columns))]
+    rows = _told_apart(docs.select(*[F.col(column(c)).alias(n) for c, n in zip(docs.columns, every)],
+                                   _number(docs, key).alias("key"), text_of(text).alias("text")), "key", "text")
+    spans = materialize(repeated_spans(rows, length))
+    joined = rows.join(spans.hint("merge"), (rows["key"] == spans["of"]) & (rows["variant"] == spans["of_variant"]), "left")
+    name = fresh_name(docs, "spans")
+    return joined.select(*[F.col(n).alias(c) for c, n in zip(docs.columns, every)], spans["spans"].alias(name)), name
+
+
+def _number(docs: DataFrame, key: str) -> Column:
+    kind = docs.schema[key].dataType
+    if not isinstance(kind, IntegralType):
+        raise ValueError(f"keys must be whole numbers, as documents are compared by them; {key} is {kind.simpleString()}")
+    return F.col(column(key)).cast("long")
 
 
 def report(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
     """Per row: key, n_bytes, n_removed, n_spans (maximal removed runs), kept_sha256 (of the bytes left).
 
     NULL texts are empty. Rows without a key neither remove nor lose anything. Rows that repeat a key are compared
-    with smaller keys only; repeats within a document stay.
+    with smaller keys only, each text for itself; repeats within a document stay. Keys are whole numbers, others raise
+    an error.
     """
-    rows = docs.select(docs[key].alias("key"), text_of(text).alias("text"))
-    kind = rows.schema["key"].dataType.simpleString()
-    spans = materialize(repeated_spans(rows, "key", "text", length)).withColumnRenamed("key", "of")
+    kind = docs.schema[key].dataType.simpleString()
+    rows = _told_apart(docs.select(_number(docs, key).alias("key"), text_of(text).alias("text")), "key", "text")
+    spans = materialize(repeated_spans(rows, length))
 
     def shrink(batch: pa.RecordBatch, packer: zstandard.ZstdCompressor) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(
-            [packer.compress(t.encode()) for t in batch.column(1).to_pylist()], pa.binary())], ["key", "packed"])
+        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(
+            [packer.compress(t.encode()) for t in batch.column(2).to_pylist()], pa.binary())], ["key", "variant", "packed"])
 
     def digest(batch: pa.RecordBatch) -> pa.RecordBatch:
         rows, unpacker = [], zstandard.ZstdDecompressor()
@@ -403,11 +453,12 @@ def report(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int
                                           ["key", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
     # Texts are shuffled once to meet their runs, compressed better than a shuffle would.
-    small = map_batches(rows, shrink, f"key {kind}, packed binary", lambda: zstandard.ZstdCompressor(level=6))
-    marked = (small.join(spans.hint("merge"), small["key"].cast("long") == spans["of"], "left")
+    small = map_batches(rows.select("key", "variant", "text"), shrink, "key long, variant long, packed binary",
+                        lambda: zstandard.ZstdCompressor(level=6))
+    marked = (small.join(spans.hint("merge"), (small["key"] == spans["of"]) & (small["variant"] == spans["of_variant"]), "left")
               .select("key", "packed", "spans"))
-    return map_batches(marked, digest, f"key {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-                       ).withColumnRenamed("key", key)
+    return map_batches(marked, digest, "key long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+                       ).withColumn("key", F.col("key").cast(kind)).withColumnRenamed("key", key)
 
 
 REPORT_SQL = f"""

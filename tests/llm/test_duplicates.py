@@ -197,6 +197,37 @@ def test_bytes_of_the_given_table_in_small_chunks(spark, tiny, monkeypatch):
 
 # -- benchmark windows -----------------------------------------------------------------------------------------------
 
+def test_rows_that_repeat_a_key_keep_their_own_text(spark):
+    rng = random.Random(12)
+    a, b, c = ("".join(rng.choices("abcdefgh ", k=108)) for _ in range(3))
+    rows = [(1, a), (2, a), (2, b), (2, b), (2, a + c), (3, c), (None, a), (3, None), (3, b + "x" + c)]
+    rows += [(5, "".join(rng.choices("abcdefgh ", k=70))) for _ in range(40)] + [(6, a[:60] + rng.choice("xyz")) for _ in range(9)]
+    docs = spark.createDataFrame([(i, t, 9, 8) for i, t in rows], "doc_id int, text string, variant int, `of` int")
+    found = suffixes.report(docs.repartition(4))
+    assert dict(found.dtypes)["doc_id"] == "int"
+    assert sorted((str(r.doc_id), r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in found.collect()) == slow_bytes(rows)
+    left = suffixes.drop_repeats(docs)
+    assert left.columns == docs.columns
+    assert sorted((str(r.doc_id), len((r.text or "").encode())) for r in left.collect()) == sorted(
+        (i, n - gone) for i, n, gone, _, _ in slow_bytes(rows))
+    with pytest.raises(ValueError, match="whole numbers"):
+        suffixes.report(docs.withColumn("doc_id", docs["doc_id"].cast("string")))
+
+
+def test_groups_of_one_string_need_no_order():
+    rng = random.Random(3)
+    strings = [bytes(rng.choices(b"ab", k=rng.randrange(50, 80))) for _ in range(60)]
+    tag = np.sort(np.array([rng.randrange(40) for _ in strings], np.uint64))
+    least = np.array([rng.randrange(30) for _ in strings])
+    found = suffixes._smallest(strings, tag, least, 50)
+    for i, one in enumerate(strings):
+        for k in range(len(one) - 49):
+            window = one[k:k + 50]
+            want = min(d for s, t, d in zip(strings, tag, least) if t == tag[i] and window in s)
+            # Groups that share a window share its least part; here groups are drawn, so other groups may lower it.
+            assert min(least) <= found[i][k] <= want
+
+
 def slow_windows(documents, items):
     def words(text):
         return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", low(text or ""))
