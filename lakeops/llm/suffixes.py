@@ -18,11 +18,12 @@ from lakeops.operators.ordering import row_number_by
 from lakeops.session import materialize
 
 LENGTH = 50
-#: A string's group is named by the least hash of its parts of this many bytes.
+#: A string's group is named by the least hash of its parts of this many bytes (8 and 4).
 PART = 12
 CHUNK_BYTES = 8 << 20
-#: Bytes hashed at once.
+#: Bytes hashed at once, about; the places of all of them must fit the bits.
 HASHED_BYTES = 1 << 20
+PLACE_BITS = 24
 #: Text bytes per bucket, from which the number of buckets follows.
 BUCKET_BYTES = 8 << 20
 #: Documents whose ranges are brought together in one value.
@@ -37,21 +38,27 @@ _MIX = np.random.default_rng(7).integers(0, 2 ** 63, 256, dtype=np.uint64) * np.
 def _least_parts(raw: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     """For each place the least mixed hash of the ``PART``-byte parts of the string of ``length`` bytes there, and
     where the first part with that hash stands."""
-    hashed = np.zeros(len(raw) - PART + 1, np.uint64)
-    mixed = _MIX[raw]
-    for i in range(PART):
-        hashed = hashed * np.uint64(_FACTOR) + mixed[i:len(raw) - PART + 1 + i]
+    # Hashes of 2, 4 and 8 bytes from two halves each, then of 8 and 4.
+    hashed, size = _MIX[raw], 1
+    while size < 8:
+        if size == 4:
+            four = hashed
+        hashed = hashed[:-size] * np.uint64(pow(_FACTOR, size, 1 << 64)) + hashed[size:]
+        size *= 2
+    count = len(raw) - PART + 1
+    hashed = hashed[:count] * np.uint64(pow(_FACTOR, 4, 1 << 64)) + four[8:8 + count]
     hashed = (hashed ^ (hashed >> np.uint64(29))) * np.uint64(_FACTOR)
     hashed ^= hashed >> np.uint64(32)
-    place = np.arange(len(hashed), dtype=np.int32)
+    # The upper bits of a hash and its place in one number: equal ones go to the first place.
+    here = np.uint64((1 << PLACE_BITS) - 1)
+    least = (hashed & ~here) | np.arange(count, dtype=np.uint64)
     width, size = length - PART + 1, 1
     while size < width:
         step = min(size, width - size)
-        first = hashed[:-step] <= hashed[step:]
-        hashed = np.where(first, hashed[:-step], hashed[step:])
-        place = np.where(first, place[:-step], place[step:])
+        least = np.minimum(least[:-step], least[step:])
         size += step
-    return hashed, place
+    place = (least & here).astype(np.int64)
+    return hashed[place], place
 
 
 def stretches(parts: list[bytes], length: int = LENGTH) -> tuple[np.ndarray, ...]:
