@@ -187,10 +187,18 @@ class Model:
         self.growing, self.sums, self.split = None, {}, {}
 
 
+def _by_score(counts: np.ndarray) -> np.ndarray:
+    """Rows (score, positives, negatives) in order, one per score."""
+    counts = counts[np.argsort(counts[:, 0], kind="stable")]
+    start = np.flatnonzero(np.diff(counts[:, 0], prepend=counts[0, 0] - 1)) if len(counts) else np.zeros(0, np.int64)
+    if not len(start):
+        return counts
+    return np.concatenate((counts[start, :1], np.add.reduceat(counts[:, 1:], start, axis=0)), axis=1)
+
+
 def auc_of(counts: np.ndarray) -> float:
     """AUC from rows (score, positives, negatives); tied scores count half, NaN for one class only."""
-    counts = counts[np.argsort(counts[:, 0])]
-    pos, neg = counts[:, 1], counts[:, 2]
+    _, pos, neg = _by_score(counts).T
     pairs = int(pos.sum()) * int(neg.sum())
     return float((pos * (2 * (neg.cumsum() - neg) + neg)).sum() / 2 / pairs) if pairs else float("nan")
 
@@ -291,14 +299,19 @@ def level_sums(rows: _Rows, margin: np.ndarray, tree: Tree | None, level: int, w
     return out
 
 
-def _level(blocks: DataFrame, models: dict, level: int, judge: int) -> dict:
-    """One job: per group, the wanted histograms of a level and, at the root, (score, positives, negatives)."""
+def _level(blocks: DataFrame, models: dict, level: int, judge: int, tasks: int, features: int) -> dict:
+    """One job: per group, the wanted histograms of a level and, at the root, (score, positives, negatives).
+
+    The sums of ``tasks`` tasks are added up by a shuffle, or by the driver if it can hold all of them; either way they
+    are the same whole numbers.
+    """
     kind = blocks.schema["group"].dataType.simpleString()
     asked = {g: (m.trees[m.stored:], m.growing, m.wanted(level), m.options.bins) for g, m in models.items()}
     scoring = {g for g, m in models.items() if level == 0 and m.trees}
     index = {g: i for i, g in enumerate(asked)}
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def add(batches: Iterator[pa.RecordBatch]) -> tuple[dict, dict]:
+        """All sums of a task by group; scores as rows (score, positives, negatives)."""
         sums: dict = {}
         counts: dict = {}
         for batch in batches:
@@ -315,66 +328,79 @@ def _level(blocks: DataFrame, models: dict, level: int, judge: int) -> dict:
                     sums[group] = sums[group] + found if group in sums else found
                 if group in scoring:
                     judged = rows.role == judge
-                    score, at = np.unique(scores_at(margin[judged]), return_inverse=True)
-                    pos = np.bincount(at, rows.label[judged], len(score)).astype(np.int64)
-                    mine = counts.setdefault(group, {})
-                    for s, p, n in zip(score.tolist(), pos.tolist(), np.bincount(at, minlength=len(score)).tolist()):
-                        old = mine.get(s, (0, 0))
-                        mine[s] = (old[0] + p, old[1] + n - p)
-
-        def rows_of(part: int, group, cell: np.ndarray, one: np.ndarray, two: np.ndarray) -> pa.RecordBatch:
-            n = len(cell)
-            return pa.RecordBatch.from_arrays(
-                [pa.array(np.full(n, index[group])), pa.array(np.full(n, part, np.int32)), pa.array(cell), pa.array(one),
-                 pa.array(two)], ["model", "part", "cell", "one", "two"])
-
-        for group, found in sums.items():
-            flat = found.reshape(-1, 2)
-            used = np.flatnonzero(flat.any(axis=1))
-            yield rows_of(0, group, used, flat[used, 0], flat[used, 1])
-        for group, mine in counts.items():
-            cells = np.array([(s, *pn) for s, pn in mine.items()], np.int64).reshape(-1, 3)
-            yield rows_of(1, group, cells[:, 0], cells[:, 1], cells[:, 2])
-
-    added = (blocks.mapInArrow(run, "model long, part int, cell long, one long, two long")
-             .groupBy("model", "part", "cell").agg(F.sum("one").alias("one"), F.sum("two").alias("two")).toArrow())
-    model, part, cell, one, two = (added.column(c).to_numpy() for c in ("model", "part", "cell", "one", "two"))
-    order = np.argsort(model, kind="stable")
-    bounds = np.searchsorted(model[order], np.arange(len(index) + 1))
-    out = {}
-    for group, i in index.items():
-        mine = order[bounds[i]:bounds[i + 1]]
-        at, scored = mine[part[mine] == 0], mine[part[mine] == 1]
-        _, _, wanted, bins = asked[group]
-        out[group] = wanted, bins, cell[at], one[at], two[at], np.stack([x[scored] for x in (cell, one, two)], axis=1)
-    return out
-
-
-def _dense(wanted: list[int], bins: int, features: int, cell: np.ndarray, one: np.ndarray,
-           two: np.ndarray) -> dict[int, np.ndarray]:
-    flat = np.zeros((len(wanted) * features * bins, 2), np.int64)
-    flat[cell, 0], flat[cell, 1] = one, two
-    return dict(zip(wanted, flat.reshape(len(wanted), features, bins, 2)))
+                    some = np.stack((scores_at(margin[judged]), rows.label[judged], 1 - rows.label[judged].astype(np.int64)), axis=1)
+                    counts[group] = _by_score(np.concatenate((counts[group], some)) if group in counts else some)
+        return sums, counts
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, found in enumerate(add(batches)):
+            for group, array in found.items():
+                yield pa.RecordBatch.from_arrays([pa.array([index[group]]), pa.array([part], pa.int32()),
+                                                  pa.array([array.tobytes()], pa.binary())], ["model", "part", "data"])
+
+    def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, found in enumerate(add(batches)):
+            for group, array in found.items():
+                if part == 0:
+                    flat = array.reshape(-1, 2)
+                    used = np.flatnonzero(flat.any(axis=1))
+                    columns = used, flat[used, 0], flat[used, 1]
+                else:
+                    columns = tuple(array.T)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(columns[0]), index[group])), pa.array(np.full(len(columns[0]), part, np.int32)),
+                     *[pa.array(np.ascontiguousarray(c)) for c in columns]], ["model", "part", "cell", "one", "two"])
+
+    names = list(index)
+    sums = {g: np.zeros((len(asked[g][2]) * features * asked[g][3], 2), np.int64) for g in asked}
+    counts: dict = {g: [np.zeros((0, 3), np.int64)] for g in asked}
+    most = sum(map(len, sums.values())) + len(scoring) * 2 * LIMIT * STEPS
+    if tasks * most <= DRIVER_SUMS:
+        found = blocks.mapInArrow(whole, "model long, part int, data binary").toArrow()
+        for model, part, data in zip(*(c.to_pylist() for c in found.columns)):
+            array = np.frombuffer(data, np.int64)
+            if part == 0:
+                sums[names[model]] += array.reshape(-1, 2)
+            else:
+                counts[names[model]].append(array.reshape(-1, 3))
+    else:
+        found = (blocks.mapInArrow(cells, "model long, part int, cell long, one long, two long").groupBy("model", "part", "cell")
+                 .agg(F.sum("one").alias("one"), F.sum("two").alias("two")).toArrow())
+        model, part, cell, one, two = (found.column(c).to_numpy() for c in ("model", "part", "cell", "one", "two"))
+        order = np.argsort(model, kind="stable")
+        bounds = np.searchsorted(model[order], np.arange(len(names) + 1))
+        for i, group in enumerate(names):
+            mine = order[bounds[i]:bounds[i + 1]]
+            at, scored = mine[part[mine] == 0], mine[part[mine] == 1]
+            sums[group][cell[at], 0], sums[group][cell[at], 1] = one[at], two[at]
+            counts[group].append(np.stack([x[scored] for x in (cell, one, two)], axis=1))
+    return {g: (dict(zip(asked[g][2], sums[g].reshape(len(asked[g][2]), features, asked[g][3], 2))),
+                np.concatenate(counts[g])) for g in asked}
+
+
+def _tasks(blocks: DataFrame) -> int:
+    """How many tasks read some of the stored blocks."""
+    return blocks.select(F.spark_partition_id().alias("task")).distinct().count()
 
 
 def _learn(blocks: DataFrame, groups: list, features: int, options: BoostOptions, judge: int) -> dict:
     """Models of the given groups, whose rounds share their jobs."""
     models = {g: Model(options) for g in groups}
-    margins = blocks
+    margins, tasks = blocks, _tasks(blocks)
     while True:
         active = {g: m for g, m in models.items() if not m.done}
         if not active:
             break
         for level in range(options.max_depth):
-            found = _level(margins, active, level, judge)
-            for g, (wanted, bins, cell, one, two, counts) in found.items():
+            found = _level(margins, active, level, judge, tasks, features)
+            for g, (sums, counts) in found.items():
                 model = active[g]
                 if level == 0 and model.trees:
                     model.judge(auc_of(counts))
-                if level == 0 and not len(cell):
+                if level == 0 and not sums[1].any():
                     model.done = True  # no train rows, or all are predicted to the last unit
                 if not model.done:
-                    model.grow(level, _dense(wanted, bins, features, cell, one, two))
+                    model.grow(level, sums)
             active = {g: m for g, m in active.items() if not m.done}
             if not active or not any(m.wanted(level + 1) for m in active.values()):
                 break
@@ -384,7 +410,7 @@ def _learn(blocks: DataFrame, groups: list, features: int, options: BoostOptions
             stored = _with_margins(margins, active)
             if margins is not blocks:
                 discard(margins)
-            margins = stored
+            margins, tasks = stored, _tasks(stored)
     if margins is not blocks:
         discard(margins)
     return models
