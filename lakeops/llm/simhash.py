@@ -191,7 +191,8 @@ def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text", **optio
     Rows without a key cannot be told apart and are all kept unless their component holds a key.
     """
     marked = near_duplicates(docs, key, text, **options)
-    first = marked.filter(F.col(key) == F.col("component_id")).select(F.col(key).alias("_first")).distinct()
-    kept = docs.join(first.hint("merge"), docs[key] == first["_first"]).drop("_first").dropDuplicates([key])
+    work = fresh_name(docs, "_first")
+    first = marked.filter(F.col(key) == F.col("component_id")).select(F.col(key).alias(work)).distinct()
+    kept = docs.join(first.hint("merge"), docs[key] == first[work]).drop(work).dropDuplicates([key])
     lone = marked.filter(F.col(key).isNull() & F.col("component_id").isNull()).limit(1)
     return kept.unionByName(docs.filter(docs[key].isNull()).join(lone.select(F.lit(1).alias("_lone")), how="left_semi"))

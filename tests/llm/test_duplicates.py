@@ -143,6 +143,14 @@ def test_lines_use_no_python(spark, awkward):
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
 
 
+def test_first_of_each_component_with_a_clashing_column(spark):
+    docs = spark.createDataFrame([(1, "a b c d", 7), (2, "a b c d", 8), (3, "other words than these", 9)],
+                                 "doc_id long, text string, _first int")
+    kept = simhash.keep_first(docs)
+    assert kept.columns == docs.columns and sorted(map(tuple, kept.collect())) == [
+        (1, "a b c d", 7), (3, "other words than these", 9)]
+
+
 # -- byte strings ----------------------------------------------------------------------------------------------------
 
 def test_suffix_order_and_common_prefixes():
