@@ -5,25 +5,26 @@ from __future__ import annotations
 import html
 import math
 import re
-from collections import deque
-from dataclasses import dataclass, field
+from collections import Counter, deque
+from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from lakeops.llm.common import map_batches, text_of
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*(?:>|\Z)|<\?[^>]*(?:>|\Z)"
-                    r"|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)", re.S)
-_NAMES = re.compile(r"""\b(class|id|role|hidden|style|type|aria-hidden)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
-_HIDDEN_FLAG = re.compile(r"(?:^|\s)hidden(?:\s|$|/)", re.I)
+# A quote opens a string only right after "="; any other value ends at white space or ">".
+_VALUE = r"""=\s*+(?:"[^"]*+(?:"|\Z)|'[^']*+(?:'|\Z)|[^\s>"'][^\s>]*+|(?=>|\Z))"""
+_TOKEN = re.compile(r"<!--(?:-?>|.*?(?:--!?>|\Z))|<![^>]*(?:>|\Z)|<\?[^>]*(?:>|\Z)"
+                    rf"|<(/?)([A-Za-z][^\s/>]*)((?:[^=>]++|{_VALUE})*+)(?:>|\Z)", re.S)
+_ATTRIBUTE = re.compile(r"""([^\s/>=]+)(?:\s*=\s*(?:"([^"]*)|'([^']*)|([^\s>"'][^\s>]*))?"?'?)?""")
 _PARTS = re.compile(r"[^a-z0-9]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 # Element names by their role in a page; fixed by the HTML standard.
 RAW = frozenset("script style textarea title xmp iframe noembed noframes plaintext".split())
 SKIPPED = frozenset("head noscript template svg math canvas object embed audio video select option button datalist "
-                    "input label fieldset legend dialog form".split())
+                    "input label fieldset legend dialog".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd mark nobr q rp rt ruby "
                    "s samp small span strike strong sub sup time tt u var wbr".split())
@@ -32,6 +33,12 @@ CLOSED_BY_BLOCK = frozenset(["p"])
 ITEMS = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"tr", "table"},
          "th": {"tr", "table"}}
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: What may stand in the head of a page; the start of anything else ends the head, as text does.
+IN_HEAD = frozenset("base basefont bgsound head html link meta noframes noscript script style template title".split())
+#: Elements without text of their own that may stand amid a sentence without parting it.
+UNSEEN = frozenset(["script", "style"])
+#: Elements that show a form around them to be the page's frame and not a form to fill in.
+FRAMED = frozenset("article main header nav footer section".split()) | HEADINGS
 
 #: Log-odds of being content that an enclosing element adds, by its name.
 TAG_ODDS = {"article": 4.0, "main": 3.0, "nav": -8.0, "aside": -8.0, "footer": -8.0, "header": -3.0, "menu": -8.0}
@@ -45,6 +52,10 @@ WORD_ODDS = {
                     "pagination pager skip copyright legal complementary contentinfo search alert".split(), -8.0),
     **dict.fromkeys("header tags tag meta byline author caption".split(), -1.0),
 }
+#: Words that say what a text is about as often as what an element is for, and what they add to one that is
+#: called an article by its name or by a word of its own.
+TOPICS = frozenset("copyright legal search alert social".split())
+TOPIC = -2.0
 START = -0.5
 PER_LOG_CHARACTER = 0.35
 LINKED = -5.0
@@ -54,85 +65,150 @@ ADJACENT = 0.4
 NEAR = 1.2
 
 
-@dataclass
+@dataclass(eq=False, slots=True)
+class Element:
+    """An open element: what it and those around it say of the text inside."""
+
+    name: str
+    parent: Element | None = None
+    best: float = 0.0
+    against: float = 0.0
+    heading: bool = False
+    skipped: bool = False
+    form: Form | None = None
+    depth: int = 0
+
+
+@dataclass(eq=False, slots=True)
+class Form:
+    """A form, the one around it, and the text found in it apart from its fields."""
+
+    outer: Form | None
+    characters: int = 0
+    linked: float = 0.0
+    framed: bool = False
+    frame: bool = False
+
+
+@dataclass(slots=True)
 class Block:
     """Text that stands between two block boundaries, with what is known of where."""
 
     text: str
-    path: tuple[int, ...]
+    place: Element
     odds: float
     linked: float
     heading: bool
 
 
-@dataclass
-class _Element:
-    name: str
-    number: int
-    odds: float
-    skipped: bool = False
-    children: int = field(default=0)
+def _attributes(text: str) -> dict[str, str]:
+    out: dict[str, str] = {}
+    for name, *values in _ATTRIBUTE.findall(text):
+        out.setdefault(name.lower(), html.unescape("".join(values)))
+    return out
+
+
+def _hides(attributes: dict[str, str]) -> bool:
+    style = "".join(attributes.get("style", "").lower().split())
+    return ("hidden" in attributes or attributes.get("aria-hidden", "").lower() == "true"
+            or "display:none" in style or "visibility:hidden" in style)
+
 
+def _word_odds(value: str, names_article: bool) -> float:
+    """What the words of a class, id or role add: of each sign the strongest counts, so that long lists do not add up."""
+    tokens = [[w for w in _PARTS.split(_CAMEL.sub("-", t).lower()) if w] for t in value.split()]
+    names_article |= any(len(t) == 1 and WORD_ODDS.get(t[0], 0.0) > 0 for t in tokens)
+    known = [TOPIC if names_article and t == [w] and w in TOPICS else WORD_ODDS[w]
+             for t in tokens for w in t if w in WORD_ODDS]
+    return min([0.0, *known]) + max([0.0, *known])
 
-def _element_odds(name: str, attributes: str, inside_article: bool) -> tuple[float, bool]:
+
+def _element_odds(name: str, text: str, inside_article: bool) -> tuple[float, bool]:
     odds = TAG_ODDS.get(name, 0.0)
     if name == "header" and inside_article:
         odds = 0.0
     skipped = name in SKIPPED
-    if attributes and ("=" in attributes or "hidden" in attributes):
-        for kind, *values in _NAMES.findall(attributes):
-            value, kind = "".join(values), kind.lower()
-            if kind in ("class", "id", "role"):
-                words = set(_PARTS.split(_CAMEL.sub("-", value).lower()))
-                # The strongest word of each sign counts once, so that long class lists do not add up.
-                known = [WORD_ODDS[w] for w in words if w in WORD_ODDS]
-                odds += min([0.0, *known]) + (max([0.0, *known]) if name not in ("html", "body") else 0.0)
-            elif kind == "style":
-                skipped |= "display:none" in value.replace(" ", "").lower()
-            elif kind == "aria-hidden":
-                skipped |= value.lower() == "true"
-        skipped |= bool(_HIDDEN_FLAG.search(_NAMES.sub(" ", attributes)))
+    if text and ("=" in text or "hidden" in text.lower()):
+        attributes = _attributes(text)
+        skipped |= _hides(attributes)
+        for kind in ("class", "id", "role"):
+            if kind in attributes:
+                odds += _word_odds(attributes[kind], name in ("article", "main"))
     if name in ("html", "body"):
-        skipped, odds = False, max(odds, 0.0)
+        skipped, odds = False, 0.0
     return odds, skipped
 
 
+def _without_forms(blocks: list[Block], forms: list[Form]) -> list[Block]:
+    """The blocks that stand in no form, or only in forms that are the frame of the page.
+
+    Such a form holds more than half of the page's text, and either a heading or a section, or 200 characters that
+    are no links. Fields, labels and buttons were left out before. ``forms`` has each form after those around it.
+    """
+    if not forms:
+        return blocks
+    for block in blocks:
+        if block.place.form is not None:
+            block.place.form.characters += len(block.text)
+            block.place.form.linked += block.linked * len(block.text)
+    for form in reversed(forms):
+        if form.outer is not None:
+            form.outer.characters += form.characters
+            form.outer.linked += form.linked
+    total = sum(len(b.text) for b in blocks)
+    for form in forms:
+        form.frame = (2 * form.characters > total and (form.framed or form.characters - form.linked >= 200)
+                      and (form.outer is None or form.outer.frame))
+    return [b for b in blocks if b.place.form is None or b.place.form.frame]
+
+
 def blocks_of(page: str) -> list[Block]:
     """The text blocks of a page in order; scripts, styles, forms, hidden elements and markup are left out.
 
     Unclosed and stray tags are taken as browsers take them in the common cases: an end tag closes up to its own
-    element, block starts close an open paragraph, list items and cells close their kind.
+    element, block starts close an open paragraph, list items and cells close their kind, and the head ends where
+    something begins that cannot stand in it. Time and memory grow with the page, however deep its elements nest.
     """
-    stack = [_Element("", 0, 0.0)]
+    stack = [Element("")]
+    opened: Counter[str] = Counter()
     out: list[Block] = []
+    forms: list[Form] = []
     words: list[tuple[str, bool]] = []
-    links = articles = hidden = 0
+    links = articles = hidden = foreign = 0
+    # The hidden inline element whose text is being passed over: its name, how many of the name are open, and the
+    # depth at which it began.
+    veil, veils, veiled = "", 0, 0
 
     def flush() -> None:
         if words:
             text = " ".join(html.unescape("".join(t for t, _ in words)).split())
             if text:
                 inside = sum(len(t.strip()) for t, linked in words if linked)
-                odds = [e.odds for e in stack]
+                place = stack[-1]
                 # Signs against content add up; of those for it the strongest counts, so that nesting proves nothing.
-                out.append(Block(text, tuple(e.number for e in stack),
-                                 START + max([0.0, *odds]) + sum(o for o in odds if o < 0),
-                                 min(1.0, inside / len(text)), any(e.name in HEADINGS for e in stack)))
+                out.append(Block(text, place, START + place.best + place.against, min(1.0, inside / len(text)),
+                                 place.heading))
             words.clear()
 
     def close(depth: int) -> None:
-        nonlocal articles, hidden
+        nonlocal articles, hidden, foreign, veil
         flush()
         for element in stack[depth:]:
             articles -= element.name in ("article", "main")
+            foreign -= element.name in ("svg", "math")
             hidden -= element.skipped
+            opened[element.name] -= 1
         del stack[depth:]
+        if veil and len(stack) < veiled:
+            veil = ""
 
     at, end = 0, len(page)
     while at < end:
         match = _TOKEN.search(page, at)
         text = page[at:match.start() if match else end]
-        if text and not hidden:
+        if stack[-1].name == "head" and not text.isspace() and text:
+            close(len(stack) - 1)
+        if text and not hidden and not veil:
             words.append((text, links > 0))
         if not match:
             break
@@ -140,24 +216,39 @@ def blocks_of(page: str) -> list[Block]:
         if match.group(2) is None:
             continue
         closing, name, attributes = bool(match.group(1)), match.group(2).lower(), match.group(3)
+        if foreign and not closing and attributes.endswith("/"):
+            continue
+        if stack[-1].name == "head" and not closing and name not in IN_HEAD:
+            close(len(stack) - 1)
         if name in INLINE:
-            if name == "a":
+            if veil:
+                veils += (not closing) * (name == veil and name not in VOID) - (closing and name == veil)
+                veil = veil if veils else ""
+            elif not closing and name not in VOID and attributes and _hides(_attributes(attributes)):
+                veil, veils, veiled = name, 1, len(stack)
+            elif name == "a":
                 links = max(0, links - 1) if closing else 1
             elif name == "br" and not hidden:
                 words.append((" ", False))
             continue
+        if name in UNSEEN and not foreign:
+            if not closing:
+                stop = re.compile(rf"</{name}(?=[\s/>])[^>]*(?:>|\Z)", re.I).search(page, at)
+                at = stop.end() if stop else end
+            continue
         links = 0 if name not in VOID else links
         if closing:
-            for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth].name == name:
-                    close(depth)
-                    break
-            else:
+            if not opened[name]:
                 flush()
+                continue
+            depth = len(stack) - 1
+            while stack[depth].name != name:
+                depth -= 1
+            close(depth)
             continue
         if stack[-1].name in CLOSED_BY_BLOCK:
             close(len(stack) - 1)
-        if name in ITEMS:
+        if name in ITEMS and (opened[name] or name in ("dt", "dd") and opened["dt"] + opened["dd"]):
             for depth in range(len(stack) - 1, 0, -1):
                 if stack[depth].name == name or name in ("dt", "dd") and stack[depth].name in ("dt", "dd"):
                     close(depth)
@@ -166,18 +257,27 @@ def blocks_of(page: str) -> list[Block]:
                     break
         flush()
         if name in RAW:
-            stop = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, at)
+            stop = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*(?:>|\Z)", re.I).search(page, at)
             at = stop.end() if stop else end
             continue
-        if name in VOID or attributes.endswith("/") and name in ("svg", "math", "path"):
+        if name in VOID or attributes.endswith("/") and name in ("svg", "math"):
             continue
         odds, skipped = _element_odds(name, attributes, articles > 0)
-        stack[-1].children += 1
-        stack.append(_Element(name, stack[-1].children, odds, skipped))
+        parent = stack[-1]
+        form = parent.form
+        if name == "form":
+            form = Form(parent.form)
+            forms.append(form)
+        if form is not None and name in FRAMED:
+            form.framed = True
+        stack.append(Element(name, parent, max(parent.best, odds), parent.against + min(0.0, odds),
+                             parent.heading or name in HEADINGS, skipped, form, len(stack)))
+        opened[name] += 1
         articles += name in ("article", "main")
+        foreign += name in ("svg", "math")
         hidden += skipped
     close(1)
-    return out
+    return _without_forms(out, forms)
 
 
 def content_odds(block: Block) -> float:
@@ -186,13 +286,16 @@ def content_odds(block: Block) -> float:
             + HEADING * block.heading)
 
 
-def _tree_distance(one: tuple[int, ...], two: tuple[int, ...]) -> int:
-    shared = 0
-    for a, b in zip(one, two):
-        if a != b:
-            break
-        shared += 1
-    return len(one) + len(two) - 2 * shared
+def _tree_distance(one: Element, two: Element) -> int:
+    """Steps from one element to the other over the nearest one around both."""
+    steps = 0
+    while one is not two:
+        if one.depth >= two.depth:
+            one = one.parent
+        else:
+            two = two.parent
+        steps += 1
+    return steps
 
 
 def edges_of(blocks: list[Block]) -> list[tuple[int, int, float]]:
@@ -201,9 +304,9 @@ def edges_of(blocks: list[Block]) -> list[tuple[int, int, float]]:
     out, last = [], {}
     for i, block in enumerate(blocks):
         if i:
-            distance = _tree_distance(blocks[i - 1].path, block.path)
+            distance = _tree_distance(blocks[i - 1].place, block.place)
             out.append((i - 1, i, ADJACENT + NEAR / (1 + distance)))
-        parent = block.path[:-1]
+        parent = block.place.parent
         before = last.get(parent)
         if before is not None and before != i - 1:
             out.append((before, i, NEAR / 3))

@@ -42,6 +42,42 @@ def test_page_cut_short_keeps_its_text():
     assert html_text.main_text(PAGE[:PAGE.index("<div class=\"ad\"")]) == TEXT[:TEXT.index(" Yes.")]
 
 
+WORDS = "Some words of the article that everyone can read today."
+
+
+@pytest.mark.parametrize("page, text", [
+    (f"<html><head><title>T</title><body><article><p>{WORDS}</article>", WORDS),
+    (f"<head><meta charset=utf-8><title>T</title><link rel=x><p>{WORDS}", WORDS),
+    (f"<head><title>T</title>{WORDS}", WORDS),
+    (f"<div title=it's><p>{WORDS}</div><p>It's more of the same text, with words.",
+     WORDS + " It's more of the same text, with words."),
+    (f'<p title="a > b" lang=en>{WORDS}</p>', WORDS),
+    (f"<p class=x/y data-role=nav>{WORDS}</p>", WORDS),
+    (f"<article><p>{WORDS} <span hidden>SECRET</span><span style='color:red; display: none'>S</span>"
+     "<i hidden=hidden>S<i>E</i>CRET</i><b aria-hidden=true>S</b>Shown.</article>", WORDS + " Shown."),
+    (f"<article><p><span hidden>SECRET<p>{WORDS}</article>", WORDS),
+    (f"<body><form action=/x><div><h1>Storm</h1><p>{WORDS}</p><label>Mail</label><input name=q><button>Go</button>"
+     "</div></form>", "Storm " + WORDS),
+    (f"<body><article><p>{WORDS} {WORDS}</p></article><form><h2>Write to us</h2><p>{WORDS}</form>", f"{WORDS} {WORDS}"),
+    ("<body><form><p>Log in to go on reading</p><label>Name</label></form>", ""),
+    (f"<div class='post copyright'><p>{WORDS}</p></div>", WORDS),
+    (f"<article class='copyright'><p>{WORDS}</p></article>", WORDS),
+    (f"<article><p>{WORDS}</p><div class='post-copyright'>No part may be copied or sold.</div></article>", WORDS),
+    (f"<p>Fore<script>x</script>word: <!-->{WORDS}<!-- y --></p>", "Foreword: " + WORDS),
+    (f"<svg><title/><path d='M0'/></svg><p>{WORDS}</p>", WORDS),
+])
+def test_valid_pages_written_in_other_ways(page, text):
+    assert html_text.main_text(page) == text
+
+
+def test_time_grows_with_the_page_however_deep_it_nests():
+    import time
+    start = time.process_time()
+    for page in ("<div>x " * 50000, "<div>" * 50000 + "</section>" * 50000, "<p>x " * 50000, "<form>x" * 50000):
+        html_text.main_text(page)
+    assert time.process_time() - start < 30
+
+
 def test_minimum_cut_is_minimal():
     rng = random.Random(5)
     for _ in range(200):
