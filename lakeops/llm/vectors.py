@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -25,8 +25,12 @@ BOUND_ROWS = 2048
 #: to all dimensions, exceeds the bound by so many standard deviations.
 COLUMNS = 16
 DEVIATIONS = 2.4
-BLOCK_VECTORS = 8192
-BLOCK_QUERIES = 2048
+#: Vectors that a task holds at once: a 64th of the table within these bounds. Queries pass by in batches.
+LEAST_BLOCK, MOST_BLOCK = 4096, 65_536
+BLOCKS = 64
+BATCH_QUERIES = 2048
+#: Vectors of one list that are compared with ``QUERIES_AT_ONCE`` queries.
+VECTORS_AT_ONCE = 8192
 QUERIES_AT_ONCE = 128
 
 
@@ -123,17 +127,22 @@ def _best(q: np.ndarray, v: np.ndarray, distance: np.ndarray, count: int) -> tup
     return q[keep], v[keep], distance[keep], place[keep]
 
 
-def scan_lists(index: Index, queries: np.ndarray, bounds: np.ndarray, probed: np.ndarray, vectors: np.ndarray,
+def scan_lists(index: Index, queries: np.ndarray, bounds: np.ndarray, probed: np.ndarray, rows: np.ndarray,
                lists: np.ndarray, wanted: int) -> tuple[np.ndarray, np.ndarray]:
     """(query, vector) of a few more than the best ``wanted`` of each query in its probed lists.
 
-    ``probed`` says, per query and list number, whether it is probed. Each list tightens the bounds for the next.
+    ``rows`` are rotated vectors with their lists; ``probed`` says, per query and list number, whether it is probed.
+    Each list, or piece of a long one, tightens the bounds for the next.
     """
-    rows, asked = index.rotated(vectors, query=False), index.rotated(queries, query=True)
+    asked = index.rotated(queries, query=True)
     bounds, nearest = bounds.copy(), np.full((len(asked), wanted), np.inf)
     found = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
-    for number in np.unique(lists).tolist():
-        at, mine = np.flatnonzero(lists == number), np.flatnonzero(probed[:, number])
+    order = np.argsort(lists, kind="stable")
+    edges = np.flatnonzero(np.concatenate(([True], lists[order][1:] != lists[order][:-1])))
+    pieces = [part[i:i + VECTORS_AT_ONCE] for part in np.split(order, edges[1:])
+              for i in range(0, len(part), VECTORS_AT_ONCE)]
+    for at in pieces:
+        mine = np.flatnonzero(probed[:, lists[at[0]]])
         if not len(mine):
             continue
         q, v, distance, place = _best(*adaptive_scan(index, asked[mine], bounds[mine], rows[at], wanted), wanted + 7)
@@ -153,16 +162,64 @@ def _sound(vector: Column) -> Column:
     return vector.isNotNull() & fine & F.exists(vector, lambda x: x != 0)
 
 
-def list_units(counts: dict[int, int], lists: int) -> tuple[list[int], list[int]]:
-    """The unit of each list, neighbours together up to ``BLOCK_VECTORS``, and the number of blocks of each unit."""
+def list_units(counts: dict[int, int], lists: int, size: int) -> tuple[list[int], list[int]]:
+    """The unit of each list, neighbours together up to ``size``, and the number of blocks of each unit."""
     units, sizes = [], []
     for i in range(lists):
         n = counts.get(i, 0)
-        if not sizes or sizes[-1] and sizes[-1] + n > BLOCK_VECTORS:
+        if not sizes or sizes[-1] and sizes[-1] + n > size:
             sizes.append(0)
         sizes[-1] += n
         units.append(len(sizes) - 1)
-    return units, [max(1, math.ceil(n / BLOCK_VECTORS)) for n in sizes]
+    return units, [max(1, math.ceil(n / size)) for n in sizes]
+
+
+def scan_blocks(batches: Iterator[pa.RecordBatch], index: Index, wanted: int, at_once: int) -> Iterator[pa.RecordBatch]:
+    """(query, entry, score) from rows sorted by block, a block's vectors before the queries that probe its lists.
+
+    The vectors of one block are held, the queries pass by in batches of ``at_once``.
+    """
+    held: list[pa.RecordBatch] = []
+    block, ready, waiting = None, None, []
+
+    def scanned() -> Iterator[pa.RecordBatch]:
+        nonlocal ready
+        if held and waiting:
+            if ready is None:
+                vectors = pa.Table.from_batches(held)
+                x = _matrix(vectors.column("v"))
+                ready = (x, index.rotated(x, query=False), vectors.column("list").to_numpy(),
+                         vectors.column("number").to_numpy())
+            x, rows, lists, entries = ready
+            queries = pa.Table.from_batches(waiting)
+            asks = _matrix(queries.column("v"))
+            probed = np.zeros((len(asks), len(index.centres)), bool)
+            for row, numbers in zip(probed, queries.column("lists").to_pylist()):
+                row[numbers] = True
+            q, v = scan_lists(index, asks, queries.column("bound").to_numpy(), probed, rows, lists, wanted)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(queries.column("number").to_numpy()[q], pa.int64()), pa.array(entries[v], pa.int64()),
+                 pa.array((asks[q] * x[v]).sum(axis=1), pa.float64())], ["query", "entry", "score"])
+        waiting.clear()
+
+    for batch in batches:
+        blocks, asks = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+        cuts = np.flatnonzero((blocks[1:] != blocks[:-1]) | (asks[1:] != asks[:-1])) + 1
+        for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows]):
+            if a == b:
+                continue
+            if blocks[a] != block:
+                yield from scanned()
+                block, ready = blocks[a], None
+                held.clear()
+            if not asks[a]:
+                held.append(batch.slice(a, b - a))
+                continue
+            for start in range(a, b, at_once):
+                waiting.append(batch.slice(start, min(at_once, b - start)))
+                if sum(w.num_rows for w in waiting) >= at_once:
+                    yield from scanned()
+    yield from scanned()
 
 
 def search(table: DataFrame, queries: Callable[[Column], Column], nearest: int, key: str = "vec_id", vector: str = "embedding",
@@ -174,8 +231,8 @@ def search(table: DataFrame, queries: Callable[[Column], Column], nearest: int,
     force, and each list is read by an adaptive scan; what is returned has exact scores. Rows without an id, and
     vectors that are NULL, zero, hold NULL or non-finite components, or have another number of dimensions than most
     take no part. Equal vectors are one entry with its smallest ids, equal query vectors are searched once, and
-    repeated rows count once. Fewer rows than ``nearest`` give all others. Each task scans some whole lists, or one
-    block of a long list, for one part of the queries.
+    repeated rows count once. Fewer rows than ``nearest`` give all others. Each task holds some whole lists, or one
+    block of a long list, and the queries that probe them pass by, so vectors are shuffled once.
     """
     spark = table.sparkSession
     schema = "query_id long, rank int, vec_id long, score double"
@@ -202,6 +259,13 @@ def search(table: DataFrame, queries: Callable[[Column], Column], nearest: int,
         return pa.RecordBatch.from_arrays([*batch.columns, pa.array(nearest_list.astype(np.int32))],
                                           ["v", "ids", "entry", "list"])
 
+    stored = materialize(map_batches(entries.select("v", "ids", "entry"), assign,
+                                     "v array<double>, ids array<long>, entry long, list int", rows=4096))
+    counts = {r.list: r.n for r in stored.groupBy("list").agg(F.count("*").alias("n")).collect()}
+    units, blocks = list_units(counts, lists, max(LEAST_BLOCK, min(MOST_BLOCK, math.ceil(stats.n / BLOCKS))))
+    first = np.cumsum([0, *blocks]).tolist()
+    unit_of = np.array(units)
+
     def probe(batch: pa.RecordBatch) -> pa.RecordBatch:
         index = sent.value
         rotated = index.rotated(_matrix(batch.column(0)), query=True)
@@ -220,45 +284,39 @@ def search(table: DataFrame, queries: Callable[[Column], Column], nearest: int,
             bound, probes = np.full(len(rotated), np.inf), np.full(len(rotated), lists.shape[1])
         probed = np.zeros((len(rotated), lists.shape[1]), bool)
         np.put_along_axis(probed, lists, np.arange(lists.shape[1])[None, :] < probes[:, None], axis=1)
+        # Per query the units it probes, each with its probed lists.
+        asks, numbers = np.nonzero(probed)
+        new = np.flatnonzero(np.concatenate(
+            ([True], (asks[1:] != asks[:-1]) | (unit_of[numbers][1:] != unit_of[numbers][:-1]))))
+        inner = pa.ListArray.from_arrays(pa.array(np.append(new, len(numbers)), pa.int32()),
+                                         pa.array(numbers, pa.int32()))
+        probes = pa.StructArray.from_arrays([pa.array(unit_of[numbers[new]], pa.int32()), inner], ["unit", "lists"])
+        outer = np.searchsorted(asks[new], np.arange(len(rotated) + 1))
         return pa.RecordBatch.from_arrays(
-            [*batch.columns, pa.array(bound), pa.array([np.flatnonzero(p).astype(np.int32) for p in probed],
-                                                       pa.list_(pa.int32()))], ["v", "query", "bound", "lists"])
+            [*batch.columns, pa.array(bound), pa.ListArray.from_arrays(pa.array(outer, pa.int32()), probes)],
+            ["v", "query", "bound", "probes"])
 
-    stored = materialize(map_batches(entries.select("v", "ids", "entry"), assign,
-                                     "v array<double>, ids array<long>, entry long, list int", rows=4096))
     asking = rows.filter("asks").groupBy("v").agg(F.min("id").alias("query"))
-    asked = materialize(map_batches(asking.select("v", "query"), probe,
-                                    "v array<double>, query long, bound double, lists array<int>", rows=1024))
-    counts = {r.list: r.n for r in stored.groupBy("list").agg(F.count("*").alias("n")).collect()}
-    units, blocks = list_units(counts, lists)
-    parts = max(1, math.ceil(asked.count() / BLOCK_QUERIES))
+    asked = map_batches(asking.select("v", "query"), probe, "v array<double>, query long, bound double, "
+                        "probes array<struct<unit: int, lists: array<int>>>", rows=1024)
 
     def number(of: list[int], at: Column) -> Column:
         return F.element_at(F.lit(of), at + 1)
 
-    # A unit is some whole lists, or one block of a long list; each meets every part of the queries that probe it.
-    left = (stored.select("v", "entry", "list", number(units, F.col("list")).alias("unit"))
-            .withColumn("block", F.pmod(F.xxhash64("entry"), number(blocks, F.col("unit"))).cast("int"))
-            .withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))))
-    right = (asked.withColumn("unit", F.explode(F.array_distinct(F.transform("lists", lambda i: number(units, i)))))
-             .withColumn("part", F.pmod(F.xxhash64("query"), parts).cast("int"))
-             .withColumn("block", F.explode(F.sequence(F.lit(0), number(blocks, F.col("unit")) - 1))))
-
-    def scan(vectors: pa.Table, queries: pa.Table) -> pa.Table:
-        q, v, score = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
-        if vectors.num_rows and queries.num_rows:
-            x, asks = _matrix(vectors.column("v")), _matrix(queries.column("v"))
-            probed = np.zeros((len(asks), lists), bool)
-            for row, numbers in zip(probed, queries.column("lists").to_pylist()):
-                row[numbers] = True
-            q, v = scan_lists(sent.value, asks, queries.column("bound").to_numpy(), probed, x,
-                              vectors.column("list").to_numpy(), nearest + 1)
-            score = (asks[q] * x[v]).sum(axis=1)
-            q, v = queries.column("query").to_numpy()[q], vectors.column("entry").to_numpy()[v]
-        return pa.table({"query": pa.array(q, pa.int64()), "entry": pa.array(v, pa.int64()), "score": pa.array(score)})
-
-    hits = left.groupBy("unit", "block", "part").cogroup(right.groupBy("unit", "block", "part")).applyInArrow(
-        lambda vectors, queries: scan(vectors, queries), "query long, entry long, score double")
+    # A unit is some whole lists, or all blocks of a long list; a query goes once to each block of a unit it probes.
+    left = (stored.withColumn("unit", number(units, F.col("list")))
+            .withColumn("block", number(first, F.col("unit"))
+                        + F.pmod(F.xxhash64("entry"), number(blocks, F.col("unit"))).cast("int"))
+            .select("block", F.lit(False).alias("asks"), "v", F.col("entry").alias("number"), "list",
+                    F.lit(None).cast("double").alias("bound"), F.lit(None).cast("array<int>").alias("lists")))
+    right = (asked.select("v", "query", "bound", F.inline("probes"))
+             .select(F.explode(F.sequence(number(first, F.col("unit")), number(first, F.col("unit") + 1) - 1)).alias("block"),
+                     F.lit(True).alias("asks"), "v", F.col("query").alias("number"),
+                     F.lit(None).cast("int").alias("list"), "bound", "lists"))
+    met = left.unionByName(right).repartitionById(first[-1], "block").sortWithinPartitions("block", "asks")
+    at_once = BATCH_QUERIES
+    hits = met.mapInArrow(lambda batches: scan_blocks(batches, sent.value, nearest + 1, at_once),
+                          "query long, entry long, score double")
     best = Window.partitionBy("query").orderBy(F.desc("score"), "entry")
     top = (hits.withColumn("place", F.row_number().over(best)).filter(F.col("place") <= nearest + 1)
            .join(entries.select("entry", "ids"), "entry")

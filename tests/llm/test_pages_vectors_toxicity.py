@@ -167,8 +167,9 @@ def test_blocks_give_the_same_result(spark, monkeypatch):
     table = spark.createDataFrame([(i, rng.standard_normal(8).tolist()) for i in range(300)],
                                   "vec_id long, embedding array<double>")
     whole = vectors.search(table, lambda i: i % 5 == 0, 7).collect()
-    monkeypatch.setattr(vectors, "BLOCK_VECTORS", 10)
-    monkeypatch.setattr(vectors, "BLOCK_QUERIES", 4)
+    monkeypatch.setattr(vectors, "MOST_BLOCK", 10)
+    monkeypatch.setattr(vectors, "LEAST_BLOCK", 10)
+    monkeypatch.setattr(vectors, "BATCH_QUERIES", 4)
     monkeypatch.setattr(vectors, "QUERIES_AT_ONCE", 3)
     blocks = vectors.search(table, lambda i: i % 5 == 0, 7).collect()
     same = len({(r.query_id, r.vec_id) for r in whole} & {(r.query_id, r.vec_id) for r in blocks})
