@@ -3,7 +3,8 @@
 The points' counted distribution lays out cells that hold about equally many of them. An interval becomes the few cells
 of a tree that cover it exactly once, so a long one is a handful of coarse cells and not thousands of fine ones; a point
 lies in one cell per level that any interval uses. Point and interval meet in exactly one cell, so each pair is found
-once, and Spark joins by equality with its handling of hot keys.
+once, and Spark joins by equality with its handling of hot keys. With further keys only the points of one key share a
+cell, so each key has its own finest level: a key of few points is a single cell, however long the table is.
 """
 
 from __future__ import annotations
@@ -16,7 +17,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import ArrayType, DateType, LongType, NumericType, TimestampNTZType, TimestampType
 
 from lakeops.operators.names import column
-from lakeops.session import materialize
+from lakeops.operators.ordering import join_measured
+from lakeops.session import discard, materialize
 
 #: Points that a finest cell aims at.
 CELL_POINTS = 256
@@ -69,9 +71,9 @@ class _Cells:
         return F.when(value.isNull(), F.lit(default).cast("long")).otherwise(number(value))
 
 
-def cover(first: int, last: int) -> list[int]:
-    """The fewest cells of the tree that hold cells ``first`` to ``last`` once each, as node << 5 | level."""
-    out, level, size = [], 0, 1 << STEP
+def cover(first: int, last: int, level: int = 0) -> list[int]:
+    """The fewest cells of the tree that hold cells ``first`` to ``last`` of a level once each, as node << 5 | level."""
+    out, size = [], 1 << STEP
     while first <= last:
         if last - first < size:
             return out + [n << 5 | level for n in range(first, last + 1)]
@@ -86,8 +88,26 @@ def cover(first: int, last: int) -> list[int]:
 
 
 @F.pandas_udf(ArrayType(LongType()))
-def _covers(first: pd.Series, last: pd.Series) -> pd.Series:
-    return pd.Series([cover(a, b) for a, b in zip(first.tolist(), last.tolist())])
+def _covers(first: pd.Series, last: pd.Series, base: pd.Series) -> pd.Series:
+    return pd.Series([cover(a >> STEP * n, b >> STEP * n, n) for a, b, n in zip(first.tolist(), last.tolist(), base.tolist())])
+
+
+def _crowded(points: DataFrame, names: list[str], cell_points: int) -> DataFrame:
+    """The keys that have more points than a cell aims at."""
+    counts = points.groupBy(*names).agg(F.count(F.lit(1)).alias("n"))
+    return materialize(counts.filter(F.col("n") > cell_points).select(*names))
+
+
+def _finest(points: DataFrame, crowded: DataFrame, names: list[str], cell: Column, top: int, cell_points: int) -> DataFrame:
+    """The finest level of each crowded key: the coarsest one below ``top`` at which its points meet at most
+    ``cell_points`` of one another on average, else 0."""
+    counts = join_measured(points, crowded, names, 64).select(*names, cell.alias("cell")).groupBy(*names, "cell").agg(
+        F.count(F.lit(1)).cast("double").alias("n"))
+    levels = F.array(*[F.struct(F.lit(n).alias("level"), F.shiftright("cell", STEP * n).alias("node")) for n in range(top)])
+    nodes = counts.select(*names, "n", F.inline(levels)).groupBy(*names, "level", "node").agg(F.sum("n").alias("n"))
+    met = nodes.groupBy(*names, "level").agg((F.sum(F.col("n") * F.col("n")) / F.sum("n")).alias("met"))
+    return materialize(met.groupBy(*names).agg(F.coalesce(
+        F.max(F.when(F.col("met") <= cell_points, F.col("level"))), F.lit(0)).alias("base")))
 
 
 def _meet(points: DataFrame, intervals: DataFrame, kind, keys: int, cell_points: int) -> DataFrame:
@@ -95,19 +115,29 @@ def _meet(points: DataFrame, intervals: DataFrame, kind, keys: int, cell_points:
 
     A NULL point lies before all others; a NULL end of an interval is open.
     """
+    names = [f"k{i}" for i in range(keys)]
+    crowded = _crowded(points, names, cell_points) if keys else None
+    if keys and crowded.isEmpty():
+        return points.select(*names, "a").join(intervals.select(*names, "b"), names)
     x = _number(F.col("x"), kind)
     shares = [i / QUANTILES for i in range(QUANTILES + 1)]
     rows, bounds = points.agg(F.count("x"), F.percentile_approx(x, shares, F.lit(10_000))).first()
     cells = _Cells(bounds or [], rows, cell_points)
-    names = [f"k{i}" for i in range(keys)]
+    base, top = F.lit(0), -(-cells.last.bit_length() // STEP)  # at the top the whole line is one cell
+    if keys and top:
+        finest = _finest(points, crowded, names, cells.of(x, 0), top, cell_points)
+        points, intervals = (join_measured(side, finest, names, 64, "left") for side in (points, intervals))
+        base = F.coalesce("base", F.lit(top))
+    if keys:
+        discard(crowded)
     covered = intervals.select(*names, "b", F.explode(_covers(
-        cells.of(_number(F.col("low"), kind), 0), cells.of(_number(F.col("high"), kind), cells.last))).alias("cell"))
+        cells.of(_number(F.col("low"), kind), 0), cells.of(_number(F.col("high"), kind), cells.last), base)).alias("cell"))
     covered = materialize(covered)
     levels = sorted(r[0] for r in covered.select((F.col("cell") % 32).cast("int")).distinct().collect())
-    placed = points.select(*names, "a", cells.of(x, 0).alias("cell"))
-    ladder = F.array(*[F.shiftleft(F.shiftright("cell", STEP * n), 5).bitwiseOR(F.lit(n).cast("long")) for n in levels]
-                     ).cast("array<long>")
-    return placed.withColumn("cell", F.explode(ladder)).join(covered, [*names, "cell"])
+    placed = points.select(*names, "a", cells.of(x, 0).alias("cell"), base.alias("base"))
+    ladder = F.array(*[F.when(F.col("base") <= n, F.shiftleft(F.shiftright("cell", STEP * n), 5).bitwiseOR(
+        F.lit(n).cast("long"))) for n in levels]).cast("array<long>")
+    return placed.select(*names, "a", F.explode(F.array_compact(ladder)).alias("cell")).join(covered, [*names, "cell"])
 
 
 def _packed(df: DataFrame, keys: list[str], side: str) -> DataFrame:

@@ -105,3 +105,46 @@ def test_many_points_make_few_candidates(spark):
     assert met.count() < 40_000 * 4_000 / 100
     assert point_join(points, ends, "x", ("s", "e"), cell_points=64).count() == points.alias("p").join(
         F.broadcast(ends), F.expr("s <= x AND x <= e")).count()
+
+
+def keyed(spark, sizes, wide):
+    """Points spread over ``wide`` steps, and intervals of a hundredth of that, of keys of so many rows each."""
+    rows = spark.createDataFrame([(g, n) for g, n in sizes], "g int, n int").selectExpr("g", "explode(sequence(1, n)) AS i")
+    return rows.selectExpr("g", "i", f"CAST(pmod(hash(g, i), {wide}) AS BIGINT) AS low").selectExpr(
+        "g", "i", "low", f"low + {wide} DIV 100 AS high")
+
+
+def met_by(rows, cell):
+    return ranges._meet(
+        rows.selectExpr("low AS x", "g AS k0", "struct(i) AS a"), rows.selectExpr("low", "high", "g AS k0", "struct(i) AS b"),
+        rows.schema["low"].dataType, 1, cell)
+
+
+def test_keys_of_few_points_are_not_cut_by_the_points_of_others(spark, monkeypatch):
+    stored = []
+    monkeypatch.setattr(ranges, "materialize", lambda df: stored.append(df.localCheckpoint()) or stored[-1])
+    # Many small keys: nothing but the keys is joined. With a large key beside them only its intervals have more cells.
+    assert met_by(keyed(spark, [(g, 5) for g in range(4000)], 10**6), 16).columns == ["k0", "a", "b"]
+    stored.clear()
+    met_by(keyed(spark, [(g, 5) for g in range(4000)] + [(-1, 3000)], 10**6), 16)
+    covered = stored[-1].groupBy("k0").count()
+    assert covered.filter("k0 < 0").first()["count"] > 3000
+    assert covered.filter("k0 >= 0").agg(F.max("count")).first()[0] == 5
+
+
+@pytest.mark.parametrize("sizes", [[(1, 400), (2, 3), (3, 90), (4, 1)], [(1, 2000)], [(g, 3) for g in range(300)]])
+def test_keys_of_all_sizes_against_all_pairs(spark, sizes):
+    plain = [(r.g, r.i, r.low if r.i % 50 else None, r.high if r.i % 77 else None) for r in keyed(spark, sizes, 20_000).collect()]
+    rows = spark.createDataFrame(plain, "g int, i int, low bigint, high bigint")
+    found = overlap_join(rows, rows, ("low", "high"), ("low", "high"), ["g"], cell_points=16)
+    one, two = rows.alias("a"), rows.alias("b")
+    want = one.join(two, F.expr("a.g = b.g AND (a.low IS NULL OR b.high IS NULL OR a.low <= b.high)"
+                                " AND (b.low IS NULL OR a.high IS NULL OR b.low <= a.high)"))
+    got = [(r.g, r.i, r.i_right) for r in found.collect()]
+    assert sorted(got) == sorted(tuple(r) for r in want.select("a.g", "a.i", "b.i").collect()) and len(got) > 300
+
+
+def test_a_large_key_makes_few_candidates(spark):
+    # Of 20,000 points in one place of the line and 300 small keys all over it.
+    rows = keyed(spark, [(g, 5) for g in range(300)], 10**7).unionByName(keyed(spark, [(-1, 20_000)], 10**5))
+    assert met_by(rows, 64).count() < 20_000 * 20_000 / 20
