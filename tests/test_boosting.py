@@ -192,3 +192,34 @@ def test_siblings_are_subtracted():
 def test_too_many_categories_are_an_error(spark):
     with pytest.raises(ValueError, match="more than 5"):
         prepare.fit_categories(spark.range(9).selectExpr("CAST(id AS STRING) AS c"), ["c"], most=5)
+
+
+@pytest.mark.parametrize("depth", [1, 3, 6, 7, 9])
+def test_trees_walked_by_columns_of_bytes(depth):
+    rng = np.random.default_rng(depth)
+    bins = rng.integers(0, 256, (5, 3000)).astype(np.uint8)
+    tree = boosting.Tree.empty(depth)
+    size = 1 << depth
+    tree.feature[1:] = rng.integers(0, 5, size - 1)
+    tree.last[1:] = np.where(rng.random(size - 1) < 0.8, rng.integers(0, 255, size - 1), boosting.MOST_BINS)
+    tree.leaves[:] = rng.integers(-1000, 1000, size)
+    for levels in range(depth + 1):
+        want = []
+        for row in bins.T.tolist():
+            node = 1
+            for _ in range(levels):
+                node = 2 * node + (row[tree.feature[node]] > tree.last[node])
+            want.append(node)
+        assert tree.nodes(bins, levels).tolist() == [int(n) for n in want]
+    assert tree.margins(bins).tolist() == tree.leaves[np.array(want) - size].tolist()
+
+
+def test_a_tree_costs_no_look_up_per_row_and_level():
+    bins = np.zeros((2, 100), np.uint8)
+
+    class Column(np.ndarray):
+        def __getitem__(self, at):
+            assert not isinstance(at, tuple), "rows are looked up one by one"
+            return np.asarray(super().__getitem__(at))
+
+    assert boosting.Tree.empty(6).margins(bins.view(Column)).tolist() == [0] * 100
