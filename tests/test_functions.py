@@ -7,6 +7,7 @@ from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from lakeops.functions import arrays, draws, flags, similarity, text
+from lakeops.models import synth
 
 
 def values(df):
@@ -142,3 +143,20 @@ def test_cleaning_of_many_random_texts(spark):
     assert values(df.select(text.strip_pattern(F.col("n")))) == [n.replace("z_", "") for n in names]
     assert values(df.select(text.strip_pattern(F.col("n"), text.PREFIX_OR_LESS_THAN))) == [
         re.sub("z_|<", "", n) for n in names]
+
+
+def test_many_draws_at_once_are_the_single_ones(spark):
+    names = ["one", "bl\u00e4nk two", ""]
+    rows = spark.createDataFrame([(7, "a"), (None, None), (-1, "\u00e9|"), (2**62, ""), (7, "a")], "k bigint, t string")
+    for key in ("k", "t"):
+        single = F.array(*[draws.bits(F.col(key), n, 3) for n in names])
+        found = rows.select(draws.many_bits(F.col(key), names, 3).alias("many"), single.alias("single")).collect()
+        assert [r.many for r in found] == [r.single for r in found] and len(found) == 5
+    assert rows.limit(0).select(draws.many_bits(F.col("k"), names)).collect() == []
+
+
+def test_synthetic_rows_draw_their_features_in_batches(spark):
+    keys = spark.range(20)
+    rows = synth.inject_missing(synth.synth_rows(keys, "id"), "id", synth.feature_names())
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("draw(") == 2 and plan.count("conv(") <= 6
