@@ -8,11 +8,12 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.feature import HashingTF
+from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from lakeops.session import materialize
+from lakeops.operators.ordering import running_totals
+from lakeops.session import discard, materialize
 
 # Common wordings of public licences, by family.
 TEMPLATES = {
@@ -96,11 +97,10 @@ NAMES = (r"(?i)licen[cs]e|copyright|permission|permitted|warrant|redistribut|cre
 #: a capital after a long line that no sign ends.
 WRAPPED = (r"\n(?:(?<=[\p{L}\p{N},(/-][ \t\r]{0,3}\n)[ \t]*+(?:(?://+|#+|\*+|;+|>+|--+)[ \t]+)?(?=\p{Ll})"
            r"|(?<=[^\n]{50}[\p{L}\p{N},(/-][ \t\r]{0,3}\n)[ \t]*+(?:(?://+|#+|\*+|;+|>+|--+)[ \t]+)?(?=\p{Lu}))")
-FEATURES = 1 << 14
-#: Paragraphs of the documents, without such words, that teach and calibrate the unknown class.
-SAMPLE_DOCUMENTS = 400
-SAMPLE_PARAGRAPHS = 2000
-#: Share of held-out unknown paragraphs that stay below the threshold of a licence's probability.
+#: What all ordinary sentences that teach the unknown class weigh together at most, however many they are; a wording of
+#: the largest family weighs 1.
+ORDINARY_WEIGHT = 1000.0
+#: Share of held-out ordinary sentences that stay below the threshold of a licence's probability.
 QUIET = 0.99
 LEAST_PROBABILITY = 0.5
 #: Least share of a paragraph's and of a template's word triples that the other has (the larger one counts).
@@ -113,17 +113,18 @@ def _words(text: Column) -> Column:
 
 
 def _grams(words: Column, n: int) -> Column:
-    return F.when(F.size(words) >= n, F.transform(
-        F.sequence(F.lit(0), F.size(words) - n), lambda i: F.array_join(F.slice(words, i + 1, n), " "))).otherwise(
-        F.array().cast("array<string>"))
+    found = words
+    for i in range(1, n):
+        found = F.zip_with(found, F.slice(words, i + 1, F.size(words)), lambda a, b: F.concat(a, F.lit(" "), b))
+    return F.filter(found, lambda g: g.isNotNull())
 
 
 def _with_grams(pieces: DataFrame) -> DataFrame:
-    """Adds the distinct word sequences of up to three words, and those of three alone (of all words if fewer)."""
+    """Adds the word sequences of up to three words, and the distinct ones of three alone (of all words if fewer)."""
     split = pieces.withColumn("words", _words(F.col("piece"))).filter(F.size("words") > 0)
     whole = F.when(F.size("words") < 3, F.array(F.array_join("words", " "))).otherwise(_grams(F.col("words"), 3))
     return split.withColumn("triples", F.array_distinct(whole)).withColumn(
-        "grams", F.array_distinct(F.concat("words", _grams(F.col("words"), 2), _grams(F.col("words"), 3))))
+        "grams", F.concat("words", _grams(F.col("words"), 2), _grams(F.col("words"), 3)))
 
 
 def _lines() -> Column:
@@ -155,24 +156,55 @@ def templates(spark: SparkSession) -> DataFrame:
 
 @dataclass
 class LicenceModel:
+    counter: CountVectorizerModel
     classifier: LogisticRegressionModel
     threshold: float
+    taught: int  # distinct ordinary sentences that the classifier was fitted on
+    held: int  # and those that set the threshold
 
 
-def _hashed(frame: DataFrame) -> DataFrame:
-    return HashingTF(numFeatures=FEATURES, inputCol="grams", outputCol="features", binary=True).transform(frame)
+def _counter(notices: DataFrame) -> CountVectorizerModel:
+    """Marks which word sequences of the templates a sentence has; there are some hundreds, so they are held."""
+    known = _with_grams(notices).select(F.explode("grams").alias("gram")).distinct().orderBy("gram").collect()
+    return CountVectorizerModel.from_vocabulary([r.gram for r in known], "grams", "features", binary=True)
 
 
 def _licence_probability() -> Column:
     return 1 - F.get(vector_to_array("probability"), F.lit(0))
 
 
+def _ordinary(texts: DataFrame, counter: CountVectorizerModel) -> DataFrame:
+    """features, taught, held: how many distinct sentences of all paragraphs that can be no notice have these features,
+    by the half they belong to. Sentences of equal features are one row, so what is fitted stays small."""
+    lines = texts.select(F.explode(_lines()).alias("line")).filter(~F.col("line").rlike(NAMES))
+    pieces = lines.select(F.explode(F.split("line", r"(?<=[.!?;])\s+", -1)).alias("piece")).filter("trim(piece) <> ''")
+    halves = pieces.distinct().withColumn("aside", F.pmod(F.xxhash64("piece", F.lit(1)), 2) == 0)
+    return counter.transform(_with_grams(halves)).groupBy("features").agg(
+        F.count_if(~F.col("aside")).alias("taught"), F.count_if("aside").alias("held"))
+
+
+def _threshold(scored: DataFrame) -> float:
+    """The probability that ``QUIET`` of the held-out sentences do not exceed (probability, held: their number), but
+    ``LEAST_PROBABILITY`` at least. It is exact: those beyond the least are counted by value and added up in order."""
+    small = F.sum(F.when(F.col("probability") <= LEAST_PROBABILITY, F.col("held")).otherwise(0))
+    low, n = scored.agg(small, F.sum("held")).first()
+    if n is None or low >= QUIET * n:
+        return LEAST_PROBABILITY
+    high = materialize(scored.filter(F.col("probability") > LEAST_PROBABILITY).groupBy("probability").agg(
+        F.sum("held").alias("held")))
+    ranked = running_totals(high, {"upto": F.col("held")}, [F.col("probability")])
+    level = ranked.filter(F.col("upto") >= QUIET * n - low).agg(F.min("probability")).first()[0]
+    discard(high, ranked)
+    return level
+
+
 def train(texts: DataFrame) -> LicenceModel:
-    """Multinomial logistic regression over hashed n-grams, fitted on parts of the templates and on a bounded sample
-    of ordinary paragraphs of ``texts`` (key, text); a licence's probability must exceed what the held-out half of
-    the sample reaches."""
+    """Multinomial logistic regression over the n-grams of the templates, fitted on parts of the templates and on the
+    ordinary sentences of all ``texts`` (key, text): each distinct one either teaches or, in the half held out, sets
+    what a licence's probability must exceed."""
     spark = texts.sparkSession
     notices = templates(spark)
+    counter = _counter(notices)
     words = F.split("piece", " ")
     # The whole wording, and it without some of its first or last words, as notices are quoted in part.
     cuts = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a in range(3) for b in range(3)])
@@ -180,25 +212,24 @@ def train(texts: DataFrame) -> LicenceModel:
         F.size("w") - F.col("cut.a") - F.col("cut.b") >= 4).select(
         "label", F.array_join(F.slice("w", F.col("cut.a") + 1, F.size("w") - F.col("cut.a") - F.col("cut.b")),
                               " ").alias("piece"))
-    known = notices.select("label", "piece").unionByName(parts)
-    chosen = texts.select("key").filter(F.col("key").isNotNull()).distinct().orderBy(
-        F.xxhash64("key"), "key").limit(SAMPLE_DOCUMENTS)
-    plain = (texts.join(F.broadcast(chosen), "key", "left_semi").select(F.explode(_lines()).alias("line"))
-             .filter(~F.col("line").rlike(NAMES)).select(F.explode(F.split("line", r"(?<=[.!?;])\s+", -1)).alias("piece"))
-             .filter("trim(piece) <> ''").distinct().orderBy(F.xxhash64("piece"), "piece").limit(SAMPLE_PARAGRAPHS))
-    plain = materialize(plain.withColumn("held", F.pmod(F.xxhash64("piece", F.lit(1)), 2) == 0))
-    spare = spark.range(1).select(F.lit("words without any meaning").alias("piece"))  # so that the class is never empty
-    ordinary = plain.filter("NOT held").select("piece").unionByName(spare).select(F.lit(0.0).alias("label"), "piece")
-    rows = materialize(_with_grams(known.unionByName(ordinary)).select("label", "grams"))
+    spare = spark.range(1).select(F.lit(0.0).alias("label"), F.lit("words without any meaning").alias("piece"))  # so that the class is never empty
+    known = materialize(counter.transform(_with_grams(
+        notices.select("label", "piece").unionByName(parts).unionByName(spare))).select("label", "features"))
     # Families have few or many wordings and weigh the same; there are as many counts as families.
-    counts = {r.label: r.n for r in rows.filter("label > 0").groupBy("label").agg(F.count("*").alias("n")).collect()}
+    counts = {r.label: r.n for r in known.filter("label > 0").groupBy("label").agg(F.count("*").alias("n")).collect()}
     weights = F.array(F.lit(1.0), *[F.lit(max(counts.values()) / counts[float(i)]) for i in range(1, len(FAMILIES))])
-    weighted = rows.withColumn("weight", F.get(weights, F.col("label").cast("int")))
-    classifier = LogisticRegression(maxIter=60, regParam=1e-4, family="multinomial", weightCol="weight").fit(
-        _hashed(weighted))
-    held = classifier.transform(_hashed(_with_grams(plain.filter("held"))))
-    quiet = held.agg(F.percentile_approx(_licence_probability(), F.lit(QUIET))).first()[0]
-    return LicenceModel(classifier, max(LEAST_PROBABILITY, quiet or 0.0))
+    ordinary = materialize(_ordinary(texts, counter))
+    taught, held = (n or 0 for n in ordinary.agg(F.sum("taught"), F.sum("held")).first())
+    each = min(1.0, ORDINARY_WEIGHT / max(taught, 1))
+    rows = known.select("label", "features", F.get(weights, F.col("label").cast("int")).alias("weight")).unionByName(
+        ordinary.filter("taught > 0").select(F.lit(0.0).alias("label"), "features",
+                                             (F.col("taught") * each).alias("weight")))
+    classifier = LogisticRegression(maxIter=60, regParam=1e-4, family="multinomial", weightCol="weight").fit(rows)
+    scored = classifier.transform(ordinary.filter("held > 0")).select(
+        _licence_probability().alias("probability"), "held")
+    model = LicenceModel(counter, classifier, _threshold(scored), taught, held)
+    discard(known, ordinary)
+    return model
 
 
 def paragraphs(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -210,7 +241,7 @@ def paragraphs(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     """
     texts = docs.select(docs[key].alias("key"), docs[text].cast("string").alias("text"))
     model = train(texts)
-    pieces = _hashed(_with_grams(_pieces(texts)))
+    pieces = model.counter.transform(_with_grams(_pieces(texts)))
     names = F.array(*[F.lit(f) for f in FAMILIES])
     scored = model.classifier.transform(pieces).select(
         "key", "paragraph", "triples", _licence_probability().alias("probability"),

@@ -1,4 +1,7 @@
+import math
+
 import pytest
+from pyspark.sql import functions as F
 
 from lakeops.llm import licences, queries
 
@@ -83,3 +86,25 @@ def test_scan_of_the_given_table(spark, tiny):
 def test_scan_uses_no_python(spark, texts):
     plan = licences.report(texts)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_ordinary_sentences_of_all_documents_teach(spark):
+    like = "You may not use this file except in compliance with number"
+    plain = [(i, f"The {i} mills stood still.\nAll was calm on day {i}.") for i in range(3000)]
+    ids = spark.createDataFrame(plain, "key long, text string")
+    # Those that a choice of a few hundred documents by the hash of their keys leaves out.
+    last = {r.key for r in ids.orderBy(F.xxhash64("key").desc()).limit(2000).collect()}
+    texts = spark.createDataFrame([(i, f"{like} {i}." if i in last else t) for i, t in plain], "key long, text string")
+    model = licences.train(texts)
+    assert model.taught + model.held == 2000 + 2 * 1000 and min(model.taught, model.held) > 1800
+    asked = licences._with_grams(spark.createDataFrame([(f"{like} five.",)], "piece string"))
+    scored = model.classifier.transform(model.counter.transform(asked))
+    assert scored.select(licences._licence_probability()).first()[0] < 0.5
+
+
+def test_threshold_is_exact(spark):
+    scores = [i / 1000 for i in range(1000)]
+    held = spark.createDataFrame([(p, 1 + i % 3) for i, p in enumerate(scores)] * 2, "probability double, held long")
+    plain = sorted(p for i, p in enumerate(scores) for _ in range(2 * (1 + i % 3)))
+    assert licences._threshold(held) == plain[math.ceil(licences.QUIET * len(plain)) - 1]
+    assert licences._threshold(held.filter("probability < 0.4")) == licences._threshold(held.limit(0)) == 0.5
