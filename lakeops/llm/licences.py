@@ -90,9 +90,10 @@ NAME_FORMS = ["{}", "The {}", "under the {}"]
 IDENTIFIER_FORMS = ["SPDX-License-Identifier: {}", "License: {}", "licensed under {}", "{} licensed", "{} license"]
 UNKNOWN = "unknown"
 FAMILIES = [UNKNOWN, *sorted(TEMPLATES)]
-#: Only paragraphs with one of these words can be a licence notice; all templates have one.
-NAMES = (r"(?i)licen[cs]e|copyright|permission|permitted|warrant|redistribut|creative commons|\bcc[ -]?by|"
-         r"public domain|free software|\b[la]?gpl\b|\bcc0")
+#: Only paragraphs with one of these words can be a licence notice; all templates have one. The first letters are looked at
+#: ahead, as most places have none of them.
+NAMES = (r"(?i)(?=[acfglprw][acegiopru])(?:licen[cs]e|copyright|permission|permitted|warrant|redistribut|creative commons|"
+         r"\bcc[ -]?by|public domain|free software|\b[la]?gpl\b|\bcc0)")
 #: The break of a wrapped line, with what opens a line of a comment: a small letter goes on with the sentence, as does
 #: a capital after a long line that no sign ends.
 WRAPPED = (r"\n(?:(?<=[\p{L}\p{N},(/-][ \t\r]{0,3}\n)[ \t]*+(?:(?://+|#+|\*+|;+|>+|--+)[ \t]+)?(?=\p{Ll})"
@@ -119,12 +120,14 @@ def _grams(words: Column, n: int) -> Column:
     return F.filter(found, lambda g: g.isNotNull())
 
 
-def _with_grams(pieces: DataFrame) -> DataFrame:
-    """Adds the word sequences of up to three words, and the distinct ones of three alone (of all words if fewer)."""
+def _with_grams(pieces: DataFrame, known: list[str] | None = None) -> DataFrame:
+    """Adds the word sequences of up to three words, those of ``known`` words alone if given, and the distinct ones of
+    three alone (of all words if fewer)."""
     split = pieces.withColumn("words", _words(F.col("piece"))).filter(F.size("words") > 0)
     whole = F.when(F.size("words") < 3, F.array(F.array_join("words", " "))).otherwise(_grams(F.col("words"), 3))
-    return split.withColumn("triples", F.array_distinct(whole)).withColumn(
-        "grams", F.concat("words", _grams(F.col("words"), 2), _grams(F.col("words"), 3)))
+    kept = F.col("words") if known is None else F.transform("words", lambda w: F.when(w.isin(known), w))
+    return split.withColumn("triples", F.array_distinct(whole)).withColumn("kept", kept).withColumn(
+        "grams", F.concat(*[_grams(F.col("kept"), n) for n in (1, 2, 3)])).drop("kept")
 
 
 def _lines() -> Column:
@@ -179,7 +182,8 @@ def _ordinary(texts: DataFrame, counter: CountVectorizerModel) -> DataFrame:
     lines = texts.select(F.explode(_lines()).alias("line")).filter(~F.col("line").rlike(NAMES))
     pieces = lines.select(F.explode(F.split("line", r"(?<=[.!?;])\s+", -1)).alias("piece")).filter("trim(piece) <> ''")
     halves = pieces.distinct().withColumn("aside", F.pmod(F.xxhash64("piece", F.lit(1)), 2) == 0)
-    return counter.transform(_with_grams(halves)).groupBy("features").agg(
+    words = [g for g in counter.vocabulary if " " not in g]  # a sequence with another word is none of the templates'
+    return counter.transform(_with_grams(halves, words)).groupBy("features").agg(
         F.count_if(~F.col("aside")).alias("taught"), F.count_if("aside").alias("held"))
 
 

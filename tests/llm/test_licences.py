@@ -108,3 +108,12 @@ def test_threshold_is_exact(spark):
     plain = sorted(p for i, p in enumerate(scores) for _ in range(2 * (1 + i % 3)))
     assert licences._threshold(held) == plain[math.ceil(licences.QUIET * len(plain)) - 1]
     assert licences._threshold(held.filter("probability < 0.4")) == licences._threshold(held.limit(0)) == 0.5
+
+
+def test_features_of_known_words_alone_are_the_same(spark):
+    counter = licences._counter(licences.templates(spark))
+    known = [g for g in counter.vocabulary if " " not in g]
+    pieces = spark.createDataFrame([(t,) for _, t in licences.wordings()] + [(t,) for t, _ in NOTICES] + [
+        ("is",), ("zebra",), ("The software zebra is distributed under the old License",)], "piece string")
+    full, some = (counter.transform(licences._with_grams(pieces, k)).select("piece", "features").collect() for k in (None, known))
+    assert sorted(map(str, full)) == sorted(map(str, some))
