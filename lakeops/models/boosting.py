@@ -18,11 +18,12 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import (ArrayType, FloatType, IntegerType, LongType, StringType, StructField, StructType)
 
 from lakeops.models.metrics import DIGITS, area_under_curve, weighted_scores
-from lakeops.models.prepare import blank_nan, exact_medians, fit_categories
+from lakeops.models.prepare import blank_nan, exact_medians, few_parts, fit_categories
 from lakeops.operators.names import column
 from lakeops.operators.ordering import join_measured, join_null_safe
 from lakeops.session import discard, materialize
@@ -44,13 +45,15 @@ BLOCK_ROWS = 1 << 16
 #: Gradients are multiples of 1 / GRADIENT, margins of 1 / MARGIN; scores are compared in steps of 1 / STEPS up to LIMIT.
 GRADIENT, MARGIN, STEPS, LIMIT = 1 << 24, 1 << 20, 1 << 10, 32
 #: After so many rounds the margins of all rows are stored, so a level never walks more trees than that.
-STORED_ROUNDS = 16
+STORED_ROUNDS = 4
 #: What the trees of one group are taken to need when they are joined to its blocks.
 TREE_BYTES = 1 << 16
 #: Sums that the driver holds at once; groups beyond it learn in a further series of jobs.
 DRIVER_SUMS = 1 << 23
 #: Trees of so many levels are walked by columns of bytes.
 BYTE_LEVELS = 7
+#: Bytes of bin edges that are sent to every Python worker.
+SENT_EDGES = 1 << 26
 #: Finest bins and deepest trees that blocks and whole-number leaves are made for.
 MOST_BINS, MOST_DEPTH = 256, 12
 
@@ -206,7 +209,7 @@ class Model:
 
 def _by_score(counts: np.ndarray) -> np.ndarray:
     """Rows (score, positives, negatives) in order, one per score."""
-    counts = counts[np.argsort(counts[:, 0], kind="stable")]
+    counts = counts[np.argsort(counts[:, 0])]
     start = np.flatnonzero(np.diff(counts[:, 0], prepend=counts[0, 0] - 1)) if len(counts) else np.zeros(0, np.int64)
     if not len(start):
         return counts
@@ -234,7 +237,8 @@ _BLOCK = "rows int, bins binary, label binary, role binary, margin binary"
 def _pack(binned: DataFrame, keep: list[str] = (), rows: int = BLOCK_ROWS) -> DataFrame:
     """Stored rows of (group, label, role, bins), a byte per bin, as blocks of one group each; ``keep`` come as lists.
 
-    Rows are dealt by ranges of (group, stored place): a large group spans many tasks, whatever its rows hold.
+    Rows are dealt by ranges of (group, stored place): a large group spans many tasks, whatever its rows hold. A block
+    begins with its train rows.
     """
     spark = binned.sparkSession
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -248,6 +252,9 @@ def _pack(binned: DataFrame, keep: list[str] = (), rows: int = BLOCK_ROWS) -> Da
 
         def block() -> pa.RecordBatch:
             one = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            role = one.column("role").to_numpy(zero_copy_only=False)
+            if (role[1:] < role[:-1]).any():
+                one = one.take(pa.array(np.argsort(role, kind="stable")))
             n = one.num_rows
             flat = one.column("bins").flatten().to_numpy().astype(np.uint8).reshape(n, -1)
             cells = [one.column("group").slice(0, 1), pa.array([n], pa.int32()),
@@ -290,6 +297,11 @@ class _Rows(NamedTuple):
         return cls(np.frombuffer(row["bins"], np.uint8).reshape(-1, n), np.frombuffer(row["label"], np.uint8),
                    np.frombuffer(row["role"], np.uint8), np.frombuffer(row["margin"], np.int64))
 
+    def train(self) -> _Rows:
+        """The train rows, which come first in a block."""
+        n = int(np.searchsorted(self.role, TRAIN, "right"))
+        return _Rows(self.bins[:, :n], self.label[:n], self.role[:n], self.margin[:n])
+
     def margins(self, trees: list[Tree]) -> np.ndarray:
         margin = self.margin.copy()
         for tree in trees:
@@ -305,6 +317,8 @@ def level_sums(rows: _Rows, margin: np.ndarray, tree: Tree | None, level: int, w
     nodes = tree.nodes(rows.bins, level) if level else np.ones(len(margin), np.int64)
     place = slot[nodes - (1 << level)]
     some = np.flatnonzero((rows.role == TRAIN) & (place >= 0))
+    if len(some) == len(place):
+        some = slice(None)
     place, chance = place[some] * bins, 1.0 / (1.0 + np.exp(-margin[some] / MARGIN))
     weights = (np.rint((chance - rows.label[some]) * GRADIENT), np.rint(chance * (1 - chance) * GRADIENT))
     out = np.zeros((len(wanted), len(rows.bins), bins, 2), np.int64)
@@ -338,10 +352,13 @@ def _level(blocks: DataFrame, models: dict, level: int, judge: int, tasks: int,
                 if group not in asked:
                     continue
                 trees, growing, wanted, bins = asked[group]
-                rows = _Rows.of(row)
+                rows = _Rows.of(row) if group in scoring else _Rows.of(row).train()
+                if not (wanted or group in scoring):
+                    continue
                 margin = rows.margins(trees)
                 if wanted:
-                    found = level_sums(rows, margin, growing, level, wanted, bins)
+                    train = rows.train()
+                    found = level_sums(train, margin[:len(train.role)], growing, level, wanted, bins)
                     sums[group] = sums[group] + found if group in sums else found
                 if group in scoring:
                     judged = rows.role == judge
@@ -493,12 +510,53 @@ class Binning:
                              F.array(*values).cast("array<double>").alias("values"))
 
     def __call__(self, rows: DataFrame) -> DataFrame:
-        """``rows`` with the features replaced by their bins; all 0 in a group without train rows."""
+        """``rows`` with the features replaced by their bins; all 0 in a group without train rows.
+
+        The edges of few groups go to Python workers, which look up whole columns at once; those of more are joined.
+        """
+        most = max(1, SENT_EDGES // (8 * self.features * self.bins))
+        known = self.edges.limit(most + 1).collect()
+        if len(known) <= most:
+            return self._looked_up(rows, known)
         valued = join_measured(self.values(rows), self.edges, ["group"], 16 + 8 * self.bins * self.features, "left")
         bins = F.transform("values", lambda v, i: F.coalesce(
             F.size(F.filter(F.get("edges", i), lambda edge: edge < v)), F.lit(0)))
         return valued.withColumn("bins", bins).drop("values", "edges")
 
+    def _looked_up(self, rows: DataFrame, known: list) -> DataFrame:
+        """The same, given the rows (group, edges) of all groups."""
+        spark = rows.sparkSession
+        numbers, categories = [f"n{i}" for i in range(len(self.numeric))], self.categories
+        places = spark.createDataFrame([(r["group"], i) for i, r in enumerate(known)],
+                                       StructType([self.edges.schema["group"], StructField("place", IntegerType())]))
+        if numbers:
+            places = join_measured(places, self.medians, ["group"], 16 + 8 * len(numbers), "left")
+        fills = {r["place"]: [r[f"median_{n}"] or 0.0 for n in numbers] for r in places.collect()}
+        edges = [[np.array(e if e is not None else [], np.float64) for e in r["edges"]] for r in known]
+        numbered = join_measured(rows, places.select("group", "place"), ["group"], 32, "left")
+        kept = [c for c in rows.columns if c not in {*numbers, *[f"c{i}" for i in range(len(categories))]}]
+        width = self.features
+        types = ", ".join(f"{column(c)} {rows.schema[c].dataType.simpleString()}" for c in kept)
+
+        def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                place = batch.column("place").fill_null(-1).to_numpy()
+                bins = np.zeros((batch.num_rows, width), np.int32)
+                values = [batch.column(n).to_numpy(zero_copy_only=False).astype(np.float64) for n in numbers]
+                values += [pc.fill_null(pc.equal(batch.column(f"c{i}"), v), False).to_numpy(zero_copy_only=False).astype(np.float64)
+                           for i, some in enumerate(categories) for v in some]
+                for p in np.unique(place[place >= 0]).tolist():
+                    mine = np.flatnonzero(place == p)
+                    for f, value in enumerate(values):
+                        value = value[mine]
+                        if f < len(numbers):
+                            value[np.isnan(value)] = fills[p][f]
+                        bins[mine, f] = np.searchsorted(edges[p][f], value)
+                lists = pa.ListArray.from_arrays(pa.array(np.arange(batch.num_rows + 1) * width, pa.int32()), pa.array(bins.ravel()))
+                yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], lists], [*kept, "bins"])
+
+        return numbered.mapInArrow(look_up, f"{types}, bins array<int>")
+
 
 def _fit_binning(binning: Binning, rows: DataFrame) -> None:
     """All statistics from the train rows of each group: medians, categories, and edges of bins with about equal counts.
@@ -513,7 +571,7 @@ def _fit_binning(binning: Binning, rows: DataFrame) -> None:
     binning.categories = list(fit_categories(train, [f"c{i}" for i in range(len(binning.categorical))]).values())
     shares = F.array(*[F.lit(i / binning.bins) for i in range(1, binning.bins)])
     edges = [F.percentile_approx(F.col("values")[i], shares, F.lit(10_000)) for i in range(binning.features)]
-    binning.edges = materialize(binning.values(train).groupBy("group").agg(F.array(*edges).alias("edges")))
+    binning.edges = materialize(few_parts(binning.values(train)).groupBy("group").agg(F.array(*edges).alias("edges")))
 
 
 _TREES = ArrayType(StructType([StructField("feature", ArrayType(IntegerType())), StructField("last", ArrayType(IntegerType())),

@@ -223,3 +223,37 @@ def test_a_tree_costs_no_look_up_per_row_and_level():
             return np.asarray(super().__getitem__(at))
 
     assert boosting.Tree.empty(6).margins(bins.view(Column)).tolist() == [0] * 100
+
+
+def test_bins_are_looked_up_in_workers_as_by_a_join(spark, monkeypatch):
+    data = [(["a", "b", None][i % 3], i % 4 // 3, [None, float("nan"), float(i % 17), -i / 3][i % 4], "xyz"[i % 3] if i % 5 else None)
+            for i in range(400)] + [("only test", TEST, 1.0, "x")]
+    rows = spark.createDataFrame(data, "group string, role int, n0 double, c0 string")
+    binning = boosting.Binning(["number"], ["text"], [], None, 9)
+    boosting._fit_binning(binning, rows)
+    found = binning(rows)
+    assert "MapInArrow" in found._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(boosting, "SENT_EDGES", 0)
+    joined = binning(rows)
+    assert "MapInArrow" not in joined._jdf.queryExecution().executedPlan().toString()
+    assert found.dtypes == joined.dtypes
+    assert sorted(map(str, found.collect())) == sorted(map(str, joined.select(found.columns).collect()))
+    assert binning(rows.limit(0)).collect() == []
+
+
+def test_blocks_begin_with_their_train_rows(spark):
+    rows = [("g", i % 2, [TEST, TRAIN, WATCH][i % 3], [i % 7, i % 5]) for i in range(50)]
+    frame = boosting.materialize(spark.createDataFrame(rows, "group string, label int, role int, bins array<int>"))
+    found = []
+    for row in boosting._pack(frame, rows=16).collect():
+        block = boosting._Rows.of(row.asDict())
+        assert (np.diff(block.role.astype(int)) >= 0).all() and (block.train().role == TRAIN).all()
+        assert len(block.train().role) == (block.role == TRAIN).sum() == block.train().bins.shape[1]
+        found += zip(["g"] * row.rows, block.label.tolist(), block.role.tolist(), block.bins.T.tolist())
+    assert sorted(found) == sorted(rows)
+
+
+def test_sketches_are_merged_from_few_parts(spark):
+    frame = spark.range(0, 100, 1, 64)
+    assert prepare.few_parts(frame).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert prepare.few_parts(spark.range(0, 100, 1, 2)).rdd.getNumPartitions() == 2

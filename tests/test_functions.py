@@ -1,7 +1,10 @@
 import datetime
+import hashlib
 import random
 import re
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
@@ -160,3 +163,30 @@ def test_synthetic_rows_draw_their_features_in_batches(spark):
     rows = synth.inject_missing(synth.synth_rows(keys, "id"), "id", synth.feature_names())
     plan = rows._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("draw(") == 2 and plan.count("conv(") <= 6
+
+
+def test_draws_of_many_keys_need_no_digest_of_their_own(monkeypatch):
+    names = ["", "one", "bl\u00e4nk two", *[f"blank numeric_feature_{i:02d}" for i in range(9)]]
+    keys = [None, "", "a|b", "\u00e9", *[str(i ** 3) for i in range(-700, 700)], "x" * 22, "x" * 90]
+    texts = [[("" if k is None else f"{k}|") + f"{n}|4" for n in names] for k in keys]
+    want = [[int(hashlib.md5(t.encode()).hexdigest()[:15], 16) for t in row] for row in texts]
+    assert draws.draw_bits(pa.array(["left out", *keys])[1:], names, 4).tolist() == want
+    monkeypatch.setattr(draws, "TOGETHER", 3)
+    assert draws.draw_bits(pa.array(keys), names, 4).tolist() == want
+    monkeypatch.setattr(draws.hashlib, "md5", None)  # only long texts are digested one by one
+    assert draws.draw_bits(pa.array(keys[:-2]), names, 4).tolist() == want[:-2]
+    assert draws.draw_bits(pa.array([], pa.string()), names).shape == (0, len(names))
+
+
+def test_rounding_as_spark_does(spark):
+    numbers = [0.125, -0.125, 2.675, 1.005, -0.004, 0.0, 12345678.125, 1e15 + 0.5, 5e-324, -7.0]
+    frame = spark.createDataFrame([(x,) for x in numbers], "x double").select(F.round("x", 2))
+    assert draws.round_half_up(np.array(numbers), 2).tolist() == values(frame)
+
+
+def test_synthetic_rows_in_batches_are_the_ones_drawn_one_by_one(spark):
+    keys = spark.createDataFrame([(i * i,) for i in range(300)] + [(None,), (4,)], "k bigint")
+    options = {"features": 5, "seed": 2, "separation": 0.7, "decimals": 3}
+    rows, single = (synth.synth_rows(keys, "k", batches=batches, **options) for batches in (True, False))
+    assert rows.dtypes == single.dtypes
+    assert sorted(map(str, rows.collect())) == sorted(map(str, single.collect()))
